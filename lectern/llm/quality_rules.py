@@ -24,6 +24,8 @@ NOISE = "[#*$%&|<>!~^=_]"
 NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|menu|search|login|log in|sign in|sign up|register|next|previous|back to top|read more|share|sitemap|contact us|about us|skip to content)[\x20\x09-\x0D]*$"
 BOILERPLATE = r"(?i)(all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|click here|lorem ipsum|copyright \(c\)|subscribe to our newsletter)"
 HAS_WORD = r"[^\x20\x09-\x0D]"
+#: A boilerplate phrase condemns a line up to this length; in a longer paragraph it is a mention.
+SHORT_LINE = 200
 NOISE_PERCENT, MAX_BARS, KEPT_PERCENT, WINDOW, LEAST_WORDS, REPEAT_PERCENT = 10, 3, 60, 8, 20, 30
 
 
@@ -31,7 +33,8 @@ def line_fails(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules on one line."""
     noise = F.regexp_count(line, F.lit(NOISE)) * 100 > F.length(line) * NOISE_PERCENT
     bars = F.regexp_count(line, F.lit(r"\|")) >= MAX_BARS
-    return noise | bars | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
+    short = F.length(line) <= SHORT_LINE
+    return noise | bars | (short & (line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)))
 
 
 def _total_length(lines: Column) -> Column:
@@ -154,7 +157,7 @@ line AS (SELECT rid, l FROM d, unnest(string_split(text, chr(10))) AS x(l) WHERE
 judged AS (SELECT rid, l, length(l) AS n,
     len(regexp_extract_all(l, '{NOISE}')) * 100 > length(l) * {NOISE_PERCENT}
     OR len(regexp_extract_all(l, '\|')) >= {MAX_BARS}
-    OR regexp_matches(l, '{NAVIGATION}') OR regexp_matches(l, '{BOILERPLATE}') AS bad FROM line),
+    OR length(l) <= {SHORT_LINE} AND (regexp_matches(l, '{NAVIGATION}') OR regexp_matches(l, '{BOILERPLATE}')) AS bad FROM line),
 lines AS (SELECT rid, count(*) - count(DISTINCT l) AS dup, sum(n) AS total, coalesce(sum(n) FILTER (NOT bad), 0) AS good FROM judged GROUP BY rid),
 f AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '{SYMBOLS}'))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines,
