@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lectern.llm import mixing, ngram_join, quality_rules, sentence_spans
+from lectern.llm import mixing, ngram_join, packing, quality_rules, sentence_spans
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op3_packing": packing.op3_packing,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_sentence_spans": sentence_spans.op7_sentence_spans,
     "op10_mixing": mixing.op10_mixing,
