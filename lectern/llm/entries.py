@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lectern.llm import mixing, ngram_join, packing, quality_rules, sentence_spans
+from lectern.llm import line_dedup, mixing, ngram_join, packing, quality_rules, sentence_spans
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_packing": packing.op3_packing,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_sentence_spans": sentence_spans.op7_sentence_spans,
@@ -14,5 +15,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_line_dedup": line_dedup.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
