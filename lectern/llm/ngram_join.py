@@ -17,6 +17,9 @@ ones get a second signature from an independent dealing of the domain in additio
 into smaller groups, and what is left after DEPTH dealings gives its pairs that are apart. So a group of thousands
 of near copies costs a number of pairs in proportion to its size, and no link is lost.
 
+Before sets are fetched for a pair, the counts of their elements in SKETCH hash buckets bound what they can share;
+that drops pairs which only share a passage, never one that links.
+
 Defined cases
     null, empty or wordless text: n_shingles 0, linked with nothing, component_id its own doc_id.
     one to four words: the whole sequence is the only element.
@@ -42,6 +45,8 @@ from lectern.llm.components import components
 WORDS, PERCENT = 5, 75
 SINGLES, SMALL, DIRECT, DEPTH = 64, 8, 64, 3
 FLUSH = 1 << 21
+#: Buckets of a set's sketch: counts of its elements by their hashes' first eight bits.
+SKETCH = 256
 U = tv.U
 
 
@@ -203,7 +208,27 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, off in tv.chunks(batch.column("text")):
             h, edge = shingle_sets(data, off)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(np.diff(edge)), pa.array(set_keys(h, edge))], ["doc_id", "n_shingles", "v"])
+            n = np.diff(edge)
+            v = set_keys(h, edge)
+            sketch = []
+            for a in range(0, len(n), 4096):
+                b = min(a + 4096, len(n))
+                slot = np.repeat(np.arange(b - a) * SKETCH, n[a:b]) + (h[edge[a] : edge[b]] >> U(64 - 8)).astype(np.int64)
+                count = np.minimum(np.bincount(slot, minlength=(b - a) * SKETCH), 255).astype(np.uint8).reshape(-1, SKETCH)
+                sketch += [row.tobytes() for row in count]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "v", "sketch"])
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops pairs that cannot link: by size, or as the counts by hash bucket bound what they share."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("ka", "kb"))
+        s, t = (batch.column(c).to_numpy() for c in ("na", "nb"))
+        most = np.minimum(x, y).astype(np.int64)
+        full = (most == 255).any(axis=1)  # counts from 255 on are not known
+        most = np.where(full, np.minimum(s, t), np.minimum(most.sum(axis=1), np.minimum(s, t)))
+        keep = pa.array(100 * most >= PERCENT * (s + t - most))
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "n")], ["a", "b", "n"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,41 +256,53 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def likely(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b, n) that may link, by the sketches in named (v, n_shingles, sketch)."""
+    side = lambda c: named.select(F.col("v").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sketch").alias(f"k{c}"))
+    both = pairs.select("a", "b", "n").join(side("a"), "a").where("na > 0").join(side("b"), "b")
+    return both.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").mapInArrow(_likely, "a long, b long, n long")
+
+
+def sets_of(vertices: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
+    """v, set of these vertices, made again from one text of each."""
+    ids = durable(named.join(vertices, "v", "left_semi").where("doc_id IS NOT NULL").select("doc_id").distinct())
+    some = docs.select("doc_id", "text")
+    some = some.join(if_small(ids, 2_000_000), "doc_id", "left_semi").union(some.where("doc_id IS NULL"))
+    return durable(some.select("text").mapInArrow(_sets, "v long, set binary").join(vertices, "v", "left_semi").dropDuplicates(["v"]))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link."""
-    both = pairs.select("a", "b").join(sets.select(F.col("v").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("v").alias("b"), F.col("set").alias("sb")), "b")
-    return both.mapInArrow(_linked, "a long, b long")
+    side = lambda c: sets.select(F.col("v").alias(c), F.col("set").alias(f"s{c}"))
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose ends are not known to be connected."""
     ra, rb = roots.select(F.col("v").alias("a"), F.col("root").alias("ra")), roots.select(F.col("v").alias("b"), F.col("root").alias("rb"))
     told = pairs.join(ra, "a", "left").join(rb, "b", "left")
-    return told.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    return told.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(*pairs.columns)
 
 
-def links(docs: DataFrame, described: DataFrame) -> DataFrame:
-    """Edges (a, b) between set names whose components are those of all links."""
+def links(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """Edges (a, b) between sets whose components are those of all links; named: v, doc_id, n_shingles, sketch."""
     parts = tv.shuffle_parts(docs)
-    texts = docs.select("text")
     schema, kinds = "part int, sig binary, v binary", {"sig": "u4", "v": "i8"}
     out_schema = "gid long, a long, b long, n long"
-    met = durable(tv.exchange(texts.mapInArrow(_sender(parts, 0, True), schema), kinds, parts, _groups, out_schema))
-
-    pairs = durable(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")))
-    wanted = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
-    ids = durable(described.where("v <> 0 AND doc_id IS NOT NULL").join(wanted, "v", "left_semi").groupBy("v").agg(F.min("doc_id").alias("doc_id")))
-    nameless = described.where("v <> 0").groupBy("v").agg(F.max("doc_id").alias("d")).where("d IS NULL").join(wanted, "v", "left_semi").limit(1).count()
-    some = docs.select("doc_id", "text")
-    some = some.where("text IS NOT NULL") if nameless else some.join(if_small(ids.select("doc_id"), 2_000_000), "doc_id", "left_semi")
-    sets = durable(some.select("text").mapInArrow(_sets, "v long, set binary").join(wanted, "v", "left_semi").dropDuplicates(["v"]))
+    met = durable(tv.exchange(docs.select("text").mapInArrow(_sender(parts, 0, True), schema), kinds, parts, _groups, out_schema))
 
+    pairs = durable(likely(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")), named))
+    sets = sets_of(_ends(pairs), docs, named)
     # each vertex first tries the smaller vertex it shares most signatures with
     tried = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", F.col("a"))).alias("a")).select("a", "b"))
     edges = durable(verified(tried, sets))
     roots = durable(components(edges))
-    rest = pairs.join(tried, ["a", "b"], "left_anti")
-    edges = edges.union(durable(verified(_apart(rest, roots), sets)))
+    rest = durable(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots))
+    edges = edges.union(durable(verified(rest, sets)))
 
     members = _members(met)
     for depth in range(1, DEPTH + 1):
@@ -275,16 +312,22 @@ def links(docs: DataFrame, described: DataFrame) -> DataFrame:
         told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
         torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
         told = durable(told.join(torn.select("gid", "size"), "gid"))
+        if told.isEmpty():
+            break
         # few members, or still together after independent dealings of the domain: compare those that are apart
         x, y = (told.where("true" if depth == DEPTH else f"size <= {DIRECT}").select("gid", F.col("v").alias(a), F.col("root").alias(f"r{a}")) for a in "ab")
-        pairs = x.join(y, "gid").where("ra <> rb AND a < b").select("a", "b").distinct()
-        edges = durable(edges.union(verified(pairs, sets)))
-        if depth == DEPTH:
+        more = x.join(y, "gid").where("ra <> rb AND a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
+        large = durable(told.where(f"size > {DIRECT}").select("gid", "v"))
+        met = None
+        if depth < DEPTH and not large.isEmpty():
+            again = large.join(sets_of(large.select("v").distinct(), docs, named), "v").select("gid", "set")
+            met = durable(tv.exchange(again.mapInArrow(_sender(parts, depth, False), schema), kinds, parts, _groups, out_schema))
+            more = more.union(_apart(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")), roots))
+        more = durable(likely(more.groupBy("a", "b").agg(F.sum("n").alias("n")), named))
+        if not more.isEmpty():
+            edges = durable(edges.union(verified(more, sets_of(_ends(more), docs, named))))
+        if met is None:
             break
-        again = told.where(f"size > {DIRECT}").join(sets, "v").select("gid", "set")
-        met = durable(tv.exchange(again.mapInArrow(_sender(parts, depth, False), schema), kinds, parts, _groups, out_schema))
-        more = met.where("gid IS NULL").select("a", "b").distinct()
-        edges = durable(edges.union(verified(_apart(more, roots), sets)))
         members = _members(met)
     return edges
 
@@ -295,14 +338,15 @@ def _members(met: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    described = durable(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, v long"))
-    roots = components(links(docs, described))
-    names = described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("least"))
-    names = durable(names.join(roots, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root")))
-    # only components of several sets need another look
-    whole = names.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = names.join(whole, "root").select("v", "component_id")
-    return described.join(named, "v", "left").select("doc_id", "n_shingles", F.when(F.col("v") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    described = durable(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, v long, sketch binary"))
+    named = durable(described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")))
+    roots = durable(components(links(docs, named)))
+    # most sets are a component by themselves: only those of several are contracted further
+    least = named.select("v", "doc_id").join(roots, "v", "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("doc_id").alias("component_id"))
+    linked = roots.join(least, "root").select("v", "component_id")
+    names = named.select("v", "doc_id").join(linked, "v", "left").select("v", F.when(F.col("component_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    told = described.select("doc_id", "n_shingles", "v").join(names, "v", "left")
+    return told.select("doc_id", "n_shingles", F.when(F.col("v") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
