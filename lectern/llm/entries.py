@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.llm import language_id, line_dedup, mixing, ngram_join, packing, quality_rules, sentence_spans
+from lectern.llm import language_id, line_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, sentence_spans
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_sentence_spans": sentence_spans.op7_sentence_spans,
+    "op8_quality_classifier": quality_classifier.op8_quality_classifier,
     "op9_language_id": language_id.op9_language_id,
     "op10_mixing": mixing.op10_mixing,
 }
