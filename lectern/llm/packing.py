@@ -28,43 +28,47 @@ from lectern.llm.common import durable, table
 
 LENGTH, END_ID = 2048, 0
 GROUP, ISLANDS, EPOCHS, POPULATION, CHILDREN = 4096, 2, 2, 6, 60
-BLOCK, CACHED = 1 << 20, 1 << 20
+BLOCK = 1 << 20
 
 
-class Ids(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit; byte-level merges never cross pre-tokens."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) < 64:
-            self[word] = ids
-        return ids
+class Encoder:
+    """Text -> ids as little-endian unsigned 32-bit, equal to those of the tokenizer file's own library.
 
+    The file's vocabulary is handed to tiktoken, which applies the same merges several times faster.
+    """
 
-class Encoder:
     def __init__(self, path: str, pattern: str):
         import regex
+        import tiktoken
+        from tokenizers import Tokenizer
 
-        self.ids, self.find = Ids(path), regex.compile(pattern).findall
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        # byte-level vocabularies write each byte as a printable character
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letter = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = {bytes(letter[c] for c in token): n for token, n in self.tokenizer.get_vocab().items() if token not in special}
+        self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         # a text may be cut before a single blank between two other characters without changing a pre-token
         self.cut = regex.compile(r"\S (?=\S)")
 
+    def block(self, text: str) -> bytes:
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        except BaseException as e:  # its pattern engine gives up on endless white space, in a panic that is no Exception
+            if isinstance(e, KeyboardInterrupt | SystemExit | MemoryError):
+                raise
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def __call__(self, text: str) -> bytes:
-        get, out, at = self.ids.__getitem__, [], 0
+        if len(text) <= BLOCK:
+            return self.block(text)
+        out, at = [], 0
         while at < len(text):
-            stop = len(text)
-            if stop - at > BLOCK and (m := self.cut.search(text, at + BLOCK)):
-                stop = m.start() + 1
-            out.append(b"".join(map(get, self.find(text[at:stop] if at or stop < len(text) else text))))
+            m = self.cut.search(text, at + BLOCK)
+            stop = m.start() + 1 if m else len(text)
+            out.append(self.block(text[at:stop]))
             at = stop
         return b"".join(out)
 

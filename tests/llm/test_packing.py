@@ -17,6 +17,8 @@ def tokenizer():
 
 ODD = ["", " ", "  a  b ", "it's we'll don't 'sup", "a\n\n b\t\tc \n", "naïve café ünïcode", "数字１２３ и кириллица", "🙂🙂 emoji‍", "x" * 300, "1234567 12.5%", "<|endoftext|> told", "\x00\x01 \x85  z", "é ﻿"]
 
+ODD += ["a" + " " * 3000 + "b" + "\n" * 2000, "ab" * 40000]
+
 
 def test_ids_equal_the_library(monkeypatch):
     encode, t = pk.Encoder(*pk.default_tokenizer()), tokenizer()
