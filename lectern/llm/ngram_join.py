@@ -11,8 +11,9 @@ the differences fall on every occupied part. Empty parts are never sent, as unre
 
 Equal signatures meet in one exchange of packed arrays. Copies of a set are one vertex from the start. A group
 of up to SMALL vertices gives all its pairs; a larger one gives its pairs with its smallest vertex only, and
-its members are kept: when the pairs are verified and contracted, groups whose members already are in one
-component need nothing more. Of the others, those of up to DIRECT members give the pairs that are apart; larger
+its members are kept. A member that has enough of its parts in small groups has met all its partners there, as
+they differ in fewer elements, and leaves. When the pairs are verified and contracted, groups whose members are in
+one component need nothing more. Of the others, those of up to DIRECT members give the pairs that are apart; larger
 ones get a second signature from an independent dealing of the domain in addition to the first, which splits them
 into smaller groups, and what is left after DEPTH dealings gives its pairs that are apart. So a group of thousands
 of near copies costs a number of pairs in proportion to its size, and no link is lost.
@@ -91,8 +92,9 @@ def set_keys(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return np.where(n == 0, U(0), key).astype(np.int64)
 
 
-def _signatures(h: np.ndarray, edge: np.ndarray, group: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, signature) of all sets; group: what sets must share besides."""
+def _signatures(h: np.ndarray, edge: np.ndarray, group: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, signature, role) of all sets; role: 0 in the set's own band, 1 in the next larger one.
+    group: what sets must share besides."""
     low, parts = bands()
     size = np.diff(edge)
     band = np.searchsorted(low, size, "right") - 1
@@ -106,7 +108,7 @@ def _signatures(h: np.ndarray, edge: np.ndarray, group: np.ndarray, seed: int) -
         tag = tv.mix(group ^ tv.mix(at.astype(U) + U(977)))
         single = (n == 0)[owner]
         if single.any():
-            out.append((owner[single], tv.mix(value[single] ^ tag[owner[single]])))
+            out.append((owner[single], tv.mix(value[single] ^ tag[owner[single]]), np.full(int(single.sum()), own, np.int8)))
         if not single.all():
             who = owner[~single]
             base = np.cumsum(n) - n
@@ -116,8 +118,22 @@ def _signatures(h: np.ndarray, edge: np.ndarray, group: np.ndarray, seed: int) -
             np.add.at(total, slot, value[~single])
             used = np.flatnonzero(np.bincount(slot, minlength=len(total)))
             mine = np.repeat(np.arange(len(n)), n)[used]
-            out.append((mine, tv.mix(total[used] ^ tv.mix((used - base[mine]).astype(U)) ^ tag[mine])))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, U))
+            out.append((mine, tv.mix(total[used] ^ tv.mix((used - base[mine]).astype(U)) ^ tag[mine]), np.full(len(mine), own, np.int8)))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int8))
+
+
+def spares(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each set and role, how many of its occupied parts it can do without: any partner agrees with it on one
+    of the others, as more of them are left than elements can differ."""
+    low, _ = bands()
+    size = np.diff(edge)
+    most = size * 100 // PERCENT
+    who, _, role = _signatures(h, edge, np.zeros(len(size), U), 0)
+    out = []
+    for own, partner in ((0, np.minimum(most, low[np.searchsorted(low, size, "right")] - 1)), (1, most)):
+        used = np.bincount(who[role == own], minlength=len(size))
+        out.append(used - (size + partner) * (100 - PERCENT) // (100 + PERCENT) - 1)
+    return out[0], out[1]
 
 
 def _sender(parts: int, seed: int, from_text: bool):
@@ -127,9 +143,9 @@ def _sender(parts: int, seed: int, from_text: bool):
         held, size, sent = [], 0, np.zeros(0, np.int64)
 
         def flush():
-            sig, v = (np.concatenate(x) for x in zip(*held))
+            sig, v, role = (np.concatenate(x) for x in zip(*held))
             # 32 bits and the part's number are enough to meet by; pairs are verified
-            return tv.packed({"sig": (sig >> U(32)).astype(np.uint32), "v": v}, (sig % U(parts)).astype(np.int32), parts)
+            return tv.packed({"sig": (sig >> U(32)).astype(np.uint32), "v": v, "role": role}, (sig % U(parts)).astype(np.int32), parts)
 
         for batch in batches:
             if from_text:
@@ -149,8 +165,8 @@ def _sender(parts: int, seed: int, from_text: bool):
                     keep[once] = True
                     h = h[np.repeat(keep, np.diff(edge))]
                     edge, v = np.concatenate([[0], np.cumsum(np.diff(edge)[keep])]), v[keep]
-                who, sig = _signatures(h, edge, np.zeros(len(v), U) if groups is None else groups, seed)
-                held.append((sig, v[who]))
+                who, sig, role = _signatures(h, edge, np.zeros(len(v), U) if groups is None else groups, seed)
+                held.append((sig, v[who], role))
                 size += len(sig)
                 if size >= FLUSH:
                     yield flush()
@@ -162,13 +178,14 @@ def _sender(parts: int, seed: int, from_text: bool):
 
 
 def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
-    """Pairs (gid null) of small groups and with the smallest vertex of large ones; members (gid, a) of large groups."""
-    sig, v = columns["sig"], columns["v"]
+    """Pairs (gid null) of small groups and with the smallest vertex of large ones; members of large groups:
+    gid, a: vertex, b: role, n: so many parts have these members."""
+    sig, v, role = columns["sig"], columns["v"], columns["role"]
     order = np.lexsort((v, sig))
-    sig, v = sig[order], v[order]
+    sig, v, role = sig[order], v[order], role[order]
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (v[1:] != v[:-1])
-    sig, v = sig[new], v[new]
+    sig, v, role = sig[new], v[new], role[new]
     head = np.ones(len(sig), bool)
     head[1:] = sig[1:] != sig[:-1]
     start = np.flatnonzero(head)
@@ -193,15 +210,15 @@ def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
     # large groups are named by their members, so that groups of the same members are one
     big = np.flatnonzero(count > SMALL)
     if len(big):
-        total = np.concatenate([np.zeros(1, U), np.cumsum(tv.mix(v.view(U)))])
+        total = np.concatenate([np.zeros(1, U), np.cumsum(tv.mix(v.view(U) ^ role.astype(U)))])
         name = tv.mix(total[start[big] + count[big]] - total[start[big]] + count[big].astype(U))
-        name, once = np.unique(name, return_index=True)
+        name, once, times = np.unique(name, return_index=True, return_counts=True)
         big = big[once]
         owner, at = tv.ragged(count[big])
-        where, name = start[big][owner] + at, name[owner].view(np.int64)
+        where, name, times = start[big][owner] + at, name[owner].view(np.int64), times[owner].astype(np.int64)
         for i in range(0, len(where), 1 << 18):
             w = where[i : i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(name[i : i + (1 << 18)]), pa.array(v[w]), pa.array(v[w]), pa.array(np.zeros(len(w), np.int64))], names)
+            yield pa.RecordBatch.from_arrays([pa.array(name[i : i + (1 << 18)]), pa.array(v[w]), pa.array(role[w].astype(np.int64)), pa.array(times[i : i + (1 << 18)])], names)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +233,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 slot = np.repeat(np.arange(b - a) * SKETCH, n[a:b]) + (h[edge[a] : edge[b]] >> U(64 - 8)).astype(np.int64)
                 count = np.minimum(np.bincount(slot, minlength=(b - a) * SKETCH), 255).astype(np.uint8).reshape(-1, SKETCH)
                 sketch += [row.tobytes() for row in count]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "v", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary()), *map(pa.array, spares(h, edge))], ["doc_id", "n_shingles", "v", "sketch", "spare0", "spare1"])
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +308,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     """Edges (a, b) between sets whose components are those of all links; named: v, doc_id, n_shingles, sketch."""
     parts = tv.shuffle_parts(docs)
-    schema, kinds = "part int, sig binary, v binary", {"sig": "u4", "v": "i8"}
+    schema, kinds = "part int, sig binary, v binary, role binary", {"sig": "u4", "v": "i8", "role": "i1"}
     out_schema = "gid long, a long, b long, n long"
     met = durable(tv.exchange(docs.select("text").mapInArrow(_sender(parts, 0, True), schema), kinds, parts, _groups, out_schema))
 
@@ -304,7 +321,11 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     rest = durable(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots))
     edges = edges.union(durable(verified(rest, sets)))
 
-    members = _members(met)
+    # a vertex with enough parts in small groups has met all its partners there
+    hot = met.where("gid IS NOT NULL").groupBy(F.col("a").alias("v"), F.col("b").alias("role")).agg(F.sum("n").alias("n"))
+    spare = F.when(F.col("role") == 0, F.col("spare0")).otherwise(F.col("spare1"))
+    unmet = hot.join(named, "v").where(F.col("n") > spare).select("v", "role")
+    members = _members(met.join(unmet.select(F.col("v").alias("a"), F.col("role").alias("b")), ["a", "b"], "left_semi"))
     for depth in range(1, DEPTH + 1):
         if members.isEmpty():
             break
@@ -338,8 +359,8 @@ def _members(met: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    described = durable(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, v long, sketch binary"))
-    named = durable(described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")))
+    described = durable(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long"))
+    named = durable(described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("spare0").alias("spare0"), F.max("spare1").alias("spare1")))
     roots = durable(components(links(docs, named)))
     # most sets are a component by themselves: only those of several are contracted further
     least = named.select("v", "doc_id").join(roots, "v", "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("doc_id").alias("component_id"))
