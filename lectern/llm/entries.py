@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lectern.llm import ann, language_id, line_dedup, mixing, ngram_join, packing, quality_classifier, quality_rules, sentence_spans
+from lectern.llm import ann, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, sentence_spans
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_packing": packing.op3_packing,
+    "op4_pii": pii.op4_pii,
     "op5_ann": ann.op5_ann,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_sentence_spans": sentence_spans.op7_sentence_spans,

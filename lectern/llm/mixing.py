@@ -24,6 +24,7 @@ from lectern.llm.common import WORD, durable, if_small, table
 WEIGHTS, MOST = (5, 2, 1), 3
 LEVELS, BITS = 3, 10
 TOP = 60
+NO_ID = -(1 << 63)
 
 
 def doc_hash(doc_id: Column) -> Column:
@@ -123,6 +124,19 @@ def plan(docs: DataFrame) -> DataFrame:
     )
 
 
+def mix(docs: DataFrame) -> DataFrame:
+    """docs with each row as often as the mix takes it; the columns stay."""
+    told = plan(docs).where("taken > 0").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), "source", (F.col("taken") / F.col("size")).cast("int").alias("__times")
+    )
+    # rows of one doc_id and source share a hash, so they are taken equally often
+    told = told.groupBy("__id", "source").agg(F.max("__times").alias("__times"))
+    d = docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).alias("d")
+    met = d.join(told.alias("t"), (F.col("d.__id") == F.col("t.__id")) & _same(F.col("d.source"), F.col("t.source")))
+    out = met.select("d.*", "t.__times").where(F.col("text").rlike(WORD))
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(table(spark, sf_dir, "documents")).drop("source")
 
