@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.plans import relational_queries, transcript_queries
+
 Query = Callable[[SparkSession, str], DataFrame]
+_PAIRS = transcript_queries.PAIRS | relational_queries.PAIRS
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: run for name, (run, _) in _PAIRS.items()}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _PAIRS.items() if sql}

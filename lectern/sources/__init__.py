@@ -1 +1 @@
-
+"""Tables, landed files and the derived transcript."""
