@@ -11,12 +11,10 @@ the differences fall on every occupied part. Empty parts are never sent, as unre
 
 Equal signatures meet in one exchange of packed arrays. Copies of a set are one vertex from the start. A group
 of up to SMALL vertices gives all its pairs; a larger one gives its pairs with its smallest vertex only, and
-its members are kept. A member that has enough of its parts in small groups has met all its partners there, as
-they differ in fewer elements, and leaves. When the pairs are verified and contracted, groups whose members are in
-one component need nothing more. Of the others, those of up to DIRECT members give the pairs that are apart; larger
-ones get a second signature from an independent dealing of the domain in addition to the first, which splits them
-into smaller groups, and what is left after DEPTH dealings gives its pairs that are apart. So a group of thousands
-of near copies costs a number of pairs in proportion to its size, and no link is lost.
+its members are kept. A member leaves aside as many parts as it can spare, the largest groups first (see
+_unsettled). When the pairs are verified and contracted, groups whose members are in one component need nothing more.
+The others are compared inside tasks, block against block of at most BLOCK members, and only pairs that may link
+leave a task. So near copies by the thousand cost pairs in proportion to their number, and no link is lost.
 
 Before sets are fetched for a pair, the counts of their elements in SKETCH hash buckets bound what they can share;
 that drops pairs which only share a passage, never one that links.
@@ -37,6 +35,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
@@ -44,7 +43,7 @@ from lectern.llm.common import durable, if_small, table
 from lectern.llm.components import components
 
 WORDS, PERCENT = 5, 75
-SINGLES, SMALL, DIRECT, DEPTH = 64, 8, 64, 3
+SINGLES, SMALL, BLOCK = 64, 8, 2048
 FLUSH = 1 << 21
 #: Buckets of a set's sketch: counts of its elements by their hashes' first eight bits.
 SKETCH = 256
@@ -92,20 +91,19 @@ def set_keys(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return np.where(n == 0, U(0), key).astype(np.int64)
 
 
-def _signatures(h: np.ndarray, edge: np.ndarray, group: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set, signature, role) of all sets; role: 0 in the set's own band, 1 in the next larger one.
-    group: what sets must share besides."""
+def _signatures(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, signature, role) of all sets; role: 0 in the set's own band, 1 in the next larger one."""
     low, parts = bands()
     size = np.diff(edge)
     band = np.searchsorted(low, size, "right") - 1
     out = []
-    deal = tv.mix(h ^ U(0x9E3779B97F4A7C15 * (2 * seed + 1) & (1 << 64) - 1))
+    deal = tv.mix(h ^ U(0x9E3779B97F4A7C15))
     value = tv.mix(deal ^ U(0x2545F4914F6CDD1D))
     owner = np.repeat(np.arange(len(size)), size)
     for own in (0, 1):
         at = band + own
         n = np.where(size > 0, parts[at], 0)
-        tag = tv.mix(group ^ tv.mix(at.astype(U) + U(977)))
+        tag = tv.mix(at.astype(U) + U(977))
         single = (n == 0)[owner]
         if single.any():
             out.append((owner[single], tv.mix(value[single] ^ tag[owner[single]]), np.full(int(single.sum()), own, np.int8)))
@@ -128,7 +126,7 @@ def spares(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low, _ = bands()
     size = np.diff(edge)
     most = size * 100 // PERCENT
-    who, _, role = _signatures(h, edge, np.zeros(len(size), U), 0)
+    who, _, role = _signatures(h, edge)
     out = []
     for own, partner in ((0, np.minimum(most, low[np.searchsorted(low, size, "right")] - 1)), (1, most)):
         used = np.bincount(who[role == own], minlength=len(size))
@@ -136,8 +134,8 @@ def spares(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _sender(parts: int, seed: int, from_text: bool):
-    """Packs (signature, vertex) by part. From text, a set that this task has sent already is not sent again."""
+def _sender(parts: int):
+    """Packs (signature, vertex, role) by part. A set that this task has sent already is not sent again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, sent = [], 0, np.zeros(0, np.int64)
@@ -148,24 +146,17 @@ def _sender(parts: int, seed: int, from_text: bool):
             return tv.packed({"sig": (sig >> U(32)).astype(np.uint32), "v": v, "role": role}, (sig % U(parts)).astype(np.int32), parts)
 
         for batch in batches:
-            if from_text:
-                source = (shingle_sets(data, off) for _, _, data, off in tv.chunks(batch.column("text")))
-                groups = None
-            else:
-                sets = [np.frombuffer(x.as_buffer(), U) for x in batch.column("set")]
-                source = [(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))] if sets else []
-                groups = batch.column("gid").to_numpy().astype(np.int64).view(U)
-            for h, edge in source:
+            for _, _, data, off in tv.chunks(batch.column("text")):
+                h, edge = shingle_sets(data, off)
                 v = set_keys(h, edge)
-                if from_text:
-                    _, once = np.unique(v, return_index=True)
-                    once = once[(v[once] != 0) & ~np.isin(v[once], sent)]
-                    sent = np.concatenate([sent, v[once]])[-(1 << 20) :]
-                    keep = np.zeros(len(v), bool)
-                    keep[once] = True
-                    h = h[np.repeat(keep, np.diff(edge))]
-                    edge, v = np.concatenate([[0], np.cumsum(np.diff(edge)[keep])]), v[keep]
-                who, sig, role = _signatures(h, edge, np.zeros(len(v), U) if groups is None else groups, seed)
+                _, once = np.unique(v, return_index=True)
+                once = once[(v[once] != 0) & ~np.isin(v[once], sent)]
+                sent = np.concatenate([sent, v[once]])[-(1 << 20) :]
+                keep = np.zeros(len(v), bool)
+                keep[once] = True
+                h = h[np.repeat(keep, np.diff(edge))]
+                edge, v = np.concatenate([[0], np.cumsum(np.diff(edge)[keep])]), v[keep]
+                who, sig, role = _signatures(h, edge)
                 held.append((sig, v[who], role))
                 size += len(sig)
                 if size >= FLUSH:
@@ -179,7 +170,7 @@ def _sender(parts: int, seed: int, from_text: bool):
 
 def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
     """Pairs (gid null) of small groups and with the smallest vertex of large ones; members of large groups:
-    gid, a: vertex, b: role, n: so many parts have these members."""
+    gid, a: vertex, b: twice the number of members, plus the role, n: so many parts have these members."""
     sig, v, role = columns["sig"], columns["v"], columns["role"]
     order = np.lexsort((v, sig))
     sig, v, role = sig[order], v[order], role[order]
@@ -215,10 +206,11 @@ def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
         name, once, times = np.unique(name, return_index=True, return_counts=True)
         big = big[once]
         owner, at = tv.ragged(count[big])
+        size = 2 * count[big][owner]
         where, name, times = start[big][owner] + at, name[owner].view(np.int64), times[owner].astype(np.int64)
         for i in range(0, len(where), 1 << 18):
             w = where[i : i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(name[i : i + (1 << 18)]), pa.array(v[w]), pa.array(role[w].astype(np.int64)), pa.array(times[i : i + (1 << 18)])], names)
+            yield pa.RecordBatch.from_arrays([pa.array(name[i : i + (1 << 18)]), pa.array(v[w]), pa.array(size[i : i + (1 << 18)] + role[w]), pa.array(times[i : i + (1 << 18)])], names)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,15 +228,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary()), *map(pa.array, spares(h, edge))], ["doc_id", "n_shingles", "v", "sketch", "spare0", "spare1"])
 
 
+def _may_link(x: np.ndarray, y: np.ndarray, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Whether sets with sketches x, y and sizes s, t can link, as the counts by bucket bound what they share."""
+    most = np.minimum(x, y)
+    full = (most == 255).any(axis=1)  # counts from 255 on are not known
+    most = np.where(full, np.minimum(s, t), np.minimum(most.sum(axis=1, dtype=np.int64), np.minimum(s, t)))
+    return 100 * most >= PERCENT * (s + t - most)
+
+
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops pairs that cannot link: by size, or as the counts by hash bucket bound what they share."""
     for batch in batches:
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("ka", "kb"))
-        s, t = (batch.column(c).to_numpy() for c in ("na", "nb"))
-        most = np.minimum(x, y).astype(np.int64)
-        full = (most == 255).any(axis=1)  # counts from 255 on are not known
-        most = np.where(full, np.minimum(s, t), np.minimum(most.sum(axis=1), np.minimum(s, t)))
-        keep = pa.array(100 * most >= PERCENT * (s + t - most))
+        keep = pa.array(_may_link(x, y, batch.column("na").to_numpy(), batch.column("nb").to_numpy()))
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "n")], ["a", "b", "n"])
 
 
@@ -285,7 +280,8 @@ def sets_of(vertices: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame
     ids = durable(named.join(vertices, "v", "left_semi").where("doc_id IS NOT NULL").select("doc_id").distinct())
     some = docs.select("doc_id", "text")
     some = some.join(if_small(ids, 2_000_000), "doc_id", "left_semi").union(some.where("doc_id IS NULL"))
-    return durable(some.select("text").mapInArrow(_sets, "v long, set binary").join(vertices, "v", "left_semi").dropDuplicates(["v"]))
+    made = some.select("text").mapInArrow(_sets, "v long, set binary")
+    return durable(made.join(vertices, "v", "left_semi").dropDuplicates(["v"]))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -305,13 +301,82 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return told.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select(*pairs.columns)
 
 
+def _unsettled(met: DataFrame, spare: DataFrame) -> DataFrame:
+    """gid, v: the memberships of large groups that links may still hide in; spare: v, spare0, spare1.
+
+    A vertex agrees with any partner on more parts than it can spare. So it may leave as many parts aside as it can
+    spare; if all leave their largest groups aside, in one order for all, the smallest group that partners share
+    is left to both of them. A vertex with enough parts in small groups leaves all its large ones aside.
+    """
+    rows = met.where("gid IS NOT NULL").select("gid", F.col("a").alias("v"), (F.col("b") % 2).alias("role"), F.floor(F.col("b") / 2).alias("size"), "n")
+    # the same members may be a group in several parts of the exchange
+    rows = rows.groupBy("gid", "v", "role").agg(F.max("size").alias("size"), F.sum("n").alias("n"))
+    order = W.partitionBy("v", "role").orderBy(F.desc("size"), "gid").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("n").over(order)).join(spare.select("v", "spare0", "spare1"), "v")
+    return rows.where("upto > CASE WHEN role = 0 THEN spare0 ELSE spare1 END").select("gid", "v").distinct()
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of each cell that may link and are apart. A cell is one block of a group against itself or
+    another; its members stand together. A pair that several cells of this task hold leaves it about once."""
+    now, held = None, []
+    done = np.zeros(1 << 20, U)  # the last pair of each slot
+
+    def pairs():
+        v, root, n, side, sketch = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(v)
+        v, root, n, side, sketch = v[order], root[order], n[order], side[order], sketch[order]
+        for i in range(0, len(v), 64):
+            a, b = np.meshgrid(np.arange(i, min(i + 64, len(v))), np.arange(i, len(v)), indexing="ij")
+            ok = (a < b) & (v[a] != v[b]) & (root[a] != root[b]) & ((side[a] != side[b]) | (side[a] == 2))
+            ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
+            a, b = a[ok], b[ok]
+            key = tv.mix(v[a].view(U)) + v[b].view(U)
+            slot = (key >> U(44)).astype(np.int64)
+            new = done[slot] != key
+            a, b = a[new], b[new]
+            done[slot[new]] = key[new]
+            for k in range(0, len(a), 1 << 14):
+                c, d = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+                keep = _may_link(sketch[c], sketch[d], n[c], n[d])
+                yield pa.RecordBatch.from_arrays([pa.array(v[c[keep]]), pa.array(v[d[keep]]), pa.array(np.ones(int(keep.sum()), np.int64))], ["a", "b", "n"])
+
+    for batch in batches:
+        cell = np.stack([batch.column(c).to_numpy() for c in ("gid", "lo", "hi")], axis=1)
+        cut = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
+        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        columns = [batch.column(c).to_numpy() for c in ("v", "root", "n_shingles", "side")] + [sketch]
+        for a, b in zip([0, *cut], [*cut, batch.num_rows]):
+            if a == b:
+                continue
+            if now is not None and tuple(cell[a]) != now:
+                yield from pairs()
+                held = []
+            now = tuple(cell[a])
+            held.append([c[a:b] for c in columns])
+    if held:
+        yield from pairs()
+
+
+def _hidden(told: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs (a, b, n) that may link within the groups of told (gid, v, root). Groups over BLOCK members are dealt
+    into blocks, and each two blocks meet in a task of their own, so no task holds more than two blocks."""
+    size = told.groupBy("gid").agg(F.count("*").alias("size"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+    dealt = told.join(size, "gid").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    cells = dealt.select("gid", "v", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), side.cast("long").alias("side"))
+    cells = cells.join(named.select("v", "n_shingles", "sketch"), "v").repartition("gid", "lo", "hi").sortWithinPartitions("gid", "lo", "hi")
+    return cells.mapInArrow(_compared, "a long, b long, n long")
+
+
 def links(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """Edges (a, b) between sets whose components are those of all links; named: v, doc_id, n_shingles, sketch."""
+    """Edges (a, b) between sets whose components are those of all links; named: v, doc_id, n_shingles, sketch, spares."""
     parts = tv.shuffle_parts(docs)
     schema, kinds = "part int, sig binary, v binary, role binary", {"sig": "u4", "v": "i8", "role": "i1"}
-    out_schema = "gid long, a long, b long, n long"
-    met = durable(tv.exchange(docs.select("text").mapInArrow(_sender(parts, 0, True), schema), kinds, parts, _groups, out_schema))
-
+    sent = docs.select("text").mapInArrow(_sender(parts), schema)
+    met = durable(tv.exchange(sent, kinds, parts, _groups, "gid long, a long, b long, n long"))
     pairs = durable(likely(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")), named))
     sets = sets_of(_ends(pairs), docs, named)
     # each vertex first tries the smaller vertex it shares most signatures with
@@ -319,42 +384,16 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     edges = durable(verified(tried, sets))
     roots = durable(components(edges))
     rest = durable(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots))
-    edges = edges.union(durable(verified(rest, sets)))
-
-    # a vertex with enough parts in small groups has met all its partners there
-    hot = met.where("gid IS NOT NULL").groupBy(F.col("a").alias("v"), F.col("b").alias("role")).agg(F.sum("n").alias("n"))
-    spare = F.when(F.col("role") == 0, F.col("spare0")).otherwise(F.col("spare1"))
-    unmet = hot.join(named, "v").where(F.col("n") > spare).select("v", "role")
-    members = _members(met.join(unmet.select(F.col("v").alias("a"), F.col("role").alias("b")), ["a", "b"], "left_semi"))
-    for depth in range(1, DEPTH + 1):
-        if members.isEmpty():
-            break
-        roots = durable(components(edges))
-        told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
-        torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y")
-        told = durable(told.join(torn.select("gid", "size"), "gid"))
-        if told.isEmpty():
-            break
-        # few members, or still together after independent dealings of the domain: compare those that are apart
-        x, y = (told.where("true" if depth == DEPTH else f"size <= {DIRECT}").select("gid", F.col("v").alias(a), F.col("root").alias(f"r{a}")) for a in "ab")
-        more = x.join(y, "gid").where("ra <> rb AND a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
-        large = durable(told.where(f"size > {DIRECT}").select("gid", "v"))
-        met = None
-        if depth < DEPTH and not large.isEmpty():
-            again = large.join(sets_of(large.select("v").distinct(), docs, named), "v").select("gid", "set")
-            met = durable(tv.exchange(again.mapInArrow(_sender(parts, depth, False), schema), kinds, parts, _groups, out_schema))
-            more = more.union(_apart(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")), roots))
-        more = durable(likely(more.groupBy("a", "b").agg(F.sum("n").alias("n")), named))
-        if not more.isEmpty():
-            edges = durable(edges.union(verified(more, sets_of(_ends(more), docs, named))))
-        if met is None:
-            break
-        members = _members(met)
-    return edges
-
-
-def _members(met: DataFrame) -> DataFrame:
-    return durable(met.where("gid IS NOT NULL").select("gid", F.col("a").alias("v")).distinct())
+    edges = durable(edges.union(verified(rest, sets)))
+    members = durable(_unsettled(met, named))
+    if members.isEmpty():
+        return edges
+    roots = durable(components(edges))
+    told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
+    torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
+    told = told.join(torn, "gid", "left_semi")
+    more = durable(_hidden(told, named).groupBy("a", "b").agg(F.sum("n").alias("n")))
+    return edges.union(durable(verified(more, sets_of(_ends(more), docs, named))))
 
 
 def join(docs: DataFrame) -> DataFrame:

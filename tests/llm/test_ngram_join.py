@@ -50,10 +50,10 @@ def edited(text, rng, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("seed,small", [(1, 8)])
-def test_equals_brute_force(spark, monkeypatch, seed, small):
+@pytest.mark.parametrize("seed,small,block", [(1, 8, 2048), (2, 3, 7)])
+def test_equals_brute_force(spark, monkeypatch, seed, small, block):
     monkeypatch.setattr(nj, "SMALL", small)
-    monkeypatch.setattr(nj, "DIRECT", 20)
+    monkeypatch.setattr(nj, "BLOCK", block)
     rng = random.Random(seed)
     texts = []
     for i, n in enumerate([3, 5, 6, 9, 20, 40, 70, 90, 150, 260, 400, 700, 1500]):
