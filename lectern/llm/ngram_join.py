@@ -44,7 +44,12 @@ from lectern.llm.components import components
 
 WORDS, PERCENT = 5, 75
 SINGLES, SMALL, BLOCK = 64, 8, 2048
-FLUSH = 1 << 21
+FLUSH = 1 << 20
+#: Added to a pair's count for each small group that holds it; the other pairs, with the smallest member of a large
+#: group, only save work later and are tried if they share LIKELY groups or more.
+MUST, LIKELY = 1 << 32, 4
+#: Parts of the exchange for each shuffle partition, so that a part takes little memory.
+FINE = 3
 #: Buckets of a set's sketch: counts of its elements by their hashes' first eight bits.
 SKETCH = 256
 U = tv.U
@@ -169,7 +174,7 @@ def _sender(parts: int):
 
 
 def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
-    """Pairs (gid null) of small groups and with the smallest vertex of large ones; members of large groups:
+    """Pairs (gid null) of small groups, n counting MUST for each, and with the smallest vertex of large ones; members of large groups:
     gid, a: vertex, b: twice the number of members, plus the role, n: so many parts have these members."""
     sig, v, role = columns["sig"], columns["v"], columns["role"]
     order = np.lexsort((v, sig))
@@ -183,21 +188,29 @@ def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
     count = np.diff(np.append(start, len(sig)))
     many = count > 1
     start, count = start[many], count[many]
-    a, b = [], []
+    a, b, must = [], [], []
     owner, at = tv.ragged(count)
-    star = at > 0
+    star = (at > 0) & (count[owner] > SMALL)
     a.append(v[start[owner[star]]])
     b.append(v[start[owner[star]] + at[star]])
-    for step in range(1, SMALL - 1):  # other pairs of small groups: (i, i + step), i >= 1
-        ok = (count[owner] <= SMALL) & (at >= 1) & (at + step < count[owner])
+    must.append(np.zeros(int(star.sum()), np.int64))
+    for step in range(1, SMALL):  # all pairs of small groups: (i, i + step)
+        ok = (count[owner] <= SMALL) & (at + step < count[owner])
         a.append(v[start[owner[ok]] + at[ok]])
         b.append(v[start[owner[ok]] + at[ok] + step])
-    pairs = np.rec.fromarrays([np.concatenate(a), np.concatenate(b)], names="a,b")
-    pairs, n = np.unique(pairs, return_counts=True)
+        must.append(np.full(int(ok.sum()), MUST))
+    a, b, must = np.concatenate(a), np.concatenate(b), np.concatenate(must)
+    order = np.lexsort((b, a))
+    a, b, must = a[order], b[order], must[order]
+    head = np.ones(len(a), bool)
+    head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(head)
+    n = np.add.reduceat(must + 1, first) if len(first) else must
+    pairs = {"a": a[first], "b": b[first]}
     names = ["gid", "a", "b", "n"]
-    for i in range(0, len(pairs), 1 << 18):
-        p = pairs[i : i + (1 << 18)]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(p), pa.int64()), pa.array(np.ascontiguousarray(p["a"])), pa.array(np.ascontiguousarray(p["b"])), pa.array(n[i : i + (1 << 18)].astype(np.int64))], names)
+    for i in range(0, len(first), 1 << 18):
+        some = [pa.array(c[i : i + (1 << 18)]) for c in (pairs["a"], pairs["b"], n)]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(some[0]), pa.int64()), *some], names)
     # large groups are named by their members, so that groups of the same members are one
     big = np.flatnonzero(count > SMALL)
     if len(big):
@@ -373,11 +386,11 @@ def _hidden(told: DataFrame, named: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     """Edges (a, b) between sets whose components are those of all links; named: v, doc_id, n_shingles, sketch, spares."""
-    parts = tv.shuffle_parts(docs)
+    parts = FINE * tv.shuffle_parts(docs)
     schema, kinds = "part int, sig binary, v binary, role binary", {"sig": "u4", "v": "i8", "role": "i1"}
     sent = docs.select("text").mapInArrow(_sender(parts), schema)
     met = durable(tv.exchange(sent, kinds, parts, _groups, "gid long, a long, b long, n long"))
-    pairs = durable(likely(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")), named))
+    pairs = durable(likely(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LIKELY), named))
     sets = sets_of(_ends(pairs), docs, named)
     # each vertex first tries the smaller vertex it shares most signatures with
     tried = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", F.col("a"))).alias("a")).select("a", "b"))
