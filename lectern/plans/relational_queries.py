@@ -98,7 +98,7 @@ PAIRS = {
     "a21_integration": statement("SELECT source, rate, CASE WHEN rate >= 0.9 THEN 'complete' WHEN rate >= 0.5 THEN 'partial' ELSE 'failed' END AS status FROM (SELECT source, least(1.0E0, greatest(0.0E0, 0.4 * count(l.doc_id) / count(*) + 0.6 * avg(CASE WHEN lang = 'en' THEN 1.0E0 ELSE 0.0E0 END))) AS rate FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id GROUP BY source)"),
     "a22_word_share": statement("SELECT doc_id, max(n) * 1.0E0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, explode(split(lower(text), ' ')) AS w FROM {documents}) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id", "SELECT doc_id, max(n) * 1.0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id"),
     "a23_paragraph_spread": statement("SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, explode(split(text, '\\n')) AS p FROM {documents}) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1", "SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1"),
-    "a24_running_mean": statement("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 5) AS running FROM {events}"),
+    "a24_running_mean": statement("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS running FROM {events}"),
     "a25_dataset_report": statement("SELECT lang, count(*) AS n, percentile(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM {documents} GROUP BY lang", "SELECT lang, count(*) AS n, quantile_cont(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM documents GROUP BY lang"),
     "a26_service_rates": statement(f"WITH r AS ({REQUEST}) SELECT user_id, count(CASE WHEN ok THEN 1 END) * 1.0E0 / greatest(count(*), 1) AS hit_rate, count(CASE WHEN NOT ok THEN 1 END) * 1.0E0 / greatest(count(*), 1) AS failure_rate FROM r GROUP BY user_id"),
     # ---- windows and sequences
