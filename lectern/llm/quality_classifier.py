@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import durable, table
+from lectern.llm.common import durable, if_small, least_hashes, table
 
 BUCKETS, DIMENSIONS, REACH, SAMPLE, HIDDEN, STEPS, BLOCKS = 1 << 13, 32, 2, 20_000, 32, 900, 16
 U = tv.U
@@ -207,7 +207,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     x = durable(docs.select("doc_id", "text").mapInArrow(pool, "doc_id long, x binary"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("y"))
-    sample = x.join(known, "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).toPandas()
+    known = least_hashes(durable(known), F.xxhash64("doc_id"), "doc_id", SAMPLE)
+    sample = x.join(if_small(durable(known), SAMPLE), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
     features = np.frombuffer(b"".join(sample["x"]), np.float32).reshape(-1, 2 * DIMENSIONS).astype(np.float64)
     network = sc.broadcast(Network().fit(features, sample["y"].to_numpy(np.float64)))
 
