@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import durable, table
+from lectern.llm.common import durable, least_hashes, table
 
 BITS, PARTS, NEAREST, SAMPLE, BLOCK, QUERIES, SURE = 64, 4, 10, 6000, 16_384, 1024, 0.97
 SUB = BITS // PARTS
@@ -159,7 +159,7 @@ def nearest(vectors: DataFrame, every: int = 100, count: int = NEAREST) -> DataF
     # row_number with a bound is limited within each task before the shuffle
     least = good.withColumn("r", F.row_number().over(first)).where(F.col("r") <= count + 1)
     entries = durable(least.groupBy("key", "embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    sample = entries.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("embedding").toPandas()
+    sample = least_hashes(entries, F.xxhash64("key"), "key", SAMPLE).select("embedding").toPandas()
     model = vectors.sparkSession.sparkContext.broadcast(Codes(np.array(sample["embedding"].tolist(), np.float64)))
 
     asked = good.where(F.col("vec_id") % every == 0).select("vec_id", "key")
