@@ -121,7 +121,7 @@ PAIRS = {
     # ---- sorts, limits, top-k
     "k1_schedule": statement(f"WITH s AS ({SESSION}) SELECT id, priority FROM s WHERE state = 'queued' ORDER BY priority, created, id LIMIT 50"),
     "k2_time_schedule": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id, created < now - INTERVAL '365' DAY AS overdue FROM s, m WHERE state = 'queued' AND quality >= 50000.0 ORDER BY created, priority, id LIMIT 100"),
-    "k3_lru_eviction": statement("SELECT p_partkey FROM (SELECT p_partkey, sum(p_size) OVER (ORDER BY p_retailprice, p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - p_size AS gone, sum(p_size) OVER () AS total FROM {part}) WHERE total - gone > 20000"),
+    "k3_lru_eviction": statement("SELECT p_partkey FROM (SELECT p_partkey, sum(p_size) OVER (ORDER BY p_retailprice, p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - p_size AS gone, sum(p_size) OVER () AS total FROM {part}) WHERE total - gone > total * 0.5"),
     "k4_newest_checkpoints": statement(f"WITH s AS ({SESSION}) SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY owner ORDER BY created DESC, id DESC) AS k FROM s) WHERE k <= 2"),
     "k5_newest_reports": statement("SELECT event_id, ts FROM {events} ORDER BY ts DESC, event_id DESC LIMIT 100"),
     "k6_issue_order": statement("SELECT doc_id, k FROM (SELECT doc_id, row_number() OVER (ORDER BY lang, source, doc_id) AS k FROM {documents}) WHERE k <= 200"),
