@@ -6,6 +6,12 @@ A sentence of LONG words or more is a run by itself, so a long passage without f
 Within one task only the first occurrence of a run is sent on, later ones are marked at once, so a run that
 a third of all documents share reaches its reducer once per task, not once per document.
 
+Repeated passages that hold no such run (two long sentences, parts of sentences) are found by words: every stretch
+of SPAN words that also stands earlier, by (doc_id, place), is cut, be it inside a sentence or over several. Of the
+SPAN - GRAM + 1 shorter stretches of GRAM words in it the one with the smallest hash is its anchor, so equal stretches
+have equal anchors. The anchors of all texts meet first, about one for each 13 words; then the texts with an anchor
+that stands elsewhere too send the stretches around those anchors only. No repeated stretch is lost by that.
+
 A sentence ends at . ! ? or : ; followed by white space, or at a line's end. Sentences are compared by their
 words, with A-Z in lower case and white space ignored. A run with fewer than LEAST words is not compared.
 
@@ -14,6 +20,7 @@ Defined cases
     repeated rows: rows of one doc_id are one document, so they do not mark each other. Null doc_id: one more id,
     the smallest. Ties cannot occur otherwise: places are ordered by (doc_id, sentence).
     a run repeated inside one document: its later occurrences are removed too.
+    n_removed counts the sentences that lose all or some of their words.
     very long texts: one chunk each; empty table: empty result. Extra columns are carried by dedup().
 """
 
@@ -27,9 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import durable, table
+from lectern.llm.common import durable, if_small, table
 
 RUN, LEAST, LONG = 3, 12, 40
+SPAN, GRAM = 50, 25
 FLUSH = 1 << 21
 NO_ID = -(1 << 63)
 
@@ -131,29 +139,200 @@ def removed(docs: DataFrame) -> DataFrame:
     return rows.groupBy("doc").agg(F.array_sort(F.collect_set("s")).alias("gone"))
 
 
+def stretches(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word in it, place of the anchor in it, hash of the anchor, hash) of every stretch of SPAN words."""
+    low = tv.LOWER[data]
+    start, end, first = tv.words(low, off)
+    owner, at = tv.ragged(np.maximum(np.diff(first) - SPAN + 1, 0))
+    if not len(owner):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.view(tv.U), none.view(tv.U)
+    seq = tv.Sequence(tv.hashes(low, start, end))
+    a = first[:-1][owner] + at
+    g = np.arange(len(start) - GRAM + 1)
+    gram = seq.of(g, g + GRAM)
+    # the first smallest one of each SPAN - GRAM + 1, over 1, 2, 4... of them and then the rest
+    least, step, width = g, 1, SPAN - GRAM + 1
+    while step < width:
+        by = min(step, width - step)
+        left, right = least[:-by], least[by:]
+        least, step = np.where(gram[right] < gram[left], right, left), step + by
+    least = least[a]
+    return owner, at, least - first[:-1][owner], gram[least], seq.of(a, a + SPAN)
+
+
+ANCHORS = {"key": "u8", "doc": "i8", "state": "i1"}
+#: Of an anchor: the only one in its task, the first of several there, a later one (which needs to meet no other).
+ALONE, SEVERAL, LATER = 0, 1, 2
+
+
+def _anchors(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            key, doc, at = (np.concatenate(x) for x in zip(*held))
+            order, late = _first(key, doc, at)
+            key, doc = key[order], doc[order]
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            several = np.logical_or.reduceat(late, np.flatnonzero(new))[np.cumsum(new) - 1]
+            state = np.where(late, LATER, np.where(several, SEVERAL, ALONE)).astype(np.int8)
+            # of a document's later ones with the same key one tells as much as all
+            take = new.copy()
+            take[1:] |= late[1:] & ((doc[1:] != doc[:-1]) | ~late[:-1])
+            key, doc, state = key[take], doc[take], state[take]
+            part = (tv.mix(np.where(state == LATER, doc.view(tv.U), key)) % tv.U(parts)).astype(np.int32)
+            return tv.packed({"key": key, "doc": doc, "state": state}, part, parts)
+
+        for batch in batches:
+            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            for i, j, data, off in tv.chunks(batch.column("text")):
+                owner, _, place, anchor, _ = stretches(data, off)
+                if not len(owner):
+                    continue
+                # neighbouring stretches mostly have one anchor
+                new = np.ones(len(owner), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+                held.append((anchor[new], ids[i:j][owner[new]], place[new]))
+                size += int(new.sum())
+                if size >= FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _meet_anchors(c: tv.Columns) -> Iterator[pa.RecordBatch]:
+    """doc, key of every anchor that stands at several places."""
+    later = c["state"] == LATER
+    key, doc, state = (c[x][~later] for x in ("key", "doc", "state"))
+    order = np.lexsort((doc, key))
+    key, doc, state = key[order], doc[order], state[order]
+    take = np.zeros(len(key), bool)
+    if len(key):
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        at = np.flatnonzero(new)
+        many = (np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)) | (np.maximum.reduceat(state, at) == SEVERAL)
+        take = many[np.cumsum(new) - 1]
+    doc, key = np.concatenate([doc[take], c["doc"][later]]), np.concatenate([key[take], c["key"][later]])
+    for i in range(0, len(doc), 1 << 18):
+        yield pa.RecordBatch.from_arrays([pa.array(doc[i : i + (1 << 18)]), pa.array(key[i : i + (1 << 18)].view(np.int64))], ["doc", "key"])
+
+
+def _merged(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words a to b of each doc, with stretches that meet or overlap as one; all are SPAN words or more."""
+    order = np.lexsort((b, a, doc))
+    doc, a, b = doc[order], a[order], b[order]
+    if not len(doc):
+        return doc, a, b
+    # the furthest end so far: ends are lifted by text, so that one text's never reach into the next
+    own = np.concatenate([[0], np.cumsum(doc[1:] != doc[:-1])])
+    lift = own * (int(b.max()) + 2)
+    reach = np.maximum.accumulate(b + lift)
+    new = np.ones(len(doc), bool)
+    new[1:] = (a + lift)[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return doc[at], a[at], np.maximum.reduceat(b, at)
+
+
+STRETCHES = {"key": "u8", "doc": "i8", "at": "i4", "end": "i4"}
+
+
+def _stretches(parts: int):
+    """Sends the wanted stretches, those of one anchor to one part; what is late in this task goes as merged stretches with their ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush():
+            key, doc, at, anchor = (np.concatenate(x) for x in zip(*held))
+            order, late = _first(key, doc, at)
+            late, one = order[late], order[np.concatenate([[True], key[order][1:] != key[order][:-1]])]
+            d, a, b = _merged(doc[late], at[late], at[late] + SPAN)
+            part = np.concatenate([tv.mix(anchor[one]), tv.mix(d.view(tv.U))]) % tv.U(parts)
+            out = {"key": np.append(key[one], np.zeros(len(d), tv.U)), "doc": np.append(doc[one], d)}
+            out |= {"at": np.append(at[one], a).astype(np.int32), "end": np.append(np.zeros(len(one), np.int64), b).astype(np.int32)}
+            return tv.packed(out, part.astype(np.int32), parts)
+
+        for batch in batches:
+            ids, wanted = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("wanted")
+            for i, j, data, off in tv.chunks(batch.column("text")):
+                owner, at, _, anchor, key = stretches(data, off)
+                pick = wanted.slice(i, j - i)
+                mine = np.repeat(np.arange(j - i), np.diff(pick.offsets.to_numpy()))
+                both = np.rec.fromarrays([mine, pick.flatten().to_numpy()], names="o,k")
+                take = np.isin(np.rec.fromarrays([owner, anchor.view(np.int64)], names="o,k"), both)
+                if take.any():
+                    held.append((key[take], ids[i:j][owner[take]], at[take], anchor[take]))
+                    size += int(take.sum())
+                if size >= FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _meet_stretches(c: tv.Columns) -> Iterator[pa.RecordBatch]:
+    known = c["end"] > 0
+    key, doc, at = (c[x][~known] for x in ("key", "doc", "at"))
+    order, late = _first(key, doc, at)
+    late = order[late]
+    a = np.concatenate([at[late], c["at"][known]]).astype(np.int64)
+    b = np.concatenate([at[late] + SPAN, c["end"][known]]).astype(np.int64)
+    doc, a, b = _merged(np.concatenate([doc[late], c["doc"][known]]), a, b)
+    for i in range(0, len(doc), 1 << 18):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 18)]) for x in (doc, a, b)], ["doc", "a", "b"])
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """doc, cut: the stretches (a, b) of words, b being the first one after it, of which SPAN and more also stand earlier."""
+    parts = tv.shuffle_parts(docs)
+    binary = lambda kinds: "part int, " + ", ".join(f"{k} binary" for k in kinds)
+    d = docs.select("doc_id", "text")
+    met = durable(tv.exchange(d.mapInArrow(_anchors(parts), binary(ANCHORS)), ANCHORS, parts, _meet_anchors, "doc long, key long"))
+    wanted = durable(met.groupBy("doc").agg(F.collect_set("key").alias("wanted")))
+    named = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "doc_id", "text")
+    some = named.join(if_small(wanted.select("doc"), 1_000_000), "doc", "left_semi").join(wanted, "doc").select("doc_id", "text", "wanted")
+    rows = tv.exchange(some.mapInArrow(_stretches(parts), binary(STRETCHES)), STRETCHES, parts, _meet_stretches, "doc long, a long, b long")
+    return rows.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("cut"))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of every text, and the text without its removed sentences."""
+    """Counts of every text, and the text without its removed sentences and stretches of words."""
     for batch in batches:
         rest = {"n_sentences": [], "n_removed": [], "new_text": []}
-        gone, texts = batch.column("gone"), batch.column("text")
+        gone, cut, texts = batch.column("gone"), batch.column("cut"), batch.column("text")
         for i, j, data, off in tv.chunks(texts):
             head, first, _ = sentences(data, off)
-            start, _, _ = tv.words(data, off)
-            begin = np.append(start, len(data))[head] if len(start) else np.zeros(1, np.int64)
+            start, _, word = tv.words(data, off)
             for k in range(i, j):
                 a, b = first[k - i], first[k - i + 1]
-                n, lost = int(b - a), gone[k].as_py()
+                n, lost, spans = int(b - a), gone[k].as_py(), cut[k].as_py()
                 rest["n_sentences"].append(n)
-                rest["n_removed"].append(len(lost) if lost else 0)
-                if not lost:
+                if not lost and not spans:
+                    rest["n_removed"].append(0)
                     rest["new_text"].append(texts[k].as_py())
                     continue
-                edge = np.append(begin[a:b], off[k - i + 1])
-                keep = np.ones(n, bool)
-                keep[[x for x in lost if x < n]] = False
-                lead = [data[off[k - i] : edge[0]].tobytes()]
-                rest["new_text"].append(b"".join(lead + [data[edge[x] : edge[x + 1]].tobytes() for x in np.flatnonzero(keep)]).decode("utf-8", "replace"))
-        out = batch.drop_columns(["gone"])
+                low, high = word[k - i], word[k - i + 1]
+                edge = np.append(start[low:high], off[k - i + 1])
+                begin = head[a : b + 1] - low
+                keep = np.ones(high - low, bool)
+                for x in lost or ():
+                    if x < n:
+                        keep[begin[x] : begin[x + 1]] = False
+                for x in spans or ():
+                    keep[x["a"] : x["b"]] = False
+                rest["n_removed"].append(int((~np.logical_and.reduceat(keep, begin[:-1])).sum()))
+                turn = np.flatnonzero(np.diff(np.concatenate([[False], keep, [False]])))
+                pieces = [data[edge[x] : edge[y]].tobytes() for x, y in zip(turn[::2], turn[1::2])]
+                rest["new_text"].append(b"".join([data[off[k - i] : edge[0]].tobytes(), *pieces]).decode("utf-8", "replace"))
+        out = batch.drop_columns(["gone", "cut"])
         names = out.schema.names
         arrays = list(out.columns)
         arrays[names.index("text")] = pa.array(rest["new_text"], pa.string())
@@ -163,10 +342,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs with the repeated sentences cut out of text, and __n_sentences and __n_removed."""
-    gone = durable(removed(docs))
+    """docs with the repeated sentences and passages cut out of text, and __n_sentences and __n_removed."""
+    gone = durable(removed(docs).join(passages(docs), "doc", "full_outer"))
     d = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID)))
-    joined = d.join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "gone")
+    joined = d.join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "gone", "cut")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __n_sentences long, __n_removed long"
     return joined.mapInArrow(_cut, schema)
 

@@ -58,6 +58,39 @@ def test_text_keeps_first_and_loses_later(spark):
     assert out[1]["__n_removed"] >= 7 and "Another start." in out[1].text and "its end" in out[1].text
 
 
+def repeated(table, span=50):
+    """doc_id -> places of the words in stretches of span words that also stand earlier."""
+    seen, gone = {}, {}
+    for doc, text, *_ in sorted(table, key=lambda r: r[0]):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        for at in range(len(w) - span + 1):
+            if seen.setdefault(tuple(w[at : at + span]), (doc, at)) != (doc, at):
+                gone.setdefault(doc, set()).update(range(at, at + span))
+    return gone
+
+
+@pytest.mark.parametrize("flush", [1 << 21, 50])
+def test_passages_of_few_or_cut_sentences(spark, monkeypatch, flush):
+    monkeypatch.setattr(ss, "FLUSH", flush)
+    rng = random.Random(8)
+    planted = [prose(900, 51, 51), prose(901, 51, 26), prose(902, 70, 36), prose(903, 51, 20), prose(904, 130, 200)]
+    texts = [f"{prose(i, 30, 100)} {rng.choice(planted)} {prose(1000 + i, 30, 100)}" for i in range(40)]
+    texts += [f"{prose(i, 31, 8)} {prose(902, 70, 36).rsplit(' ', 20)[0]}\n{prose(2000 + i, 12)}" for i in range(40, 45)]
+    texts += [f"{prose(905, 49, 100)} {prose(3000 + i, 30, 100)}" for i in range(2)]
+    texts += ["same " * 130, prose(906, 60, 100) + " " + prose(906, 60, 100)]
+    table = rows(texts)
+    docs = spark.createDataFrame(table, DOCS).repartition(5)
+    got = {r.doc: {w for x in r.cut for w in range(x.a, x.b)} for r in ss.passages(docs).collect()}
+    want = repeated(table)
+    assert len(want) > 35 and got == want
+    out = {r.doc_id: r for r in ss.dedup(docs).collect()}
+    for doc, gone in want.items():
+        assert out[doc]["__n_removed"] > 0
+        left = [w for i, w in enumerate(texts[doc].split()) if i not in gone]
+        assert out[doc].text.split() == left
+    assert all(out[d].text == texts[d] for d in range(len(texts)) if d not in want)
+
+
 def test_awkward_rows(spark):
     docs = awkward_docs(spark)
     out = ss.dedup(docs)
