@@ -15,7 +15,9 @@ Equal lines within a task are marked at once and sent once.
 
 Defined cases
     null or empty text: no lines, nothing removed; null text stays null. Lines without a word: always kept.
-    repeated rows: rows of one doc_id are one document and do not mark each other. Null doc_id: the smallest id.
+    repeated rows: rows of one doc_id and one text are one document and do not mark each other; rows of one doc_id
+    with different texts are different documents, ordered by the hash of the text (`own`), as are rows with a null
+    doc_id, which comes before all others.
     very long texts and lines: whole. Empty table: empty result. Extra columns are carried by dedup().
 """
 
@@ -65,7 +67,7 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
     return (tv.mix(key) % U(parts)).astype(np.int32)
 
 
-HALVES = {"key": "u8", "whole": "u8", "doc": "i8", "line": "i4", "kind": "i1"}
+HALVES = {"key": "u8", "whole": "u8", "doc": "i8", "own": "i8", "line": "i4", "kind": "i1"}
 WHOLE, HALF, KNOWN = 0, 1, 2
 
 
@@ -76,22 +78,22 @@ def _halves(parts: int):
         held, size = [], 0
 
         def flush():
-            whole, doc, line, *half, n = (np.concatenate(x) for x in zip(*held))
-            order, _, lead = _first(whole, doc, line)
-            w, d, i = whole[order], doc[order], line[order]
-            late = (d != d[lead]) | (i != i[lead])
+            whole, doc, own, line, *half, n = (np.concatenate(x) for x in zip(*held))
+            order, _, lead = _first(whole, doc, own, line)
+            w, d, o, i = whole[order], doc[order], own[order], line[order]
+            late = (d != d[lead]) | (o != o[lead]) | (i != i[lead])
             once = np.zeros(len(w), bool)
             once[order[lead]] = True
             long = once & (n >= LEAST)
             a, b = half[0] != half[2], half[1] != half[3]
             groups = [(whole, once, WHOLE), (half[0], long, HALF), (half[1], long, HALF), (half[2], long & a, HALF), (half[3], long & b, HALF)]
-            out = [(k[m], whole[m], doc[m], line[m], np.full(int(m.sum()), kind)) for k, m, kind in groups]
-            out.append((d[late].view(U), w[late], d[late], i[late], np.full(int(late.sum()), KNOWN)))
-            key, whole, doc, line, kind = (np.concatenate(x) for x in zip(*out))
-            return tv.packed({"key": key, "whole": whole, "doc": doc, "line": line.astype(np.int32), "kind": kind.astype(np.int8)}, _part(key, parts), parts)
+            out = [(k[m], whole[m], doc[m], own[m], line[m], np.full(int(m.sum()), kind)) for k, m, kind in groups]
+            out.append((d[late].view(U) ^ o[late].view(U), w[late], d[late], o[late], i[late], np.full(int(late.sum()), KNOWN)))
+            key, whole, doc, own, line, kind = (np.concatenate(x) for x in zip(*out))
+            return tv.packed({"key": key, "whole": whole, "doc": doc, "own": own, "line": line.astype(np.int32), "kind": kind.astype(np.int8)}, _part(key, parts), parts)
 
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            ids, own = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("own").to_numpy()
             for i, j, data, off in tv.chunks(batch.column("text")):
                 owner, number, a, b, word = lines(data, off)
                 if not len(a):
@@ -100,7 +102,7 @@ def _halves(parts: int):
                 half = []
                 for h in (n // 2, (n - 1) // 2):
                     half += [tv.mix(seq.of(a, a + h) ^ U(1)), tv.mix(seq.of(b - h, b) ^ U(2))]
-                held.append((seq.of(a, b), ids[i:j][owner], number, *half, n))
+                held.append((seq.of(a, b), ids[i:j][owner], own[i:j][owner], number, *half, n))
                 size += len(a)
                 if size >= FLUSH:
                     yield flush()
@@ -112,26 +114,26 @@ def _halves(parts: int):
 
 
 def _rows(kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    names = ["kind", "doc", "line", "by_doc", "by_line"]
+    names = ["kind", "doc", "own", "line", "by_doc", "by_own", "by_line"]
     zero = np.zeros(len(columns[0]), np.int64)
-    columns = [np.asarray(c, np.int64) for c in (*columns, zero, zero)[:4]]
+    columns = [np.asarray(c, np.int64) for c in (*columns, zero, zero, zero)[:6]]
     for i in range(0, len(columns[0]), 1 << 18):
         some = [pa.array(c[i : i + (1 << 18)]) for c in columns]
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some[0]), kind, np.int64)), *some], names)
 
 
-FOUND = "kind long, doc long, line long, by_doc long, by_line long"
+FOUND = "kind long, doc long, own long, line long, by_doc long, by_own long, by_line long"
 EXACT, SUSPECT, NEAR = 0, 1, 2
 
 
 def _meet_halves(c: tv.Columns) -> Iterator[pa.RecordBatch]:
     m = c["kind"] == KNOWN
-    yield from _rows(EXACT, c["doc"][m], c["line"][m])
+    yield from _rows(EXACT, c["doc"][m], c["own"][m], c["line"][m])
     m = c["kind"] == WHOLE
-    order, _, lead = _first(c["key"][m], c["doc"][m], c["line"][m])
-    d, i = c["doc"][m][order], c["line"][m][order]
-    late = (d != d[lead]) | (i != i[lead])
-    yield from _rows(EXACT, d[late], i[late])
+    order, _, lead = _first(c["key"][m], c["doc"][m], c["own"][m], c["line"][m])
+    d, o, i = c["doc"][m][order], c["own"][m][order], c["line"][m][order]
+    late = (d != d[lead]) | (o != o[lead]) | (i != i[lead])
+    yield from _rows(EXACT, d[late], o[late], i[late])
     m = c["kind"] == HALF
     order, new, _ = _first(c["key"][m], c["whole"][m])
     if not len(order):
@@ -139,10 +141,10 @@ def _meet_halves(c: tv.Columns) -> Iterator[pa.RecordBatch]:
     w, at = c["whole"][m][order], np.flatnonzero(new)
     several = np.minimum.reduceat(w, at) != np.maximum.reduceat(w, at)
     take = several[np.cumsum(new) - 1]
-    yield from _rows(SUSPECT, c["doc"][m][order][take], c["line"][m][order][take])
+    yield from _rows(SUSPECT, c["doc"][m][order][take], c["own"][m][order][take], c["line"][m][order][take])
 
 
-VARIANTS = {"key": "u8", "doc": "i8", "line": "i4", "at": "i4"}
+VARIANTS = {"key": "u8", "doc": "i8", "own": "i8", "line": "i4", "at": "i4"}
 
 
 def _variants(parts: int):
@@ -152,11 +154,12 @@ def _variants(parts: int):
         held, size = [], 0
 
         def flush():
-            key, doc, line, at = (np.concatenate(x) for x in zip(*held))
-            return tv.packed({"key": key, "doc": doc, "line": line.astype(np.int32), "at": at.astype(np.int32)}, _part(key, parts), parts)
+            key, doc, own, line, at = (np.concatenate(x) for x in zip(*held))
+            return tv.packed({"key": key, "doc": doc, "own": own, "line": line.astype(np.int32), "at": at.astype(np.int32)}, _part(key, parts), parts)
 
         for batch in batches:
             ids, wanted = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("wanted")
+            texts = batch.column("own").to_numpy()
             for i, j, data, off in tv.chunks(batch.column("text")):
                 owner, number, a, b, word = lines(data, off)
                 pick = [np.asarray(wanted[k].as_py(), np.int64) for k in range(i, j)]
@@ -169,9 +172,9 @@ def _variants(parts: int):
                     continue
                 seq, n = tv.Sequence(word), b - a
                 who, at = tv.ragged(n)
-                doc = ids[i:j][owner]
-                held.append((seq.of(a, b), doc, number, np.full(len(a), -1)))
-                held.append((seq.without(a[who], b[who], a[who] + at), doc[who], number[who], at))
+                doc, own = ids[i:j][owner], texts[i:j][owner]
+                held.append((seq.of(a, b), doc, own, number, np.full(len(a), -1)))
+                held.append((seq.without(a[who], b[who], a[who] + at), doc[who], own[who], number[who], at))
                 size += len(a) + len(who)
                 if size >= FLUSH:
                     yield flush()
@@ -183,13 +186,13 @@ def _variants(parts: int):
 
 
 def _meet_variants(c: tv.Columns) -> Iterator[pa.RecordBatch]:
-    key, doc, line, at = c["key"], c["doc"], c["line"], c["at"]
+    key, doc, own, line, at = c["key"], c["doc"], c["own"], c["line"], c["at"]
 
     def late(mask, key):
-        order, _, lead = _first(key[mask], doc[mask], line[mask])
-        d, i = doc[mask][order], line[mask][order]
-        gone = (d != d[lead]) | (i != i[lead])
-        return d[gone], i[gone], d[lead][gone], i[lead][gone]
+        order, _, lead = _first(key[mask], doc[mask], own[mask], line[mask])
+        d, o, i = doc[mask][order], own[mask][order], line[mask][order]
+        gone = (d != d[lead]) | (o != o[lead]) | (i != i[lead])
+        return d[gone], o[gone], i[gone], d[lead][gone], o[lead][gone], i[lead][gone]
 
     whole = at < 0
     # one word replaced: equal keys without the word at the same place
@@ -197,15 +200,16 @@ def _meet_variants(c: tv.Columns) -> Iterator[pa.RecordBatch]:
     # one word more or less: the earliest whole line against variants, the earliest variant against whole lines
     both = np.isin(key, np.intersect1d(key[whole], key[~whole]))
     for one, other in ((whole, ~whole), (~whole, whole)):
-        m, o = both & one, both & other
-        order, new, _ = _first(key[m], doc[m], line[m])
+        m, n = both & one, both & other
+        order, new, _ = _first(key[m], doc[m], own[m], line[m])
         head = order[new]
-        k, d, i = key[m][head], doc[m][head], line[m][head]
+        k, d, o, i = key[m][head], doc[m][head], own[m][head], line[m][head]
         if not len(k):
             continue
-        by = np.searchsorted(k, key[o])
-        later = (d[by] < doc[o]) | ((d[by] == doc[o]) & (i[by] < line[o]))
-        yield from _rows(NEAR, doc[o][later], line[o][later], d[by][later], i[by][later])
+        by = np.searchsorted(k, key[n])
+        text = (o[by] < own[n]) | ((o[by] == own[n]) & (i[by] < line[n]))
+        later = (d[by] < doc[n]) | ((d[by] == doc[n]) & text)
+        yield from _rows(NEAR, doc[n][later], own[n][later], line[n][later], d[by][later], o[by][later], i[by][later])
 
 
 def one_edit(a: list[str], b: list[str]) -> bool:
@@ -223,43 +227,45 @@ def one_edit(a: list[str], b: list[str]) -> bool:
 def _checked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         ok = [one_edit(list(x), list(y)) for x, y in zip(f["words"], f["by_words"])]
-        yield f.loc[ok, ["doc", "line"]]
+        yield f.loc[ok, ["doc", "own", "line"]]
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """doc, line, near: every line to remove, and whether only a near-equal line condemns it."""
+    """doc, own, line, near: every line to remove, and whether only a near-equal line condemns it."""
     parts = tv.shuffle_parts(docs)
-    d = docs.select("doc_id", "text")
+    d = docs.select("doc_id", F.xxhash64("text").alias("own"), "text")
     binary = lambda kinds: "part int, " + ", ".join(f"{k} binary" for k in kinds)
     first = durable(tv.exchange(d.mapInArrow(_halves(parts), binary(HALVES)), HALVES, parts, _meet_halves, FOUND))
-    exact = first.where(F.col("kind") == EXACT).select("doc", "line").distinct()
-    suspect = first.where(F.col("kind") == SUSPECT).select("doc", "line").distinct()
+    exact = first.where(F.col("kind") == EXACT).select("doc", "own", "line").distinct()
+    suspect = first.where(F.col("kind") == SUSPECT).select("doc", "own", "line").distinct()
     # lines that are gone already condemn nothing that their first copy does not
-    suspect = durable(suspect.join(exact, ["doc", "line"], "left_anti").groupBy("doc").agg(F.collect_list("line").alias("wanted")))
-    named = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "doc_id", "text")
-    again = named.join(if_small(suspect, 200_000), "doc").select("doc_id", "text", "wanted")
+    suspect = durable(suspect.join(exact, ["doc", "own", "line"], "left_anti").groupBy("doc", "own").agg(F.collect_list("line").alias("wanted")))
+    named = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("own"), "doc_id", "text")
+    again = named.join(if_small(suspect, 200_000), ["doc", "own"]).select("doc_id", "own", "text", "wanted")
     near = durable(tv.exchange(again.mapInArrow(_variants(parts), binary(VARIANTS)), VARIANTS, parts, _meet_variants, FOUND))
     # one witness for each line suffices: within a group the earliest line is near to all
-    pairs = durable(near.select("doc", "line", "by_doc", "by_line").distinct())
-    named_lines = pairs.select("doc", "line").union(pairs.select("by_doc", "by_line")).distinct()
-    some = named.join(if_small(durable(named_lines.select("doc").distinct()), 1_000_000), "doc", "left_semi")
+    pairs = durable(near.select("doc", "own", "line", "by_doc", "by_own", "by_line").distinct())
+    named_lines = pairs.select("doc", "own", "line").union(pairs.select("by_doc", "by_own", "by_line")).distinct()
+    some = named.join(if_small(durable(named_lines.select("doc", "own").distinct()), 1_000_000), ["doc", "own"], "left_semi")
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    text = some.dropDuplicates(["doc"]).select("doc", F.posexplode(F.split("text", "\n")).alias("line", "t")).withColumn("line", F.col("line").cast("long"))
-    text = text.join(named_lines, ["doc", "line"], "left_semi")
-    text = durable(text.select("doc", "line", F.array_remove(F.split(F.translate("t", upper, lower), r"[\x20\x09-\x0D]+"), "").alias("words")))
-    told = pairs.join(text, ["doc", "line"]).join(text.select(F.col("doc").alias("by_doc"), F.col("line").alias("by_line"), F.col("words").alias("by_words")), ["by_doc", "by_line"])
-    near = told.select("doc", "line", "words", "by_words").mapInPandas(_checked, "doc long, line long").distinct()
-    return exact.withColumn("near", F.lit(False)).union(near.join(exact, ["doc", "line"], "left_anti").withColumn("near", F.lit(True)))
+    text = some.dropDuplicates(["doc", "own"]).select("doc", "own", F.posexplode(F.split("text", "\n")).alias("line", "t")).withColumn("line", F.col("line").cast("long"))
+    text = text.join(named_lines, ["doc", "own", "line"], "left_semi")
+    text = durable(text.select("doc", "own", "line", F.array_remove(F.split(F.translate("t", upper, lower), r"[\x20\x09-\x0D]+"), "").alias("words")))
+    by = text.select(*[F.col(c).alias(f"by_{c}") for c in text.columns])
+    told = pairs.join(text, ["doc", "own", "line"]).join(by, ["by_doc", "by_own", "by_line"])
+    near = told.select("doc", "own", "line", "words", "by_words").mapInPandas(_checked, "doc long, own long, line long").distinct()
+    return exact.withColumn("near", F.lit(False)).union(near.join(exact, ["doc", "own", "line"], "left_anti").withColumn("near", F.lit(True)))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """docs with the removed lines cut out of text, and __exact and __near, the numbers of removed lines."""
-    gone = removed(docs).groupBy("doc").agg(
+    gone = removed(docs).groupBy(F.col("doc").alias("__doc"), F.col("own").alias("__own")).agg(
         F.array_sort(F.collect_set("line")).alias("__gone"),
         F.count_if(~F.col("near")).alias("__exact"),
         F.count_if("near").alias("__near"),
     )
-    joined = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left")
+    named = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn("__own", F.xxhash64("text"))
+    joined = named.join(gone, ["__doc", "__own"], "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i.cast("long"))), "\n")
     columns = [F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*columns, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("__exact", "__near")])

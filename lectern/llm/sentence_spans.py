@@ -17,8 +17,9 @@ words, with A-Z in lower case and white space ignored. A run with fewer than LEA
 
 Defined cases
     null or empty text: no sentences, nothing removed; null text stays null.
-    repeated rows: rows of one doc_id are one document, so they do not mark each other. Null doc_id: one more id,
-    the smallest. Ties cannot occur otherwise: places are ordered by (doc_id, sentence).
+    repeated rows: rows of one doc_id and one text are one document, so they do not mark each other; rows of one
+    doc_id with different texts are different documents. Null doc_id: one more id, the smallest. Ties cannot occur
+    otherwise: places are ordered by (doc_id, hash of the text, sentence).
     a run repeated inside one document: its later occurrences are removed too.
     n_removed counts the sentences that lose all or some of their words.
     very long texts: one chunk each; empty table: empty result. Extra columns are carried by dedup().
@@ -73,14 +74,14 @@ def spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _first(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (key, doc, at), and where in it each row is neither the first of its key nor equal to that."""
-    order = np.lexsort((at, doc, key))
-    k, d, a = key[order], doc[order], at[order]
+def _first(key: np.ndarray, doc: np.ndarray, own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (key, doc, own, at), and where in it each row is neither the first of its key nor equal to that."""
+    order = np.lexsort((at, own, doc, key))
+    k, d, o, a = key[order], doc[order], own[order], at[order]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     lead = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
-    return order, (d != d[lead]) | (a != a[lead])
+    return order, (d != d[lead]) | (o != o[lead]) | (a != a[lead])
 
 
 def _mapper(parts: int):
@@ -88,19 +89,19 @@ def _mapper(parts: int):
         held, size = [], 0
 
         def flush():
-            key, doc, at, run = (np.concatenate(x) for x in zip(*held))
-            order, late = _first(key, doc, at)
-            key, doc, at, run = key[order], doc[order], at[order], run[order]
+            key, doc, own, at, run = (np.concatenate(x) for x in zip(*held))
+            order, late = _first(key, doc, own, at)
+            key, doc, own, at, run = key[order], doc[order], own[order], at[order], run[order]
             # the key is sent with the first occurrence; later ones are marked already and need no other row
-            part = (tv.mix(np.where(late, doc.view(tv.U), key)) % tv.U(parts)).astype(np.int32)
-            return tv.packed({"key": key, "doc": doc, "at": at.astype(np.int32), "run": np.where(late, -run, run).astype(np.int8)}, part, parts)
+            part = (tv.mix(np.where(late, doc.view(tv.U) ^ own.view(tv.U), key)) % tv.U(parts)).astype(np.int32)
+            return tv.packed({"key": key, "doc": doc, "own": own, "at": at.astype(np.int32), "run": np.where(late, -run, run).astype(np.int8)}, part, parts)
 
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            ids, texts = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("own").to_numpy()
             for i, j, data, off in tv.chunks(batch.column("text")):
                 owner, at, n, key = spans(data, off)
                 if len(key):
-                    held.append((key, ids[i:j][owner], at, n))
+                    held.append((key, ids[i:j][owner], texts[i:j][owner], at, n))
                     size += len(key)
                 if size >= FLUSH:
                     yield flush()
@@ -114,29 +115,34 @@ def _mapper(parts: int):
 def _meet(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
     run = columns["run"].astype(np.int64)
     known = run < 0
-    key, doc, at = (columns[x][~known] for x in ("key", "doc", "at"))
-    order, late = _first(key, doc, at)
+    key, doc, own, at = (columns[x][~known] for x in ("key", "doc", "own", "at"))
+    order, late = _first(key, doc, own, at)
     late = order[late]
     doc = np.concatenate([doc[late], columns["doc"][known]])
+    own = np.concatenate([own[late], columns["own"][known]])
     at = np.concatenate([at[late], columns["at"][known]])
     run = np.concatenate([run[~known][late], -run[known]])
     if not len(doc):
         return
     # sentences covered, each once in this part
     owner, k = tv.ragged(run)
-    rows = np.unique(np.rec.fromarrays([doc[owner], at[owner] + k], names="d,s"))
+    rows = np.unique(np.rec.fromarrays([doc[owner], own[owner], at[owner] + k], names="d,o,s"))
     for i in range(0, len(rows), 1 << 18):
         some = rows[i : i + (1 << 18)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(some["d"])), pa.array(some["s"].astype(np.int32))], ["doc", "s"])
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(some[x])) for x in "do"), pa.array(some["s"].astype(np.int32))], ["doc", "own", "s"])
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("own"), "doc_id", "text")
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """doc, gone: the sorted numbers of the sentences to remove, of every document that loses any."""
+    """doc, own, gone: the sorted numbers of the sentences to remove, of every document that loses any."""
     parts = tv.shuffle_parts(docs)
-    sent = docs.select("doc_id", "text").mapInArrow(_mapper(parts), "part int, key binary, doc binary, at binary, run binary")
-    kinds = {"key": "u8", "doc": "i8", "at": "i4", "run": "i1"}
-    rows = tv.exchange(sent, kinds, parts, _meet, "doc long, s int")
-    return rows.groupBy("doc").agg(F.array_sort(F.collect_set("s")).alias("gone"))
+    sent = _named(docs).mapInArrow(_mapper(parts), "part int, key binary, doc binary, own binary, at binary, run binary")
+    kinds = {"key": "u8", "doc": "i8", "own": "i8", "at": "i4", "run": "i1"}
+    rows = tv.exchange(sent, kinds, parts, _meet, "doc long, own long, s int")
+    return rows.groupBy("doc", "own").agg(F.array_sort(F.collect_set("s")).alias("gone"))
 
 
 def stretches(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +167,7 @@ def stretches(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return owner, at, least - first[:-1][owner], gram[least], seq.of(a, a + SPAN)
 
 
-ANCHORS = {"key": "u8", "doc": "i8", "state": "i1"}
+ANCHORS = {"key": "u8", "doc": "i8", "own": "i8", "state": "i1"}
 #: Of an anchor: the only one in its task, the first of several there, a later one (which needs to meet no other).
 ALONE, SEVERAL, LATER = 0, 1, 2
 
@@ -171,22 +177,22 @@ def _anchors(parts: int):
         held, size = [], 0
 
         def flush():
-            key, doc, at = (np.concatenate(x) for x in zip(*held))
-            order, late = _first(key, doc, at)
-            key, doc = key[order], doc[order]
+            key, doc, own, at = (np.concatenate(x) for x in zip(*held))
+            order, late = _first(key, doc, own, at)
+            key, doc, own = key[order], doc[order], own[order]
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             several = np.logical_or.reduceat(late, np.flatnonzero(new))[np.cumsum(new) - 1]
             state = np.where(late, LATER, np.where(several, SEVERAL, ALONE)).astype(np.int8)
             # of a document's later ones with the same key one tells as much as all
             take = new.copy()
-            take[1:] |= late[1:] & ((doc[1:] != doc[:-1]) | ~late[:-1])
-            key, doc, state = key[take], doc[take], state[take]
-            part = (tv.mix(np.where(state == LATER, doc.view(tv.U), key)) % tv.U(parts)).astype(np.int32)
-            return tv.packed({"key": key, "doc": doc, "state": state}, part, parts)
+            take[1:] |= late[1:] & ((doc[1:] != doc[:-1]) | (own[1:] != own[:-1]) | ~late[:-1])
+            key, doc, own, state = key[take], doc[take], own[take], state[take]
+            part = (tv.mix(np.where(state == LATER, doc.view(tv.U) ^ own.view(tv.U), key)) % tv.U(parts)).astype(np.int32)
+            return tv.packed({"key": key, "doc": doc, "own": own, "state": state}, part, parts)
 
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            ids, texts = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("own").to_numpy()
             for i, j, data, off in tv.chunks(batch.column("text")):
                 owner, _, place, anchor, _ = stretches(data, off)
                 if not len(owner):
@@ -194,7 +200,7 @@ def _anchors(parts: int):
                 # neighbouring stretches mostly have one anchor
                 new = np.ones(len(owner), bool)
                 new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
-                held.append((anchor[new], ids[i:j][owner[new]], place[new]))
+                held.append((anchor[new], ids[i:j][owner[new]], texts[i:j][owner[new]], place[new]))
                 size += int(new.sum())
                 if size >= FLUSH:
                     yield flush()
@@ -206,40 +212,41 @@ def _anchors(parts: int):
 
 
 def _meet_anchors(c: tv.Columns) -> Iterator[pa.RecordBatch]:
-    """doc, key of every anchor that stands at several places."""
+    """doc, own, key of every anchor that stands at several places."""
     later = c["state"] == LATER
-    key, doc, state = (c[x][~later] for x in ("key", "doc", "state"))
-    order = np.lexsort((doc, key))
-    key, doc, state = key[order], doc[order], state[order]
+    key, doc, own, state = (c[x][~later] for x in ("key", "doc", "own", "state"))
+    order = np.lexsort((own, doc, key))
+    key, doc, own, state = key[order], doc[order], own[order], state[order]
     take = np.zeros(len(key), bool)
     if len(key):
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
         at = np.flatnonzero(new)
-        many = (np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)) | (np.maximum.reduceat(state, at) == SEVERAL)
+        last = np.append(at[1:], len(key)) - 1
+        many = (doc[at] != doc[last]) | (own[at] != own[last]) | (np.maximum.reduceat(state, at) == SEVERAL)
         take = many[np.cumsum(new) - 1]
-    doc, key = np.concatenate([doc[take], c["doc"][later]]), np.concatenate([key[take], c["key"][later]])
+    doc, own, key = (np.concatenate([x[take], c[y][later]]) for x, y in ((doc, "doc"), (own, "own"), (key, "key")))
     for i in range(0, len(doc), 1 << 18):
-        yield pa.RecordBatch.from_arrays([pa.array(doc[i : i + (1 << 18)]), pa.array(key[i : i + (1 << 18)].view(np.int64))], ["doc", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 18)].view(np.int64)) for x in (doc, own, key)], ["doc", "own", "key"])
 
 
-def _merged(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words a to b of each doc, with stretches that meet or overlap as one; all are SPAN words or more."""
-    order = np.lexsort((b, a, doc))
-    doc, a, b = doc[order], a[order], b[order]
+def _merged(doc: np.ndarray, own: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words a to b of each text, with stretches that meet or overlap as one; all are SPAN words or more."""
+    order = np.lexsort((b, a, own, doc))
+    doc, own, a, b = doc[order], own[order], a[order], b[order]
     if not len(doc):
-        return doc, a, b
+        return doc, own, a, b
     # the furthest end so far: ends are lifted by text, so that one text's never reach into the next
-    own = np.concatenate([[0], np.cumsum(doc[1:] != doc[:-1])])
-    lift = own * (int(b.max()) + 2)
+    text = np.concatenate([[0], np.cumsum((doc[1:] != doc[:-1]) | (own[1:] != own[:-1]))])
+    lift = text * (int(b.max()) + 2)
     reach = np.maximum.accumulate(b + lift)
     new = np.ones(len(doc), bool)
     new[1:] = (a + lift)[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return doc[at], a[at], np.maximum.reduceat(b, at)
+    return doc[at], own[at], a[at], np.maximum.reduceat(b, at)
 
 
-STRETCHES = {"key": "u8", "doc": "i8", "at": "i4", "end": "i4"}
+STRETCHES = {"key": "u8", "doc": "i8", "own": "i8", "at": "i4", "end": "i4"}
 
 
 def _stretches(parts: int):
@@ -249,17 +256,17 @@ def _stretches(parts: int):
         held, size = [], 0
 
         def flush():
-            key, doc, at, anchor = (np.concatenate(x) for x in zip(*held))
-            order, late = _first(key, doc, at)
+            key, doc, own, at, anchor = (np.concatenate(x) for x in zip(*held))
+            order, late = _first(key, doc, own, at)
             late, one = order[late], order[np.concatenate([[True], key[order][1:] != key[order][:-1]])]
-            d, a, b = _merged(doc[late], at[late], at[late] + SPAN)
-            part = np.concatenate([tv.mix(anchor[one]), tv.mix(d.view(tv.U))]) % tv.U(parts)
-            out = {"key": np.append(key[one], np.zeros(len(d), tv.U)), "doc": np.append(doc[one], d)}
+            d, o, a, b = _merged(doc[late], own[late], at[late], at[late] + SPAN)
+            part = np.concatenate([tv.mix(anchor[one]), tv.mix(d.view(tv.U) ^ o.view(tv.U))]) % tv.U(parts)
+            out = {"key": np.append(key[one], np.zeros(len(d), tv.U)), "doc": np.append(doc[one], d), "own": np.append(own[one], o)}
             out |= {"at": np.append(at[one], a).astype(np.int32), "end": np.append(np.zeros(len(one), np.int64), b).astype(np.int32)}
             return tv.packed(out, part.astype(np.int32), parts)
 
         for batch in batches:
-            ids, wanted = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("wanted")
+            ids, texts, wanted = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("own").to_numpy(), batch.column("wanted")
             for i, j, data, off in tv.chunks(batch.column("text")):
                 owner, at, _, anchor, key = stretches(data, off)
                 pick = wanted.slice(i, j - i)
@@ -267,7 +274,7 @@ def _stretches(parts: int):
                 both = np.rec.fromarrays([mine, pick.flatten().to_numpy()], names="o,k")
                 take = np.isin(np.rec.fromarrays([owner, anchor.view(np.int64)], names="o,k"), both)
                 if take.any():
-                    held.append((key[take], ids[i:j][owner[take]], at[take], anchor[take]))
+                    held.append((key[take], ids[i:j][owner[take]], texts[i:j][owner[take]], at[take], anchor[take]))
                     size += int(take.sum())
                 if size >= FLUSH:
                     yield flush()
@@ -280,27 +287,26 @@ def _stretches(parts: int):
 
 def _meet_stretches(c: tv.Columns) -> Iterator[pa.RecordBatch]:
     known = c["end"] > 0
-    key, doc, at = (c[x][~known] for x in ("key", "doc", "at"))
-    order, late = _first(key, doc, at)
+    key, doc, own, at = (c[x][~known] for x in ("key", "doc", "own", "at"))
+    order, late = _first(key, doc, own, at)
     late = order[late]
     a = np.concatenate([at[late], c["at"][known]]).astype(np.int64)
     b = np.concatenate([at[late] + SPAN, c["end"][known]]).astype(np.int64)
-    doc, a, b = _merged(np.concatenate([doc[late], c["doc"][known]]), a, b)
+    doc, own, a, b = _merged(np.concatenate([doc[late], c["doc"][known]]), np.concatenate([own[late], c["own"][known]]), a, b)
     for i in range(0, len(doc), 1 << 18):
-        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 18)]) for x in (doc, a, b)], ["doc", "a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 18)]) for x in (doc, own, a, b)], ["doc", "own", "a", "b"])
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """doc, cut: the stretches (a, b) of words, b being the first one after it, of which SPAN and more also stand earlier."""
+    """doc, own, cut: the stretches (a, b) of words, b being the first one after it, of which SPAN and more also stand earlier."""
     parts = tv.shuffle_parts(docs)
     binary = lambda kinds: "part int, " + ", ".join(f"{k} binary" for k in kinds)
-    d = docs.select("doc_id", "text")
-    met = durable(tv.exchange(d.mapInArrow(_anchors(parts), binary(ANCHORS)), ANCHORS, parts, _meet_anchors, "doc long, key long"))
-    wanted = durable(met.groupBy("doc").agg(F.collect_set("key").alias("wanted")))
-    named = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "doc_id", "text")
-    some = named.join(if_small(wanted.select("doc"), 1_000_000), "doc", "left_semi").join(wanted, "doc").select("doc_id", "text", "wanted")
-    rows = tv.exchange(some.mapInArrow(_stretches(parts), binary(STRETCHES)), STRETCHES, parts, _meet_stretches, "doc long, a long, b long")
-    return rows.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("cut"))
+    named = _named(docs)
+    met = durable(tv.exchange(named.mapInArrow(_anchors(parts), binary(ANCHORS)), ANCHORS, parts, _meet_anchors, "doc long, own long, key long"))
+    wanted = durable(met.groupBy("doc", "own").agg(F.collect_set("key").alias("wanted")))
+    some = named.join(if_small(wanted.select("doc", "own"), 1_000_000), ["doc", "own"], "left_semi").join(wanted, ["doc", "own"]).select("doc_id", "own", "text", "wanted")
+    rows = tv.exchange(some.mapInArrow(_stretches(parts), binary(STRETCHES)), STRETCHES, parts, _meet_stretches, "doc long, own long, a long, b long")
+    return rows.groupBy("doc", "own").agg(F.collect_list(F.struct("a", "b")).alias("cut"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,9 +349,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """docs with the repeated sentences and passages cut out of text, and __n_sentences and __n_removed."""
-    gone = durable(removed(docs).join(passages(docs), "doc", "full_outer"))
-    d = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID)))
-    joined = d.join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "gone", "cut")
+    gone = durable(removed(docs).join(passages(docs), ["doc", "own"], "full_outer"))
+    d = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn("__own", F.xxhash64("text"))
+    joined = d.join(gone.withColumnsRenamed({"doc": "__doc", "own": "__own"}), ["__doc", "__own"], "left").select(*[F.col(f"`{c}`") for c in docs.columns], "gone", "cut")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __n_sentences long, __n_removed long"
     return joined.mapInArrow(_cut, schema)
 

@@ -51,3 +51,15 @@ def test_awkward_rows(spark):
     assert out.count() == docs.count() and out.columns[:5] == docs.columns
     assert ld.dedup(docs.limit(0)).count() == 0
     assert ld.without_repeated_lines(docs).columns == docs.columns
+
+
+def test_rows_that_share_an_id_are_cut_one_by_one(spark):
+    """Rows of one doc_id, or of none, with different texts: of every line one copy stays, and nothing else goes."""
+    long = "one two three four five six seven eight nine"
+    for doc in (None, 7):
+        texts = ["aaa\nbbb", "ccc\naaa", "aaa\nddd", f"x\n{long}", f"{long} ten\ny", "aaa\nddd"]
+        out = ld.dedup(spark.createDataFrame([(doc, t, "en", "s", len(t)) for t in texts], DOCS).repartition(3)).collect()
+        assert len(out) == len(texts)
+        left = [line for t in {r.text for r in out} for line in t.split("\n") if line]
+        near = {long, f"{long} ten"}
+        assert sorted(x for x in left if x not in near) == ["aaa", "bbb", "ccc", "ddd", "x", "y"] and len(near & set(left)) == 1

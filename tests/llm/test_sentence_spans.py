@@ -98,3 +98,15 @@ def test_awkward_rows(spark):
     same = {(r.doc_id, r.text) for r in docs.collect() if r.doc_id != 8}
     assert same <= {(r.doc_id, r.text) for r in out.collect()}
     assert ss.dedup(docs.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_are_cut_one_by_one(spark):
+    passage, long = prose(7, 60, 8), prose(8, 60, 100)
+    for doc in (None, 7):
+        texts = [f"First begins.\n{passage}", f"Other one.\n{passage}", f"here {long}", f"there is {long}", f"there is {long}"]
+        out = ss.dedup(spark.createDataFrame([(doc, t, "en", "s", len(t)) for t in texts], DOCS).repartition(3)).collect()
+        left = {r.text.strip() for r in out}
+        assert len(out) == 5 and len(left) == 4
+        for whole, heads in ((passage, ("First begins.", "Other one.")), (long, ("here", "there is"))):
+            mine = sorted(t for t in left if t.startswith(heads))
+            assert sum(whole in t for t in mine) == 1 and sum(t in heads for t in mine) == 1
