@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import durable, if_small, table
+from lectern.llm.common import WORD, durable, if_small, table
 from lectern.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -238,7 +238,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 slot = np.repeat(np.arange(b - a) * SKETCH, n[a:b]) + (h[edge[a] : edge[b]] >> U(64 - 8)).astype(np.int64)
                 count = np.minimum(np.bincount(slot, minlength=(b - a) * SKETCH), 255).astype(np.uint8).reshape(-1, SKETCH)
                 sketch += [row.tobytes() for row in count]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary()), *map(pa.array, spares(h, edge))], ["doc_id", "n_shingles", "v", "sketch", "spare0", "spare1"])
+            more = [c for c in batch.schema.names if c not in ("doc_id", "text")]
+            columns = [batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary()), *map(pa.array, spares(h, edge))]
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(c)[i:j] for c in more)], ["doc_id", "n_shingles", "v", "sketch", "spare0", "spare1", *more])
 
 
 def _may_link(x: np.ndarray, y: np.ndarray, s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -409,10 +411,14 @@ def links(docs: DataFrame, named: DataFrame) -> DataFrame:
     return edges.union(durable(verified(more, sets_of(_ends(more), docs, named))))
 
 
+def _named(described: DataFrame) -> DataFrame:
+    return durable(described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("spare0").alias("spare0"), F.max("spare1").alias("spare1")))
+
+
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     described = durable(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long"))
-    named = durable(described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("spare0").alias("spare0"), F.max("spare1").alias("spare1")))
+    named = _named(described)
     roots = durable(components(links(docs, named)))
     # most sets are a component by themselves: only those of several are contracted further
     least = named.select("v", "doc_id").join(roots, "v", "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("doc_id").alias("component_id"))
@@ -422,12 +428,26 @@ def join(docs: DataFrame) -> DataFrame:
     return told.select("doc_id", "n_shingles", F.when(F.col("v") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _own(docs: DataFrame) -> DataFrame:
+    """docs with __own, which tells rows of one doc_id (or none) apart by all their columns, and again after a retry."""
+    return docs.withColumn("__own", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each component, once; rows without an id are kept."""
-    told = join(docs)
-    keep = told.where("doc_id = component_id OR component_id IS NULL").select("doc_id").distinct()
-    first = docs.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else docs
-    return first.join(keep.where("doc_id IS NOT NULL"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    """One row of each component: that of the smallest doc_id, rows without one last; of several with that id the one
+    with the smallest hash. Rows without a word are in no component: all stay, equal rows with an id once."""
+    kinds = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, __own long"
+    described = durable(_own(docs).select("doc_id", "text", "__own").mapInArrow(_describe, kinds))
+    roots = durable(components(links(docs, _named(described))))
+    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__own")
+    first = described.where("v <> 0").select("v", last.alias("x")).groupBy("v").agg(F.min("x").alias("x"))
+    first = first.join(roots, "v", "left").groupBy(F.coalesce("root", "v")).agg(F.min("x").alias("x"))
+    plain = described.where("v = 0").select(last.alias("x")).distinct()
+    keep = durable(first.select("x").union(plain).select(F.col("x.doc_id").alias("__id"), F.col("x.__own").alias("__own"))).withColumnRenamed("__own", "__row")
+    kept = _own(docs).join(keep, (F.col("__own") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    nothing = F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    once = kept.where(~nothing).dropDuplicates(["doc_id", "__own"]).unionByName(kept.where(nothing))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,3 +85,14 @@ def test_components_of_chain_and_star(spark):
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{1000 + i: 1000 for i in range(40)}, 2000: 2000, 2001: 2000}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_component_whatever_its_id(spark):
+    a, b, c, d = (prose(i, 60) for i in range(4))
+    data = [(None, a), (None, a), (None, a + " end"), (None, b), (3, b), (2, b + " end"), (5, c), (5, d), (5, d), (9, c + " end"), (None, ""), (None, None), (6, " "), (6, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in data], DOCS).repartition(4)
+    kept = sorted(((r.doc_id, r.text) for r in nj.one_of_each(docs).collect()), key=str)
+    group = [x for x in kept if x[1] and x[1].startswith(a)]
+    assert len(group) == 1 and group[0][0] is None
+    rest = sorted([(2, b + " end"), (5, c), (5, d), (None, ""), (None, None), (6, " ")], key=str)
+    assert [x for x in kept if x not in group] == rest
