@@ -14,6 +14,8 @@ broadcast; hot patterns are summed before each shuffle.
 Defined cases
     null or empty text: no spans; base_sha256 is that of the empty string.
     overlapping kinds: all base spans stay; a span found by context that overlaps a base span is dropped.
+    values and tokens of any length are told whole; only their form is taken from the first LONGEST characters. Values
+    of the fixed list's keys need no digit, values of other keys and free tokens do.
     very long texts and runs without breaks: each pattern starts from its sign or digit run, so time stays linear.
     null doc_id and repeated rows: each row is judged by itself; equal instances count once in the graph.
     ties: spans are ordered by start, then kind as listed. Empty table: empty result. Extra columns: ignored.
@@ -45,7 +47,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Keys whose values are secrets: the lexical seeds.
 KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "ssn", "passport", "iban")
 TOKEN = re.compile(r"[^\x20\x09-\x0D\"'<>()\[\]{};,|]+")
-ASSIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z_][A-Za-z0-9_-]{1,30})[\x20]?[=:][\x20]?[\"']?([^\x20\x09-\x0D\"',;<>]{4,256})")
+ASSIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z_][A-Za-z0-9_-]{1,30})[\x20]?[=:][\x20]?[\"']?([^\x20\x09-\x0D\"',;<>]{4,})")
 DIGIT = re.compile(r"[0-9]")
 
 
@@ -121,7 +123,7 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
 
     taken = [(a, b) for _, a, b in spans]
     for a, b in list(taken):
-        add(a, min(b, a + LONGEST), "", 1.0)
+        add(a, b, "", 1.0)
 
     def clear(a: int, b: int) -> bool:
         k = bisect_left(taken, (a, b))
@@ -129,8 +131,9 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
 
     for m in ASSIGNED.finditer(text) if "=" in text or ":" in text else ():
         a, b = m.span(2)
-        if DIGIT.search(m[2]) and clear(a, b):
-            add(a, b, m[1], 1.0 if m[1].lower() in KEYS else 0.0)
+        known = m[1].lower() in KEYS
+        if (known or DIGIT.search(m[2])) and clear(a, b):
+            add(a, b, m[1], 1.0 if known else 0.0)
             insort(taken, (a, b))
     if DIGIT.search(text):
         for m in TOKEN.finditer(text):
@@ -138,7 +141,7 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
             token = m[0].rstrip(".:!?")
             b = a + len(token)
             digits = len(DIGIT.findall(token))
-            if 6 <= len(token) <= LONGEST and (digits >= 3 or digits and len(token) >= 12) and clear(a, b):
+            if len(token) >= 6 and (digits >= 3 or digits and len(token) >= 12) and clear(a, b):
                 add(a, b, "", 0.0)
     return out
 

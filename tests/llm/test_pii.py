@@ -78,3 +78,23 @@ def test_awkward_rows(spark):
         told = ",".join("%s:%d:%d" % s for s in brute(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest() and r.spans == told
     assert pii.find(docs.limit(0)).count() == 0
+
+
+def test_long_values_and_values_without_digits_are_told_whole(spark):
+    rng = random.Random(5)
+    run = lambda n: "".join(rng.choice("abcdef") + rng.choice("0123456789") for _ in range(n // 2))
+    texts, planted = [], {}
+    for i in range(12):
+        secret = [run(800), "correcthorse", run(900)][i % 3]
+        key = ["token=", "password=", "jwt "][i % 3]
+        texts.append(f"{prose(i, 20)} {key}{secret} {prose(i + 500, 10)}")
+        a = texts[-1].index(secret)
+        planted[i] = f"id:{a}:{a + len(secret)}"
+    texts.append(prose(77, 30) + " login=wordsonly " + prose(78, 30))
+    out = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows(texts), DOCS)).collect() if r.spans}
+    assert out == planted
+
+
+def test_long_free_tokens_are_candidates():
+    token = "eyJhbGciOiJIUzI1NiJ9." + "a1B2" * 200
+    assert [(a, b) for a, b, *_ in pii.candidates(f"see {token} here", [])] == [(4, 4 + len(token))]
