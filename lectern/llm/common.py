@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -26,24 +27,46 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
-def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """df cut from its lineage, kept where every executor can read it again.
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a single machine) is a folder of this process chosen.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; only a session on one machine may do without."""
     sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{tempfile.gettempdir()}/checkpoints"
+
+
+def durable(df: DataFrame, eager: bool = True) -> DataFrame:
+    """df cut from its lineage, kept where every executor can read it again (see shared_folder)."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or f"/tmp/checkpoints/{uuid.uuid4().hex}")
+        sc.setCheckpointDir(f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}")
     return df.checkpoint(eager)
 
 
-def if_small(df: DataFrame, rows: int = 20_000) -> DataFrame:
-    """df with a broadcast hint if it holds at most so many (narrow) rows, else as it is: AQE then
-    splits skewed partitions of a shuffled join. df should be cheap to count, so checkpointed."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+#: What a broadcast may hold.
+BROADCAST_BYTES = 16 << 20
+
+
+def if_small(df: DataFrame, width: int | Column = 64) -> DataFrame:
+    """df with a broadcast hint if it holds at most BROADCAST_BYTES, width being the bytes of a row (a number, or a
+    column for rows of any size), else as it is: AQE then splits skewed partitions of a shuffled join. df should be cheap to count, so checkpointed."""
+    if isinstance(width, int):
+        few = df.limit(BROADCAST_BYTES // width + 1).count() <= BROADCAST_BYTES // width
+    else:
+        few = (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
+    return F.broadcast(df) if few else df
 
 
 def least_hashes(df: DataFrame, hashed: Column, tie: str, rows: int) -> DataFrame:

@@ -1,36 +1,43 @@
 """N-gram Jaccard self-join with PartEnum signatures, and the components of its links.
 
 A document's set holds the hashes of its distinct five-word shingles. Sets are put in size bands such that
-linked sets lie in one band or in neighbouring ones. For each band the hash domain is dealt into parts; two
-sets that link differ in at most k elements, so at most k parts differ, and any set with more than k occupied
-parts agrees with its partner on an occupied one. A signature is (band, part, hash of the set's share of the
-part); each set sends those of its own band and of the next larger one. Sets of up to SINGLES elements take
-every element as a part of its own, so more than k parts are occupied by construction. For larger sets there are
-so many parts that fewer than k + 1 are occupied with a probability below 1e-10; even then a link is lost only if
-the differences fall on every occupied part. Empty parts are never sent, as unrelated sets would meet there.
+linked sets lie in one band or in neighbouring ones; a set goes into its own band and, if a partner can lie there,
+into the next larger one. For each band the hash domain is dealt into parts and each part into CELLS cells. Two sets
+that link differ in at most k elements. In a part with fewer than CELLS - CHOSEN + 1 differing elements some CHOSEN
+cells have none, so a signature for each choice of CHOSEN cells of a part, (band, part, choice, hash of the set's share
+of those cells), is common to both. Choices of empty cells are never sent, as unrelated sets would meet there; a set with
+o cells occupied in a part needs min(CELLS - CHOSEN + 1, o) differences there before no choice agrees. The sum of
+that over its parts is the set's strength, and if it exceeds k, no link of the set is lost. Bands up to SINGLES elements
+take every element as a signature of its own, so that holds by construction. In larger ones the number of parts
+leaves a margin; a set whose strength falls short nevertheless is told by name and sought by its elements in all
+documents (see sought), so the join is exact.
 
 Equal signatures meet in one exchange of packed arrays. Copies of a set are one vertex from the start. A group
 of up to SMALL vertices gives all its pairs; a larger one gives its pairs with its smallest vertex only, and
-its members are kept. A member leaves aside as many parts as it can spare, the largest groups first (see
+its members are kept. A member leaves aside as many signatures as it can spare, the largest groups first (see
 _unsettled). When the pairs are verified and contracted, groups whose members are in one component need nothing more.
 The others are compared inside tasks, block against block of at most BLOCK members, and only pairs that may link
-leave a task. So near copies by the thousand cost pairs in proportion to their number, and no link is lost.
+leave a task; where these are many, each member's best ones come first, and the rest only if contraction leaves them
+apart. So near copies by the thousand cost pairs in proportion to their number, and no link is lost.
 
-Before sets are fetched for a pair, the counts of their elements in SKETCH hash buckets bound what they can share;
-that drops pairs which only share a passage, never one that links.
+Before sets are sent for a pair, the counts of their elements in hash buckets, as many as they have elements, bound
+what they can share; that drops pairs which only share a passage, never one that links. A pair's sets meet in a cell of
+its smaller vertex, a vertex of many pairs having several cells.
 
 Defined cases
     null, empty or wordless text: n_shingles 0, linked with nothing, component_id its own doc_id.
     one to four words: the whole sequence is the only element.
     repeated rows and exact copies: one vertex; their component_id is the smallest doc_id of all.
     null doc_id: ignored as a name; its component_id is that of its set, null if no row of it has an id.
-    very long texts: whole. Empty table: empty result. Extra columns: ignored.
+    very long texts: whole. Empty table: empty result. Extra columns: ignored by join(), carried by one_of_each().
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,36 +46,70 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import WORD, durable, if_small, table
+from lectern.llm.common import WORD, durable, fresh, if_small, table
 from lectern.llm.components import components
 
 WORDS, PERCENT = 5, 75
 SINGLES, SMALL, BLOCK = 64, 8, 2048
+#: Second-level cells of a part, and how many of them a signature covers.
+CELLS, CHOSEN = 3, 2
+KILL = CELLS - CHOSEN + 1
+#: The number of parts makes a set's strength exceed k by so many standard deviations.
+MARGIN = 5
 FLUSH = 1 << 20
 #: Added to a pair's count for each small group that holds it; the other pairs, with the smallest member of a large
 #: group, only save work later and are tried if they share LIKELY groups or more.
 MUST, LIKELY = 1 << 32, 4
 #: Parts of the exchange for each shuffle partition, so that a part takes little memory.
 FINE = 3
-#: Buckets of a set's sketch: counts of its elements by their hashes' first eight bits.
-SKETCH = 256
+#: Pairs of one vertex that meet in one cell; pairs of one member that leave a block at once if they are many.
+SHARD, BEST = 512, 4
+#: Element hashes of sought sets that are sent to all tasks at once.
+PROBES = 1 << 20
 U = tv.U
 
 
+def differing(size: np.ndarray | int, partner: np.ndarray | int) -> np.ndarray | int:
+    """The most elements in which sets of these sizes that link can differ."""
+    return (size + partner) * (100 - PERCENT) // (100 + PERCENT)
+
+
+def _strength(size: float, parts: int) -> tuple[float, float]:
+    """Mean and deviation of the strength of a set of so many elements, dealt at random to the cells of so many parts."""
+
+    def moments(size: float) -> tuple[float, float]:
+        full = 1 - np.exp(-size / (CELLS * parts))
+        p = [comb(CELLS, o) * full**o * (1 - full) ** (CELLS - o) for o in range(CELLS + 1)]
+        mean = sum(min(KILL, o) * q for o, q in enumerate(p))
+        return parts * mean, parts * (sum(min(KILL, o) ** 2 * q for o, q in enumerate(p)) - mean * mean)
+
+    mean, spread = moments(size)
+    # the number of elements is fixed, which takes its share from the variance of independent cells
+    slope = (moments(size * 1.01)[0] - mean) / (size * 0.01)
+    return mean, max(0.0, spread - size * slope * slope) ** 0.5
+
+
+def _parts(low: int, high: int) -> int:
+    """Parts of a band such that sets of all sizes that are sent there keep the margin; 0 if no number does."""
+    sizes = np.unique(np.geomspace(max(1, low * PERCENT // 100), high, 12).astype(int)).tolist()
+    need = [(s, differing(s, min(s * 100 // PERCENT, high))) for s in sizes]
+    parts = max(1, high // 16)
+    while parts < high:
+        told = [(*_strength(s, parts), k) for s, k in need]
+        if all(mean - MARGIN * deviation > k + 1 for mean, deviation, k in told):
+            return parts
+        parts += max(1, parts // 40)
+    return 0
+
+
 @lru_cache
 def bands(percent: int = PERCENT, most: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest size of each band, and number of its parts, 0 if each element is one.
-
-    With H the largest size of a band, sets that link in it differ in at most k = 2 H (1 - t) / (1 + t) elements,
-    0.286 H for t = 0.75; the number of parts exceeds that by a margin for empty ones (see the module's text).
-    """
+    """Smallest size of each band, and number of its parts, 0 if each element is a signature."""
     low = [1]
     while low[-1] < most:
-        low.append(max(low[-1] + 1, low[-1] * 100 // percent + 1))
-    low = np.array(low, np.int64)
-    high = low[1:] - 1
-    parts = np.where(high <= SINGLES, 0, np.where(high <= 200, high, np.where(high <= 600, high * 45 // 100, high * 38 // 100)))
-    return low, parts
+        low.append(max(low[-1] + 1, low[-1] * 10_000 // percent**2 + 1))
+    parts = [0 if high <= SINGLES else _parts(a, high) for a, high in zip(low, (x - 1 for x in low[1:]))]
+    return np.array(low, np.int64), np.array([*parts, 0], np.int64)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,49 +137,91 @@ def set_keys(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return np.where(n == 0, U(0), key).astype(np.int64)
 
 
+def _sent(edge: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For role 0 (own band) or 1 (next larger one): whether each set is sent, its band, and its largest partner."""
+    low, _ = bands()
+    size = np.diff(edge)
+    band = np.searchsorted(low, size, "right") - 1 + own
+    most = size * 100 // PERCENT
+    if own:
+        return (size > 0) & (most >= low[band]), band, most
+    return size > 0, band, np.minimum(most, low[band + 1] - 1)
+
+
+def _shares(h: np.ndarray, edge: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which set each part is of, and hash and occupation of its cells; n: parts of each set. Elements are sorted by
+    hash and cells are stretches of the hash domain, so a cell's elements stand together."""
+    owner = np.repeat(np.arange(len(n)), np.where(n > 0, np.diff(edge), 0))
+    mine = h[np.repeat(n > 0, np.diff(edge))]
+    cells = n * CELLS
+    slot = (np.cumsum(cells) - cells)[owner] + (((mine >> U(32)) * cells[owner].astype(U)) >> U(32)).astype(np.int64)
+    total, full = np.zeros(int(cells.sum()), U), np.zeros(int(cells.sum()), bool)
+    if len(slot):
+        at = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        total[slot[at]] = np.add.reduceat(tv.mix(mine ^ U(0x2545F4914F6CDD1D)), at)
+        full[slot[at]] = True
+    return np.repeat(np.arange(len(n)), n), total.reshape(-1, CELLS), full.reshape(-1, CELLS)
+
+
 def _signatures(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(set, signature, role) of all sets; role: 0 in the set's own band, 1 in the next larger one."""
-    low, parts = bands()
-    size = np.diff(edge)
-    band = np.searchsorted(low, size, "right") - 1
-    out = []
-    deal = tv.mix(h ^ U(0x9E3779B97F4A7C15))
-    value = tv.mix(deal ^ U(0x2545F4914F6CDD1D))
-    owner = np.repeat(np.arange(len(size)), size)
+    parts = bands()[1]
+    size, out = np.diff(edge), []
     for own in (0, 1):
-        at = band + own
-        n = np.where(size > 0, parts[at], 0)
-        tag = tv.mix(at.astype(U) + U(977))
-        single = (n == 0)[owner]
-        if single.any():
-            out.append((owner[single], tv.mix(value[single] ^ tag[owner[single]]), np.full(int(single.sum()), own, np.int8)))
-        if not single.all():
-            who = owner[~single]
-            base = np.cumsum(n) - n
-            part = ((deal[~single] >> U(32)) * n[who].astype(U)) >> U(32)
-            slot = base[who] + part.astype(np.int64)
-            total = np.zeros(int(n.sum()), U)
-            np.add.at(total, slot, value[~single])
-            used = np.flatnonzero(np.bincount(slot, minlength=len(total)))
-            mine = np.repeat(np.arange(len(n)), n)[used]
-            out.append((mine, tv.mix(total[used] ^ tv.mix((used - base[mine]).astype(U)) ^ tag[mine]), np.full(len(mine), own, np.int8)))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int8))
+        go, band, _ = _sent(edge, own)
+        n = np.where(go, parts[band], 0)
+        tag = tv.mix(band.astype(U) + U(977))
+        single = go & (n == 0)
+        who = np.repeat(np.flatnonzero(single), size[single])
+        out.append((who, tv.mix(tv.mix(h[np.repeat(single, size)] ^ U(0x9E3779B97F4A7C15)) ^ tag[who])))
+        who, total, full = _shares(h, edge, n)
+        part = (np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)).astype(U)
+        cell = tv.mix(total ^ tv.mix(np.arange(1, CELLS + 1, dtype=U))) * full
+        for k, chosen in enumerate(combinations(range(CELLS), CHOSEN)):
+            some = full[:, chosen].any(axis=1)
+            name = tv.mix(part[some] * U(64) + U(k + 1)) ^ tag[who[some]]
+            out.append((who[some], tv.mix(cell[some][:, chosen].sum(axis=1, dtype=U) ^ name)))
+        out[-1 - comb(CELLS, CHOSEN) :] = [(w, s, np.full(len(w), own, np.int8)) for w, s in out[-1 - comb(CELLS, CHOSEN) :]]
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def spares(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each set and role, how many of its occupied parts it can do without: any partner agrees with it on one
-    of the others, as more of them are left than elements can differ."""
-    low, _ = bands()
+    """For each set and role, how many of its signatures it can do without: a signature less takes at most one from its
+    strength, and any partner agrees with it on one of the others as long as that exceeds the elements that differ.
+    Negative: links of the set may be lost."""
+    parts, out = bands()[1], []
     size = np.diff(edge)
-    most = size * 100 // PERCENT
-    who, _, role = _signatures(h, edge)
-    out = []
-    for own, partner in ((0, np.minimum(most, low[np.searchsorted(low, size, "right")] - 1)), (1, most)):
-        used = np.bincount(who[role == own], minlength=len(size))
-        out.append(used - (size + partner) * (100 - PERCENT) // (100 + PERCENT) - 1)
+    for own in (0, 1):
+        go, band, most = _sent(edge, own)
+        n = np.where(go, parts[band], 0)
+        who, _, full = _shares(h, edge, n)
+        strength = np.where(n == 0, size, np.bincount(who, np.minimum(full.sum(axis=1), KILL), len(n)).astype(np.int64))
+        out.append(np.where(go, strength - differing(size, most) - 1, 0))
     return out[0], out[1]
 
 
+def sketches(h: np.ndarray, edge: np.ndarray) -> list[bytes]:
+    """Counts of each set's elements by their hashes' first bits, in as many buckets as the largest power of two
+    that is no larger than the set; 255 stands for that and more."""
+    size = np.diff(edge)
+    bits = np.frexp(np.maximum(size, 1))[1] - 1
+    width = np.where(size > 0, 1 << bits.astype(np.int64), 0)
+    begin = np.cumsum(width) - width
+    out = []
+    step = np.searchsorted(np.cumsum(width), np.arange(0, int(width.sum()) + 1, 1 << 22))
+    for a, b in zip(step, [*step[1:], len(size)]):
+        if a == b:
+            continue
+        base = begin[a:b] - begin[a]
+        owner = np.repeat(np.arange(b - a), size[a:b])
+        mine = h[edge[a] : edge[b]]
+        shift = (64 - bits[a:b]).astype(U)[owner]
+        slot = np.where(shift == 64, U(0), mine >> np.minimum(shift, U(63))).astype(np.int64) + base[owner]
+        count = np.minimum(np.bincount(slot, minlength=int(width[a:b].sum())), 255).astype(np.uint8)
+        out += [count[x : x + w].tobytes() for x, w in zip(base.tolist(), width[a:b].tolist())]
+    return out
+
+
 def _sender(parts: int):
     """Packs (signature, vertex, role) by part. A set that this task has sent already is not sent again."""
 
@@ -147,6 +230,8 @@ def _sender(parts: int):
 
         def flush():
             sig, v, role = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(v, kind="stable")  # a vertex's signatures stand together, which compresses well
+            sig, v, role = sig[order], v[order], role[order]
             # 32 bits and the part's number are enough to meet by; pairs are verified
             return tv.packed({"sig": (sig >> U(32)).astype(np.uint32), "v": v, "role": role}, (sig % U(parts)).astype(np.int32), parts)
 
@@ -228,85 +313,117 @@ def _groups(columns: tv.Columns) -> Iterator[pa.RecordBatch]:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        more = [c for c in batch.schema.names if c not in ("doc_id", "text")]
         for i, j, data, off in tv.chunks(batch.column("text")):
             h, edge = shingle_sets(data, off)
-            n = np.diff(edge)
-            v = set_keys(h, edge)
-            sketch = []
-            for a in range(0, len(n), 4096):
-                b = min(a + 4096, len(n))
-                slot = np.repeat(np.arange(b - a) * SKETCH, n[a:b]) + (h[edge[a] : edge[b]] >> U(64 - 8)).astype(np.int64)
-                count = np.minimum(np.bincount(slot, minlength=(b - a) * SKETCH), 255).astype(np.uint8).reshape(-1, SKETCH)
-                sketch += [row.tobytes() for row in count]
-            more = [c for c in batch.schema.names if c not in ("doc_id", "text")]
-            columns = [batch.column("doc_id")[i:j], pa.array(n), pa.array(v), pa.array(sketch, pa.binary()), *map(pa.array, spares(h, edge))]
+            columns = [batch.column("doc_id")[i:j], pa.array(np.diff(edge)), pa.array(set_keys(h, edge)), pa.array(sketches(h, edge), pa.binary()), *map(pa.array, spares(h, edge))]
             yield pa.RecordBatch.from_arrays([*columns, *(batch.column(c)[i:j] for c in more)], ["doc_id", "n_shingles", "v", "sketch", "spare0", "spare1", *more])
 
 
-def _may_link(x: np.ndarray, y: np.ndarray, s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Whether sets with sketches x, y and sizes s, t can link, as the counts by bucket bound what they share."""
-    most = np.minimum(x, y)
-    full = (most == 255).any(axis=1)  # counts from 255 on are not known
-    most = np.where(full, np.minimum(s, t), np.minimum(most.sum(axis=1, dtype=np.int64), np.minimum(s, t)))
-    return 100 * most >= PERCENT * (s + t - most)
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Sketches in fewer buckets; a count that may be more than it tells makes the bucket 65535."""
+    if rows.shape[1] == width:
+        return np.where(rows == 255, np.uint16(65535), rows)
+    parts = rows.reshape(len(rows), width, -1)
+    return np.where((parts == 255).any(axis=2), np.uint16(65535), parts.sum(axis=2, dtype=np.uint16))
+
+
+def _shared(x: np.ndarray, y: np.ndarray, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The most elements that sets of sizes s, t with folded sketches x, y can share."""
+    return np.minimum(np.minimum(x, y).sum(axis=1, dtype=np.int64), np.minimum(s, t))
+
+
+def _links(both: np.ndarray, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    return 100 * both >= PERCENT * (s + t - both)
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("ka", "kb"))
-        keep = pa.array(_may_link(x, y, batch.column("na").to_numpy(), batch.column("nb").to_numpy()))
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "n")], ["a", "b", "n"])
+        x, y = batch.column("ka"), batch.column("kb")
+        s, t = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+        keep = np.zeros(batch.num_rows, bool)
+        width = np.stack([np.diff(np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]) for c in (x, y)], axis=1)
+        for w in np.unique(width, axis=0):
+            at = np.flatnonzero((width == w).all(axis=1))
+            for k in range(0, len(at), max(1, (1 << 22) // int(w.max()))):
+                some = at[k : k + max(1, (1 << 22) // int(w.max()))]
+                rows = [np.frombuffer(b"".join(c.take(pa.array(some)).to_pylist()), np.uint8).reshape(len(some), -1) for c in (x, y)]
+                rows = [_folded(r, int(w.min())) for r in rows]
+                keep[some] = _links(_shared(*rows, s[some], t[some]), s[some], t[some])
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b", "n")], ["a", "b", "n"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sent = np.zeros(0, np.int64)
     for batch in batches:
         for _, _, data, off in tv.chunks(batch.column("text")):
             h, edge = shingle_sets(data, off)
             v = set_keys(h, edge)
-            sets = [h[edge[k] : edge[k + 1]].tobytes() for k in range(len(v))]
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(sets, pa.binary())], ["v", "set"])
+            _, once = np.unique(v, return_index=True)
+            once = once[~np.isin(v[once], sent)]
+            sent = np.concatenate([sent, v[once]])[-(1 << 20) :]
+            sets = [h[edge[k] : edge[k + 1]].tobytes() for k in once]
+            yield pa.RecordBatch.from_arrays([pa.array(v[once]), pa.array(sets, pa.binary())], ["v", "set"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) that link; a cell's rows stand together, its vertex's own set first."""
+    now, mine = None, None
     for batch in batches:
-        ok = np.zeros(batch.num_rows, bool)
-        x, y = batch.column("sa"), batch.column("sb")
+        out = [], []
+        cell, shard, first, v, sets = (batch.column(c) for c in ("cell", "shard", "rest", "v", "set"))
+        cell, shard, rest, v = cell.to_numpy(), shard.to_numpy(), first.to_numpy(), v.to_numpy()
         for i in range(batch.num_rows):
-            s, t = np.frombuffer(x[i].as_buffer(), U), np.frombuffer(y[i].as_buffer(), U)
-            if len(s) > len(t):
-                s, t = t, s
-            if 100 * len(s) >= PERCENT * len(t):
-                at = np.searchsorted(t, s)
-                both = int((t[np.minimum(at, len(t) - 1)] == s).sum())
-                ok[i] = 100 * both >= PERCENT * (len(s) + len(t) - both)
-        keep = pa.array(ok)
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-
-def likely(pairs: DataFrame, named: DataFrame) -> DataFrame:
-    """The pairs (a, b, n) that may link, by the sketches in named (v, n_shingles, sketch)."""
-    side = lambda c: named.select(F.col("v").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("sketch").alias(f"k{c}"))
-    both = pairs.select("a", "b", "n").join(side("a"), "a").where("na > 0").join(side("b"), "b")
-    return both.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").mapInArrow(_likely, "a long, b long, n long")
-
-
-def sets_of(vertices: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
-    """v, set of these vertices, made again from one text of each."""
-    ids = durable(named.join(vertices, "v", "left_semi").where("doc_id IS NOT NULL").select("doc_id").distinct())
-    some = docs.select("doc_id", "text")
-    some = some.join(if_small(ids, 2_000_000), "doc_id", "left_semi").union(some.where("doc_id IS NULL"))
-    made = some.select("text").mapInArrow(_sets, "v long, set binary")
-    return durable(made.join(vertices, "v", "left_semi").dropDuplicates(["v"]))
+            s = np.frombuffer(sets[i].as_buffer(), U)
+            if not rest[i]:
+                now, mine = (cell[i], shard[i]), s.copy()
+                continue
+            assert now == (cell[i], shard[i])
+            small, large = (s, mine) if len(s) <= len(mine) else (mine, s)
+            if 100 * len(small) >= PERCENT * len(large):
+                at = np.searchsorted(large, small)
+                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+                if _links(both, len(small), len(large)):
+                    out[0].append(cell[i])
+                    out[1].append(v[i])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b"])
+
+
+def likely(pairs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b, n) that may link, by their sets' sizes and then their sketches."""
+    size = lambda c: named.select(F.col("v").alias(c), F.col("n_shingles").alias(f"n{c}"))
+    sized = pairs.join(size("a"), "a").join(size("b"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+    sized = durable(sized)
+    known = sketches_of(_ends(sized), described, named)
+    side = lambda c: known.select(F.col("v").alias(c), F.col("sketch").alias(f"k{c}"))
+    return sized.join(side("a"), "a").join(side("b"), "b").mapInArrow(tv.lean(_likely), "a long, b long, n long")
+
+
+def sketches_of(vertices: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
+    """v, sketch of these vertices, each once: of the rows that have a vertex's set one is read."""
+    rows = durable(named.select("v", "own").join(vertices, "v", "left_semi"))
+    some = described.select("v", "own", "sketch").join(if_small(rows, 16), ["v", "own"], "left_semi")
+    # rows of equal text remain, few tasks holding more than one
+    return durable(some.dropDuplicates(["v"]))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-    side = lambda c: sets.select(F.col("v").alias(c), F.col("set").alias(f"s{c}"))
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked, "a long, b long")
+def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link. The sets are made again from one text each and sent to the pairs' cells."""
+    pairs = pairs.select("a", "b")
+    of = pairs.groupBy("a").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
+    shard = F.pmod(F.xxhash64("b"), F.col("shards"))
+    rest = pairs.join(of, "a").select(F.col("b").alias("v"), F.col("a").alias("cell"), shard.alias("shard"), F.lit(1).alias("rest"))
+    first = of.select(F.col("a").alias("v"), F.col("a").alias("cell"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), F.lit(0).alias("rest"))
+    cells = durable(rest.union(first))
+    texts = durable(named.join(cells, "v", "left_semi").select("own"))
+    some = docs.select("text").join(if_small(texts, 8).withColumnRenamed("own", "__own"), F.xxhash64("text") == F.col("__own"), "left_semi")
+    made = some.mapInArrow(tv.lean(_sets), "v long, set binary")
+    met = made.join(if_small(cells, 32), "v").repartition("cell", "shard").sortWithinPartitions("cell", "shard", "rest")
+    return met.select("cell", "shard", "rest", "v", "set").mapInArrow(tv.lean(_verify), "a long, b long")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -331,95 +448,211 @@ def _unsettled(met: DataFrame, spare: DataFrame) -> DataFrame:
     return rows.where("upto > CASE WHEN role = 0 THEN spare0 ELSE spare1 END").select("gid", "v").distinct()
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _best(a: np.ndarray, b: np.ndarray, worth: np.ndarray, members: int) -> np.ndarray:
+    """Which pairs leave the block: all, or, if they are many, the BEST of each member."""
+    if len(a) <= BEST * members:
+        return np.ones(len(a), bool)
+    keep = np.zeros(len(a), bool)
+    for end in (a, b):
+        order = np.lexsort((-worth, end))
+        new = np.flatnonzero(np.concatenate([[True], end[order][1:] != end[order][:-1]]))
+        rank = np.arange(len(a)) - np.repeat(new, np.diff(np.append(new, len(a))))
+        keep[order[rank < BEST]] = True
+    return keep
+
+
+def _compared(whole: bool):
     """The pairs (a, b) of each cell that may link and are apart. A cell is one block of a group against itself or
-    another; its members stand together. A pair that several cells of this task hold leaves it about once."""
-    now, held = None, []
-    done = np.zeros(1 << 20, U)  # the last pair of each slot
-
-    def pairs():
-        v, root, n, side, sketch = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(v)
-        v, root, n, side, sketch = v[order], root[order], n[order], side[order], sketch[order]
-        for i in range(0, len(v), 64):
-            a, b = np.meshgrid(np.arange(i, min(i + 64, len(v))), np.arange(i, len(v)), indexing="ij")
-            ok = (a < b) & (v[a] != v[b]) & (root[a] != root[b]) & ((side[a] != side[b]) | (side[a] == 2))
-            ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
-            a, b = a[ok], b[ok]
-            key = tv.mix(v[a].view(U)) + v[b].view(U)
+    another; its members stand together. Unless `whole`, a cell of many such pairs gives the best ones only and says
+    so by a row with its group and no pair. A pair that several cells of this task hold leaves it about once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        done = np.zeros(1 << 20, U)  # the last pair of each slot
+
+        def pairs():
+            v, root, n, side = (np.concatenate([c[k] for c in held]) for k in range(4))
+            sketch = [s for c in held for s in c[4]]
+            bits = np.frexp(n)[1] - 1
+            rows = {int(w): np.flatnonzero(bits == w) for w in np.unique(bits)}
+            table = {w: np.frombuffer(b"".join(sketch[k] for k in at), np.uint8).reshape(len(at), -1) for w, at in rows.items()}
+            found = []
+            for w in rows:
+                for u in (w, w + 1):
+                    if u not in rows:
+                        continue
+                    p, q = rows[w], rows[u]
+                    x, y = _folded(table[w], 1 << w), _folded(table[u], 1 << w)
+                    tile = 64
+                    for i in range(0, len(p), tile):
+                        a, b = np.meshgrid(np.arange(i, min(i + tile, len(p))), np.arange(len(q)), indexing="ij")
+                        c, d = p[a], q[b]
+                        ok = (v[c] < v[d]) if u == w else (v[c] != v[d])
+                        ok &= (root[c] != root[d]) & ((side[c] != side[d]) | (side[c] == 2))
+                        ok &= 100 * np.minimum(n[c], n[d]) >= PERCENT * np.maximum(n[c], n[d])
+                        a, b = a[ok], b[ok]
+                        for k in range(0, len(a), max(1, (1 << 21) >> w)):
+                            e, f = a[k : k + max(1, (1 << 21) >> w)], b[k : k + max(1, (1 << 21) >> w)]
+                            both = _shared(x[e], y[f], n[p[e]], n[q[f]])
+                            keep = _links(both, n[p[e]], n[q[f]])
+                            if keep.any():
+                                c, d = v[p[e[keep]]], v[q[f[keep]]]
+                                found.append((np.minimum(c, d), np.maximum(c, d), both[keep] / (n[p[e]] + n[q[f]])[keep]))
+            if not found:
+                return
+            a, b, worth = (np.concatenate(c) for c in zip(*found))
+            if not whole:
+                keep = _best(a, b, worth, len(v))
+                if not keep.all():
+                    yield pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["gid", "a", "b"])
+                a, b = a[keep], b[keep]
+            key = tv.mix(a.view(U)) + b.view(U)
             slot = (key >> U(44)).astype(np.int64)
             new = done[slot] != key
             a, b = a[new], b[new]
             done[slot[new]] = key[new]
-            for k in range(0, len(a), 1 << 14):
-                c, d = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
-                keep = _may_link(sketch[c], sketch[d], n[c], n[d])
-                yield pa.RecordBatch.from_arrays([pa.array(v[c[keep]]), pa.array(v[d[keep]]), pa.array(np.ones(int(keep.sum()), np.int64))], ["a", "b", "n"])
+            for k in range(0, len(a), 1 << 16):
+                some = [pa.array(x[k : k + (1 << 16)]) for x in (a, b)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(some[0]), pa.int64()), *some], ["gid", "a", "b"])
 
-    for batch in batches:
-        cell = np.stack([batch.column(c).to_numpy() for c in ("gid", "lo", "hi")], axis=1)
-        cut = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
-        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        columns = [batch.column(c).to_numpy() for c in ("v", "root", "n_shingles", "side")] + [sketch]
-        for a, b in zip([0, *cut], [*cut, batch.num_rows]):
-            if a == b:
-                continue
-            if now is not None and tuple(cell[a]) != now:
-                yield from pairs()
-                held = []
-            now = tuple(cell[a])
-            held.append([c[a:b] for c in columns])
-    if held:
-        yield from pairs()
-
-
-def _hidden(told: DataFrame, named: DataFrame) -> DataFrame:
-    """Pairs (a, b, n) that may link within the groups of told (gid, v, root). Groups over BLOCK members are dealt
-    into blocks, and each two blocks meet in a task of their own, so no task holds more than two blocks."""
+        for batch in batches:
+            cell = np.stack([batch.column(c).to_numpy() for c in ("gid", "lo", "hi")], axis=1)
+            cut = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
+            columns = [batch.column(c).to_numpy() for c in ("v", "root", "n_shingles", "side")] + [batch.column("sketch").to_pylist()]
+            for a, b in zip([0, *cut], [*cut, batch.num_rows]):
+                if a == b:
+                    continue
+                if now is not None and tuple(cell[a]) != now:
+                    yield from pairs()
+                    held = []
+                now = tuple(cell[a])
+                held.append([c[a:b] for c in columns])
+        if held:
+            yield from pairs()
+
+    return run
+
+
+def _hidden(told: DataFrame, known: DataFrame, whole: bool) -> DataFrame:
+    """Pairs (a, b) that may link within the groups of told (gid, v, root), or gid of a group that may hold more of
+    them; known: v, n_shingles, sketch. Groups over BLOCK members are dealt into blocks, and each two blocks meet in a task of their own, so no task holds more than
+    two blocks."""
     size = told.groupBy("gid").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     dealt = told.join(size, "gid").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
     cells = dealt.select("gid", "v", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), side.cast("long").alias("side"))
-    cells = cells.join(named.select("v", "n_shingles", "sketch"), "v").repartition("gid", "lo", "hi").sortWithinPartitions("gid", "lo", "hi")
-    return cells.mapInArrow(_compared, "a long, b long, n long")
+    # merged by v, so that equal sketches follow each other, which compresses well
+    cells = cells.join(known.hint("merge"), "v").repartition("gid", "lo", "hi").sortWithinPartitions("gid", "lo", "hi")
+    return cells.select("gid", "lo", "hi", "v", "root", "n_shingles", "side", "sketch").mapInArrow(tv.lean(_compared(whole)), "gid long, a long, b long")
+
+
+def sought(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the sets whose signatures may lose a link, with every set that has one of their elements.
+
+    A partner lacks at most a quarter of a set's elements, so it has one of any quarter of them and one more. These go
+    to all tasks, PROBES at most at once, and every document is read for them.
+    """
+    unsure = durable(named.where("spare0 < 0 OR spare1 < 0").select("v", "own", "n_shingles"))
+    total = unsure.agg(F.sum(F.floor(F.col("n_shingles") * (100 - PERCENT) / 100) + 1)).first()[0] or 0
+    pairs, spark = [], docs.sparkSession
+    times = -(-int(total) // PROBES)
+
+    def hits(of: list, has: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for v, h, edge in _elements(batches):
+                at = np.searchsorted(has, h)
+                owner = np.repeat(v, np.diff(edge))[(at < len(has)) & (has[np.minimum(at, len(has) - 1)] == h)]
+                at = at[(at < len(has)) & (has[np.minimum(at, len(has) - 1)] == h)]
+                rows = [(x, y) for x, k in zip(owner.tolist(), at.tolist()) for y in of[k] if x != y]
+                a, b = (np.array(c, np.int64) for c in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 2
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        return run
+
+    for k in range(times):
+        mine = unsure.where(F.pmod(F.xxhash64("v", F.lit(3)), F.lit(times)) == k)
+        some = docs.select("text").join(mine.select(F.col("own").alias("__own")), F.xxhash64("text") == F.col("__own"), "left_semi")
+        probes: dict[int, list[int]] = {}
+        for r in some.mapInArrow(tv.lean(_sets), "v long, set binary").join(mine.select("v"), "v", "left_semi").dropDuplicates(["v"]).collect():
+            s = np.frombuffer(r.set, U)
+            for x in s[: len(s) * (100 - PERCENT) // 100 + 1].tolist():
+                probes.setdefault(x, []).append(r.v)
+        has = np.array(sorted(probes), U)
+        pairs.append(durable(docs.select("text").mapInArrow(hits([probes[x] for x in has.tolist()], has), "a long, b long").distinct()))
+    out = spark.createDataFrame([], "a long, b long")
+    for p in pairs:
+        out = out.union(p)
+    return out.distinct()
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for _, _, data, off in tv.chunks(batch.column("text")):
+            h, edge = shingle_sets(data, off)
+            yield set_keys(h, edge), h, edge
 
 
-def links(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """Edges (a, b) between sets whose components are those of all links; named: v, doc_id, n_shingles, sketch, spares."""
+def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
+    """Edges (a, b) between sets whose components are those of all links."""
     parts = FINE * tv.shuffle_parts(docs)
     schema, kinds = "part int, sig binary, v binary, role binary", {"sig": "u4", "v": "i8", "role": "i1"}
-    sent = docs.select("text").mapInArrow(_sender(parts), schema)
+    sent = docs.select("text").mapInArrow(tv.lean(_sender(parts)), schema)
     met = durable(tv.exchange(sent, kinds, parts, _groups, "gid long, a long, b long, n long"))
-    pairs = durable(likely(met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LIKELY), named))
-    sets = sets_of(_ends(pairs), docs, named)
+    pairs = met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LIKELY)
+    if not named.where("spare0 < 0 OR spare1 < 0").isEmpty():
+        pairs = pairs.union(sought(docs, named).withColumn("n", F.lit(MUST)))
+    pairs = durable(likely(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), described, named))
     # each vertex first tries the smaller vertex it shares most signatures with
     tried = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", F.col("a"))).alias("a")).select("a", "b"))
-    edges = durable(verified(tried, sets))
+    edges = durable(verified(tried, docs, named))
     roots = durable(components(edges))
     rest = durable(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots))
-    edges = durable(edges.union(verified(rest, sets)))
+    if not rest.isEmpty():
+        edges = durable(edges.union(verified(rest, docs, named)))
     members = durable(_unsettled(met, named))
-    if members.isEmpty():
-        return edges
-    roots = durable(components(edges))
-    told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
-    torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
-    told = told.join(torn, "gid", "left_semi")
-    more = durable(_hidden(told, named).groupBy("a", "b").agg(F.sum("n").alias("n")))
-    return edges.union(durable(verified(more, sets_of(_ends(more), docs, named))))
+    known, whole = None, False
+    while True:
+        roots = durable(components(edges))
+        told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
+        torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
+        told = durable(told.join(torn, "gid", "left_semi"))
+        if told.isEmpty():
+            return edges
+        if known is None:
+            known = durable(sketches_of(told.select("v").distinct(), described, named).join(named.select("v", "n_shingles"), "v"))
+        more = durable(_hidden(told, known, whole).distinct())
+        new = durable(verified(more.where("a IS NOT NULL"), docs, named))
+        edges = durable(edges.union(new))
+        again = more.where("gid IS NOT NULL").select("gid")
+        if again.isEmpty():
+            return edges
+        # groups that told all of their pairs are done
+        members, whole = durable(members.join(again.distinct(), "gid", "left_semi")), new.isEmpty()
 
 
 def _named(described: DataFrame) -> DataFrame:
-    return durable(described.where("v <> 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("spare0").alias("spare0"), F.max("spare1").alias("spare1")))
+    """One row for each set: v, its smallest doc_id, own: hash of one of its texts, size, spares."""
+    least = [F.min("doc_id").alias("doc_id"), F.min("own").alias("own"), *(F.max(c).alias(c) for c in ("n_shingles", "spare0", "spare1"))]
+    return durable(described.where("v <> 0").groupBy("v").agg(*least))
+
+
+DESCRIBED = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, own long"
+
+
+def describe(docs: DataFrame, more: str = "") -> DataFrame:
+    kept = [F.col(x.split()[0]) for x in more.split(",") if x]
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("own"), *kept)
+    return durable(rows.mapInArrow(tv.lean(_describe), DESCRIBED + ("," + more if more else "")))
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    described = durable(docs.select("doc_id", "text").mapInArrow(_describe, "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long"))
+    described = describe(docs.select("doc_id", "text"))
     named = _named(described)
-    roots = durable(components(links(docs, named)))
+    roots = durable(components(links(docs, described, named)))
     # most sets are a component by themselves: only those of several are contracted further
     least = named.select("v", "doc_id").join(roots, "v", "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("doc_id").alias("component_id"))
     linked = roots.join(least, "root").select("v", "component_id")
@@ -428,25 +661,23 @@ def join(docs: DataFrame) -> DataFrame:
     return told.select("doc_id", "n_shingles", F.when(F.col("v") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _own(docs: DataFrame) -> DataFrame:
-    """docs with __own, which tells rows of one doc_id (or none) apart by all their columns, and again after a retry."""
-    return docs.withColumn("__own", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each component: that of the smallest doc_id, rows without one last; of several with that id the one
     with the smallest hash. Rows without a word are in no component: all stay, equal rows with an id once."""
-    kinds = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, __own long"
-    described = durable(_own(docs).select("doc_id", "text", "__own").mapInArrow(_describe, kinds))
-    roots = durable(components(links(docs, _named(described))))
-    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__own")
+    mark = fresh(docs, "mark")
+    # tells rows of one doc_id (or none) apart by all their columns, and again after a retry
+    marked = docs.withColumn(mark, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    described = describe(marked.select("doc_id", "text", F.col(mark).alias("mark")), "mark long")
+    roots = durable(components(links(docs, described, _named(described))))
+    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     first = described.where("v <> 0").select("v", last.alias("x")).groupBy("v").agg(F.min("x").alias("x"))
     first = first.join(roots, "v", "left").groupBy(F.coalesce("root", "v")).agg(F.min("x").alias("x"))
     plain = described.where("v = 0").select(last.alias("x")).distinct()
-    keep = durable(first.select("x").union(plain).select(F.col("x.doc_id").alias("__id"), F.col("x.__own").alias("__own"))).withColumnRenamed("__own", "__row")
-    kept = _own(docs).join(keep, (F.col("__own") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    id_, row = fresh(docs, "id"), fresh(docs, "row")
+    keep = durable(first.select("x").union(plain).select(F.col("x.doc_id").alias(id_), F.col("x.mark").alias(row)))
+    kept = marked.join(keep, (F.col(mark) == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
     nothing = F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    once = kept.where(~nothing).dropDuplicates(["doc_id", "__own"]).unionByName(kept.where(nothing))
+    once = kept.where(~nothing).dropDuplicates(["doc_id", mark]).unionByName(kept.where(nothing))
     return once.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

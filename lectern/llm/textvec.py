@@ -6,14 +6,16 @@ of a batch, a partition or the corpus (one text longer than a chunk is a chunk o
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 U = np.uint64
 
 _SPACE = np.zeros(256, bool)
@@ -120,6 +122,24 @@ def ragged(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
 
 
+def lean(run: Callable) -> Callable:
+    """run, giving freed memory back at its end: workers wait for their next task with what they hold."""
+
+    @wraps(run)
+    def told(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _powers[:] = [np.ones(1, U), np.ones(1, U)]
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return told
+
+
 # ---- exchange of packed arrays ---------------------------------------------------------------------
 
 Columns = dict[str, np.ndarray]
@@ -156,7 +176,7 @@ def exchange(df: DataFrame, dtypes: dict[str, str], parts: int, meet: Callable[[
     def joined(held: list[list]) -> Columns:
         return {name: np.concatenate([np.frombuffer(row[k], kind) for row in held]) for k, (name, kind) in enumerate(dtypes.items())}
 
-    return df.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, schema)
+    return df.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(lean(run), schema)
 
 
 def shuffle_parts(df: DataFrame) -> int:
