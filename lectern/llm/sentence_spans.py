@@ -1,8 +1,10 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of RUN consecutive sentences of a document is hashed; equal runs meet in one exchange; each run but
-the first one (by doc_id, then place) is marked, and the sentences that a marked run covers are removed.
-A sentence of LONG words or more is a run by itself, so a long passage without full stops is caught as well.
+A run goes from a sentence over the fewest following ones, RUN sentences at least, that make LEAST words, or back
+from a sentence in the same way. So a repeated passage of RUN whole sentences and LEAST words or more is covered by runs
+within it, to its first and to its last sentence, whatever stands around it. Every run is hashed; equal runs meet in one
+exchange; each run but the first one (by doc_id, then place) is marked, and the sentences that a marked run covers are
+removed. A sentence of LONG words or more is a run by itself, so a long passage without full stops is caught as well.
 Within one task only the first occurrence of a run is sent on, later ones are marked at once, so a run that
 a third of all documents share reaches its reducer once per task, not once per document.
 
@@ -13,7 +15,7 @@ have equal anchors. The anchors of all texts meet first, about one for each 13 w
 that stands elsewhere too send the stretches around those anchors only. No repeated stretch is lost by that.
 
 A sentence ends at . ! ? or : ; followed by white space, or at a line's end. Sentences are compared by their
-words, with A-Z in lower case and white space ignored. A run with fewer than LEAST words is not compared.
+words, with A-Z in lower case and white space ignored.
 
 Defined cases
     null or empty text: no sentences, nothing removed; null text stays null.
@@ -35,9 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import durable, if_small, table
+from lectern.llm.common import durable, fresh, if_small, table
 
-RUN, LEAST, LONG = 3, 12, 40
+RUN, LEAST, LONG = 2, 25, 40
 SPAN, GRAM = 50, 25
 FLUSH = 1 << 21
 NO_ID = -(1 << 63)
@@ -63,14 +65,15 @@ def spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     """(text, first sentence in it, number of sentences, hash) of every compared run."""
     head, first, word = sentences(data, off)
     seq, out = tv.Sequence(word), []
-    count = np.diff(first)
-    owner, at = tv.ragged(count)
-    sent = np.arange(len(owner))
-    for run in (RUN, 1):
-        ok = at + run <= count[owner]
-        a, b = head[sent[ok]], head[np.minimum(sent[ok] + run, len(head) - 1)]
-        enough = b - a >= (LEAST if run > 1 else LONG)
-        out.append((owner[ok][enough], at[ok][enough], np.full(int(enough.sum()), run), seq.of(a[enough], b[enough])))
+    owner, at = tv.ragged(np.diff(first))
+    i = np.arange(len(owner))
+    ahead = np.maximum(i + RUN, np.searchsorted(head, head[i] + LEAST, "left"))
+    back = np.minimum(i + 1 - RUN, np.searchsorted(head, head[i + 1] - LEAST, "right") - 1)
+    ok, fits = ahead <= first[1:][owner], back >= first[:-1][owner]
+    runs = np.unique(np.concatenate([np.stack([i[ok], ahead[ok]], axis=1), np.stack([back[fits], i[fits] + 1], axis=1)]), axis=0)
+    long = i[head[i + 1] - head[i] >= LONG]
+    for a, b in (runs.T, (long, long + 1)):
+        out.append((owner[a], at[a], b - a, seq.of(head[a], head[b])))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -139,7 +142,7 @@ def _named(docs: DataFrame) -> DataFrame:
 def removed(docs: DataFrame) -> DataFrame:
     """doc, own, gone: the sorted numbers of the sentences to remove, of every document that loses any."""
     parts = tv.shuffle_parts(docs)
-    sent = _named(docs).mapInArrow(_mapper(parts), "part int, key binary, doc binary, own binary, at binary, run binary")
+    sent = _named(docs).mapInArrow(tv.lean(_mapper(parts)), "part int, key binary, doc binary, own binary, at binary, run binary")
     kinds = {"key": "u8", "doc": "i8", "own": "i8", "at": "i4", "run": "i1"}
     rows = tv.exchange(sent, kinds, parts, _meet, "doc long, own long, s int")
     return rows.groupBy("doc", "own").agg(F.array_sort(F.collect_set("s")).alias("gone"))
@@ -302,18 +305,18 @@ def passages(docs: DataFrame) -> DataFrame:
     parts = tv.shuffle_parts(docs)
     binary = lambda kinds: "part int, " + ", ".join(f"{k} binary" for k in kinds)
     named = _named(docs)
-    met = durable(tv.exchange(named.mapInArrow(_anchors(parts), binary(ANCHORS)), ANCHORS, parts, _meet_anchors, "doc long, own long, key long"))
+    met = durable(tv.exchange(named.mapInArrow(tv.lean(_anchors(parts)), binary(ANCHORS)), ANCHORS, parts, _meet_anchors, "doc long, own long, key long"))
     wanted = durable(met.groupBy("doc", "own").agg(F.collect_set("key").alias("wanted")))
-    some = named.join(if_small(wanted.select("doc", "own"), 1_000_000), ["doc", "own"], "left_semi").join(wanted, ["doc", "own"]).select("doc_id", "own", "text", "wanted")
-    rows = tv.exchange(some.mapInArrow(_stretches(parts), binary(STRETCHES)), STRETCHES, parts, _meet_stretches, "doc long, own long, a long, b long")
+    some = named.join(if_small(wanted.select("doc", "own"), 16), ["doc", "own"], "left_semi").join(wanted, ["doc", "own"]).select("doc_id", "own", "text", "wanted")
+    rows = tv.exchange(some.mapInArrow(tv.lean(_stretches(parts)), binary(STRETCHES)), STRETCHES, parts, _meet_stretches, "doc long, own long, a long, b long")
     return rows.groupBy("doc", "own").agg(F.collect_list(F.struct("a", "b")).alias("cut"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of every text, and the text without its removed sentences and stretches of words."""
+    """Counts of every text, and the text without its removed sentences and stretches of words, which the last two columns tell."""
     for batch in batches:
         rest = {"n_sentences": [], "n_removed": [], "new_text": []}
-        gone, cut, texts = batch.column("gone"), batch.column("cut"), batch.column("text")
+        gone, cut, texts = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1), batch.column("text")
         for i, j, data, off in tv.chunks(texts):
             head, first, _ = sentences(data, off)
             start, _, word = tv.words(data, off)
@@ -338,22 +341,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 turn = np.flatnonzero(np.diff(np.concatenate([[False], keep, [False]])))
                 pieces = [data[edge[x] : edge[y]].tobytes() for x, y in zip(turn[::2], turn[1::2])]
                 rest["new_text"].append(b"".join([data[off[k - i] : edge[0]].tobytes(), *pieces]).decode("utf-8", "replace"))
-        out = batch.drop_columns(["gone", "cut"])
-        names = out.schema.names
-        arrays = list(out.columns)
+        names, arrays = batch.schema.names[:-2], list(batch.columns)[:-2]
         arrays[names.index("text")] = pa.array(rest["new_text"], pa.string())
         for name in ("n_sentences", "n_removed"):
             arrays.append(pa.array(rest[name], pa.int64()))
-        yield pa.RecordBatch.from_arrays(arrays, [*names, "__n_sentences", "__n_removed"])
+        yield pa.RecordBatch.from_arrays(arrays, [*names, "n_sentences_", "n_removed_"])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs with the repeated sentences and passages cut out of text, and __n_sentences and __n_removed."""
+    """docs with the repeated sentences and passages cut out of text, and __n_sentences and __n_removed (with an
+    underscore more for each column of docs that has that name)."""
     gone = durable(removed(docs).join(passages(docs), ["doc", "own"], "full_outer"))
-    d = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn("__own", F.xxhash64("text"))
-    joined = d.join(gone.withColumnsRenamed({"doc": "__doc", "own": "__own"}), ["__doc", "__own"], "left").select(*[F.col(f"`{c}`") for c in docs.columns], "gone", "cut")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __n_sentences long, __n_removed long"
-    return joined.mapInArrow(_cut, schema)
+    doc, own, lost, cut = (fresh(docs, c) for c in ("doc", "own", "gone", "cut"))
+    d = docs.withColumn(doc, F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn(own, F.xxhash64("text"))
+    joined = d.join(gone.withColumnsRenamed({"doc": doc, "own": own, "gone": lost, "cut": cut}), [doc, own], "left").select(*[F.col(f"`{c}`") for c in docs.columns], lost, cut)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {fresh(docs, 'n_sentences')} long, {fresh(docs, 'n_removed')} long"
+    return joined.mapInArrow(tv.lean(_cut), schema)
 
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

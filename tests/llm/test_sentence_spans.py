@@ -23,14 +23,18 @@ def brute(table):
                 out.append(now)
         sents[doc] = out
     seen, gone = {}, {}
-    for run in (ss.RUN, 1):
-        for doc in sorted(sents):
-            for at in range(len(sents[doc]) - run + 1):
-                words = [w for s in sents[doc][at : at + run] for w in s]
-                if len(words) < (ss.LEAST if run > 1 else ss.LONG):
-                    continue
-                if seen.setdefault((run, *words), (doc, at)) != (doc, at):
-                    gone.setdefault(doc, set()).update(range(at, at + run))
+    for doc in sorted(sents):
+        n, runs = len(sents[doc]), set()
+        size = lambda a, b: sum(map(len, sents[doc][a:b]))
+        for i in range(n):
+            runs |= {(i, j) for j in range(i + ss.RUN, n + 1) if size(i, j) >= ss.LEAST and (j == i + ss.RUN or size(i, j - 1) < ss.LEAST)}
+            runs |= {(j, i + 1) for j in range(i + 2 - ss.RUN) if size(j, i + 1) >= ss.LEAST and (j == i + 1 - ss.RUN or size(j + 1, i + 1) < ss.LEAST)}
+            if size(i, i + 1) >= ss.LONG:
+                runs.add((i, i + 1))
+        for a, b in sorted(runs):
+            words = [w for s in sents[doc][a:b] for w in s]
+            if seen.setdefault(tuple(words), (doc, a)) != (doc, a):
+                gone.setdefault(doc, set()).update(range(a, b))
     return {d: sorted(g) for d, g in gone.items()}
 
 
@@ -110,3 +114,12 @@ def test_rows_that_share_an_id_are_cut_one_by_one(spark):
         for whole, heads in ((passage, ("First begins.", "Other one.")), (long, ("here", "there is"))):
             mine = sorted(t for t in left if t.startswith(heads))
             assert sum(whole in t for t in mine) == 1 and sum(t in heads for t in mine) == 1
+
+
+def test_short_runs_stay_and_two_long_sentences_go(spark):
+    short = "It is so. We agree on that. Thank you all very much."
+    two = prose(31, 28, 28) + " " + prose(32, 30, 30)
+    texts = [f"{prose(50 + i, 40)} {short} {prose(60 + i, 20)} {two if i % 2 else ''} {prose(70 + i, 9)}" for i in range(6)]
+    out = {r.doc_id: r for r in ss.dedup(spark.createDataFrame(rows(texts), DOCS)).collect()}
+    assert {d for d, r in out.items() if r["__n_removed"]} == {3, 5} and all(short in r.text for r in out.values())
+    assert two in out[1].text and all(two not in out[d].text for d in (3, 5))
