@@ -11,7 +11,9 @@ condemns it, word by word, before it goes.
 
 A line with one edit shares its first or its last half with its partner. So the neighbourhoods, as many keys as
 there are words, are only sent for lines of which a half also occurs in some other line; no link is lost by that.
-Equal lines within a task are marked at once and sent once.
+Equal lines within a task are marked at once and sent once; of the lines of a task that share a half, or a variant,
+only the ends of the group are sent, and the others are marked there. So a template line that a third of all documents
+vary costs its readers a few rows for each task.
 
 Defined cases
     null or empty text: no lines, nothing removed; null text stays null. Lines without a word: always kept.
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import durable, if_small, table
+from lectern.llm.common import durable, fresh, if_small, table
 
 LEAST = 8
 FLUSH = 1 << 20
@@ -68,7 +70,7 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
 
 
 HALVES = {"key": "u8", "whole": "u8", "doc": "i8", "own": "i8", "line": "i4", "kind": "i1"}
-WHOLE, HALF, KNOWN = 0, 1, 2
+WHOLE, HALF, KNOWN, TOLD = 0, 1, 2, 3
 
 
 def _halves(parts: int):
@@ -86,8 +88,20 @@ def _halves(parts: int):
             once[order[lead]] = True
             long = once & (n >= LEAST)
             a, b = half[0] != half[2], half[1] != half[3]
-            groups = [(whole, once, WHOLE), (half[0], long, HALF), (half[1], long, HALF), (half[2], long & a, HALF), (half[3], long & b, HALF)]
-            out = [(k[m], whole[m], doc[m], own[m], line[m], np.full(int(m.sum()), kind)) for k, m, kind in groups]
+            out = [(whole[once], whole[once], doc[once], own[once], line[once], np.full(int(once.sum()), WHOLE))]
+            # of the lines that share a half here the ones with the smallest and largest hash are sent, the others are told
+            of = np.concatenate([np.flatnonzero(m) for m in (long, long, long & a, long & b)])
+            key = np.concatenate([k[m] for k, m in zip(half, (long, long, long & a, long & b))])
+            order = np.lexsort((whole[of], key))
+            of, key = of[order], key[order]
+            first = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
+            last = np.concatenate([key[1:] != key[:-1], [True]])[: len(key)]
+            for m, kind in ((first | last, HALF), (~(first & last), TOLD)):
+                at, k = of[m], key[m]
+                if kind == TOLD:
+                    at = np.unique(at)
+                    k = doc[at].view(U) ^ own[at].view(U)
+                out.append((k, whole[at], doc[at], own[at], line[at], np.full(len(at), kind)))
             out.append((d[late].view(U) ^ o[late].view(U), w[late], d[late], o[late], i[late], np.full(int(late.sum()), KNOWN)))
             key, whole, doc, own, line, kind = (np.concatenate(x) for x in zip(*out))
             return tv.packed({"key": key, "whole": whole, "doc": doc, "own": own, "line": line.astype(np.int32), "kind": kind.astype(np.int8)}, _part(key, parts), parts)
@@ -134,6 +148,8 @@ def _meet_halves(c: tv.Columns) -> Iterator[pa.RecordBatch]:
     d, o, i = c["doc"][m][order], c["own"][m][order], c["line"][m][order]
     late = (d != d[lead]) | (o != o[lead]) | (i != i[lead])
     yield from _rows(EXACT, d[late], o[late], i[late])
+    m = c["kind"] == TOLD
+    yield from _rows(SUSPECT, c["doc"][m], c["own"][m], c["line"][m])
     m = c["kind"] == HALF
     order, new, _ = _first(c["key"][m], c["whole"][m])
     if not len(order):
@@ -144,18 +160,33 @@ def _meet_halves(c: tv.Columns) -> Iterator[pa.RecordBatch]:
     yield from _rows(SUSPECT, c["doc"][m][order][take], c["own"][m][order][take], c["line"][m][order][take])
 
 
+LATE, BY = -2, -3
 VARIANTS = {"key": "u8", "doc": "i8", "own": "i8", "line": "i4", "at": "i4"}
 
 
 def _variants(parts: int):
-    """Sends the deletion neighbourhood of every suspect line; at: the deleted word's place, -1 for none."""
+    """Sends the deletion neighbourhood of every suspect line; at: the deleted word's place, -1 for none. A variant that
+    an earlier line of this task has at the same place is not sent; the line and that earlier one go as LATE and BY."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush():
             key, doc, own, line, at = (np.concatenate(x) for x in zip(*held))
-            return tv.packed({"key": key, "doc": doc, "own": own, "line": line.astype(np.int32), "at": at.astype(np.int32)}, _part(key, parts), parts)
+            order, _, lead = _first(tv.mix(key ^ tv.mix((at + 2).astype(U))), doc, own, line)
+            key, doc, own, line, at = key[order], doc[order], own[order], line[order], at[order]
+            late = (at >= 0) & ((doc != doc[lead]) | (own != own[lead]) | (line != line[lead]))
+            x = np.flatnonzero(late)
+            token = tv.mix(doc[x].view(U) ^ tv.mix(own[x].view(U) ^ tv.mix(line[x].astype(U))))
+            token, once = np.unique(token, return_index=True)
+            x = x[once]
+            rows = {"key": key, "doc": doc, "own": own, "line": line, "at": at}
+            rest = [x, lead[x]]
+            rows = {n: np.concatenate([c[~late], *(c[i] for i in rest)]) for n, c in rows.items()}
+            rows["key"] = np.concatenate([key[~late], token, token])
+            rows["at"] = np.concatenate([at[~late], np.full(len(x), LATE), np.full(len(x), BY)]).astype(np.int32)
+            rows["line"] = rows["line"].astype(np.int32)
+            return tv.packed(rows, _part(rows["key"], parts), parts)
 
         for batch in batches:
             ids, wanted = batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("wanted")
@@ -194,6 +225,11 @@ def _meet_variants(c: tv.Columns) -> Iterator[pa.RecordBatch]:
         gone = (d != d[lead]) | (o != o[lead]) | (i != i[lead])
         return d[gone], o[gone], i[gone], d[lead][gone], o[lead][gone], i[lead][gone]
 
+    # what a task has found: each line of LATE, with any of its lines of BY
+    pair = [np.flatnonzero(at == kind) for kind in (LATE, BY)]
+    x, y = (p[np.argsort(key[p], kind="stable")] for p in pair)
+    yield from _rows(NEAR, doc[x], own[x], line[x], doc[y], own[y], line[y])
+    key, doc, own, line, at = (c[at > LATE] for c in (key, doc, own, line, at))
     whole = at < 0
     # one word replaced: equal keys without the word at the same place
     yield from _rows(NEAR, *late(~whole, tv.mix(key ^ tv.mix((at + 2).astype(U)))))
@@ -235,18 +271,18 @@ def removed(docs: DataFrame) -> DataFrame:
     parts = tv.shuffle_parts(docs)
     d = docs.select("doc_id", F.xxhash64("text").alias("own"), "text")
     binary = lambda kinds: "part int, " + ", ".join(f"{k} binary" for k in kinds)
-    first = durable(tv.exchange(d.mapInArrow(_halves(parts), binary(HALVES)), HALVES, parts, _meet_halves, FOUND))
+    first = durable(tv.exchange(d.mapInArrow(tv.lean(_halves(parts)), binary(HALVES)), HALVES, parts, _meet_halves, FOUND))
     exact = first.where(F.col("kind") == EXACT).select("doc", "own", "line").distinct()
     suspect = first.where(F.col("kind") == SUSPECT).select("doc", "own", "line").distinct()
     # lines that are gone already condemn nothing that their first copy does not
     suspect = durable(suspect.join(exact, ["doc", "own", "line"], "left_anti").groupBy("doc", "own").agg(F.collect_list("line").alias("wanted")))
     named = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("own"), "doc_id", "text")
-    again = named.join(if_small(suspect, 200_000), ["doc", "own"]).select("doc_id", "own", "text", "wanted")
-    near = durable(tv.exchange(again.mapInArrow(_variants(parts), binary(VARIANTS)), VARIANTS, parts, _meet_variants, FOUND))
+    again = named.join(if_small(suspect, F.lit(40) + 8 * F.size("wanted")), ["doc", "own"]).select("doc_id", "own", "text", "wanted")
+    near = durable(tv.exchange(again.mapInArrow(tv.lean(_variants(parts)), binary(VARIANTS)), VARIANTS, parts, _meet_variants, FOUND))
     # one witness for each line suffices: within a group the earliest line is near to all
     pairs = durable(near.select("doc", "own", "line", "by_doc", "by_own", "by_line").distinct())
     named_lines = pairs.select("doc", "own", "line").union(pairs.select("by_doc", "by_own", "by_line")).distinct()
-    some = named.join(if_small(durable(named_lines.select("doc", "own").distinct()), 1_000_000), ["doc", "own"], "left_semi")
+    some = named.join(if_small(durable(named_lines.select("doc", "own").distinct()), 16), ["doc", "own"], "left_semi")
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     text = some.dropDuplicates(["doc", "own"]).select("doc", "own", F.posexplode(F.split("text", "\n")).alias("line", "t")).withColumn("line", F.col("line").cast("long"))
     text = text.join(named_lines, ["doc", "own", "line"], "left_semi")
@@ -258,22 +294,24 @@ def removed(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """docs with the removed lines cut out of text, and __exact and __near, the numbers of removed lines."""
-    gone = removed(docs).groupBy(F.col("doc").alias("__doc"), F.col("own").alias("__own")).agg(
-        F.array_sort(F.collect_set("line")).alias("__gone"),
-        F.count_if(~F.col("near")).alias("__exact"),
-        F.count_if("near").alias("__near"),
+    """docs with the removed lines cut out of text, and __exact and __near, the numbers of removed lines (with an
+    underscore more for each column of docs that has that name)."""
+    doc, own, lost, exact, near = (fresh(docs, c) for c in ("doc", "own", "gone", "exact", "near"))
+    gone = removed(docs).groupBy(F.col("doc").alias(doc), F.col("own").alias(own)).agg(
+        F.array_sort(F.collect_set("line")).alias(lost),
+        F.count_if(~F.col("near")).alias(exact),
+        F.count_if("near").alias(near),
     )
-    named = docs.withColumn("__doc", F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn("__own", F.xxhash64("text"))
-    joined = named.join(gone, ["__doc", "__own"], "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i.cast("long"))), "\n")
-    columns = [F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("__exact", "__near")])
+    named = docs.withColumn(doc, F.coalesce(F.col("doc_id"), F.lit(NO_ID))).withColumn(own, F.xxhash64("text"))
+    joined = named.join(gone, [doc, own], "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(lost, i.cast("long"))), "\n")
+    columns = [F.when(F.col(lost).isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*columns, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (exact, near)])
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """As dedup(), with the columns of docs only; n_chars follows the text and documents left without a word go."""
-    out = dedup(docs).drop("__exact", "__near").where(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    out = dedup(docs).select(*[F.col(f"`{c}`") for c in docs.columns]).where(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
