@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import let, table, words_of
+from lectern.llm.common import fresh, let, table, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 #: Marks that ordinary prose rarely has in one word out of ten characters.
@@ -24,8 +24,12 @@ NOISE = "[#*$%&|<>!~^=_]"
 NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|menu|search|login|log in|sign in|sign up|register|next|previous|back to top|read more|share|sitemap|contact us|about us|skip to content)[\x20\x09-\x0D]*$"
 BOILERPLATE = r"(?i)(all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|click here|lorem ipsum|copyright \(c\)|subscribe to our newsletter)"
 HAS_WORD = r"[^\x20\x09-\x0D]"
-#: A boilerplate phrase condemns a line up to this length; in a longer paragraph it is a mention.
-SHORT_LINE = 200
+#: Boilerplate phrases condemn a line of which they are so many percent; in a longer paragraph they are a mention.
+PHRASE_PERCENT = 10
+#: A menu: words between separators, and no mark of punctuation that ends a sentence.
+SEPARATOR = r"[\x20\x09](?:[|•·»›>]|::|->)[\x20\x09]"
+LEAST_SEPARATORS = 2
+ENDS = r"[.!?:;,)\]\"'”’…。！？][\x20\x09-\x0D]*$"
 NOISE_PERCENT, MAX_BARS, KEPT_PERCENT, WINDOW, LEAST_WORDS, REPEAT_PERCENT = 10, 3, 60, 8, 20, 30
 
 
@@ -33,8 +37,10 @@ def line_fails(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules on one line."""
     noise = F.regexp_count(line, F.lit(NOISE)) * 100 > F.length(line) * NOISE_PERCENT
     bars = F.regexp_count(line, F.lit(r"\|")) >= MAX_BARS
-    short = F.length(line) <= SHORT_LINE
-    return noise | bars | (short & (line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)))
+    menu = (F.regexp_count(line, F.lit(SEPARATOR)) >= LEAST_SEPARATORS) & ~line.rlike(ENDS)
+    phrases = F.length(line) - F.length(F.regexp_replace(line, BOILERPLATE, ""))
+    boilerplate = F.when(line.rlike(BOILERPLATE), phrases * 100 >= F.length(line) * PHRASE_PERCENT).otherwise(F.lit(False))
+    return noise | bars | menu | line.rlike(NAVIGATION) | boilerplate
 
 
 def _total_length(lines: Column) -> Column:
@@ -127,7 +133,7 @@ def cleaned(text: Column) -> Column:
 def apply_rules(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns; text is cleaned and n_chars follows it."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    flag = "__rules_kept"
+    flag = fresh(docs, "rules_kept")
     seen = docs.withColumn(
         flag,
         F.struct(let(words_of(F.col("text")), _word_figures).alias("w"), let(F.split(text, "\n"), _line_figures).alias("l")),
@@ -157,7 +163,9 @@ line AS (SELECT rid, l FROM d, unnest(string_split(text, chr(10))) AS x(l) WHERE
 judged AS (SELECT rid, l, length(l) AS n,
     len(regexp_extract_all(l, '{NOISE}')) * 100 > length(l) * {NOISE_PERCENT}
     OR len(regexp_extract_all(l, '\|')) >= {MAX_BARS}
-    OR length(l) <= {SHORT_LINE} AND (regexp_matches(l, '{NAVIGATION}') OR regexp_matches(l, '{BOILERPLATE}')) AS bad FROM line),
+    OR len(regexp_extract_all(l, '{SEPARATOR}')) >= {LEAST_SEPARATORS} AND NOT regexp_matches(l, '{ENDS.replace("'", "''")}')
+    OR regexp_matches(l, '{NAVIGATION}')
+    OR regexp_matches(l, '{BOILERPLATE}') AND (length(l) - length(regexp_replace(l, '{BOILERPLATE}', '', 'g'))) * 100 >= length(l) * {PHRASE_PERCENT} AS bad FROM line),
 lines AS (SELECT rid, count(*) - count(DISTINCT l) AS dup, sum(n) AS total, coalesce(sum(n) FILTER (NOT bad), 0) AS good FROM judged GROUP BY rid),
 f AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '{SYMBOLS}'))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines,
