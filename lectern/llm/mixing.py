@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash thresholds, without sorting documents.
 
-Each document has a 60-bit hash of its id. Its source's target is met by whole passes over the source
+Each document has a 60-bit hash of its id and text. Its source's target is met by whole passes over the source
 plus the documents under one hash threshold. The threshold is found from histograms: token sums by
 (source, top ten bits), whose running sums name one boundary bucket per source; only that bucket's rows
 are summed again by the next ten bits, and so on. Nothing is sorted but at most 1024 sums per source.
@@ -8,7 +8,7 @@ are summed again by the next ten bits, and so on. Nothing is sorted but at most
 Defined cases
     null or empty text: size 0, taken 0. Null source: a source of its own, last in order.
     null doc_id: hashes like an empty id, so it takes part as any other row.
-    repeated rows: rows of one doc_id share a hash and are taken together or not at all.
+    repeated rows: rows of one doc_id and text share a hash and are taken together or not at all.
     sources without any word: target 0. No words at all: every target 0.
     empty table: empty result. Extra columns: ignored by plan(), carried by mix().
 """
@@ -19,22 +19,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import WORD, durable, if_small, table
+from lectern.llm.common import WORD, durable, fresh, if_small, table
 
 WEIGHTS, MOST = (5, 2, 1), 3
 LEVELS, BITS = 3, 10
 TOP = 60
-NO_ID = -(1 << 63)
 
 
-def doc_hash(doc_id: Column) -> Column:
-    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
+def doc_hash(doc_id: Column, text: Column) -> Column:
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\x1f"), F.coalesce(text, F.lit(""))))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
     """source, source_size, target; one row per source. The level all uncapped sources share is found in
-    one pass over the sources in the order in which they reach their cap."""
+    one pass over the sources in the order in which they reach their cap; it takes one task, one row per source."""
     order = W.orderBy(F.col("source").isNull(), F.col("source"))
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     weights = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((F.row_number().over(order) - 1) % len(WEIGHTS) + 1).cast("int"))
@@ -83,22 +82,19 @@ def _boundary(rows: DataFrame, budget: DataFrame, shift: int) -> DataFrame:
     ).select("source", "x.bucket", "x.rest", "x.n")
 
 
-def plan(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken of every row."""
-    rows = durable(
-        docs.select(
-            "doc_id",
-            "source",
-            F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-            doc_hash(F.col("doc_id")).alias("h"),
-        )
-    )
-    goals = durable(
+def _sized() -> list[Column]:
+    return [F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"), doc_hash(F.col("doc_id"), F.col("text")).alias("h")]
+
+
+def goals(rows: DataFrame) -> DataFrame:
+    """source, source_size, target, passes: whole passes that the mix takes, cut: the largest hash it takes once more
+    (null: all); rows: source, size, h, cut from their lineage. One row per source."""
+    told = durable(
         targets(rows)
         .withColumn("passes", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST))).otherwise(F.lit(0)).cast("long"))
         .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
     )
-    left, budget = rows.where("size > 0"), goals.where("rest > 0").select("source", "rest")
+    left, budget = rows.where("size > 0"), told.where("rest > 0").select("source", "rest")
     for level in range(1, LEVELS + 1):
         shift = TOP - BITS * level
         edge = durable(_boundary(left, budget, shift))
@@ -114,27 +110,34 @@ def plan(docs: DataFrame) -> DataFrame:
         # the hash that crosses the budget is taken if that comes nearer to it
         F.when(F.col("n") - F.col("rest") < F.col("rest"), F.col("bucket")).otherwise(F.col("bucket") - 1).alias("cut"),
     )
-    goals = goals.alias("g").join(cut.alias("c"), _same(F.col("g.source"), F.col("c.source")), "left").select(
-        "g.source", "g.source_size", "g.target", "g.passes", F.when(F.col("g.rest") > 0, F.col("c.cut")).otherwise(F.lit(-1)).alias("cut")
-    )
-    under = F.when(F.col("t.cut").isNull() | (F.col("d.h") <= F.col("t.cut")), F.lit(1)).otherwise(F.lit(0))
-    under = F.when(F.col("t.passes") >= MOST, F.lit(0)).otherwise(under)
-    return rows.alias("d").join(if_small(durable(goals)).alias("t"), _same(F.col("d.source"), F.col("t.source"))).select(
-        "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", (F.col("d.size") * (F.col("t.passes") + under)).alias("taken")
+    return durable(
+        told.alias("g").join(cut.alias("c"), _same(F.col("g.source"), F.col("c.source")), "left").select(
+            "g.source", "g.source_size", "g.target", "g.passes", F.when(F.col("g.rest") > 0, F.col("c.cut")).otherwise(F.lit(-1)).alias("cut")
+        )
     )
 
 
+def _times(hash_: Column) -> Column:
+    """How often a row with this hash is taken, by the columns of goals."""
+    under = F.when(F.col("t.cut").isNull() | (hash_ <= F.col("t.cut")), F.lit(1)).otherwise(F.lit(0))
+    return F.col("t.passes") + F.when(F.col("t.passes") >= MOST, F.lit(0)).otherwise(under)
+
+
+def plan(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source, source_size, target, taken of every row."""
+    rows = durable(docs.select("doc_id", "source", *_sized()))
+    met = rows.alias("d").join(if_small(goals(rows)).alias("t"), _same(F.col("d.source"), F.col("t.source")))
+    return met.select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", (F.col("d.size") * _times(F.col("d.h"))).alias("taken"))
+
+
 def mix(docs: DataFrame) -> DataFrame:
-    """docs with each row as often as the mix takes it; the columns stay."""
-    told = plan(docs).where("taken > 0").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), "source", (F.col("taken") / F.col("size")).cast("int").alias("__times")
-    )
-    # rows of one doc_id and source share a hash, so they are taken equally often
-    told = told.groupBy("__id", "source").agg(F.max("__times").alias("__times"))
-    d = docs.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).alias("d")
-    met = d.join(told.alias("t"), (F.col("d.__id") == F.col("t.__id")) & _same(F.col("d.source"), F.col("t.source")))
-    out = met.select("d.*", "t.__times").where(F.col("text").rlike(WORD))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs with each row as often as the mix takes it; the columns stay. Rows without a word are not taken."""
+    told = goals(durable(docs.select("source", *_sized())))
+    hash_, copy = fresh(docs, "hash"), fresh(docs, "copy")
+    met = docs.where(F.col("text").rlike(WORD)).withColumn(hash_, _sized()[1]).alias("d").join(if_small(told).alias("t"), _same(F.col("d.source"), F.col("t.source")))
+    times = _times(F.col(f"d.{hash_}"))
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    return met.where(times > 0).select(*columns, F.explode(F.sequence(F.lit(1), times.cast("int"))).alias(copy)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +146,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(31) || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS ss, 3 * sum(size)::DOUBLE AS cap,
     [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM d GROUP BY source),
 r AS (SELECT *, sum(ss) OVER () AS total,
