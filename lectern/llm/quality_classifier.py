@@ -15,7 +15,7 @@ Defined cases
     null, empty or tokenless text: the zero vector; scored by the network like any other.
     null or contradicting labels: null ones are ignored, of several for one doc_id the mean is rounded, a tie counts as 1.
     no usable label, or one class only: score is the smoothed share of label 1 for every document (0.5 without labels).
-    null doc_id: never learned from, hashed like an empty id. Repeated rows: scored alike; one is learned from.
+    null doc_id: never learned from, hashed like an empty id. Repeated rows: scored alike; one text is learned from, of several under one doc_id that whose features are first as bytes.
     very long texts: whole, in one chunk. Empty table: empty result. Extra columns: ignored.
 """
 
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,29 +93,35 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for d in range(DIMENSIONS):
                 table_[:, d] += np.bincount(token, around[:, d], BUCKETS)
     blocks = table_.astype(np.float32).reshape(BLOCKS, -1)
-    salt = int(np.random.default_rng().integers(0, 64))
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS, dtype=np.int32)), pa.array(np.full(BLOCKS, salt, np.int32)), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "salt", "part"])
+    task = TaskContext.get().partitionId()
+    rows = [np.arange(BLOCKS, dtype=np.int32), np.full(BLOCKS, task % 64, np.int32), np.full(BLOCKS, task, np.int32)]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "salt", "task", "part"])
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each block of this partition; holds one table at most."""
-    sums: dict[int, np.ndarray] = {}
+    """One row for each block and salt of this partition, summed in the order of tasks, so that reruns agree; holds 64
+    tables at most."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        for block, part in zip(batch.column("block").to_pylist(), batch.column("part")):
+        for *block, part in zip(batch.column("block").to_pylist(), batch.column("salt").to_pylist(), batch.column("part")):
+            block = tuple(block)
             values = np.frombuffer(part.as_buffer(), np.float32)
             if block in sums:
                 sums[block] += values
             else:
                 sums[block] = values.astype(np.float64)
     if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([0] * len(sums), pa.int32()), pa.array([s.astype(np.float32).tobytes() for s in sums.values()], pa.binary())], ["block", "salt", "part"])
+        block, salt = zip(*sums)
+        rows = [block, [0] * len(sums), salt]
+        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int32()) for x in rows), pa.array([s.astype(np.float32).tobytes() for s in sums.values()], pa.binary())], ["block", "salt", "task", "part"])
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The word vector of every bucket, of unit length, from all texts."""
-    schema = "block int, salt int, part binary"
-    rows = docs.select("text").mapInArrow(_sums, schema)
-    rows = rows.repartition(64, "block", "salt").mapInArrow(_added, schema).repartition(BLOCKS, "block").mapInArrow(_added, schema)
+    schema = "block int, salt int, task int, part binary"
+    rows = docs.select("text").mapInArrow(tv.lean(_sums), schema)
+    for parts, by in ((64, ["block", "salt"]), (BLOCKS, ["block"])):
+        rows = rows.repartition(parts, *by).sortWithinPartitions("block", "salt", "task").mapInArrow(_added, schema)
     vectors = np.zeros((BLOCKS, BUCKETS // BLOCKS, DIMENSIONS))
     for r in rows.collect():  # BLOCKS rows
         vectors[r.block] += np.frombuffer(r.part, np.float32).reshape(-1, DIMENSIONS)
@@ -208,7 +215,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("y"))
     known = least_hashes(durable(known), F.xxhash64("doc_id"), "doc_id", SAMPLE)
-    sample = x.join(if_small(durable(known), SAMPLE), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    sample = x.join(if_small(durable(known), 16), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.min("y").alias("y")).orderBy("doc_id").toPandas()
     features = np.frombuffer(b"".join(sample["x"]), np.float32).reshape(-1, 2 * DIMENSIONS).astype(np.float64)
     network = sc.broadcast(Network().fit(features, sample["y"].to_numpy(np.float64)))
 
