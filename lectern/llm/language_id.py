@@ -7,13 +7,14 @@ hold every n-gram there is; a text's kernel values are the means over its window
 the Nystroem space, in which one ridge regression per language is fitted; a score is the softmax of the languages'
 values. All texts of a chunk are scored by two matrix products.
 
-The model is fitted on at most SAMPLE training documents (those with the smallest hash of doc_id, per language an
-equal share), from up to WINDOWS windows of each, spread over its whole text; that bound is a parameter. All
-documents and windows are scored.
+The model is fitted on about SAMPLE training documents (those with the smallest hash of doc_id and text, per language an
+equal share, ten at least), from up to WINDOWS windows of each, spread over its whole text; that bound is a parameter.
+Every language is learned; there are as many landmarks as languages at least. All documents and windows are scored.
 
 Defined cases
     null text or no letter: `und`, score 0. Empty table or no labelled row: `und` for all, score 0.
-    null lang: not learned from. Null doc_id: hashed like an empty id. Repeated rows: scored alike; one of them is learned from.
+    null lang: not learned from. Null doc_id: hashed like an empty id. Repeated rows: scored alike; one of them is learned
+    from. Rows of one doc_id with different texts or languages: each is learned from by itself.
     very long texts: all windows. Ties: the first language by code point. Extra columns: ignored.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import table
+from lectern.llm.common import durable, if_small, table
 
 ORDERS, BUCKETS, LANDMARKS, SAMPLE, WINDOW, WINDOWS, RIDGE, SHARP = 4, 4096, 160, 3000, 1500, 8, 1e-2, 6.0
 UNKNOWN = "und"
@@ -49,20 +50,18 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def presence(texts: list[bytes], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of normed presence features, one for each window; and of which text each is.
-
-    most: for fitting, so many windows of a text at most, evenly over the whole of it."""
-    owner, parts = [], []
-    for k, text in enumerate(texts):
-        n = max(1, round(len(text) / WINDOW))
-        step = -(-len(text) // n)
-        starts = np.arange(0, max(1, len(text)), max(1, step))
-        if most and len(starts) > most:
-            starts = starts[np.linspace(0, len(starts) - 1, most).astype(int)]
-        for a in starts.tolist():
-            owner.append(k)
-            parts.append(text[a : a + step])
+def windows(text: bytes, most: int | None = None) -> list[bytes]:
+    """A text cut into windows; most: so many of them at most, evenly over the whole text."""
+    n = max(1, round(len(text) / WINDOW))
+    step = max(1, -(-len(text) // n))
+    starts = np.arange(0, max(1, len(text)), step)
+    if most and len(starts) > most:
+        starts = starts[np.linspace(0, len(starts) - 1, most).astype(int)]
+    return [text[a : a + step] for a in starts.tolist()]
+
+
+def presence(parts: list[bytes]) -> np.ndarray:
+    """Rows of normed presence features, one for each window."""
     x = np.zeros((len(parts), BUCKETS), np.float32)
     data = np.frombuffer(b"".join(parts), np.uint8)
     size = np.array([len(p) for p in parts], np.int64)
@@ -79,8 +78,7 @@ def presence(texts: list[bytes], most: int | None = None) -> tuple[np.ndarray, n
         ok = at[: len(gram)] + n <= size[row[: len(gram)]]
         slot = (tv.mix(gram[ok] + U(n << 56)) % U(BUCKETS)).astype(np.int64)
         x[row[: len(gram)][ok], slot] = 1
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    return x, np.array(owner, np.int64)
+    return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
 class Model:
@@ -90,17 +88,19 @@ class Model:
         self.languages, self.landmarks, self.weights = languages, landmarks, weights
 
     @classmethod
-    def fit(cls, texts: list[bytes], labels: list[str]) -> Model:
+    def fit(cls, texts: list[list[bytes]], labels: list[str]) -> Model:
+        """texts: the windows of each."""
         languages = sorted(set(labels))
         if not languages:
             return cls([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, 0)))
-        x, owner = presence(texts, WINDOWS)
-        y = np.array([languages.index(z) for z in labels])[owner]
+        x, owner = presence([p for t in texts for p in t]), np.repeat(np.arange(len(texts)), list(map(len, texts)))
+        number = {z: k for k, z in enumerate(languages)}
+        y = np.array([number[z] for z in labels])[owner]
         # landmarks in turn from each language
         turn = np.empty(len(y), np.int64)
         for k in range(len(languages)):
             turn[y == k] = np.arange((y == k).sum())
-        marks = x[np.lexsort((y, turn))[:LANDMARKS]]
+        marks = x[np.lexsort((y, turn))[: max(LANDMARKS, len(languages))]]
         kernel = x @ marks.T
         target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
         weight = 1 / np.bincount(y, minlength=len(languages))[y] * len(y) / len(languages)
@@ -113,7 +113,8 @@ class Model:
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and its score."""
-        x, owner = presence(texts)
+        parts = [windows(t) for t in texts]
+        x, owner = presence([p for t in parts for p in t]), np.repeat(np.arange(len(texts)), list(map(len, parts)))
         values = np.zeros((len(texts), len(self.languages)))
         np.add.at(values, owner, np.hstack([x @ self.landmarks.T, np.ones((len(x), 1))]) @ self.weights)
         values /= np.bincount(owner, minlength=len(texts))[:, None]
@@ -123,24 +124,33 @@ class Model:
         return best, p[np.arange(len(best)), best]
 
 
+def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cut = [windows(t.as_py().encode("utf-8", "replace"), WINDOWS) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(cut, pa.list_(pa.binary()))], ["lang", "h", "windows"])
+
+
 def training(docs: DataFrame) -> pd.DataFrame:
-    """At most SAMPLE texts, per language an equal share of the smallest hashes."""
+    """lang, h, windows of the documents to learn from: of each language those with the smallest hashes.
+
+    A hash threshold that a few more than so many rows of the language meet comes first, so that only these are
+    ordered: a language that most rows have is no hot group. Windows are cut where the text is."""
     learn = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (remainder(F.col("doc_id"), 4) != 2))
-    languages = [r.lang for r in learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE // 10).collect()]
-    if not languages:
-        return pd.DataFrame({"text": [], "lang": []})
-    share = max(10, SAMPLE // len(languages))
-    some = learn.where(F.col("lang").isin(languages)).select("lang", F.xxhash64("doc_id").alias("h"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("d"))
-    by = W.partitionBy("lang").orderBy("h", "d")
-    chosen = some.dropDuplicates(["lang", "d"]).withColumn("r", F.row_number().over(by)).where(F.col("r") <= share).select("lang", "d")
-    texts = docs.select(F.coalesce(F.col("doc_id"), F.lit(0)).alias("d"), "lang", "text")
-    return texts.join(F.broadcast(chosen), ["d", "lang"], "left_semi").dropDuplicates(["d"]).orderBy("d").select("text", "lang").toPandas()
+    span = 1 << 30
+    rows = learn.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    number = durable(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    share = max(10, SAMPLE // max(1, number.count()))
+    level = F.least(F.lit(1.0), F.lit(1.25 * share + 200) / F.col("n")) * span
+    some = rows.join(if_small(number), "lang").where(F.pmod("h", F.lit(span)) < level).select("lang", "text", "h")
+    by = W.partitionBy("lang").orderBy(F.pmod("h", F.lit(span)), "h")
+    first = some.mapInArrow(_windowed, "lang string, h long, windows array<binary>").dropDuplicates(["lang", "h"])
+    return first.withColumn("r", F.row_number().over(by)).where(F.col("r") <= share).select("lang", "h", "windows").orderBy("h", "lang").toPandas()
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
     sample = training(docs)
-    model = Model.fit([t.encode("utf-8", "replace") for t in sample["text"]], list(sample["lang"]))
+    model = Model.fit([list(w) for w in sample["windows"]], list(sample["lang"]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +169,7 @@ def identify(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(predicted, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 
     held = docs.select("doc_id", "text", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"))
-    return held.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return held.mapInArrow(tv.lean(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def _portions(rows: list[int], off: np.ndarray, base: int, most: int = 1 << 19) -> Iterator[list[int]]:
