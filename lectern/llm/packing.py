@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import durable, table
 
 LENGTH, END_ID = 2048, 0
-GROUP, ISLANDS, EPOCHS, POPULATION, CHILDREN = 4096, 2, 2, 6, 60
+GROUP, ISLANDS, EPOCHS, POPULATION, CHILDREN = 4096, 4, 3, 6, 30
 BLOCK = 1 << 20
 
 
@@ -43,23 +43,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         # byte-level vocabularies write each byte as a printable character
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letter = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
-        ranks = {bytes(letter[c] for c in token): n for token, n in self.tokenizer.get_vocab().items() if token not in special}
-        self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        added = {t.content: (n, t) for n, t in self.tokenizer.get_added_tokens_decoder().items()}
+        ranks = {bytes(letter[c] for c in token): n for token, n in self.tokenizer.get_vocab().items() if token not in added}
+        # an added token that takes the blanks around it, or only whole words, is left to the file's own library
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for _, t in added.values())
+        self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={c: n for c, (n, _) in added.items()})
         # a text may be cut before a single blank between two other characters without changing a pre-token
         self.cut = regex.compile(r"\S (?=\S)")
 
     def block(self, text: str) -> bytes:
-        try:
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
-        except BaseException as e:  # its pattern engine gives up on endless white space, in a panic that is no Exception
-            if isinstance(e, KeyboardInterrupt | SystemExit | MemoryError):
-                raise
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.plain:
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+            except BaseException as e:  # its pattern engine gives up on endless white space, in a panic that is no Exception
+                if type(e).__name__ != "PanicException" and not isinstance(e, ValueError):
+                    raise
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         if len(text) <= BLOCK:

@@ -10,12 +10,10 @@ from tests.llm.fixtures import DOCS, awkward_docs, prose, rows
 
 
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-ODD = ["", " ", "  a  b ", "it's we'll don't 'sup", "a\n\n b\t\tc \n", "naïve café ünïcode", "数字１２３ и кириллица", "🙂🙂 emoji‍", "x" * 300, "1234567 12.5%", "<|endoftext|> told", "\x00\x01 \x85  z", "é ﻿"]
+ODD = ["", " ", "  a  b ", "it's we'll don't 'sup", "a\n\n b\t\tc \n", "naïve café ünïcode", "数字１２３ и кириллица", "🙂🙂 emoji‍", "x" * 300, "1234567 12.5%", "<|endoftext|> told", "a <|endoftext|><|endoftext|>\n\n b <|endoftext|", "  <|endoftext|>  ", "\x00\x01 \x85  z", "é ﻿"]
 
 ODD += ["a" + " " * 3000 + "b" + "\n" * 2000, "ab" * 40000]
 
