@@ -3,7 +3,7 @@
 Base spans are e-mail and IP addresses, card and phone numbers, by fixed patterns. They are also the seeds: every
 candidate token (one that holds a digit, or a sign that prose lacks, and is as long as an identifier) has lexical
 patterns, its left context with the token's own form, its assignment key ("password=") with its form, and its form
-alone for forms of several segments. Pattern and instance form a graph. Spark scores it in ROUNDS rounds: a
+alone. Pattern and instance form a graph. Spark scores it in ROUNDS rounds: a
 pattern's confidence is the smoothed mean belief of the distinct instances that it extracts, an instance's belief is
 that of its best pattern, seeds and keys of the fixed list having belief one. Candidates of patterns with a
 confidence of at least CONFIDENCE and SUPPORT distinct instances become spans of the kind "id".
@@ -194,12 +194,13 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = [_told(b, m) if m else b for b, m in zip(base, more)]
         names = ["doc_id", *(f"n_{k}" for k in KINDS[:4])]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n) for n in names), pa.array(digest), pa.array(spans), pa.array([len(m) for m in more], pa.int64())], [*names, "base_sha256", "spans", "n_id"]
+            [*(batch.column(n) for n in names), pa.array(digest), pa.array(spans), pa.array([len(m) for m in more], pa.int64()), pa.array([x.count(",") + 1 if x else 0 for x in spans], pa.int64())],
+            [*names, "base_sha256", "spans", "n_id", "n_spans"],
         )
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, counts, base_sha256, spans and n_id (spans found by context) of every row."""
+    """doc_id, counts, base_sha256, spans, n_id (spans found by context) and n_spans (all spans) of every row."""
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
     seen = durable(rows.mapInArrow(_scan, SCHEMA))
     flat = seen.where(F.size("found") > 0).select("rid", F.explode("found").alias("x")).select("rid", "x.s", "x.e", "x.i", "x.b", F.explode("x.p").alias("p"))
@@ -210,7 +211,7 @@ def find(docs: DataFrame) -> DataFrame:
     spans = marked.where(F.col("good") | (F.col("b") >= 1.0)).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("more"))
     told = seen.drop("found").join(spans, "rid", "left")
     # a base span is a candidate with belief one as well: drop what equals or overlaps one
-    return told.mapInArrow(_finish_without_base, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long")
+    return told.mapInArrow(_finish_without_base, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long, n_spans long")
 
 
 def _finish_without_base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
