@@ -16,7 +16,8 @@ Equal vectors are one entry of the index with their NEAREST + 1 smallest vec_ids
 a vector that a third of all rows share costs no more than another. Equal queries are searched once.
 
 Defined cases
-    vectors that are null, all zero, hold null, NaN or infinity, or have another length than most: take no part.
+    vectors that are null, all zero, hold null, NaN or infinity: take no part. Vectors of several lengths: each is searched
+    among those of its own length, with codes of their own.
     null vec_id: takes no part. Repeated rows (same vec_id and vector): one row. Fewer candidates than NEAREST: all.
     ties: smaller vec_id first. Empty table: empty result. Extra columns: ignored.
 """
@@ -102,25 +103,31 @@ class Index:
 
     def search(self, q: np.ndarray, code: np.uint64, model: Codes, count: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and distances of the nearest found, nearest first."""
-        seen, apart = np.zeros(len(self.x), bool), np.bitwise_count(self.code ^ code)
-        ranked, rows, distance = np.zeros(len(self.x), bool), np.zeros(0, np.int64), np.zeros(0)
+        # rows are told apart only once a probe has met them
+        met, apart = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        seen, ranked = np.zeros(len(self.x), bool), 0
+        rows, distance = np.zeros(0, np.int64), np.zeros(0)
         for k in range(SUB + 1):
             for s in range(PARTS):
                 probe = (int(code) >> (SUB * s) & (1 << SUB) - 1) ^ _MASKS[k]
                 a, b = self.start[s][probe], self.start[s][probe + 1]
                 some = b > a
                 owner, at = tv.ragged((b - a)[some])
-                seen[self.rows[s][a[some][owner] + at]] = True
+                found = self.rows[s][a[some][owner] + at]
+                found = found[~seen[found]]  # a row has one value in a table
+                seen[found] = True
+                met, apart = np.concatenate([met, found]), np.concatenate([apart, np.bitwise_count(self.code[found] ^ code)])
             radius = PARTS * (k + 1) - 1
-            new = np.flatnonzero(seen & ~ranked & (apart <= radius))
-            ranked[new] = True
+            near = apart <= radius
+            new, met, apart = np.sort(met[near]), met[~near], apart[~near]
+            ranked += len(new)
             d = self.x[new] - q
             rows, distance = np.concatenate([rows, new]), np.concatenate([distance, np.sqrt((d * d).sum(axis=1))])
             # the count-th place may be shared: all of its distance are kept
             if len(rows) > count:
                 keep = distance <= np.partition(distance, count - 1)[count - 1]
                 rows, distance = rows[keep], distance[keep]
-            if ranked.all() or len(rows) >= count and radius >= model.needed(float(distance.max())):
+            if ranked == len(self.x) or len(rows) >= count and radius >= model.needed(float(distance.max())):
                 break
         order = np.argsort(distance, kind="stable")
         return rows[order], distance[order]
@@ -150,11 +157,16 @@ def nearest(vectors: DataFrame, every: int = 100, count: int = NEAREST) -> DataF
     """query_id, rank, vec_id, score: the nearest rows of each row whose vec_id is divisible by `every`."""
     schema = "query_id long, rank int, vec_id long, score double"
     good = durable(usable(vectors))
-    widths = good.groupBy(F.size("embedding").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").first()
-    if widths is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    width = widths.w
-    good = good.where(F.size("embedding") == width).withColumn("key", F.xxhash64("embedding"))
+    out = vectors.sparkSession.createDataFrame([], schema)
+    for row in good.select(F.size("embedding").alias("w")).distinct().orderBy("w").collect():
+        out = out.union(_nearest(good.where(F.size("embedding") == row.w), row.w, every, count))
+    return out
+
+
+def _nearest(good: DataFrame, width: int, every: int, count: int) -> DataFrame:
+    """As nearest(), for usable vectors of one length."""
+    vectors = good
+    good = good.withColumn("key", F.xxhash64("embedding"))
     first = W.partitionBy("key", "embedding").orderBy("vec_id")
     # row_number with a bound is limited within each task before the shuffle
     least = good.withColumn("r", F.row_number().over(first)).where(F.col("r") <= count + 1)
@@ -187,7 +199,7 @@ def nearest(vectors: DataFrame, every: int = 100, count: int = NEAREST) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["asked", "key", "score"])
 
     met = index.join(query, "block")
-    found = durable(met.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(run, "asked long, key long, score double"))
+    found = durable(met.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(tv.lean(run), "asked long, key long, score double"))
     named = found.join(entries.select("key", F.explode("ids").alias("vec_id")), "key")
     best = W.partitionBy("asked").orderBy("score", "vec_id")
     few = named.withColumn("r", F.row_number().over(best)).where(F.col("r") <= count + 1).select("asked", "vec_id", "score")
