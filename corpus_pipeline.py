@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each one's result as Parquet and gives
 the next stage what it reads back, so a lost executor costs a stage's tasks and never an earlier stage.
+
+Defined cases, as the operators state them: null, empty and wordless texts are rejected by the first stage, and by the
+others if that is left out; rows without a doc_id stay rows of their own, rows of one doc_id with different texts too;
+equal rows of one doc_id are one from the third stage on, and ties go to the smallest doc_id. Texts of any length are
+taken whole. Columns that documents do not have are dropped by each stage. An empty table gives empty ones.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import line_dedup, mixing, ngram_join, packing, quality_rules
+from lectern.llm.common import shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -53,15 +59,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _folder(spark: SparkSession) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or '/tmp/checkpoints'}/pipeline-{uuid.uuid4().hex}"
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), _folder(spark)
+    """The last stage's rows. A stage's table goes once the next one is written; the last stays, as it is the result."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            _remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs.select(*[F.col(c) for c in docs.columns])
