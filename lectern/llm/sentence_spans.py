@@ -70,7 +70,9 @@ def spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     ahead = np.maximum(i + RUN, np.searchsorted(head, head[i] + LEAST, "left"))
     back = np.minimum(i + 1 - RUN, np.searchsorted(head, head[i + 1] - LEAST, "right") - 1)
     ok, fits = ahead <= first[1:][owner], back >= first[:-1][owner]
-    runs = np.unique(np.concatenate([np.stack([i[ok], ahead[ok]], axis=1), np.stack([back[fits], i[fits] + 1], axis=1)]), axis=0)
+    # a run has LEAST sentences at most, so first sentence and number make one integer
+    runs = np.unique(np.concatenate([i[ok] * 64 + ahead[ok] - i[ok], back[fits] * 64 + i[fits] + 1 - back[fits]]))
+    runs = np.stack([runs >> 6, (runs >> 6) + (runs & 63)], axis=1)
     long = i[head[i + 1] - head[i] >= LONG]
     for a, b in (runs.T, (long, long + 1)):
         out.append((owner[a], at[a], b - a, seq.of(head[a], head[b])))
@@ -274,8 +276,9 @@ def _stretches(parts: int):
                 owner, at, _, anchor, key = stretches(data, off)
                 pick = wanted.slice(i, j - i)
                 mine = np.repeat(np.arange(j - i), np.diff(pick.offsets.to_numpy()))
-                both = np.rec.fromarrays([mine, pick.flatten().to_numpy()], names="o,k")
-                take = np.isin(np.rec.fromarrays([owner, anchor.view(np.int64)], names="o,k"), both)
+                # by a hash of text and anchor; a stretch too many does no harm
+                named = lambda text, key: tv.mix(tv.mix(text.astype(tv.U)) ^ key.view(tv.U))
+                take = np.isin(named(owner, anchor), named(mine, pick.flatten().to_numpy()))
                 if take.any():
                     held.append((key[take], ids[i:j][owner[take]], texts[i:j][owner[take]], at[take], anchor[take]))
                     size += int(take.sum())
