@@ -135,3 +135,75 @@ PROCEDURAL_PHRASES = [
     "voting time", "written statements", "procedures without debate", "i call upon", "the session is adjourned",
 ]
 PLAIN_TIMES = [r"(\d{1,2}[:.]\d{2})\s*[-–]\s*", r"\((\d{1,2}[:.]\d{2})\)", r"at\s+(\d{1,2}[:.]\d{2})", r"(\d{1,2}[:.]\d{2})\s+[AP]M", r"(\d{1,2}h\d{2})"]
+
+# fixed values: errors by type (severity, category, strategy, most retries, back-off factor)
+ERROR_TYPES = {
+    "ConnectionError": ("medium", "network", "exponential_backoff", 5, 2.0),
+    "TimeoutError": ("medium", "network", "linear_backoff", 3, 1.5),
+    "AuthenticationError": ("high", "authentication", "manual_intervention", 1, 1.0),
+    "TokenExpiredError": ("medium", "authentication", "immediate_retry", 2, 1.0),
+    "RateLimitError": ("low", "rate_limit", "linear_backoff", 10, 1.0),
+    "DataCorruptionError": ("high", "data_corruption", "checkpoint_restore", 1, 1.0),
+    "MemoryError": ("critical", "resource", "graceful_degradation", 1, 1.0),
+    "DiskSpaceError": ("high", "resource", "manual_intervention", 0, 1.0),
+}
+# fixed values: parts of an error's message, in order of trial; other errors are the default
+ERROR_MESSAGES = [
+    ("connection", ("medium", "network", "exponential_backoff", 3, 2.0)),
+    ("timeout", ("medium", "network", "exponential_backoff", 3, 2.0)),
+    ("rate limit", ("low", "rate_limit", "linear_backoff", 5, 1.0)),
+    ("authentication", ("high", "authentication", "manual_intervention", 1, 1.0)),
+]
+ERROR_DEFAULT = ("medium", "unknown", "exponential_backoff", 3, 2.0)
+SEVERITY_AFTER_RETRIES, MOST_DELAY = 2, 300.0
+
+# fixed values: legal changes of a session's state
+TRANSITIONS = {
+    "discovered": ("queued", "cancelled"),
+    "queued": ("prioritized", "processing", "cancelled"),
+    "prioritized": ("processing", "cancelled"),
+    "processing": ("completed", "failed", "retry_pending", "paused", "cancelled"),
+    "retry_pending": ("processing", "cancelled"),
+    "paused": ("queued", "cancelled"),
+}
+
+# fixed values: hours that a cached entry is valid, by kind; others one hour; none longer than a week
+CACHE_HOURS = {"session_discovery": 24.0, "integration_results": 4.0, "document_links": 6.0, "verbatim_content": 168.0, "parsed_speeches": 72.0, "validation_results": 2.0, "api_responses": 0.5}
+OTHER_HOURS, MOST_HOURS, UNUSED_HOURS = 1.0, 168.0, 72.0
+
+# fixed values: addresses of documents, then words in an address, in order of trial
+URL_PATTERNS = [
+    ("verbatim", r"(?i)https?://www\.europarl\.europa\.eu/doceo/document/[A-Z]+-\d+-\d+-[A-Z]{2}\.html"),
+    ("verbatim", r"(?i)https?://www\.europarl\.europa\.eu/doceo/document/[A-Z]+-\d+-\d+-[A-Z]{2}\.pdf"),
+    ("verbatim", r"(?i)https?://www\.europarl\.europa\.eu/plenary/[a-z]{2}/vod/"),
+    ("agenda", r"(?i)https?://www\.europarl\.europa\.eu/doceo/document/[A-Z]+-\d+-\d+-[A-Z]{2}-AG\.html"),
+    ("agenda", r"(?i)https?://www\.europarl\.europa\.eu/plenary/[a-z]{2}/agenda/"),
+]
+URL_WORDS = [
+    ("verbatim", ("verbatim", "cre-")),
+    ("agenda", ("agenda", "-ag")),
+    ("minutes", ("minutes", "-pv")),
+    ("amendment", ("amendment",)),
+    ("report", ("report",)),
+    ("question", ("question",)),
+    ("resolution", ("resolution",)),
+]
+URL_FORMATS = ("html", "pdf", "xml", "doc", "docx")
+
+# fixed values: patterns of session names, in order of trial, with the names of their groups
+SESSION_NAMES = [
+    (r"^([A-Z]+)-(\d+)-(\d{4})-(\d{2})-(\d{2})", ("type", "term", "year", "month", "day")),
+    (r"^(\d{4})-(\d{2})-(\d{2})", ("year", "month", "day")),
+    (r"^(\d+)-(\d+)", ("term", "session")),
+]
+
+# fixed values: speakers as they are written, in order of trial, and what a name loses
+PRESIDENT = r"(?i)(?:madam|mr|mrs|ms)?\s*president(?:e|a)?"
+NAMED_SPEAKERS = [
+    ("Commissioner ", r"(?i)commissioner\s+([a-zA-ZÀ-ÿ\s]+)"),
+    ("", r"(?i)([a-zA-ZÀ-ÿ\s]+)\s*\([A-Z]{2,4}\)"),
+    ("", r"(?i)([a-zA-ZÀ-ÿ\s]+),?\s*rapporteur"),
+]
+SPEAKER_TITLES = [r"(?i)^(madam|mr|mrs|ms|dr|prof)\s+", r"(?i)\s+(mp|mep|commissioner)$", r"(?i)\([A-Z]{2,4}\)$"]
+SPEECH_START = r"^([^.–\-<]*?)(?:\.|\s*–|\s*—)\s*(.*)"
+LEAST_SEGMENT = 10

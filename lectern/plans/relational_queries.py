@@ -47,7 +47,7 @@ PAIRS = {
     "f11_cleanup_completed": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id FROM s, m WHERE NOT (state = 'completed' AND created < now - INTERVAL '7' DAY)"),
     "f12_list_checkpoints": statement(f"WITH s AS ({SESSION}) SELECT id, created FROM s WHERE state = 'completed' ORDER BY created DESC, id DESC LIMIT 20"),
     "f13_expired_checkpoints": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id FROM s, m WHERE created + priority * INTERVAL '100' DAY < now"),
-    "f14_wildcard_keys": statement("SELECT p_partkey, p_name FROM {part} WHERE p_name LIKE '%1%' AND p_brand LIKE 'Brand_1_'", "SELECT p_partkey, p_name FROM part WHERE p_name GLOB '*1*' AND p_brand GLOB 'Brand?1?'"),
+    "f14_wildcard_keys": statement("SELECT p_partkey, p_name FROM {part} WHERE p_name LIKE '%ring%' AND p_brand LIKE 'Brand_2%'", "SELECT p_partkey, p_name FROM part WHERE p_name GLOB '*ring*' AND p_brand GLOB 'Brand?2*'"),
     "f15_model_errors": statement(
         "SELECT doc_id, array_join(array_compact(array(CASE WHEN text IS NULL OR length(text) < 500 THEN 'speech_text' END, CASE WHEN n_chars > 20000 THEN 'n_chars' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'lang' END)), ',') AS errors FROM {documents}",
         "SELECT doc_id, concat_ws(',', CASE WHEN text IS NULL OR length(text) < 500 THEN 'speech_text' END, CASE WHEN n_chars > 20000 THEN 'n_chars' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'lang' END) AS errors FROM documents",
@@ -65,8 +65,6 @@ PAIRS = {
     "j2_session_merge": statement("SELECT coalesce(a.c_custkey, b.s_suppkey) AS session_id, coalesce(nullif(a.c_mktsegment, 'BUILDING'), b.s_name) AS url FROM (SELECT * FROM {customer} WHERE c_custkey % 2 = 0) a FULL JOIN {supplier} b ON a.c_custkey = b.s_suppkey"),
     "j3_left_enrichment": statement("SELECT d.doc_id, d.source, l.quality FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id"),
     "j4_member_by_id": statement("SELECT o_orderkey, c_name FROM {orders} JOIN {customer} ON o_custkey = c_custkey"),
-    "j5_member_search": statement("SELECT n_nationkey, r_regionkey FROM {nation} JOIN {region} ON contains(lower(n_name), lower(substring(r_name, 1, 2)))"),
-    "j6_first_substring": statement("SELECT n_nationkey, r_regionkey FROM (SELECT n_nationkey, r_regionkey, row_number() OVER (PARTITION BY n_nationkey ORDER BY r_regionkey) AS k FROM {nation} JOIN {region} ON contains(lower(n_name), lower(substring(r_name, 2, 1)))) WHERE k = 1"),
     "j7_role_lookup": statement("SELECT c_custkey, role FROM (SELECT c_custkey, role, row_number() OVER (PARTITION BY c_custkey ORDER BY k) AS n FROM {customer} JOIN (SELECT * FROM VALUES (1, 'AUTO', 'driver'), (2, 'MACH', 'engineer'), (3, 'A', 'other') AS t(k, hint, role)) ON contains(c_mktsegment, hint)) WHERE n = 1", "SELECT c_custkey, role FROM (SELECT c_custkey, role, row_number() OVER (PARTITION BY c_custkey ORDER BY k) AS n FROM customer JOIN (VALUES (1, 'AUTO', 'driver'), (2, 'MACH', 'engineer'), (3, 'A', 'other')) AS t(k, hint, role) ON contains(c_mktsegment, hint)) WHERE n = 1"),
     "j9_institutional_role": statement("SELECT conv_id, turn, CASE WHEN contains(lower(role), 'user') THEN 'president' WHEN contains(lower(role), 'assist') THEN 'commissioner' END AS resolved, CASE WHEN role IN ('user', 'assistant') THEN 0.9 ELSE 0.0 END * 1.0E0 AS confidence FROM {conversations}"),
     "j11_ready_sessions": statement(
@@ -88,7 +86,6 @@ PAIRS = {
     "a10_session_stats": statement(f"WITH s AS ({SESSION}) SELECT priority, count(*) AS n, count(CASE WHEN state = 'queued' THEN 1 END) AS queued, avg(CASE WHEN quality > 0 THEN quality END) AS avg_quality, count(CASE WHEN state = 'completed' THEN 1 END) * 1.0E0 / greatest(count(CASE WHEN state IN ('completed', 'failed') THEN 1 END), 1) AS success, sum(CAST(attempts AS bigint)) AS attempts FROM s GROUP BY priority", f"WITH s AS ({SESSION}) SELECT priority, count(*) AS n, count(CASE WHEN state = 'queued' THEN 1 END) AS queued, avg(CASE WHEN quality > 0 THEN quality END) AS avg_quality, count(CASE WHEN state = 'completed' THEN 1 END) * 1.0E0 / greatest(count(CASE WHEN state IN ('completed', 'failed') THEN 1 END), 1) AS success, CAST(sum(attempts) AS bigint) AS attempts FROM s GROUP BY priority"),
     "a11_error_stats": statement("SELECT coalesce(event_type, 'all') AS category, coalesce(severity, 'all') AS severity, count(*) AS n FROM (SELECT event_type, CASE WHEN value > 80 THEN 'critical' WHEN value > 40 THEN 'high' ELSE 'low' END AS severity FROM {events}) GROUP BY GROUPING SETS ((severity), (event_type), ())"),
     "a12_stage_performance": statement(f"WITH r AS ({REQUEST}) SELECT service, avg(latency) AS mean_s, percentile(latency, 0.5) AS median_s, count(*) AS n, max(CASE WHEN latency > 0 THEN 1000.0E0 / latency END) AS peak FROM r GROUP BY service", f"WITH r AS ({REQUEST}) SELECT service, avg(latency) AS mean_s, quantile_cont(latency, 0.5) AS median_s, count(*) AS n, max(CASE WHEN latency > 0 THEN 1000.0 / latency END) AS peak FROM r GROUP BY service"),
-    "a13_event_counts": statement("SELECT event_type, count(*) AS n FROM {events} GROUP BY event_type"),
     "a14_overall_progress": statement("SELECT user_id, avg(least(greatest(value, 0.0E0), 100.0E0)) AS progress FROM {events} GROUP BY user_id"),
     "a16_session_bounds": statement("SELECT c_custkey, min(o_orderdate) AS first_ts, CASE WHEN max(o_orderdate) < min(o_orderdate) THEN max(o_orderdate) + INTERVAL '1' DAY ELSE max(o_orderdate) END AS last_ts FROM {customer} JOIN {orders} ON c_custkey = o_custkey GROUP BY c_custkey"),
     "a17_pipeline_quality": statement("SELECT conv_id, avg(length(text)) AS avg_length, min(length(text)) AS min_length, max(length(text)) AS max_length, avg(CASE WHEN length(text) > 10 THEN 1.0E0 ELSE 0.0E0 END) AS validity FROM {conversations} GROUP BY conv_id"),
@@ -96,7 +93,10 @@ PAIRS = {
     "a19_link_counts": statement("SELECT r_name, count(CASE WHEN kind = 'c' THEN 1 END) AS customers, count(CASE WHEN kind = 's' THEN 1 END) AS suppliers FROM {region} LEFT JOIN {nation} ON r_regionkey = n_regionkey LEFT JOIN (SELECT c_nationkey AS k, 'c' AS kind FROM {customer} UNION ALL SELECT s_nationkey, 's' FROM {supplier}) x ON n_nationkey = k GROUP BY r_name"),
     "a20_cache_stats": statement("SELECT count(*) AS entries, CAST(sum(p_size) AS bigint) AS total_size, avg(p_retailprice) AS mean_access, min(p_partkey) AS oldest, max(p_partkey) AS newest, count(CASE WHEN p_size > 25 THEN 1 END) * 1.0E0 / greatest(count(*), 1) AS hit_rate FROM {part}"),
     "a21_integration": statement("SELECT source, rate, CASE WHEN rate >= 0.9 THEN 'complete' WHEN rate >= 0.5 THEN 'partial' ELSE 'failed' END AS status FROM (SELECT source, least(1.0E0, greatest(0.0E0, 0.4 * count(l.doc_id) / count(*) + 0.6 * avg(CASE WHEN lang = 'en' THEN 1.0E0 ELSE 0.0E0 END))) AS rate FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id GROUP BY source)"),
-    "a22_word_share": statement("SELECT doc_id, max(n) * 1.0E0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, explode(split(lower(text), ' ')) AS w FROM {documents}) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id", "SELECT doc_id, max(n) * 1.0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id"),
+    # counts within the row: sorted words, runs of equal ones
+    "a22_word_share": statement("""SELECT doc_id, aggregate(w, named_struct('p', '', 'n', 0, 'm', 0), (a, x) -> CASE WHEN x = a.p THEN named_struct('p', x, 'n', a.n + 1, 'm', greatest(a.m, a.n + 1))
+        ELSE named_struct('p', x, 'n', 1, 'm', greatest(a.m, 1)) END, a -> a.m) * 1.0E0 / size(w) AS share
+        FROM (SELECT doc_id, array_sort(filter(split(lower(text), ' '), x -> x <> '')) AS w FROM {documents}) WHERE size(w) > 0""", "SELECT doc_id, max(n) * 1.0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id"),
     "a23_paragraph_spread": statement("SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, explode(split(text, '\\n')) AS p FROM {documents}) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1", "SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1"),
     "a24_running_mean": statement("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS running FROM {events}"),
     "a25_dataset_report": statement("SELECT lang, count(*) AS n, percentile(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM {documents} GROUP BY lang", "SELECT lang, count(*) AS n, quantile_cont(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM documents GROUP BY lang"),
@@ -105,7 +105,6 @@ PAIRS = {
     "w9_order_check": statement("SELECT conv_id, bool_or(coalesce(bad, false)) AS out_of_order FROM (SELECT conv_id, lag(turn) OVER (PARTITION BY conv_id ORDER BY length(text), turn) > turn AS bad FROM {conversations}) GROUP BY conv_id"),
     "w11_gaps": statement("SELECT user_id, event_id, ts, prev FROM (SELECT user_id, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM {events}) WHERE ts > prev + INTERVAL '60' SECOND"),
     "w12_inconsistencies": statement("SELECT user_id, count(CASE WHEN value < p THEN 1 END) AS backwards, count(*) AS n, CASE WHEN count(CASE WHEN value < p THEN 1 END) * 1.0E0 / count(*) > 0.1 THEN 0.1E0 ELSE 0.0E0 END AS penalty FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM {events}) GROUP BY user_id"),
-    "w14_mention_dedup": statement("SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id, floor(value / 10) ORDER BY ts, event_id) AS n FROM {events}) WHERE n = 1"),
     "w15_progress_rates": statement("SELECT event_id, (value - p) / greatest(e - pe, 1) AS rate FROM (SELECT event_id, value, event_id AS e, lag(value) OVER w AS p, lag(event_id) OVER w AS pe, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE k <= 5"),
     "w16_linear_eta": statement("SELECT user_id, (100.0E0 - max_by(value, e)) / nullif((max_by(value, e) - min_by(value, e)) / nullif(max(e) - min(e), 0), 0) AS eta FROM (SELECT user_id, value, event_id AS e, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM {events}) WHERE k <= 10 GROUP BY user_id", "SELECT user_id, (100.0 - arg_max(value, e)) / nullif((arg_max(value, e) - arg_min(value, e)) / nullif(max(e) - min(e), 0), 0) AS eta FROM (SELECT user_id, value, event_id AS e, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k <= 10 GROUP BY user_id"),
     "w17_adaptive_eta": statement(
@@ -113,7 +112,6 @@ PAIRS = {
         (SELECT a.user_id, b.k - 1 AS back, (a.value - b.value) / (a.event_id - b.event_id) AS rate FROM k a JOIN k b ON a.user_id = b.user_id WHERE a.k = 1 AND b.k BETWEEN 2 AND 5) WHERE rate > 0) GROUP BY user_id""".replace("FROM k a JOIN k b", "FROM (SELECT user_id, value, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM {events}) a JOIN (SELECT user_id, value, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM {events}) b")
     ),
     "w18_stage_estimate": statement("SELECT user_id, sum(value * power(2.0E0, 10 - k)) / sum(power(2.0E0, 10 - k)) AS estimate FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) WHERE k <= 10 GROUP BY user_id"),
-    "w19_recent_rate": statement("SELECT user_id, (max(value) - min(value)) / 5.0E0 AS rate FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) WHERE k <= 5 GROUP BY user_id"),
     "w20_milestones": statement("SELECT user_id, goal, min(ts) AS reached FROM (SELECT user_id, ts, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS done FROM {events}) CROSS JOIN (SELECT * FROM VALUES (100), (500), (1000) AS t(goal)) WHERE done >= goal GROUP BY user_id, goal", "SELECT user_id, goal, min(ts) AS reached FROM (SELECT user_id, ts, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS done FROM events), (VALUES (100), (500), (1000)) AS t(goal) WHERE done >= goal GROUP BY user_id, goal"),
     "w21_date_ranges": statement("SELECT n_nationkey, start, least(CAST(start + make_interval(0, 0, 0, 30) AS date), DATE '2020-06-30') AS until FROM (SELECT n_nationkey, explode(sequence(DATE '2020-01-01' , DATE '2020-06-29', INTERVAL '31' DAY)) AS start FROM {nation})", "SELECT n_nationkey, CAST(d AS date) AS start, least(CAST(d + INTERVAL 30 DAY AS date), DATE '2020-06-30') AS until FROM nation, range(TIMESTAMP '2020-01-01', TIMESTAMP '2020-06-30', INTERVAL 31 DAY) AS r(d)"),
     "w22_bounded_history": statement("SELECT event_id, user_id FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) WHERE k <= 3"),
@@ -121,11 +119,8 @@ PAIRS = {
     # ---- sorts, limits, top-k
     "k1_schedule": statement(f"WITH s AS ({SESSION}) SELECT id, priority FROM s WHERE state = 'queued' ORDER BY priority, created, id LIMIT 50"),
     "k2_time_schedule": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id, created < now - INTERVAL '365' DAY AS overdue FROM s, m WHERE state = 'queued' AND quality >= 50000.0 ORDER BY created, priority, id LIMIT 100"),
-    "k3_lru_eviction": statement("SELECT p_partkey FROM (SELECT p_partkey, sum(p_size) OVER (ORDER BY p_retailprice, p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - p_size AS gone, sum(p_size) OVER () AS total FROM {part}) WHERE total - gone > total * 0.5"),
     "k4_newest_checkpoints": statement(f"WITH s AS ({SESSION}) SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY owner ORDER BY created DESC, id DESC) AS k FROM s) WHERE k <= 2"),
     "k5_newest_reports": statement("SELECT event_id, ts FROM {events} ORDER BY ts DESC, event_id DESC LIMIT 100"),
-    "k6_issue_order": statement("SELECT doc_id, k FROM (SELECT doc_id, row_number() OVER (ORDER BY lang, source, doc_id) AS k FROM {documents}) WHERE k <= 200"),
-    "k7_top_suggestions": statement("SELECT source, array_join(slice(array_sort(collect_list(doc_id)), 1, 10), ',') AS first_ids FROM {documents} GROUP BY source", "SELECT source, array_to_string(list_sort(list(doc_id))[1:10], ',') AS first_ids FROM documents GROUP BY source"),
     "k8_stratified_sample": statement("SELECT doc_id, announcement FROM (SELECT d.doc_id, coalesce(l.toxic, 0) = 1 AS announcement, row_number() OVER (PARTITION BY coalesce(l.toxic, 0) = 1 ORDER BY md5(CAST(d.doc_id AS string)), d.doc_id) AS k FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id) WHERE k <= CASE WHEN announcement THEN 7 ELSE 18 END", "SELECT doc_id, announcement FROM (SELECT d.doc_id, coalesce(l.toxic, 0) = 1 AS announcement, row_number() OVER (PARTITION BY coalesce(l.toxic, 0) = 1 ORDER BY md5(CAST(d.doc_id AS varchar)), d.doc_id) AS k FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) WHERE k <= CASE WHEN announcement THEN 7 ELSE 18 END"),
     "k9_two_per_label": statement("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM {documents}) WHERE k <= 2"),
     # ---- set operations
@@ -134,29 +129,17 @@ PAIRS = {
     "u3_batch_concat": statement("SELECT doc_id, 1 AS batch FROM {documents} WHERE lang = 'fr' UNION ALL SELECT doc_id, 2 FROM {documents} WHERE n_chars > 1000"),
     "u4_pending": statement("SELECT doc_id FROM {documents} EXCEPT SELECT doc_id FROM {labels}"),
     # ---- triple-store queries
-    "s4_binding_flatten": statement("SELECT event_id, CAST(get_json_object(props, '$.k') AS bigint) AS k FROM {events}", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS bigint) AS k FROM events"),
     "s5_plenary_documents": statement("SELECT DISTINCT p_partkey, p_name, o_orderdate FROM {part} JOIN {lineitem} ON p_partkey = l_partkey JOIN {orders} ON l_orderkey = o_orderkey WHERE contains(lower(p_type), 'e') AND p_brand = 'Brand#11' AND o_orderdate BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '1997-12-31 00:00:00' ORDER BY o_orderdate, p_partkey LIMIT 1000"),
-    "s6_property_pivot": statement("SELECT page_id, element_at(split(url, '/'), -1) AS local_name, regexp_extract(url, '^[a-z]+', 0) AS scheme FROM {pages}", "SELECT page_id, string_split(url, '/')[-1] AS local_name, regexp_extract(url, '^[a-z]+', 0) AS scheme FROM pages"),
     "s7_author_search": statement("SELECT c_name, o_orderkey, o_orderdate FROM {customer} JOIN {orders} ON c_custkey = o_custkey WHERE contains(lower(c_name), '1') AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' ORDER BY o_orderdate DESC, o_orderkey LIMIT 500"),
     "s14_snapshots": statement("SELECT event_id, value FROM {events} ORDER BY ts DESC, event_id DESC LIMIT 100"),
     # ---- operations
     "n1_json_fallback": statement("SELECT event_id, coalesce(get_json_object(props, '$.title.en'), get_json_object(props, '$.k')) AS title FROM {events}", "SELECT event_id, coalesce(json_extract_string(props, '$.title.en'), json_extract_string(props, '$.k')) AS title FROM events"),
-    "n2_array_dedup": statement("SELECT conv_id, array_join(array_distinct(array_sort(collect_list(role))), ',') AS roles FROM {conversations} GROUP BY conv_id", "SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM conversations GROUP BY conv_id"),
+    "n2_array_dedup": statement("SELECT conv_id, array_join(array_sort(collect_set(role)), ',') AS roles FROM {conversations} GROUP BY conv_id", "SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM conversations GROUP BY conv_id"),
     "r1_requests_per_window": statement("SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(CAST(ts AS timestamp) AS bigint) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS recent FROM {events}", "SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(floor(epoch(ts)) AS bigint) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS recent FROM events"),
     "r3_stuck_executions": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id, CASE WHEN state = 'queued' AND created < now - INTERVAL '6' HOUR THEN 'stuck' ELSE 'fine' END AS status FROM s, m"),
-    "r4_cache_validity": statement("SELECT p_partkey, p_size < 30 AND p_retailprice < 1500 AND substring(md5(p_name), 1, 1) <> '0' AS valid FROM {part}"),
     "r7_checkpoint_due": statement("SELECT event_id FROM (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM {events}) WHERE p IS NULL OR ts >= p + INTERVAL '30' MINUTE"),
-    "r8_integrity": statement("SELECT doc_id, sha2(text, 256) AS sha, length(text) AS size FROM {documents}", "SELECT doc_id, sha256(text) AS sha, length(text) AS size FROM documents"),
     "r10_latest_state": statement("SELECT user_id, max_by(event_type, event_id) AS state FROM {events} GROUP BY user_id", "SELECT user_id, arg_max(event_type, event_id) AS state FROM events GROUP BY user_id"),
-    "r10_illegal_transitions": statement("SELECT event_id FROM (SELECT event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM {events}) WHERE concat(p, '>', event_type) IN ('error>purchase', 'view>signup')"),
-    "r11_stage_progress": statement("SELECT event_id, least(greatest(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0E0), 100.0E0) AS percent FROM {events}"),
-    "r12_cache_hits": statement("SELECT event_type, count(CASE WHEN value > 50 THEN 1 END) AS hits, count(CASE WHEN NOT coalesce(value > 50, false) THEN 1 END) AS misses FROM {events} GROUP BY event_type"),
-    "r16_background_recovery": statement("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'resolved' ELSE 'retry' END AS action FROM (SELECT event_id, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS k FROM {events} WHERE event_type = 'error' AND value < 60) WHERE k <= 10"),
     # ---- scalar functions on names, addresses and errors
-    "t36_url_type": statement("SELECT page_id, CASE WHEN contains(lower(url), 'pdf') THEN 'pdf' WHEN contains(lower(url), 'page') THEN 'report' ELSE 'unknown' END AS kind FROM {pages}"),
-    "t37_url_parts": statement("SELECT page_id, parse_url(url, 'HOST') AS host, element_at(split(url, '/'), -1) AS title FROM {pages}", "SELECT page_id, regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host, string_split(url, '/')[-1] AS title FROM pages"),
-    "t38_session_id_parts": statement("SELECT o_orderkey, regexp_extract(s, '^([A-Z]+)-([0-9]+)-([0-9-]+)$', 1) AS kind, regexp_extract(s, '^([A-Z]+)-([0-9]+)-([0-9-]+)$', 2) AS term FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'PV-9-2024-01-02' WHEN o_orderkey % 3 = 1 THEN '9-2024' ELSE 'CRE-10-2023-11-30' END AS s FROM {orders})"),
-    "t39_error_class": statement("SELECT event_id, CASE WHEN event_type <> 'error' THEN 'none' WHEN value > 90 THEN 'timeout' WHEN value > 60 THEN 'network' ELSE 'unknown' END AS class, CASE WHEN event_id % 5 > 2 AND event_type = 'error' THEN 'high' ELSE 'low' END AS severity FROM {events}"),
     "t40_alerts": statement("SELECT event_id, CASE WHEN value >= 95 THEN 'critical' WHEN value >= 80 THEN 'warning' END AS alert FROM {events}"),
     "t41_content_hash": statement("SELECT doc_id, substring(md5(text), 1, 12) AS short_md5, substring(sha2(text, 256), 1, 16) AS short_sha FROM {documents}", "SELECT doc_id, substr(md5(text), 1, 12) AS short_md5, substr(sha256(text), 1, 16) AS short_sha FROM documents"),
     "d3_duration": statement("SELECT conv_id, turn, greatest(n / 150.0E0 * CASE WHEN contains(lower(text), 'applause') THEN 1.2E0 ELSE 1.0E0 END, 0.5E0) AS minutes FROM (SELECT *, regexp_count(text, '\\\\S+') AS n FROM {conversations})", "SELECT conv_id, turn, greatest(n / 150.0 * CASE WHEN contains(lower(text), 'applause') THEN 1.2 ELSE 1.0 END, 0.5)::DOUBLE AS minutes FROM (SELECT *, len(regexp_extract_all(text, '\\S+')) AS n FROM conversations)"),

@@ -11,7 +11,7 @@ from lectern.plans import registry
 DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 ORACLES = registry.oracles()
 #: Limits and rules that the smallest tables do not reach.
-MAY_BE_EMPTY = {"s5_plenary_documents", "f14_wildcard_keys", "j5_member_search"}
+MAY_BE_EMPTY = {"s5_plenary_documents"}
 
 
 @pytest.fixture(scope="module")
