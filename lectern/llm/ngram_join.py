@@ -17,8 +17,8 @@ of up to SMALL vertices gives all its pairs; a larger one gives its pairs with i
 its members are kept. A member leaves aside as many signatures as it can spare, the largest groups first (see
 _unsettled). When the pairs are verified and contracted, groups whose members are in one component need nothing more.
 The others are compared inside tasks, block against block of at most BLOCK members, and only pairs that may link
-leave a task; where these are many, each member's best ones come first, and the rest only if contraction leaves them
-apart. So near copies by the thousand cost pairs in proportion to their number, and no link is lost.
+leave a task; where these are many, the best partner of each member outside the largest component comes first, round by
+round, and the rest only if contraction leaves them apart. So near copies by the thousand cost pairs in proportion to their number, and no link is lost.
 
 Before sets are sent for a pair, the counts of their elements in hash buckets, as many as they have elements, bound
 what they can share; that drops pairs which only share a passage, never one that links. A pair's sets meet in a cell of
@@ -62,8 +62,8 @@ FLUSH = 1 << 20
 MUST, LIKELY = 1 << 32, 4
 #: Parts of the exchange for each shuffle partition, so that a part takes little memory.
 FINE = 3
-#: Pairs of one vertex that meet in one cell; pairs of one member that leave a block at once if they are many.
-SHARD, BEST = 512, 4
+#: Pairs of one vertex that meet in one cell; pairs that leave a block at once, besides one for every fourth member.
+SHARD, FEW = 512, 64
 #: Element hashes of sought sets that are sent to all tasks at once.
 PROBES = 1 << 20
 U = tv.U
@@ -449,28 +449,32 @@ def _unsettled(met: DataFrame, spare: DataFrame) -> DataFrame:
 
 
 
-def _best(a: np.ndarray, b: np.ndarray, worth: np.ndarray, members: int) -> np.ndarray:
-    """Which pairs leave the block: all, or, if they are many, the BEST of each member."""
-    if len(a) <= BEST * members:
-        return np.ones(len(a), bool)
-    keep = np.zeros(len(a), bool)
-    for end in (a, b):
-        order = np.lexsort((-worth, end))
-        new = np.flatnonzero(np.concatenate([[True], end[order][1:] != end[order][:-1]]))
-        rank = np.arange(len(a)) - np.repeat(new, np.diff(np.append(new, len(a))))
-        keep[order[rank < BEST]] = True
-    return keep
+def _best(a: np.ndarray, b: np.ndarray, worth: np.ndarray, v: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(member, partner, worth): the best partner of each member that is not in the block's largest component."""
+    roots, number = np.unique(root, return_counts=True)
+    order = np.argsort(v)
+    of = lambda x: root[order[np.searchsorted(v[order], x)]]
+    ends = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([worth, worth])
+    ends = [c[of(ends[0]) != roots[np.argmax(number)]] for c in ends]
+    order = np.lexsort((ends[1], -ends[2], ends[0]))
+    ends = [c[order] for c in ends]
+    first = np.concatenate([[True], ends[0][1:] != ends[0][:-1]])[: len(order)]
+    return tuple(c[first] for c in ends)
 
 
 def _compared(whole: bool):
     """The pairs (a, b) of each cell that may link and are apart. A cell is one block of a group against itself or
-    another; its members stand together. Unless `whole`, a cell of many such pairs gives the best ones only and says
-    so by a row with its group and no pair. A pair that several cells of this task hold leaves it about once."""
+    another; its members stand together. Unless `whole`, a cell of many such pairs gives one for each member only, with
+    its worth, and says so by a row with its group and no pair. A pair that several cells of this task hold leaves it
+    about once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         done = np.zeros(1 << 20, U)  # the last pair of each slot
 
+        def told(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], ["gid", "a", "b", "worth"])
+
         def pairs():
             v, root, n, side = (np.concatenate([c[k] for c in held]) for k in range(4))
             sketch = [s for c in held for s in c[4]]
@@ -502,19 +506,18 @@ def _compared(whole: bool):
             if not found:
                 return
             a, b, worth = (np.concatenate(c) for c in zip(*found))
-            if not whole:
-                keep = _best(a, b, worth, len(v))
-                if not keep.all():
-                    yield pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["gid", "a", "b"])
-                a, b = a[keep], b[keep]
+            few = whole or len(a) <= FEW + len(v) // 4
+            if not few:
+                yield told([now[0]], [None], [None], [None])
+                a, b, worth = _best(a, b, worth, v, root)
             key = tv.mix(a.view(U)) + b.view(U)
             slot = (key >> U(44)).astype(np.int64)
             new = done[slot] != key
-            a, b = a[new], b[new]
+            a, b, worth = a[new], b[new], worth[new]
             done[slot[new]] = key[new]
             for k in range(0, len(a), 1 << 16):
-                some = [pa.array(x[k : k + (1 << 16)]) for x in (a, b)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(some[0]), pa.int64()), *some], ["gid", "a", "b"])
+                n = len(a[k : k + (1 << 16)])
+                yield told([None] * n, a[k : k + n], b[k : k + n], [None] * n if few else worth[k : k + n])
 
         for batch in batches:
             cell = np.stack([batch.column(c).to_numpy() for c in ("gid", "lo", "hi")], axis=1)
@@ -546,7 +549,7 @@ def _hidden(told: DataFrame, known: DataFrame, whole: bool) -> DataFrame:
     cells = dealt.select("gid", "v", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), side.cast("long").alias("side"))
     # merged by v, so that equal sketches follow each other, which compresses well
     cells = cells.join(known.hint("merge"), "v").repartition("gid", "lo", "hi").sortWithinPartitions("gid", "lo", "hi")
-    return cells.select("gid", "lo", "hi", "v", "root", "n_shingles", "side", "sketch").mapInArrow(tv.lean(_compared(whole)), "gid long, a long, b long")
+    return cells.select("gid", "lo", "hi", "v", "root", "n_shingles", "side", "sketch").mapInArrow(tv.lean(_compared(whole)), "gid long, a long, b long, worth double")
 
 
 def sought(docs: DataFrame, named: DataFrame) -> DataFrame:
@@ -623,8 +626,12 @@ def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
             return edges
         if known is None:
             known = durable(sketches_of(told.select("v").distinct(), described, named).join(named.select("v", "n_shingles"), "v"))
-        more = durable(_hidden(told, known, whole).distinct())
-        new = durable(verified(more.where("a IS NOT NULL"), docs, named))
+        more = durable(_hidden(told, known, whole))
+        # of a member's best partners in several groups the best one is tried
+        best = more.where("worth IS NOT NULL").groupBy("a").agg(F.max_by("b", F.struct("worth", "b")).alias("b"))
+        best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = more.where("a IS NOT NULL AND worth IS NULL").select("a", "b").union(best).distinct()
+        new = durable(verified(durable(tried), docs, named))
         edges = durable(edges.union(new))
         again = more.where("gid IS NOT NULL").select("gid")
         if again.isEmpty():
