@@ -69,6 +69,16 @@ def if_small(df: DataFrame, width: int | Column = 64) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+#: Rows of a narrow checkpointed table that one task reads.
+TASK_ROWS = 1 << 16
+
+
+def gathered(df: DataFrame) -> DataFrame:
+    """df, checkpointed and of a few numbers a row, read by one task for each TASK_ROWS rows and not by one for each
+    partition that it was made in: a small table then costs no exchange over all partitions."""
+    return df.coalesce(max(1, -(-df.count() // TASK_ROWS)))
+
+
 def least_hashes(df: DataFrame, hashed: Column, tie: str, rows: int) -> DataFrame:
     """The `rows` rows with the smallest hashes, df being cheap to count. A hash threshold that a quarter more
     than so many rows meet comes first, so that all tasks together send little more than the result."""

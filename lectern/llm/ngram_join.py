@@ -46,7 +46,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm import textvec as tv
-from lectern.llm.common import WORD, durable, fresh, if_small, table
+from lectern.llm.common import WORD, durable, fresh, gathered, if_small, table
 from lectern.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -393,7 +393,7 @@ def likely(pairs: DataFrame, described: DataFrame, named: DataFrame) -> DataFram
     """The pairs (a, b, n) that may link, by their sets' sizes and then their sketches."""
     size = lambda c: named.select(F.col("v").alias(c), F.col("n_shingles").alias(f"n{c}"))
     sized = pairs.join(size("a"), "a").join(size("b"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    sized = durable(sized)
+    sized = gathered(durable(sized))
     known = sketches_of(_ends(sized), described, named)
     side = lambda c: known.select(F.col("v").alias(c), F.col("sketch").alias(f"k{c}"))
     return sized.join(side("a"), "a").join(side("b"), "b").mapInArrow(tv.lean(_likely), "a long, b long, n long")
@@ -401,7 +401,7 @@ def likely(pairs: DataFrame, described: DataFrame, named: DataFrame) -> DataFram
 
 def sketches_of(vertices: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
     """v, sketch of these vertices, each once: of the rows that have a vertex's set one is read."""
-    rows = durable(named.select("v", "own").join(vertices, "v", "left_semi"))
+    rows = gathered(durable(named.select("v", "own").join(vertices, "v", "left_semi")))
     some = described.select("v", "own", "sketch").join(if_small(rows, 16), ["v", "own"], "left_semi")
     # rows of equal text remain, few tasks holding more than one
     return durable(some.dropDuplicates(["v"]))
@@ -418,8 +418,8 @@ def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     shard = F.pmod(F.xxhash64("b"), F.col("shards"))
     rest = pairs.join(of, "a").select(F.col("b").alias("v"), F.col("a").alias("cell"), shard.alias("shard"), F.lit(1).alias("rest"))
     first = of.select(F.col("a").alias("v"), F.col("a").alias("cell"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), F.lit(0).alias("rest"))
-    cells = durable(rest.union(first))
-    texts = durable(named.join(cells, "v", "left_semi").select("own"))
+    cells = gathered(durable(rest.union(first)))
+    texts = gathered(durable(named.join(cells, "v", "left_semi").select("own")))
     some = docs.select("text").join(if_small(texts, 8).withColumnRenamed("own", "__own"), F.xxhash64("text") == F.col("__own"), "left_semi")
     made = some.mapInArrow(tv.lean(_sets), "v long, set binary")
     met = made.join(if_small(cells, 32), "v").repartition("cell", "shard").sortWithinPartitions("cell", "shard", "rest")
@@ -603,47 +603,47 @@ def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
     parts = FINE * tv.shuffle_parts(docs)
     schema, kinds = "part int, sig binary, v binary, role binary", {"sig": "u4", "v": "i8", "role": "i1"}
     sent = docs.select("text").mapInArrow(tv.lean(_sender(parts)), schema)
-    met = durable(tv.exchange(sent, kinds, parts, _groups, "gid long, a long, b long, n long"))
+    met = gathered(durable(tv.exchange(sent, kinds, parts, _groups, "gid long, a long, b long, n long")))
     pairs = met.where("gid IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= LIKELY)
     if not named.where("spare0 < 0 OR spare1 < 0").isEmpty():
         pairs = pairs.union(sought(docs, named).withColumn("n", F.lit(MUST)))
-    pairs = durable(likely(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), described, named))
+    pairs = gathered(durable(likely(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), described, named)))
     # each vertex first tries the smaller vertex it shares most signatures with
-    tried = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", F.col("a"))).alias("a")).select("a", "b"))
-    edges = durable(verified(tried, docs, named))
-    roots = durable(components(edges))
-    rest = durable(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots))
+    tried = gathered(durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("n", F.col("a"))).alias("a")).select("a", "b")))
+    edges = gathered(durable(verified(tried, docs, named)))
+    roots = gathered(durable(components(edges)))
+    rest = gathered(durable(_apart(pairs.join(tried, ["a", "b"], "left_anti"), roots)))
     if not rest.isEmpty():
-        edges = durable(edges.union(verified(rest, docs, named)))
-    members = durable(_unsettled(met, named))
+        edges = gathered(durable(edges.union(verified(rest, docs, named))))
+    members = gathered(durable(_unsettled(met, named)))
     known, whole = None, False
     while True:
-        roots = durable(components(edges))
+        roots = gathered(durable(components(edges)))
         told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
         torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
-        told = durable(told.join(torn, "gid", "left_semi"))
+        told = gathered(durable(told.join(torn, "gid", "left_semi")))
         if told.isEmpty():
             return edges
         if known is None:
             known = durable(sketches_of(told.select("v").distinct(), described, named).join(named.select("v", "n_shingles"), "v"))
-        more = durable(_hidden(told, known, whole))
+        more = gathered(durable(_hidden(told, known, whole)))
         # of a member's best partners in several groups the best one is tried
         best = more.where("worth IS NOT NULL").groupBy("a").agg(F.max_by("b", F.struct("worth", "b")).alias("b"))
         best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         tried = more.where("a IS NOT NULL AND worth IS NULL").select("a", "b").union(best).distinct()
-        new = durable(verified(durable(tried), docs, named))
-        edges = durable(edges.union(new))
+        new = gathered(durable(verified(gathered(durable(tried)), docs, named)))
+        edges = gathered(durable(edges.union(new)))
         again = more.where("gid IS NOT NULL").select("gid")
         if again.isEmpty():
             return edges
         # groups that told all of their pairs are done
-        members, whole = durable(members.join(again.distinct(), "gid", "left_semi")), new.isEmpty()
+        members, whole = gathered(durable(members.join(again.distinct(), "gid", "left_semi"))), new.isEmpty()
 
 
 def _named(described: DataFrame) -> DataFrame:
     """One row for each set: v, its smallest doc_id, own: hash of one of its texts, size, spares."""
     least = [F.min("doc_id").alias("doc_id"), F.min("own").alias("own"), *(F.max(c).alias(c) for c in ("n_shingles", "spare0", "spare1"))]
-    return durable(described.where("v <> 0").groupBy("v").agg(*least))
+    return gathered(durable(described.where("v <> 0").groupBy("v").agg(*least)))
 
 
 DESCRIBED = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, own long"
@@ -659,7 +659,7 @@ def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     described = describe(docs.select("doc_id", "text"))
     named = _named(described)
-    roots = durable(components(links(docs, described, named)))
+    roots = gathered(durable(components(links(docs, described, named))))
     # most sets are a component by themselves: only those of several are contracted further
     least = named.select("v", "doc_id").join(roots, "v", "left").groupBy(F.coalesce("root", "v").alias("root")).agg(F.min("doc_id").alias("component_id"))
     linked = roots.join(least, "root").select("v", "component_id")
@@ -675,7 +675,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     # tells rows of one doc_id (or none) apart by all their columns, and again after a retry
     marked = docs.withColumn(mark, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     described = describe(marked.select("doc_id", "text", F.col(mark).alias("mark")), "mark long")
-    roots = durable(components(links(docs, described, _named(described))))
+    roots = gathered(durable(components(links(docs, described, _named(described)))))
     last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     first = described.where("v <> 0").select("v", last.alias("x")).groupBy("v").agg(F.min("x").alias("x"))
     first = first.join(roots, "v", "left").groupBy(F.coalesce("root", "v")).agg(F.min("x").alias("x"))

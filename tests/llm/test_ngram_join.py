@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from lectern.llm import components as contraction
 from lectern.llm import ngram_join as nj
 from lectern.llm.components import components
 from tests.llm.fixtures import DOCS, VOCABULARY, awkward_docs, prose, rows
@@ -80,7 +81,9 @@ def test_awkward_rows(spark):
     assert kept.columns == docs.columns
 
 
-def test_components_of_chain_and_star(spark):
+@pytest.mark.parametrize("held", [1 << 20, 16])
+def test_components_of_chain_and_star(spark, monkeypatch, held):
+    monkeypatch.setattr(contraction, "TASK_LINKS", held)  # the second: many tasks, so that rounds follow
     edges = [(i, i + 1) for i in range(50)] + [(1000, 1000 + i) for i in range(1, 40)] + [(2000, 2001)]
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{1000 + i: 1000 for i in range(40)}, 2000: 2000, 2001: 2000}
