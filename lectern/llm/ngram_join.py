@@ -60,8 +60,8 @@ FLUSH = 1 << 20
 #: Added to a pair's count for each small group that holds it; the other pairs, with the smallest member of a large
 #: group, only save work later and are tried if they share LIKELY groups or more.
 MUST, LIKELY = 1 << 32, 4
-#: Parts of the exchange for each shuffle partition, so that a part takes little memory.
-FINE = 3
+#: Buckets of a sketch that are one bucket of the rough sketch, by which pairs are tried first.
+ROUGH = 4
 #: Pairs of one vertex that meet in one cell; pairs that leave a block at once, besides one for every fourth member.
 SHARD, FEW = 512, 64
 #: Element hashes of sought sets that are sent to all tasks at once.
@@ -350,7 +350,17 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows = [np.frombuffer(b"".join(c.take(pa.array(some)).to_pylist()), np.uint8).reshape(len(some), -1) for c in (x, y)]
                 rows = [_folded(r, int(w.min())) for r in rows]
                 keep[some] = _links(_shared(*rows, s[some], t[some]), s[some], t[some])
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b", "n")], ["a", "b", "n"])
+        names = ["a", "b", "n", "na", "nb"]
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in names], names)
+
+
+def _rough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for s in batch.column("sketch"):
+            row = np.frombuffer(s.as_buffer(), np.uint8).reshape(1, -1)
+            out.append(np.minimum(_folded(row, max(1, row.shape[1] // ROUGH)), 255).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("v"), pa.array(out, pa.binary())], ["v", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,21 +400,25 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def likely(pairs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
-    """The pairs (a, b, n) that may link, by their sets' sizes and then their sketches."""
+    """The pairs (a, b, n) that may link, by their sets' sizes, their rough sketches and then their sketches. Most pairs
+    go by the rough ones, so few whole sketches are sent."""
     size = lambda c: named.select(F.col("v").alias(c), F.col("n_shingles").alias(f"n{c}"))
     sized = pairs.join(size("a"), "a").join(size("b"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
     sized = gathered(durable(sized))
     known = sketches_of(_ends(sized), described, named)
+    some = _tried(sized, durable(known.mapInArrow(tv.lean(_rough), "v long, sketch binary")))
+    return _tried(gathered(durable(some)), known).select("a", "b", "n")
+
+
+def _tried(pairs: DataFrame, known: DataFrame) -> DataFrame:
     side = lambda c: known.select(F.col("v").alias(c), F.col("sketch").alias(f"k{c}"))
-    return sized.join(side("a"), "a").join(side("b"), "b").mapInArrow(tv.lean(_likely), "a long, b long, n long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tv.lean(_likely), "a long, b long, n long, na long, nb long")
 
 
 def sketches_of(vertices: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
     """v, sketch of these vertices, each once: of the rows that have a vertex's set one is read."""
-    rows = gathered(durable(named.select("v", "own").join(vertices, "v", "left_semi")))
-    some = described.select("v", "own", "sketch").join(if_small(rows, 16), ["v", "own"], "left_semi")
-    # rows of equal text remain, few tasks holding more than one
-    return durable(some.dropDuplicates(["v"]))
+    rows = gathered(durable(named.select("v", "row").join(vertices, "v", "left_semi")))
+    return durable(described.select("v", "row", "sketch").join(if_small(rows, 16), ["v", "row"], "left_semi").select("v", "sketch"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -441,14 +455,13 @@ def _unsettled(met: DataFrame, spare: DataFrame) -> DataFrame:
     is left to both of them. A vertex with enough parts in small groups leaves all its large ones aside.
     """
     rows = met.where("gid IS NOT NULL").select("gid", F.col("a").alias("v"), (F.col("b") % 2).alias("role"), F.floor(F.col("b") / 2).alias("size"), "n")
-    # the same members may be a group in several parts of the exchange
-    rows = rows.groupBy("gid", "v", "role").agg(F.max("size").alias("size"), F.sum("n").alias("n"))
+    # dealt by vertex once for all that follows; the same members may be a group in several parts of the exchange
+    rows = rows.repartition("v").groupBy("gid", "v", "role").agg(F.max("size").alias("size"), F.sum("n").alias("n"))
     order = W.partitionBy("v", "role").orderBy(F.desc("size"), "gid").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("n").over(order)).join(spare.select("v", "spare0", "spare1"), "v")
     return rows.where("upto > CASE WHEN role = 0 THEN spare0 ELSE spare1 END").select("gid", "v").distinct()
 
 
-
 def _best(a: np.ndarray, b: np.ndarray, worth: np.ndarray, v: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, ...]:
     """(member, partner, worth): the best partner of each member that is not in the block's largest component."""
     roots, number = np.unique(root, return_counts=True)
@@ -600,7 +613,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
 
 def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
     """Edges (a, b) between sets whose components are those of all links."""
-    parts = FINE * tv.shuffle_parts(docs)
+    parts = tv.shuffle_parts(docs)
     schema, kinds = "part int, sig binary, v binary, role binary", {"sig": "u4", "v": "i8", "role": "i1"}
     sent = docs.select("text").mapInArrow(tv.lean(_sender(parts)), schema)
     met = gathered(durable(tv.exchange(sent, kinds, parts, _groups, "gid long, a long, b long, n long")))
@@ -641,17 +654,17 @@ def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def _named(described: DataFrame) -> DataFrame:
-    """One row for each set: v, its smallest doc_id, own: hash of one of its texts, size, spares."""
-    least = [F.min("doc_id").alias("doc_id"), F.min("own").alias("own"), *(F.max(c).alias(c) for c in ("n_shingles", "spare0", "spare1"))]
+    """One row for each set: v, its smallest doc_id, own: hash of one of its texts, row: number of one of its rows, size, spares."""
+    least = [F.min("doc_id").alias("doc_id"), F.min("own").alias("own"), F.min("row").alias("row"), *(F.max(c).alias(c) for c in ("n_shingles", "spare0", "spare1"))]
     return gathered(durable(described.where("v <> 0").groupBy("v").agg(*least)))
 
 
-DESCRIBED = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, own long"
+DESCRIBED = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, own long, row long"
 
 
 def describe(docs: DataFrame, more: str = "") -> DataFrame:
     kept = [F.col(x.split()[0]) for x in more.split(",") if x]
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("own"), *kept)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("own"), F.monotonically_increasing_id().alias("row"), *kept)
     return durable(rows.mapInArrow(tv.lean(_describe), DESCRIBED + ("," + more if more else "")))
 
 
