@@ -60,6 +60,8 @@ FLUSH = 1 << 20
 #: Added to a pair's count for each small group that holds it; the other pairs, with the smallest member of a large
 #: group, only save work later and are tried if they share LIKELY groups or more.
 MUST, LIKELY = 1 << 32, 4
+#: The largest count that a sketch tells.
+MANY = 15
 #: Buckets of a sketch that are one bucket of the rough sketch, by which pairs are tried first.
 ROUGH = 4
 #: Pairs of one vertex that meet in one cell; pairs that leave a block at once, besides one for every fourth member.
@@ -202,9 +204,9 @@ def spares(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def sketches(h: np.ndarray, edge: np.ndarray) -> list[bytes]:
     """Counts of each set's elements by their hashes' first bits, in as many buckets as the largest power of two
-    that is no larger than the set; 255 stands for that and more."""
+    that is no larger than the set, two at least; two counts in a byte, MANY standing for that and more."""
     size = np.diff(edge)
-    bits = np.frexp(np.maximum(size, 1))[1] - 1
+    bits = _bits(size)
     width = np.where(size > 0, 1 << bits.astype(np.int64), 0)
     begin = np.cumsum(width) - width
     out = []
@@ -217,11 +219,26 @@ def sketches(h: np.ndarray, edge: np.ndarray) -> list[bytes]:
         mine = h[edge[a] : edge[b]]
         shift = (64 - bits[a:b]).astype(U)[owner]
         slot = np.where(shift == 64, U(0), mine >> np.minimum(shift, U(63))).astype(np.int64) + base[owner]
-        count = np.minimum(np.bincount(slot, minlength=int(width[a:b].sum())), 255).astype(np.uint8)
-        out += [count[x : x + w].tobytes() for x, w in zip(base.tolist(), width[a:b].tolist())]
+        count = _pairwise(np.bincount(slot, minlength=int(width[a:b].sum())))
+        out += [count[x : x + w].tobytes() for x, w in zip((base // 2).tolist(), (width[a:b] // 2).tolist())]
     return out
 
 
+def _bits(size: np.ndarray) -> np.ndarray:
+    return np.maximum(np.frexp(np.maximum(size, 1))[1] - 1, 1)
+
+
+def _pairwise(count: np.ndarray) -> np.ndarray:
+    count = np.minimum(count, MANY).astype(np.uint8)
+    return count[0::2] | count[1::2] << np.uint8(4)
+
+
+def _counts(sketches: list[bytes]) -> np.ndarray:
+    """The counts of sketches of one length, a row each."""
+    both = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    return np.stack([both & np.uint8(MANY), both >> np.uint8(4)], axis=2).reshape(len(sketches), -1)
+
+
 def _sender(parts: int):
     """Packs (signature, vertex, role) by part. A set that this task has sent already is not sent again."""
 
@@ -323,9 +340,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _folded(rows: np.ndarray, width: int) -> np.ndarray:
     """Sketches in fewer buckets; a count that may be more than it tells makes the bucket 65535."""
     if rows.shape[1] == width:
-        return np.where(rows == 255, np.uint16(65535), rows)
+        return np.where(rows == MANY, np.uint16(65535), rows)
     parts = rows.reshape(len(rows), width, -1)
-    return np.where((parts == 255).any(axis=2), np.uint16(65535), parts.sum(axis=2, dtype=np.uint16))
+    return np.where((parts == MANY).any(axis=2), np.uint16(65535), parts.sum(axis=2, dtype=np.uint16))
 
 
 def _shared(x: np.ndarray, y: np.ndarray, s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -345,10 +362,9 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = np.stack([np.diff(np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]) for c in (x, y)], axis=1)
         for w in np.unique(width, axis=0):
             at = np.flatnonzero((width == w).all(axis=1))
-            for k in range(0, len(at), max(1, (1 << 22) // int(w.max()))):
-                some = at[k : k + max(1, (1 << 22) // int(w.max()))]
-                rows = [np.frombuffer(b"".join(c.take(pa.array(some)).to_pylist()), np.uint8).reshape(len(some), -1) for c in (x, y)]
-                rows = [_folded(r, int(w.min())) for r in rows]
+            for k in range(0, len(at), max(1, (1 << 21) // int(w.max()))):
+                some = at[k : k + max(1, (1 << 21) // int(w.max()))]
+                rows = [_folded(_counts(c.take(pa.array(some)).to_pylist()), 2 * int(w.min())) for c in (x, y)]
                 keep[some] = _links(_shared(*rows, s[some], t[some]), s[some], t[some])
         names = ["a", "b", "n", "na", "nb"]
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in names], names)
@@ -358,8 +374,8 @@ def _rough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for s in batch.column("sketch"):
-            row = np.frombuffer(s.as_buffer(), np.uint8).reshape(1, -1)
-            out.append(np.minimum(_folded(row, max(1, row.shape[1] // ROUGH)), 255).astype(np.uint8).tobytes())
+            row = _counts([s.as_py()])
+            out.append(_pairwise(_folded(row, max(2, row.shape[1] // ROUGH))[0]).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("v"), pa.array(out, pa.binary())], ["v", "sketch"])
 
 
@@ -433,8 +449,9 @@ def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     rest = pairs.join(of, "a").select(F.col("b").alias("v"), F.col("a").alias("cell"), shard.alias("shard"), F.lit(1).alias("rest"))
     first = of.select(F.col("a").alias("v"), F.col("a").alias("cell"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), F.lit(0).alias("rest"))
     cells = gathered(durable(rest.union(first)))
-    texts = gathered(durable(named.join(cells, "v", "left_semi").select("own")))
-    some = docs.select("text").join(if_small(texts, 8).withColumnRenamed("own", "__own"), F.xxhash64("text") == F.col("__own"), "left_semi")
+    texts = gathered(durable(named.join(cells, "v", "left_semi").select(F.col("own").alias("__own"), F.col("own_id").alias("__id"))))
+    one = (F.xxhash64("text") == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    some = docs.select("doc_id", "text").join(if_small(texts, 16), one, "left_semi").select("text")
     made = some.mapInArrow(tv.lean(_sets), "v long, set binary")
     met = made.join(if_small(cells, 32), "v").repartition("cell", "shard").sortWithinPartitions("cell", "shard", "rest")
     return met.select("cell", "shard", "rest", "v", "set").mapInArrow(tv.lean(_verify), "a long, b long")
@@ -491,9 +508,9 @@ def _compared(whole: bool):
         def pairs():
             v, root, n, side = (np.concatenate([c[k] for c in held]) for k in range(4))
             sketch = [s for c in held for s in c[4]]
-            bits = np.frexp(n)[1] - 1
+            bits = _bits(n)
             rows = {int(w): np.flatnonzero(bits == w) for w in np.unique(bits)}
-            table = {w: np.frombuffer(b"".join(sketch[k] for k in at), np.uint8).reshape(len(at), -1) for w, at in rows.items()}
+            table = {w: _counts([sketch[k] for k in at]) for w, at in rows.items()}
             found = []
             for w in rows:
                 for u in (w, w + 1):
@@ -654,9 +671,9 @@ def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def _named(described: DataFrame) -> DataFrame:
-    """One row for each set: v, its smallest doc_id, own: hash of one of its texts, row: number of one of its rows, size, spares."""
-    least = [F.min("doc_id").alias("doc_id"), F.min("own").alias("own"), F.min("row").alias("row"), *(F.max(c).alias(c) for c in ("n_shingles", "spare0", "spare1"))]
-    return gathered(durable(described.where("v <> 0").groupBy("v").agg(*least)))
+    """One row for each set: v, its smallest doc_id, own, own_id: hash and doc_id of one of its texts, row: number of one of its rows, size, spares."""
+    least = [F.min("doc_id").alias("doc_id"), F.min(F.struct("own", F.col("doc_id").alias("own_id"))).alias("one"), F.min("row").alias("row"), *(F.max(c).alias(c) for c in ("n_shingles", "spare0", "spare1"))]
+    return gathered(durable(described.where("v <> 0").groupBy("v").agg(*least).select("*", "one.*").drop("one")))
 
 
 DESCRIBED = "doc_id long, n_shingles long, v long, sketch binary, spare0 long, spare1 long, own long, row long"
