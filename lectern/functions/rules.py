@@ -207,3 +207,16 @@ NAMED_SPEAKERS = [
 SPEAKER_TITLES = [r"(?i)^(madam|mr|mrs|ms|dr|prof)\s+", r"(?i)\s+(mp|mep|commissioner)$", r"(?i)\([A-Z]{2,4}\)$"]
 SPEECH_START = r"^([^.–\-<]*?)(?:\.|\s*–|\s*—)\s*(.*)"
 LEAST_SEGMENT = 10
+
+# fixed values: the announcement scorer's classes in order of trial: patterns, roles, context words, words that a short text stays under
+ANNOUNCEMENT_RULES = {
+    "session_management": (["sitting is (opened|closed|suspended|resumed)", "session (begins|ends)", "break|pause|adjournment"], ["president", "vice-president"], [], 30),
+    "voting_procedure": (
+        ["voting time|time to vote", "vote (on|is) (taken|called)", "voting list|voting results", "unanimously adopted|rejected"],
+        [],
+        ["amendment", "proposal", "motion", "resolution"],
+        100,
+    ),
+    "agenda_item": (["next item (on the agenda|is)", "debate on|discussion on", "report by|question by", "commission statement"], [], [], 50),
+}
+ANNOUNCEMENT_FROM = 0.6

@@ -217,6 +217,25 @@ def speaker_paragraphs(texts: DataFrame, text: str) -> DataFrame:
     return out.withColumns({"has_speaker": F.col("speaker") != "", "long_enough": F.length("speech") >= R.LEAST_SEGMENT, "proper": marks})
 
 
+def announcement_scores(segments: DataFrame, text: str, role: str) -> DataFrame:
+    """A score for each class of announcements, the best score (confidence), whether it is one, and its class (of equal
+    scores the first). Null texts and roles count as empty."""
+    low, who = (F.lower(F.coalesce(F.col(c), F.lit(""))) for c in (text, role))
+    out = segments.withColumns({"__low": low, "__who": who, "__words": F.regexp_count(low, F.lit(r"\S+"))})
+    number = lambda tests: sum((t.cast("double") for t in tests), F.lit(0.0))
+    for name, (patterns, roles, context, short) in R.ANNOUNCEMENT_RULES.items():
+        met = F.least(F.lit(0.5), number([F.col("__low").rlike(p) for p in patterns]) * 0.2)
+        said = F.when(number([F.contains("__who", F.lit(r)) for r in roles]) > 0, 0.3).otherwise(0.0)
+        brief = F.when(F.col("__words") < short, 0.2).otherwise(0.0)
+        near = F.least(F.lit(0.3), number([F.contains("__low", F.lit(w)) for w in context]) * 0.1)
+        out = out.withColumn(name, F.least(F.lit(1.0), met + said + brief + near))
+    names = list(R.ANNOUNCEMENT_RULES)
+    best = F.greatest(*names)
+    label = ladder([(F.col(n) == F.col("confidence"), F.lit(n)) for n in names[:-1]], F.lit(names[-1]))
+    told = out.drop("__low", "__who", "__words").withColumn("confidence", best).withColumn("is_announcement", F.col("confidence") > R.ANNOUNCEMENT_FROM)
+    return told.withColumn("label", F.when(F.col("is_announcement"), label))
+
+
 def contains_join(texts: DataFrame, text: str, needles: DataFrame, needle: str, n: int = 3) -> DataFrame:
     """texts with each needle that they contain, both in lower case. They meet by the needle's first n characters, not
     pair by pair; needles must have n characters or more, shorter ones meet nothing."""

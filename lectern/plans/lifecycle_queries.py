@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lectern.functions import rules as R
 from lectern.operators import lifecycle as L
 from lectern.plans.relational_queries import TABLES
+from lectern.sources.segments import SEGMENTS_SQL, segments
 
 
 def base(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -169,6 +170,15 @@ NAMES = """SELECT 'name' AS kind, c_custkey AS id, c_name AS name FROM {customer
 
 W14_FROM = "SELECT event_id, user_id, event_id % 24 AS h, event_id % 4 AS m, event_id * 7 % 1000 AS pos FROM {events}"
 
+_SCORES = ", ".join(
+    "least(1.0, least(0.5, len(list_filter([" + sql_list(patterns) + "], lambda p: regexp_matches(lower(text), p)))::DOUBLE * 0.2::DOUBLE)"
+    + (" + CASE WHEN " + _likes(roles, "lower(speaker)") + " THEN 0.3::DOUBLE ELSE 0 END" if roles else "")
+    + f" + CASE WHEN n < {short} THEN 0.2::DOUBLE ELSE 0 END"
+    + (" + least(0.3, len(list_filter([" + sql_list(context) + "], lambda w: contains(lower(text), w)))::DOUBLE * 0.1::DOUBLE)" if context else "")
+    + f")::DOUBLE AS {name}"
+    for name, (patterns, roles, context, short) in R.ANNOUNCEMENT_RULES.items()
+)
+
 PAIRS = {
     "t39_error_class": bound(ERRORS, lambda b: L.classified_errors(b).select("id", "severity", "category", "strategy", "max_retries", "factor"), f", {CLASSED} SELECT id, severity, category, strategy, max_retries, factor FROM c"),
     "r13_recovery_plan": bound(
@@ -307,4 +317,14 @@ PAIRS = {
         lambda b: b.groupingSets([["event_type"], ["status"]], "event_type", "status").agg(F.count("*").alias("n")),
         "SELECT event_type, status, count(*) AS n FROM b GROUP BY GROUPING SETS ((event_type), (status))",
     ),
+    "t42_announcement_scores": (
+        lambda spark, sf_dir: L.announcement_scores(segments(spark, sf_dir), "text", "speaker").select(
+            "session_id", "seq", *[F.round(n, 6).alias(n) for n in (*R.ANNOUNCEMENT_RULES, "confidence")], "is_announcement", "label"
+        ),
+        rf"""WITH b AS ({SEGMENTS_SQL}), c AS (SELECT *, len(regexp_extract_all(text, '\S+')) AS n FROM b), s AS (SELECT session_id, seq, {_SCORES} FROM c),
+        t AS (SELECT *, list_max([session_management, voting_procedure, agenda_item]) AS best FROM s)
+        SELECT session_id, seq, round(session_management, 6) AS session_management, round(voting_procedure, 6) AS voting_procedure, round(agenda_item, 6) AS agenda_item,
+        round(best, 6) AS confidence, best > 0.6::DOUBLE AS is_announcement, CASE WHEN best > 0.6::DOUBLE THEN
+        ['session_management', 'voting_procedure', 'agenda_item'][list_position([session_management, voting_procedure, agenda_item], best)] END AS label FROM t""",
+    ),
 }
