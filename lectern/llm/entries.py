@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.llm import ann, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, sentence_spans
+from lectern.llm import ann, fill_middle, filter_audit, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, sentence_spans
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier.op8_quality_classifier,
     "op9_language_id": language_id.op9_language_id,
     "op10_mixing": mixing.op10_mixing,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op13_fill_middle": fill_middle.ORACLE,
 }
