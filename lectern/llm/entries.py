@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectern.llm import ann, fill_middle, filter_audit, language_id, line_dedup, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, sentence_spans
+from lectern.llm import ann, fill_middle, filter_audit, language_id, line_dedup, media, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, sentence_spans
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_mixing": mixing.op10_mixing,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_progressive_jpeg": media.op12_progressive_jpeg,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
