@@ -220,3 +220,49 @@ ANNOUNCEMENT_RULES = {
     "agenda_item": (["next item (on the agenda|is)", "debate on|discussion on", "report by|question by", "commission statement"], [], [], 50),
 }
 ANNOUNCEMENT_FROM = 0.6
+
+# ---- time mentions: fixed values, in the order of trial ---------------------------------------------
+
+#: format, what it is worth, pattern; letters match in either case
+MENTION_PATTERNS = [
+    ("hh_mm_ss", 0.9, r"\b([01]?\d|2[0-3]):([0-5]\d):([0-5]\d)\b"),
+    ("hh_mm_ss", 0.9, r"\b(\d{1,2})\.([0-5]\d)\.([0-5]\d)\b"),
+    ("hh_mm", 0.8, r"\b([01]?\d|2[0-3]):([0-5]\d)\b"),
+    ("hh_mm", 0.8, r"\b(\d{1,2})\.([0-5]\d)\b"),
+    ("hh_mm", 0.8, r"\b(\d{1,2})h([0-5]\d)\b"),
+    ("hh_mm_ss_ampm", 0.85, r"\b(\d{1,2}):([0-5]\d):([0-5]\d)\s*(AM|PM|am|pm)\b"),
+    ("hh_mm_ss_ampm", 0.85, r"\b(\d{1,2}):([0-5]\d):([0-5]\d)\s*(A\.M\.|P\.M\.)\b"),
+    ("hh_mm_ampm", 0.75, r"\b(\d{1,2}):([0-5]\d)\s*(AM|PM|am|pm)\b"),
+    ("hh_mm_ampm", 0.75, r"\b(\d{1,2}):([0-5]\d)\s*(A\.M\.|P\.M\.)\b"),
+    ("contextual", 0.6, r"\bat\s+(\d{1,2})\s*(?:hours?\s*)?(?:and\s*)?(\d{1,2})?\s*(?:minutes?)?\b"),
+    ("contextual", 0.6, r"\b(?:around|about|approximately)\s+(\d{1,2})(?::(\d{2}))?\b"),
+    ("contextual", 0.6, r"\b(?:quarter\s+past|half\s+past|\d+\s+minutes?\s+past)\s+(\d{1,2})\b"),
+]
+#: any of these near a mention: PARLIAMENT_BOOST once
+PARLIAMENT_TIMES = [
+    r"sitting\s+(?:opens?|begins?|starts?)\s+at\s+",
+    r"president\s*\.\s*–\s*(?:good\s+morning|the\s+sitting)",
+    r"(?:madam|mr)\s+president\s*\.\s*–",
+    r"commissioner\s+\w+\s*\.\s*–",
+    r"(?:vote|voting)\s+(?:at|begins?)\s+",
+]
+PARLIAMENT_BOOST, CONTEXT_BOOST = 0.15, 0.1
+#: any of a class near a mention: CONTEXT_BOOST once for each class
+TIME_CONTEXTS = {
+    "session_times": ["sitting.*?(?:opens?|begins?|starts?)", "sitting.*?(?:closes?|ends?|adjourns?)", "session.*?(?:opens?|begins?|starts?)", "session.*?(?:closes?|ends?|adjourns?)"],
+    "speech_times": ["at.*?(?:says?|speaks?|states?)", "speaker.*?(?:begins?|continues?)", "(?:mr|mrs|ms|madam).*?president.*?at"],
+    "procedural_times": ["vote.*?(?:at|begins?|starts?)", "break.*?(?:at|until)", "recess.*?(?:at|until)", "applause.*?(?:at|lasting)"],
+}
+#: class, from which score, what it is worth to an association
+TIME_CONFIDENCE = [("high", 0.9, 0.95), ("medium", 0.7, 0.8), ("low", 0.5, 0.6), ("estimated", 0.0, 0.3)]
+#: words, of these words too, event, else event; the first that fits
+TIME_EVENTS = [
+    (["sitting opens", "sitting begins", "session starts"], [], "session_start", None),
+    (["sitting closes", "sitting ends", "session ends"], [], "session_end", None),
+    (["vote", "voting", "ballot"], ["begins", "starts", "at"], "vote_start", "vote_end"),
+    (["break", "recess", "adjourn"], ["until", "resume"], "break_start", "break_end"),
+]
+OTHER_EVENT = "speech_start"
+MENTION_REACH, MENTION_CONTEXT, MENTION_BUCKET = 200, 50, 100
+#: distance, confidence, speaker near the mention, a speech's start
+ASSOCIATION = (0.4, 0.3, 0.2, 0.1)

@@ -168,7 +168,6 @@ def _members(df: DataFrame) -> DataFrame:
 NAMES = """SELECT 'name' AS kind, c_custkey AS id, c_name AS name FROM {customer}
   UNION ALL SELECT 'needle', n_nationkey, concat('R#0000', CASE WHEN n_nationkey < 10 THEN '000' ELSE '00' END, CAST(n_nationkey AS varchar(9))) FROM {nation}"""
 
-W14_FROM = "SELECT event_id, user_id, event_id % 24 AS h, event_id % 4 AS m, event_id * 7 % 1000 AS pos FROM {events}"
 
 _SCORES = ", ".join(
     "least(1.0, least(0.5, len(list_filter([" + sql_list(patterns) + "], lambda p: regexp_matches(lower(text), p)))::DOUBLE * 0.2::DOUBLE)"
@@ -307,11 +306,6 @@ PAIRS = {
         lambda b: _members(b).groupBy("id").agg(F.min("needle_id").alias("first")),
         ", n AS (SELECT * FROM b WHERE kind = 'name') SELECT n.id, min(m.id) AS first FROM n JOIN b AS m ON m.kind = 'needle' AND contains(lower(n.name), lower(m.name)) GROUP BY n.id",
     ),
-    "w14_mention_dedup": bound(
-        W14_FROM,
-        lambda b: b.withColumn("k", F.expr("row_number() OVER (PARTITION BY user_id, h, m, floor(pos / 100) ORDER BY pos, event_id)")).where("k = 1").select("event_id"),
-        "SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id, h, m, pos // 100 ORDER BY pos, event_id) AS k FROM b) WHERE k = 1",
-    ),
     "a13_event_counts": bound(
         "SELECT event_type, CASE WHEN value < 20 THEN 'failed' WHEN value < 60 THEN 'running' ELSE 'completed' END AS status FROM {events}",
         lambda b: b.groupingSets([["event_type"], ["status"]], "event_type", "status").agg(F.count("*").alias("n")),

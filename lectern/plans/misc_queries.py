@@ -111,60 +111,6 @@ def processing_quality(d: Spark) -> list[dict[str, str]]:
     ]
 
 
-# ---- time mentions ----------------------------------------------------------------------------------
-
-MENTION = [  # fixed values: format, pattern, base confidence
-    ("hh_mm_ss", r"\b(\d{1,2})[:.]([0-5]\d)[:.]([0-5]\d)\b", 0.9),
-    ("hh_mm_ampm", r"(?i)\b(\d{1,2}):([0-5]\d)\s*(?:am|pm|a\.m\.|p\.m\.)", 0.75),
-    ("hh_mm", r"\b(\d{1,2})[:.h]([0-5]\d)\b", 0.8),
-    ("contextual", r"(?i)\b(?:at|around|about|approximately)\s+(\d{1,2})()\b", 0.6),
-]
-
-
-def first_mention(d: Spark) -> list[dict[str, str]]:
-    """The first time mention of the first format that has one: hour, minute, confidence class, event type."""
-    hits = {f"t_{n}": d.ext("text", p, 0) for n, p, _ in MENTION}
-    pick = lambda g: case([(f"t_{n} <> ''", d.ext("text", p, g)) for n, p, _ in MENTION])
-    low = "lower(text)"
-    some = lambda *ws: "(" + " OR ".join(d.has(low, w) for w in ws) + ")"
-    return [
-        hits,
-        {"format": case([(f"t_{n} <> ''", f"'{n}'") for n, _, _ in MENTION]), "base": case([(f"t_{n} <> ''", f"{c!r}D") for n, _, c in MENTION]), "h": f"cast(nullif({pick(1)}, '') as int)", "m": f"cast(coalesce(nullif({pick(2)}, ''), '0') as int)", "pm": f"t_hh_mm_ss = '' AND {d.rlike('t_hh_mm_ampm', '(?i)p')}"},
-        {"hour": "CASE WHEN pm AND h < 12 THEN h + 12 ELSE h END"},
-        {"valid_time": "coalesce(hour BETWEEN 0 AND 23 AND m BETWEEN 0 AND 59, false)", "sure": f"least(1.0D, base + CASE WHEN {d.rlike(low, 'sitting' + chr(92) + 's+(?:opens?|begins?|starts?)' + chr(92) + 's+at')} THEN 0.15D ELSE 0.0D END + CASE WHEN {d.rlike(low, '(?:sitting|session).*?(?:opens?|begins?|starts?|closes?|ends?)')} THEN 0.1D ELSE 0.0D END)"},
-        {
-            "confidence": case([("sure >= 0.9D", "'high'"), ("sure >= 0.7D", "'medium'"), ("sure >= 0.5D", "'low'")], "'estimated'"),
-            "event": case([(some("sitting opens", "sitting begins", "session starts"), "'session_start'"), (some("sitting closes", "sitting ends", "session ends"), "'session_end'"), (f"{some('vote', 'voting', 'ballot')} AND {some('begins', 'starts', 'at')}", "'vote_start'"), (some("vote", "voting", "ballot"), "'vote_end'"), (f"{some('break', 'recess', 'adjourn')} AND {some('until', 'resume')}", "'break_start'"), (some("break", "recess", "adjourn"), "'break_end'")], "'speech_start'"),
-        },
-    ]
-
-
-def d7_all_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every hh:mm mention with its position: marked, split at the marks, positions as running lengths."""
-    df = documents(spark, sf_dir).select("doc_id", F.expr(r"split(regexp_replace(text, r'\d{1,2}[:.][0-5]\d', '\u0001$0\u0001'), '\u0001')").alias("parts"))
-    df = df.select("doc_id", F.posexplode("parts").alias("k", "part"))
-    df = df.withColumn("pos", F.expr("coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"))
-    return df.where("k % 2 = 1").select("doc_id", "part", F.col("pos").cast("long").alias("pos"))
-
-
-D7_SQL = rf"""
-WITH p AS (SELECT doc_id, string_split(regexp_replace(text, '(\d{{1,2}}[:.][0-5]\d)', chr(1) || '\1' || chr(1), 'g'), chr(1)) AS parts FROM ({DOCUMENTS_SQL})),
-e AS (SELECT doc_id, k - 1 AS k, parts[k] AS part FROM p, unnest(range(1, len(parts) + 1)) AS u(k))
-SELECT doc_id, part, pos::BIGINT AS pos FROM (SELECT *, coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM e) WHERE k % 2 = 1"""
-
-
-def j10_near_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marks = d7_all_mentions(spark, sf_dir).select(F.col("doc_id").alias("key"), "pos", F.lit(0.8).alias("weight"))
-    spots = documents(spark, sf_dir).select(F.col("doc_id").alias("key"), F.explode(F.expr("sequence(0L, cast(length(text) as bigint), 150L)")).alias("spot"))
-    return S.near_marks(marks, spots).select("key", "spot", "pos", F.round("score", 6).alias("score"))
-
-
-J10_SQL = f"""
-WITH s AS (SELECT doc_id AS key, unnest(range(0, length(text) + 1, 150)) AS spot FROM ({DOCUMENTS_SQL})), m AS ({D7_SQL}),
-c AS (SELECT s.key, s.spot, m.pos, 0.4::DOUBLE * (1 - abs(m.pos - s.spot) / 200.0::DOUBLE) + 0.3::DOUBLE * 0.8::DOUBLE AS score FROM s JOIN m ON s.key = m.doc_id AND abs(m.pos - s.spot) <= 200)
-SELECT key, spot, pos, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY key, spot ORDER BY score DESC, pos) AS k FROM c) WHERE k = 1"""
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -217,10 +163,6 @@ def _a15_sql() -> str:
     FROM (SELECT *, start - lag("end") OVER (PARTITION BY session_id ORDER BY seq) AS gap FROM ({W5_SQL})) GROUP BY session_id"""
 
 
-def _mentions(d):
-    return first_mention(d)
-
-
 PAIRS = {
     "t22_structural_quality": _documents(Q.structural, _rounded("document_structure", "speaker_structure", "formatting", "segmentation", "structural")),
     "t23_content_quality": _documents(lambda d: [*Q.structural(d), *Q.content(d)], _rounded("completeness", "coherence", "depth", "relevance", "content")),
@@ -236,11 +178,6 @@ PAIRS = {
     "t35_processing_quality": _documents(processing_quality, ["processing_level", *_rounded("processing")]),
     "s16_page_metadata": _pages(page_metadata, ["title", "page_date", "language", "total_length"]),
     "s17_report_validity": _pages(report_validity, ["is_report"]),
-    "d7_time_mentions": (d7_all_mentions, D7_SQL),
-    "d8_mention_time": _documents(_mentions, ["format", "hour", "m", "valid_time"]),
-    "d9_mention_confidence": _documents(_mentions, ["confidence"]),
-    "d10_event_type": _documents(_mentions, ["event"]),
-    "j10_near_marks": (j10_near_marks, J10_SQL),
     "a15_timeline_stats": (a15_timeline_stats, _a15_sql()),
     "r1_windowed_counts": (r1_windowed_counts, R1_SQL),
     "t2_normalized_names": (t2_normalized_names, T2_SQL),
