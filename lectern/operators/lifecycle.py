@@ -73,17 +73,6 @@ def illegal_transitions(log: DataFrame, key: str, order: list[str], state: str,
     return told.where(F.col("before").isNotNull() & (F.col("before") != F.col(state)) & ~F.array_contains(legal, step))
 
 
-def stage_progress(log: DataFrame, key: str, at: str, order: list[str], share: str) -> DataFrame:
-    """percent: sum of shares so far in 0 to 100; throughput: items a second since the first; done; failures so far."""
-    so_far = W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    elapsed = F.col(at) - F.first(at).over(so_far)
-    return (
-        log.withColumn("percent", F.least(F.greatest(F.sum(share).over(so_far), F.lit(0.0)), F.lit(100.0)))
-        .withColumn("throughput", F.when(elapsed > 0, F.count("*").over(so_far) / elapsed).otherwise(F.lit(0.0)))
-        .withColumn("done", F.col("percent") >= 100.0)
-    )
-
-
 def restored(checkpoint: DataFrame, current: DataFrame, key: str, mode: str, status: str = "status") -> DataFrame:
     """full: the checkpoint; partial: its completed rows; merge: all rows of both, the checkpoint's where both have one."""
     if mode == "full":

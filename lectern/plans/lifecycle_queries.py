@@ -127,7 +127,6 @@ for _p in R.SPEAKER_TITLES:
 
 _LEGAL = sql_list(f"{a}>{b}" for a, to in R.TRANSITIONS.items() for b in to)
 _HOURS = "CASE kind " + " ".join(f"WHEN '{k}' THEN {h}" for k, h in R.CACHE_HOURS.items()) + f" ELSE {R.OTHER_HOURS} END"
-_UPTO = "PARTITION BY user_id ORDER BY sec, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 RESULT = "id string, date string, title string, `end` string"
 
 
@@ -198,12 +197,6 @@ PAIRS = {
         lambda b: L.illegal_transitions(b, "user_id", ["sec", "event_id"], "state").select("event_id", "before", "state"),
         f"SELECT event_id, before, state FROM (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY sec, event_id) AS before FROM b) WHERE before <> state AND before || '>' || state NOT IN ({_LEGAL})",
     ),
-    "r11_stage_progress": bound(
-        STATES,
-        lambda b: L.stage_progress(b, "user_id", "sec", ["sec", "event_id"], "value").select("event_id", F.round("percent", 6).alias("percent"), F.round("throughput", 9).alias("throughput"), "done"),
-        f"""SELECT event_id, round(p, 6) AS percent, p >= 100 AS done, round(CASE WHEN e > 0 THEN n / e ELSE 0 END, 9) AS throughput FROM (
-        SELECT event_id, least(greatest(sum(value) OVER w, 0), 100) AS p, count(*) OVER w AS n, sec - first_value(sec) OVER w AS e FROM b WINDOW w AS ({_UPTO}))""",
-    ),
     "r12_cache_hits": bound(
         STATES,
         lambda b: L.cache_hits(b, "user_id", "kind", "sec", ["sec", "event_id"], "is_set"),

@@ -136,7 +136,6 @@ PAIRS = {
     "n1_json_fallback": statement("SELECT event_id, coalesce(get_json_object(props, '$.title.en'), get_json_object(props, '$.k')) AS title FROM {events}", "SELECT event_id, coalesce(json_extract_string(props, '$.title.en'), json_extract_string(props, '$.k')) AS title FROM events"),
     "n2_array_dedup": statement("SELECT conv_id, array_join(array_sort(collect_set(role)), ',') AS roles FROM {conversations} GROUP BY conv_id", "SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM conversations GROUP BY conv_id"),
     "r1_requests_per_window": statement("SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(CAST(ts AS timestamp) AS bigint) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS recent FROM {events}", "SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(floor(epoch(ts)) AS bigint) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS recent FROM events"),
-    "r3_stuck_executions": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id, CASE WHEN state = 'queued' AND created < now - INTERVAL '6' HOUR THEN 'stuck' ELSE 'fine' END AS status FROM s, m"),
     "r7_checkpoint_due": statement("SELECT event_id FROM (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM {events}) WHERE p IS NULL OR ts >= p + INTERVAL '30' MINUTE"),
     "r10_latest_state": statement("SELECT user_id, max_by(event_type, event_id) AS state FROM {events} GROUP BY user_id", "SELECT user_id, arg_max(event_type, event_id) AS state FROM events GROUP BY user_id"),
     # ---- scalar functions on names, addresses and errors
