@@ -266,3 +266,6 @@ OTHER_EVENT = "speech_start"
 MENTION_REACH, MENTION_CONTEXT, MENTION_BUCKET = 200, 50, 100
 #: distance, confidence, speaker near the mention, a speech's start
 ASSOCIATION = (0.4, 0.3, 0.2, 0.1)
+
+#: Words of a report, of which two must be there.
+REPORT_WORDS = ["plenary", "sitting", "president", "debate", "parliament", "agenda"]

@@ -56,9 +56,10 @@ def recovery_plan(errors: DataFrame, retries: str = "retries", base: float = 5.0
 
 
 def background_recovery(errors: DataFrame, at: str = "at", id_: str = "id", most: int = 10) -> DataFrame:
-    """The latest unresolved light errors that may recover by themselves, and what becomes of each."""
-    light = F.col("severity").isin("low", "medium") & F.col("strategy").isin("linear_backoff", "exponential_backoff", "graceful_degradation")
-    some = errors.where(light & ~F.col("resolved") & (F.col("retries") < 3)).orderBy(F.desc(at), F.desc(id_)).limit(most)
+    """Of the latest unresolved light errors those that may recover by themselves, and what becomes of each. The latest
+    are taken first, so some of them may drop out."""
+    latest = errors.where(F.col("severity").isin("low", "medium") & ~F.col("resolved")).orderBy(F.desc(at), F.desc(id_)).limit(most)
+    some = latest.where(F.col("strategy").isin("linear_backoff", "exponential_backoff", "graceful_degradation") & (F.col("retries") < 3))
     return some.withColumn("outcome", F.when(F.col("category") == "rate_limit", "resolved").otherwise("retry"))
 
 
@@ -226,14 +227,23 @@ def announcement_scores(segments: DataFrame, text: str, role: str) -> DataFrame:
 
 
 def contains_join(texts: DataFrame, text: str, needles: DataFrame, needle: str, n: int = 3) -> DataFrame:
-    """texts with each needle that they contain, both in lower case. They meet by the needle's first n characters, not
-    pair by pair; needles must have n characters or more, shorter ones meet nothing."""
-    low = F.lower(F.col(text))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(n))))
-    left = texts.withColumn("__gram", F.explode(grams))
-    right = needles.withColumn("__key", F.substring(F.lower(F.col(needle)), 1, n)).where(F.length(needle) >= n)
-    met = left.join(right, F.col("__gram") == F.col("__key"))
-    return met.where(F.contains(F.lower(F.col(text)), F.lower(F.col(needle)))).drop("__gram", "__key")
+    """texts with each needle that they contain, both in lower case. A text meets a needle by that of the needle's
+    pieces of n characters which the fewest texts hold (a needle of fewer characters is its own piece), so a piece that
+    all texts share is no key unless a needle has no other. Null texts and needles meet nothing, empty needles all texts."""
+    low, own = F.lower(F.col(text)), F.lower(F.col(needle))
+    cut = lambda s, k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, k)))
+    sized = needles.where(F.length(own) > 0).withColumn("__size", F.least(F.length(own), F.lit(n)))
+    pieces = sized.select(F.col(needle), F.explode(cut(own, F.col("__size"))).alias("__piece")).distinct()
+    sizes = [r[0] for r in sized.select("__size").distinct().collect()]  # n numbers at most
+    held = F.array_distinct(F.flatten(F.array(*(F.when(F.length(low) >= k, cut(low, F.lit(k))).otherwise(F.array().cast("array<string>")) for k in sizes))) if sizes else F.array().cast("array<string>"))
+    left = texts.withColumn("__held", F.explode(held))
+    known = left.join(pieces.select(F.col("__piece").alias("__held")).distinct(), "__held", "left_semi")
+    counts = known.groupBy(F.col("__held").alias("__piece")).agg(F.count("*").alias("__n"))
+    rarest = pieces.join(counts, "__piece").groupBy(needle).agg(F.min(F.struct("__n", "__piece"))["__piece"].alias("__key"))
+    keyed = needles.join(rarest.select(F.col(needle).alias("__needle"), "__key"), F.col(needle) == F.col("__needle")).drop("__needle")
+    met = known.join(keyed, F.col("__held") == F.col("__key")).where(F.contains(low, own)).drop("__held", "__key")
+    every = needles.where(F.length(own) == 0)
+    return met.unionByName(texts.where(low.isNotNull()).join(every, F.length(low) >= F.length(own)))
 
 
 # ---- landed answers --------------------------------------------------------------------------------
@@ -255,10 +265,11 @@ def bindings(answers: DataFrame, column: str, names: list[str]) -> DataFrame:
     return answers.select(*kept, F.explode(rows).alias("__b")).select(*kept, *[F.col("__b")[n]["value"].alias(n) for n in names])
 
 
-def property_pivot(triples: DataFrame, subject: str, property_: str, value: str, names: list[str]) -> DataFrame:
-    """One row for each subject, one column for each property by its local name; of several values the first by order."""
-    local = F.regexp_extract(property_, r"([^/#]*)$", 1)
-    return triples.groupBy(subject).agg(*[F.min(F.when(local == n, F.col(value))).alias(n) for n in names])
+def property_pivot(triples: DataFrame, subject: str, property_: str, value: str, names: list[str], order: str) -> DataFrame:
+    """One row for each subject, one column for each property by its name behind the last # or else the last /; of several
+    values that of the last row."""
+    local = F.when(F.contains(property_, F.lit("#")), F.substring_index(property_, "#", -1)).otherwise(F.substring_index(property_, "/", -1))
+    return triples.groupBy(subject).agg(*[F.max_by(value, F.when(local == n, F.col(order))).alias(n) for n in names])
 
 
 def validation_report(summary: DataFrame, key: str) -> DataFrame:

@@ -7,10 +7,12 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lectern.sources.stores import kept
+
 CLOSED, OPEN, HALF = "closed", "open", "half_open"
 
 
@@ -84,27 +86,59 @@ def similarity(a: str, b: str) -> float:
     return 100 * max(SequenceMatcher(None, a, b).ratio(), SequenceMatcher(None, words(a), words(b)).ratio())
 
 
-def resolved_names(names: DataFrame, members: DataFrame, least: float = 75.0) -> DataFrame:
-    """name, member, confidence, method: exact match, else the most similar member over `least`, else none.
+def _letters(name: Column) -> Column:
+    """The characters of a name, the second of a kind apart from the first, so that common ones can be counted as a set."""
+    chars = F.array_sort(F.split(name, "(?!^)"))
+    return F.transform(chars, lambda c, i: F.concat(c, (i + 1 - F.array_position(chars, c)).cast("string")))
+
+
+def similar_candidates(names: DataFrame, members: DataFrame, least: float) -> DataFrame:
+    """name, member: every pair whose ratio may be over `least` (0 to 1), and few others.
+
+    A ratio is twice the matched characters over both lengths, so a pair over `least` has that share of common letters.
+    Then each side's rarest letters, as many as could all be missing plus one, must meet (a prefix filter); pairs are
+    joined on these, then held to the length bound and to the count of common letters. None is lost."""
+    side = lambda df, c: df.select(F.col(c)).distinct().withColumn("__letters", _letters(F.lower(F.col(c)))).where(F.length(c) > 0)
+    a, b = kept(side(names, "name"), "letters"), kept(side(members, "member"), "letters")
+    counts = a.select(F.explode("__letters").alias("__l")).unionByName(b.select(F.explode("__letters").alias("__l"))).groupBy("__l").agg(F.count("*").alias("__n"))
+    needed = lambda n: F.ceil(n * F.lit(least / (2 - least)) - 1e-9)
+
+    def rare(df: DataFrame, c: str) -> DataFrame:
+        size = F.size("__letters")
+        told = df.select(c, (size - needed(size) + 1).alias("__most"), F.explode("__letters").alias("__l")).join(counts, "__l")
+        order = W.partitionBy(c).orderBy("__n", "__l")
+        return told.withColumn("__k", F.row_number().over(order)).where(F.col("__k") <= F.col("__most")).select(c, "__l")
+
+    pairs = kept(rare(a, "name").join(rare(b, "member"), "__l").select("name", "member").distinct(), "pairs")
+    met = pairs.join(a.withColumnRenamed("__letters", "__a"), "name").join(b.withColumnRenamed("__letters", "__b"), "member")
+    both = F.size("__a") + F.size("__b")
+    close = (2 * F.least(F.size("__a"), F.size("__b")) >= least * both) & (2 * F.size(F.array_intersect("__a", "__b")) >= least * both - 1e-9)
+    return met.where(close).select("name", "member")
+
+
+def resolved_names(names: DataFrame, members: DataFrame, least: float = 75.0, accept: float = 0.8) -> DataFrame:
+    """name, member, confidence, method: exact match, else the most similar member if its rounded score is over `least`
+    and as a confidence over `accept`, else none with 0.0.
 
-    Names are made distinct first; those without an exact match meet the members that share a word or a first
-    letter with them, so no all-pairs join is needed."""
-    distinct = names.select("name").distinct()
-    exact = distinct.join(members, F.lower("name") == F.lower("member")).select("name", "member", F.lit(1.0).alias("confidence"), F.lit("exact").alias("method"))
-    keys = lambda c: F.array_distinct(F.array_append(F.split(F.lower(c), " "), F.substring(F.lower(c), 1, 1)))
-    rest = distinct.join(exact.select("name"), "name", "left_anti")
-    met = rest.select("name", F.explode(keys("name")).alias("key")).join(members.select("member", F.explode(keys("member")).alias("key")), "key").select("name", "member").distinct()
+    White space is collapsed and case ignored; names and members are made distinct first, null and empty ones of no avail."""
+    plain = lambda df, c: df.select(F.trim(F.regexp_replace(c, r"\s+", " ")).alias(c)).distinct()
+    distinct, known = plain(names, "name"), plain(members, "member")
+    exact = distinct.join(known, F.lower("name") == F.lower("member")).groupBy("name").agg(F.min("member").alias("__exact"))
+    told = kept(distinct.join(exact, "name", "left"), "names")
+    rest = told.where("__exact IS NULL").select("name")
+    # A score is rounded before the gates, so half a point more may pass.
+    met = similar_candidates(rest, known, max(least / 100, accept) - 0.005)
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similarity(x.lower(), y.lower()) for x, y in zip(a, b)], dtype=float)
-
-    scored = met.withColumn("score", ratio("name", "member")).where(F.col("score") > least)
-    best = W.partitionBy("name").orderBy(F.desc("score"), "member")
-    fuzzy = scored.withColumn("k", F.row_number().over(best)).where("k = 1").select("name", "member", (F.col("score") / 100).alias("confidence"), F.lit("fuzzy").alias("method"))
-    found = exact.unionByName(fuzzy)
-    none = distinct.join(found.select("name"), "name", "left_anti").select("name", F.lit(None).cast("string").alias("member"), F.lit(0.0).alias("confidence"), F.lit("none").alias("method"))
-    return found.unionByName(none)
+        return pd.Series([float(round(similarity(x.lower(), y.lower()))) for x, y in zip(a, b)], dtype=float)
+
+    scored = met.withColumn("score", ratio("name", "member")).where((F.col("score") > least) & (F.col("score") / 100 > accept))
+    best = scored.groupBy("name").agg(F.max("score").alias("__score"), F.min_by("member", F.struct(-F.col("score"), "member")).alias("__close"))
+    out = told.join(best, "name", "left")
+    method = F.when(F.col("__exact").isNotNull(), "exact").when(F.col("__close").isNotNull(), "fuzzy").otherwise("none")
+    sure = F.when(F.col("__exact").isNotNull(), 1.0).otherwise(F.coalesce(F.col("__score") / 100, F.lit(0.0)))
+    return out.select("name", F.coalesce("__exact", "__close").alias("member"), sure.alias("confidence"), method.alias("method"))
 
 
 def near_marks(marks: DataFrame, spots: DataFrame, reach: int = 200) -> DataFrame:

@@ -95,9 +95,10 @@ ANSWERS = """SELECT o_orderkey AS answer, CASE o_orderkey % 4 WHEN 0 THEN '{"res
 
 BINDINGS = """SELECT n_nationkey, concat('{"results": {"bindings": [{"doc": {"type": "uri", "value": "http://x/', n_name, '"}, "date": {"value": "2024"}}, {"doc": {"value": "z"}}]}}') AS body FROM {nation}"""
 
-TRIPLES = """SELECT url AS s, 'http://x.org/p#title' AS p, concat('t', CAST(page_id % 9 AS varchar(9))) AS o FROM {pages}
-  UNION ALL SELECT url, 'http://x.org/terms/date', CAST(page_id AS varchar(9)) FROM {pages} WHERE page_id % 3 = 0
-  UNION ALL SELECT url, 'http://x.org/p#title', 'zz' FROM {pages} WHERE page_id % 5 = 0 UNION ALL SELECT url, 'other', 'n' FROM {pages}"""
+TRIPLES = """SELECT url AS s, 'http://x.org/p#title' AS p, concat('t', CAST(page_id % 9 AS varchar(9))) AS o, page_id * 8 AS k FROM {pages}
+  UNION ALL SELECT url, 'http://x.org/terms/date', CAST(page_id AS varchar(9)), page_id * 8 + 1 FROM {pages} WHERE page_id % 3 = 0
+  UNION ALL SELECT url, 'http://y.org/terms#title', concat('a', CAST(page_id % 7 AS varchar(9))), page_id * 8 + 2 + page_id % 2 FROM {pages} WHERE page_id % 5 = 0
+  UNION ALL SELECT url, 'http://x.org/p#a/date', 'no', page_id * 8 + 4 FROM {pages} UNION ALL SELECT url, 'other', 'n', page_id * 8 + 5 FROM {pages}"""
 
 
 def _likes(words, column="lower(url)") -> str:
@@ -165,7 +166,8 @@ def _members(df: DataFrame) -> DataFrame:
 
 
 NAMES = """SELECT 'name' AS kind, c_custkey AS id, c_name AS name FROM {customer}
-  UNION ALL SELECT 'needle', n_nationkey, concat('R#0000', CASE WHEN n_nationkey < 10 THEN '000' ELSE '00' END, CAST(n_nationkey AS varchar(9))) FROM {nation}"""
+  UNION ALL SELECT 'needle', n_nationkey, concat('R#0000', CASE WHEN n_nationkey < 10 THEN '000' ELSE '00' END, CAST(n_nationkey AS varchar(9))) FROM {nation}
+  UNION ALL SELECT 'needle', 100 + r_regionkey, CAST(r_regionkey * 21 AS varchar(9)) FROM {region} UNION ALL SELECT 'needle', 200 + r_regionkey, '00014' FROM {region} WHERE r_regionkey < 2"""
 
 
 _SCORES = ", ".join(
@@ -189,8 +191,9 @@ PAIRS = {
     "r16_background_recovery": bound(
         ERRORS,
         lambda b: L.background_recovery(L.classified_errors(b), "sec").select("id", "outcome"),
-        f""", {CLASSED} SELECT id, CASE WHEN category = 'rate_limit' THEN 'resolved' ELSE 'retry' END AS outcome FROM c WHERE severity IN ('low', 'medium') AND NOT resolved AND retries < 3
-        AND strategy IN ('linear_backoff', 'exponential_backoff', 'graceful_degradation') ORDER BY sec DESC, id DESC LIMIT 10""",
+        f""", {CLASSED}, l AS (SELECT * FROM c WHERE severity IN ('low', 'medium') AND NOT resolved ORDER BY sec DESC, id DESC LIMIT 10)
+        SELECT id, CASE WHEN category = 'rate_limit' THEN 'resolved' ELSE 'retry' END AS outcome FROM l WHERE retries < 3
+        AND strategy IN ('linear_backoff', 'exponential_backoff', 'graceful_degradation')""",
     ),
     "r10_illegal_transitions": bound(
         STATES,
@@ -277,7 +280,7 @@ PAIRS = {
         SELECT answer, x->>'$.id' AS id FROM r WHERE coalesce(x->>'$.end', '9') > '2024-01-01'""",
     ),
     "s4_binding_flatten": bound(BINDINGS, lambda b: L.bindings(b, "body", ["doc", "date"]), ", r AS (SELECT n_nationkey, unnest(CAST(json_extract(body, '$.results.bindings') AS JSON[])) AS x FROM b) SELECT n_nationkey, x->>'$.doc.value' AS doc, x->>'$.date.value' AS date FROM r"),
-    "s6_property_pivot": bound(TRIPLES, lambda b: L.property_pivot(b, "s", "p", "o", ["title", "date"]), "SELECT s, min(o) FILTER (p LIKE '%#title') AS title, min(o) FILTER (p LIKE '%/date') AS date FROM b GROUP BY s"),
+    "s6_property_pivot": bound(TRIPLES, lambda b: L.property_pivot(b, "s", "p", "o", ["title", "date"], "k"), "SELECT s, arg_max(o, k) FILTER (p LIKE '%#title') AS title, arg_max(o, k) FILTER (p LIKE '%/date' AND p NOT LIKE '%#%') AS date FROM b GROUP BY s"),
     "k3_lru_eviction": bound(
         "SELECT p_partkey, p_size, p_retailprice FROM {part}",
         _eviction,

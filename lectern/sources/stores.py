@@ -27,6 +27,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top or tempfile.gettempdir() + '/lectern'}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """df as written to a shared folder, so that what follows plans from there and a lost executor costs no more."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Files:
     """A few calls of Hadoop's file systems, for any scheme."""
 
