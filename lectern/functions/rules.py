@@ -269,3 +269,24 @@ ASSOCIATION = (0.4, 0.3, 0.2, 0.1)
 
 #: Words of a report, of which two must be there.
 REPORT_WORDS = ["plenary", "sitting", "president", "debate", "parliament", "agenda"]
+
+# What stands before a speech, in order of trial; name, then role where there is a second group.
+SPEAKER_PREFIXES = [
+    r"\A([^(]+?)(?:\s*\(([^)]+)\))?\s*[.–-]\s*",
+    r"(?i)\A((?:Mr|Mrs|Ms|Dr|Prof)\s+[^(]+?)\s*(?:\(([^)]+)\))?\s*[:\-–]",
+    r"\A([A-Za-z\s]+?):\s*",
+    r"(?i)\A<(?:b|strong)>\s*([^<]+?)\s*</(?:b|strong)>\s*[:\-–]",
+]
+# An announcement in the simple parser, by its role, by any of the patterns, or by too few words.
+SIMPLE_ROLES = ["president", "vice-president"]
+SIMPLE_ANNOUNCEMENTS = [
+    r"the sitting is (opened|closed)",
+    r"next item (on the agenda|is)",
+    r"voting time",
+    r"procedures without debate",
+    r"written statements",
+    r"i call upon",
+    r"the debate is closed",
+]
+SIMPLE_WORDS = 20
+LEAST_SPEAKER, LEAST_TEXT, LEAST_CONFIDENCE = 2, 10, 0.1

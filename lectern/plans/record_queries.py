@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lectern.functions import rules as R
 from lectern.functions.dialect import Spark, strip
 from lectern.operators import transcript as T
 from lectern.plans.relational_queries import statement
@@ -68,7 +69,7 @@ def output_projection(d: Spark) -> list[dict[str, str]]:
 
 def speaker_prefix(d: Spark) -> list[dict[str, str]]:
     """Name and role before a speech, by the first of four patterns that gives a name."""
-    patterns = [r"\A([^(]+?)(?:\s*\(([^)]+)\))?\s*[.–-]\s*", r"(?i)\A((?:Mr|Mrs|Ms|Dr|Prof)\s+[^(]+?)\s*(?:\(([^)]+)\))?\s*[:\-–]", r"\A([A-Za-z\s]+?):\s*", r"(?i)\A<(?:b|strong)>\s*([^<]+?)\s*</(?:b|strong)>\s*[:\-–]"]
+    patterns = R.SPEAKER_PREFIXES
     names = [f"nullif({strip(d, d.ext('text', p, 1))}, '')" for p in patterns]
     roles = [f"nullif({strip(d, d.ext('text', p, 2))}, '')" for p in patterns[:2]]
     return [{f"p{i}": n for i, n in enumerate(names)}, {"prefix_name": "coalesce(p0, p1, p2, p3)", "prefix_role": f"CASE WHEN p0 IS NOT NULL THEN {roles[0]} WHEN p1 IS NOT NULL THEN {roles[1]} END"}]
