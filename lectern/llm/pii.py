@@ -1,12 +1,15 @@
 """Personal data: fixed kinds, and identifiers found by bootstrapped contextual extraction.
 
-Base spans are e-mail and IP addresses, card and phone numbers, by fixed patterns. They are also the seeds: every
-candidate token (one that holds a digit, or a sign that prose lacks, and is as long as an identifier) has lexical
-patterns, its left context with the token's own form, its assignment key ("password=") with its form, and its form
-alone. Pattern and instance form a graph. Spark scores it in ROUNDS rounds: a
-pattern's confidence is the smoothed mean belief of the distinct instances that it extracts, an instance's belief is
-that of its best pattern, seeds and keys of the fixed list having belief one. Candidates of patterns with a
-confidence of at least CONFIDENCE and SUPPORT distinct instances become spans of the kind "id".
+Base spans are e-mail and IP addresses, card and phone numbers, by fixed patterns. They are also seeds, as are the values
+of a fixed list of keys: every candidate token (one that holds a digit, or a sign that prose lacks, and is as long as an
+identifier) has lexical patterns, each a context with the token's own form: one and two words before it, the word
+behind it, the words on both sides, its assignment key ("password="), and the sign right before it, if any ("=", "#").
+A long token that mixes letters and digits has its form alone as one more; digits alone never do. Pattern and instance form a graph. Spark scores it in ROUNDS rounds: a pattern's confidence is
+the smoothed mean belief of the distinct instances that it extracts, an instance's belief is that of its best pattern,
+seeds having belief one. Known negatives, runs of digits as long as a card's that fail its check, have belief
+zero for good, so they lower their patterns and are never told. Candidates of patterns with a
+confidence of at least CONFIDENCE and SUPPORT distinct instances become spans of the kind "id", values of the fixed
+list's keys without further proof.
 
 Only candidates take part in the graph, few for each document, and it is joined and summed by hashes, so no table is
 broadcast; hot patterns are summed before each shuffle.
@@ -27,6 +30,7 @@ import hashlib
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -37,6 +41,8 @@ from lectern.llm.common import durable, table
 
 KINDS = ("email", "ip", "card", "phone", "id")
 ROUNDS, CONFIDENCE, SUPPORT, LONGEST = 3, 0.6, 3, 256
+#: From so many characters on, a token of letters and digits in turn may be told by its form.
+MIXED = 16
 
 # The fixed patterns of the contract, from their signs on: a run that cannot match is tried once, not from each of its characters.
 EMAIL_HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -108,18 +114,37 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh64("\x1f".join(parts).encode("utf-8", "surrogatepass")).intdigest() - (1 << 63)
 
 
+def negative(token: str) -> bool:
+    """Whether a token is told by its own check to be no identifier: digits as many as a card's that fail Luhn."""
+    digits = token.replace("-", "")
+    return 12 <= len(digits) <= 19 and digits.isascii() and digits.isdigit() and not luhn(digits)
+
+
+def contexts(text: str, start: int, end: int, key: str) -> list[tuple[str, ...]]:
+    """The lexical patterns of a token: contexts of words on either side, each with the token's form."""
+    shape = form(text[start:end])
+    left, right = text[max(0, start - LONGEST) : start].lower().split()[-2:], text[end : end + LONGEST].lower().split()[:1]
+    before, behind = left[-1] if left else "", right[0] if right else ""
+    out = [("left", before, shape), ("right", behind, shape), ("both", before, behind, shape)]
+    if len(left) > 1:
+        out.append(("two", *left, shape))
+    if key:
+        out.append(("key", key.lower(), shape.partition(":")[2]))
+    if start and not text[start - 1].isspace() and not text[start - 1].isalnum():
+        out.append(("sign", text[start - 1], shape))
+    if "x" in shape and end - start >= MIXED:
+        out.append(("shape", shape))
+    return out
+
+
 def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, list[int], float]]:
-    """(start, end, instance, patterns, belief) of every token that may be an identifier; base spans have belief one."""
+    """(start, end, instance, patterns, belief) of every token that may be an identifier; base spans have belief one,
+    known negatives minus one."""
     out = []
 
     def add(start: int, end: int, key: str, belief: float) -> None:
         token = text[start:end]
-        left = re.findall(r"[^\x20\x09-\x0D]+", text[max(0, start - 40) : start].lower())
-        shape = form(token)
-        patterns = [_hash("left", left[-1] if left else "", shape), _hash("shape", shape)]
-        if key:
-            patterns.append(_hash("key", key.lower(), shape.partition(":")[2]))
-        out.append((start, end, _hash("i", token), patterns, belief))
+        out.append((start, end, _hash("i", token), [_hash(*c) for c in contexts(text, start, end, key)], -1.0 if belief < 1.0 and negative(token) else belief))
 
     taken = [(a, b) for _, a, b in spans]
     for a, b in list(taken):
@@ -170,13 +195,14 @@ def confident(found: DataFrame) -> DataFrame:
     """p, belief of the patterns to extract by; found: i, p, b of every candidate and pattern."""
     edges = durable(found.groupBy("i", "p").agg(F.max("b").alias("b")))
     seeds = edges.groupBy("i").agg(F.max("b").alias("seed"))
-    belief = seeds.select("i", F.col("seed").alias("belief"), "seed")
+    held = F.greatest("seed", F.lit(0.0))
+    belief = seeds.select("i", held.alias("belief"))
     score = None
     for _ in range(ROUNDS):
         told = edges.select("i", "p").join(belief.select("i", "belief"), "i")
         score = durable(told.groupBy("p").agg((F.sum("belief") / (F.count("*") + 1.0)).alias("score"), F.count("*").alias("n")))
         best = edges.select("i", "p").join(score.where(F.col("n") >= SUPPORT).select("p", "score"), "p").groupBy("i").agg(F.max("score").alias("best"))
-        belief = durable(seeds.join(best, "i", "left").select("i", F.greatest("seed", F.coalesce("best", F.lit(0.0))).alias("belief")))
+        belief = durable(seeds.join(best, "i", "left").select("i", F.when(F.col("seed") < 0, 0.0).otherwise(F.greatest("seed", F.coalesce("best", F.lit(0.0)))).alias("belief")))
     return score.where((F.col("score") >= CONFIDENCE) & (F.col("n") >= SUPPORT)).select("p", "score")
 
 
@@ -208,7 +234,7 @@ def find(docs: DataFrame) -> DataFrame:
     good = confident(flat.select("i", "p", "b"))
     # spans of base kinds are told already; keys of the fixed list are told without further proof
     marked = flat.join(good.select("p", F.lit(True).alias("good")), "p", "left").groupBy("rid", "s", "e").agg(F.max(F.coalesce("good", F.lit(False))).alias("good"), F.max("b").alias("b"))
-    spans = marked.where(F.col("good") | (F.col("b") >= 1.0)).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("more"))
+    spans = marked.where((F.col("good") & (F.col("b") >= 0)) | (F.col("b") >= 1.0)).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("more"))
     told = seen.drop("found").join(spans, "rid", "left")
     # a base span is a candidate with belief one as well: drop what equals or overlaps one
     return told.mapInArrow(_finish_without_base, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long, n_spans long")
@@ -219,8 +245,11 @@ def _finish_without_base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         for batch in batches:
             out = []
             for base, more in zip(batch.column("base").to_pylist(), batch.column("more").to_pylist()):
-                taken = [tuple(map(int, s.split(":")[1:])) for s in base.split(",") if s]
-                out.append([x for x in more or [] if all(x["e"] <= a or x["s"] >= b for a, b in taken)])
+                taken = [tuple(map(int, s.split(":")[1:])) for s in base.split(",") if s] if more else []
+                starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+                # of the base spans that start before a span's end, none may reach beyond its start
+                clear = lambda x: (k := bisect_left(starts, x["e"])) == 0 or reach[k - 1] <= x["s"]
+                out.append([x for x in more or [] if clear(x)])
             kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
             i = batch.schema.get_field_index("more")
             yield batch.set_column(i, "more", pa.array(out, kind))
