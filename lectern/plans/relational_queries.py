@@ -81,7 +81,7 @@ PAIRS = {
     ),
     "a6_resolution_quality": statement("SELECT source, round(avg(CASE WHEN l.quality IS NOT NULL THEN n_chars / 1000.0E0 END), 6) AS avg_confidence, count(CASE WHEN n_chars > 2000 AND l.quality IS NOT NULL THEN 1 END) * 1.0E0 / greatest(count(l.quality), 1) AS sure, count(l.quality) * 1.0E0 / count(*) AS resolved FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id GROUP BY source"),
     "a7_service_metrics": statement(f"WITH r AS ({REQUEST}) SELECT service, count(*) AS total, count(CASE WHEN ok THEN 1 END) AS succeeded, count(CASE WHEN NOT ok THEN 1 END) AS failed, round(count(CASE WHEN ok THEN 1 END) * 100.0E0 / count(*), 2) AS success_rate, round(avg(latency), 4) AS avg_latency, round(min(latency), 4) AS min_latency, round(max(latency), 4) AS max_latency FROM r GROUP BY service"),
-    "a8_global_metrics": statement(f"WITH r AS (SELECT *, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS n FROM ({REQUEST})) SELECT count(*) AS total, count(CASE WHEN ok THEN 1 END) AS succeeded, count(DISTINCT service) AS services, round(avg(latency), 4) AS avg_latency FROM r WHERE n <= 10000"),
+    "a8_global_metrics": statement(f"WITH r AS (SELECT * FROM ({REQUEST}) ORDER BY ts DESC, event_id DESC LIMIT 10000) SELECT count(*) AS total, count(CASE WHEN ok THEN 1 END) AS succeeded, count(DISTINCT service) AS services, round(avg(latency), 4) AS avg_latency FROM r"),
     "a9_health": statement(f"WITH r AS ({REQUEST}), s AS (SELECT CAST(user_id % 20 AS bigint) AS service, count(CASE WHEN ok THEN 1 END) * 100.0E0 / count(*) AS rate FROM r GROUP BY user_id % 20) SELECT service, CASE WHEN rate < 70 THEN 'unhealthy' WHEN rate < 90 THEN 'degraded' ELSE 'healthy' END AS health FROM s"),
     "a10_session_stats": statement(f"WITH s AS ({SESSION}) SELECT priority, count(*) AS n, count(CASE WHEN state = 'queued' THEN 1 END) AS queued, avg(CASE WHEN quality > 0 THEN quality END) AS avg_quality, count(CASE WHEN state = 'completed' THEN 1 END) * 1.0E0 / greatest(count(CASE WHEN state IN ('completed', 'failed') THEN 1 END), 1) AS success, sum(CAST(attempts AS bigint)) AS attempts FROM s GROUP BY priority", f"WITH s AS ({SESSION}) SELECT priority, count(*) AS n, count(CASE WHEN state = 'queued' THEN 1 END) AS queued, avg(CASE WHEN quality > 0 THEN quality END) AS avg_quality, count(CASE WHEN state = 'completed' THEN 1 END) * 1.0E0 / greatest(count(CASE WHEN state IN ('completed', 'failed') THEN 1 END), 1) AS success, CAST(sum(attempts) AS bigint) AS attempts FROM s GROUP BY priority"),
     "a11_error_stats": statement("SELECT coalesce(event_type, 'all') AS category, coalesce(severity, 'all') AS severity, count(*) AS n FROM (SELECT event_type, CASE WHEN value > 80 THEN 'critical' WHEN value > 40 THEN 'high' ELSE 'low' END AS severity FROM {events}) GROUP BY GROUPING SETS ((severity), (event_type), ())"),
@@ -94,9 +94,10 @@ PAIRS = {
     "a20_cache_stats": statement("SELECT count(*) AS entries, CAST(sum(p_size) AS bigint) AS total_size, avg(p_retailprice) AS mean_access, min(p_partkey) AS oldest, max(p_partkey) AS newest, count(CASE WHEN p_size > 25 THEN 1 END) * 1.0E0 / greatest(count(*), 1) AS hit_rate FROM {part}"),
     "a21_integration": statement("SELECT source, rate, CASE WHEN rate >= 0.9 THEN 'complete' WHEN rate >= 0.5 THEN 'partial' ELSE 'failed' END AS status FROM (SELECT source, least(1.0E0, greatest(0.0E0, 0.4 * count(l.doc_id) / count(*) + 0.6 * avg(CASE WHEN lang = 'en' THEN 1.0E0 ELSE 0.0E0 END))) AS rate FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id GROUP BY source)"),
     # counts within the row: sorted words, runs of equal ones
-    "a22_word_share": statement("""SELECT doc_id, aggregate(w, named_struct('p', '', 'n', 0, 'm', 0), (a, x) -> CASE WHEN x = a.p THEN named_struct('p', x, 'n', a.n + 1, 'm', greatest(a.m, a.n + 1))
-        ELSE named_struct('p', x, 'n', 1, 'm', greatest(a.m, 1)) END, a -> a.m) * 1.0E0 / size(w) AS share
-        FROM (SELECT doc_id, array_sort(filter(split(lower(text), ' '), x -> x <> '')) AS w FROM {documents}) WHERE size(w) > 0""", "SELECT doc_id, max(n) * 1.0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id"),
+    # runs in the sorted array: where a word begins, and where the next one does
+    "a22_word_share": statement("""SELECT doc_id, array_max(transform(s, (b, k) -> coalesce(get(s, k + 1), size(w)) - b)) * 1.0E0 / size(w) AS share
+        FROM (SELECT doc_id, w, filter(sequence(0, size(w) - 1), k -> k = 0 OR get(w, k) <> get(w, k - 1)) AS s
+        FROM (SELECT doc_id, array_sort(array_remove(split(lower(text), ' '), '')) AS w FROM {documents}) WHERE size(w) > 0)""", "SELECT doc_id, max(n) * 1.0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id"),
     "a23_paragraph_spread": statement("SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, explode(split(text, '\\n')) AS p FROM {documents}) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1", "SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1"),
     "a24_running_mean": statement("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS running FROM {events}"),
     "a25_dataset_report": statement("SELECT lang, count(*) AS n, percentile(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM {documents} GROUP BY lang", "SELECT lang, count(*) AS n, quantile_cont(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM documents GROUP BY lang"),
