@@ -290,3 +290,11 @@ SIMPLE_ANNOUNCEMENTS = [
 ]
 SIMPLE_WORDS = 20
 LEAST_SPEAKER, LEAST_TEXT, LEAST_CONFIDENCE = 2, 10, 0.1
+
+# Speaking time. Words a minute, sounds that add a fifth, words that add a tenth, minutes at least.
+WORDS_A_MINUTE, LEAST_MINUTES = 150, 0.5
+PAUSES, QUESTIONS = ["applause", "laughter", "interruption", "mixed reactions"], ["question", "answer", "mr president"]
+# How dates are written, in order of trial.
+DATE_FORMATS = ["yyyy-M-d", "d/M/yyyy", "d.M.yyyy", "d MMMM yyyy", "MMMM d, yyyy"]
+# Fixed value: days of a range at least.
+LEAST_DAYS = 7

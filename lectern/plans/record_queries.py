@@ -98,11 +98,5 @@ PAIRS = {
     "f6_processor_filter": _projection(processor_filter, ["processed"]),
     "d1_seconds_of_day": _projection(seconds_of_day, ["seconds"]),
     "d2_iso_format": statement("SELECT o_orderkey, date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS iso FROM {orders}", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM orders"),
-    "d5_date_parse": statement(
-        f"SELECT o_orderkey, coalesce(try_to_date(s, 'yyyy-MM-dd'), try_to_date(s, 'dd/MM/yyyy'), try_to_date(s, 'dd.MM.yyyy'), try_to_date(s, 'yyyyMMdd')) AS day FROM (SELECT o_orderkey, {DATES} AS s FROM {{orders}})",
-        f"SELECT o_orderkey, CAST(coalesce(try_strptime(s, '%Y-%m-%d'), try_strptime(s, '%d/%m/%Y'), try_strptime(s, '%d.%m.%Y'), try_strptime(s, '%Y%m%d')) AS date) AS day FROM (SELECT o_orderkey, {DATES} AS s FROM orders)",
-    ),
-    "d6_iso_validation": statement(f"SELECT o_orderkey, try_to_timestamp(s, 'yyyy-MM-dd') IS NOT NULL AS valid FROM (SELECT o_orderkey, {DATES} AS s FROM {{orders}})", f"SELECT o_orderkey, try_strptime(s, '%Y-%m-%d') IS NOT NULL AS valid FROM (SELECT o_orderkey, {DATES} AS s FROM orders)"),
     "d11_timeline_quality": statement("SELECT user_id, round(least(1.0E0, cov / 0.3E0) * 0.4E0 + compl * 0.3E0 + 0.15E0, 9) AS quality FROM (SELECT user_id, count(CASE WHEN value > 50 THEN 1 END) * 1.0E0 / count(*) AS cov, count(DISTINCT event_type) / 5.0E0 AS compl FROM {events} GROUP BY user_id)"),
-    "n3_map_merge": statement("SELECT doc_id, coalesce(b, a) AS lang FROM (SELECT d.doc_id, d.lang AS a, CASE WHEN l.quality = 1 THEN 'checked' END AS b FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id)"),
 }

@@ -98,12 +98,10 @@ PAIRS = {
     "a22_word_share": statement("""SELECT doc_id, array_max(transform(s, (b, k) -> coalesce(get(s, k + 1), size(w)) - b)) * 1.0E0 / size(w) AS share
         FROM (SELECT doc_id, w, filter(sequence(0, size(w) - 1), k -> k = 0 OR get(w, k) <> get(w, k - 1)) AS s
         FROM (SELECT doc_id, array_sort(array_remove(split(lower(text), ' '), '')) AS w FROM {documents}) WHERE size(w) > 0)""", "SELECT doc_id, max(n) * 1.0 / sum(n) AS share FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> '' GROUP BY doc_id, w) GROUP BY doc_id"),
-    "a23_paragraph_spread": statement("SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, explode(split(text, '\\n')) AS p FROM {documents}) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1", "SELECT doc_id, avg(n) AS mean_length, stddev_samp(n) AS spread, stddev_samp(n) / avg(n) AS cv FROM (SELECT doc_id, CAST(length(p) AS double) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents) WHERE p <> '') GROUP BY doc_id HAVING count(*) > 1"),
     "a24_running_mean": statement("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 9) AS running FROM {events}"),
     "a25_dataset_report": statement("SELECT lang, count(*) AS n, percentile(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM {documents} GROUP BY lang", "SELECT lang, count(*) AS n, quantile_cont(n_chars, 0.5) AS median_chars, avg(n_chars) AS mean_chars FROM documents GROUP BY lang"),
     "a26_service_rates": statement(f"WITH r AS ({REQUEST}) SELECT user_id, count(CASE WHEN ok THEN 1 END) * 1.0E0 / greatest(count(*), 1) AS hit_rate, count(CASE WHEN NOT ok THEN 1 END) * 1.0E0 / greatest(count(*), 1) AS failure_rate FROM r GROUP BY user_id"),
     # ---- windows and sequences
-    "w9_order_check": statement("SELECT conv_id, bool_or(coalesce(bad, false)) AS out_of_order FROM (SELECT conv_id, lag(turn) OVER (PARTITION BY conv_id ORDER BY length(text), turn) > turn AS bad FROM {conversations}) GROUP BY conv_id"),
     "w11_gaps": statement("SELECT user_id, event_id, ts, prev FROM (SELECT user_id, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM {events}) WHERE ts > prev + INTERVAL '60' SECOND"),
     "w12_inconsistencies": statement("SELECT user_id, count(CASE WHEN value < p THEN 1 END) AS backwards, count(*) AS n, CASE WHEN count(CASE WHEN value < p THEN 1 END) * 1.0E0 / count(*) > 0.1 THEN 0.1E0 ELSE 0.0E0 END AS penalty FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM {events}) GROUP BY user_id"),
     "w15_progress_rates": statement("SELECT event_id, (value - p) / greatest(e - pe, 1) AS rate FROM (SELECT event_id, value, event_id AS e, lag(value) OVER w AS p, lag(event_id) OVER w AS pe, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE k <= 5"),
@@ -114,12 +112,10 @@ PAIRS = {
     ),
     "w18_stage_estimate": statement("SELECT user_id, sum(value * power(2.0E0, 10 - k)) / sum(power(2.0E0, 10 - k)) AS estimate FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) WHERE k <= 10 GROUP BY user_id"),
     "w20_milestones": statement("SELECT user_id, goal, min(ts) AS reached FROM (SELECT user_id, ts, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS done FROM {events}) CROSS JOIN (SELECT * FROM VALUES (100), (500), (1000) AS t(goal)) WHERE done >= goal GROUP BY user_id, goal", "SELECT user_id, goal, min(ts) AS reached FROM (SELECT user_id, ts, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS done FROM events), (VALUES (100), (500), (1000)) AS t(goal) WHERE done >= goal GROUP BY user_id, goal"),
-    "w21_date_ranges": statement("SELECT n_nationkey, start, least(CAST(start + make_interval(0, 0, 0, 30) AS date), DATE '2020-06-30') AS until FROM (SELECT n_nationkey, explode(sequence(DATE '2020-01-01' , DATE '2020-06-29', INTERVAL '31' DAY)) AS start FROM {nation})", "SELECT n_nationkey, CAST(d AS date) AS start, least(CAST(d + INTERVAL 30 DAY AS date), DATE '2020-06-30') AS until FROM nation, range(TIMESTAMP '2020-01-01', TIMESTAMP '2020-06-30', INTERVAL 31 DAY) AS r(d)"),
     "w22_bounded_history": statement("SELECT event_id, user_id FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) WHERE k <= 3"),
     "w24_retry_schedule": statement(f"WITH s AS ({SESSION}) SELECT id, 5.0E0 * power(2.0E0, attempts - 1) AS minutes FROM s WHERE attempts > 0"),
     # ---- sorts, limits, top-k
     "k1_schedule": statement(f"WITH s AS ({SESSION}) SELECT id, priority FROM s WHERE state = 'queued' ORDER BY priority, created, id LIMIT 50"),
-    "k2_time_schedule": statement(f"WITH s AS ({SESSION}), m AS (SELECT max(created) AS now FROM s) SELECT id, created < now - INTERVAL '365' DAY AS overdue FROM s, m WHERE state = 'queued' AND quality >= 50000.0 ORDER BY created, priority, id LIMIT 100"),
     "k4_newest_checkpoints": statement(f"WITH s AS ({SESSION}) SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY owner ORDER BY created DESC, id DESC) AS k FROM s) WHERE k <= 2"),
     "k5_newest_reports": statement("SELECT event_id, ts FROM {events} ORDER BY ts DESC, event_id DESC LIMIT 100"),
     "k8_stratified_sample": statement("SELECT doc_id, announcement FROM (SELECT d.doc_id, coalesce(l.toxic, 0) = 1 AS announcement, row_number() OVER (PARTITION BY coalesce(l.toxic, 0) = 1 ORDER BY md5(CAST(d.doc_id AS string)), d.doc_id) AS k FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id) WHERE k <= CASE WHEN announcement THEN 7 ELSE 18 END", "SELECT doc_id, announcement FROM (SELECT d.doc_id, coalesce(l.toxic, 0) = 1 AS announcement, row_number() OVER (PARTITION BY coalesce(l.toxic, 0) = 1 ORDER BY md5(CAST(d.doc_id AS varchar)), d.doc_id) AS k FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) WHERE k <= CASE WHEN announcement THEN 7 ELSE 18 END"),
@@ -142,7 +138,6 @@ PAIRS = {
     # ---- scalar functions on names, addresses and errors
     "t40_alerts": statement("SELECT event_id, CASE WHEN value >= 95 THEN 'critical' WHEN value >= 80 THEN 'warning' END AS alert FROM {events}"),
     "t41_content_hash": statement("SELECT doc_id, substring(md5(text), 1, 12) AS short_md5, substring(sha2(text, 256), 1, 16) AS short_sha FROM {documents}", "SELECT doc_id, substr(md5(text), 1, 12) AS short_md5, substr(sha256(text), 1, 16) AS short_sha FROM documents"),
-    "d3_duration": statement("SELECT conv_id, turn, greatest(n / 150.0E0 * CASE WHEN contains(lower(text), 'applause') THEN 1.2E0 ELSE 1.0E0 END, 0.5E0) AS minutes FROM (SELECT *, regexp_count(text, '\\\\S+') AS n FROM {conversations})", "SELECT conv_id, turn, greatest(n / 150.0 * CASE WHEN contains(lower(text), 'applause') THEN 1.2 ELSE 1.0 END, 0.5)::DOUBLE AS minutes FROM (SELECT *, len(regexp_extract_all(text, '\\S+')) AS n FROM conversations)"),
     "d4_duration_by_chars": statement("SELECT doc_id, greatest(10.0E0, least(1200.0E0, length(text) / 5.0E0 / 150.0E0 * 60.0E0)) AS seconds FROM {documents}"),
     "d12_retry_delay": statement(f"WITH s AS ({SESSION}) SELECT id, least(300.0E0, 2.0E0 * attempts) AS linear, least(300.0E0, 2.0E0 * power(2.0E0, attempts)) AS exponential FROM s"),
 }
