@@ -55,6 +55,38 @@ def recovery_plan(errors: DataFrame, retries: str = "retries", base: float = 5.0
     return errors.withColumn("action", action).withColumn("delay", F.when(F.col("action") == "retry", F.least(delay, F.lit(R.MOST_DELAY))))
 
 
+def recovery_attempts(errors: DataFrame, succeeds_at: str, id_: str = "id", retries: str = "retries", base: float = 5.0) -> DataFrame:
+    """The attempts that retried errors make, one row each: id, strategy, attempt, delay, success. They go on from the
+    retries so far until the one that succeeds (null: none would) or until none is left."""
+    last = F.least("max_retries", F.coalesce(succeeds_at, "max_retries"))
+    some = recovery_plan(errors, retries, base).where((F.col("action") == "retry") & (last > F.col(retries)))
+    told = some.select(id_, "strategy", "factor", "max_retries", F.col(succeeds_at).alias("__at"), F.explode(F.sequence(F.col(retries) + 1, last)).alias("attempt"))
+    planned = recovery_plan(told.withColumn("__before", F.col("attempt") - 1), "__before", base)
+    return planned.select(id_, "strategy", "attempt", "delay", F.coalesce(F.col("attempt") == F.col("__at"), F.lit(False)).alias("success"))
+
+
+def recovered(errors: DataFrame, succeeds_at: str, degraded: str, cached: str, id_: str = "id", retries: str = "retries", base: float = 5.0) -> DataFrame:
+    """errors with action, value, resolved, attempts and successes: retried ones are resolved by the attempt that succeeds,
+    degraded ones by the degraded value or else the cached one; by hand, from a checkpoint or with none left, none is."""
+    log = recovery_attempts(errors, succeeds_at, id_, retries, base)
+    made = log.groupBy(F.col(id_).alias("__id")).agg(F.count("*").alias("attempts"), F.count_if("success").alias("successes"))
+    planned = recovery_plan(errors, retries, base)
+    value = F.when(F.col("action") == "degrade", F.coalesce(degraded, cached))
+    told = planned.join(made, F.col(id_) == F.col("__id"), "left").drop("__id").withColumn("value", value)
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return told.withColumns({"resolved": (count("successes") > 0) | F.col("value").isNotNull(), "attempts": count("attempts"), "successes": count("successes")})
+
+
+def error_statistics(errors: DataFrame) -> DataFrame:
+    """by, name: errors, those resolved, their share, attempts and successes, of all and by severity, category, strategy."""
+    sets = errors.groupingSets([["severity"], ["category"], ["strategy"], []], "severity", "category", "strategy")
+    told = sets.agg(
+        F.grouping_id().alias("__g"), F.count("*").alias("n"), F.count_if("resolved").alias("resolved"), F.sum("attempts").alias("attempts"), F.sum("successes").alias("successes")
+    )
+    by = F.when(F.col("__g") == 3, "severity").when(F.col("__g") == 5, "category").when(F.col("__g") == 6, "strategy").otherwise("all")
+    return told.select(by.alias("by"), F.coalesce("severity", "category", "strategy", F.lit("")).alias("name"), "n", "resolved", (F.col("resolved") / F.col("n")).alias("rate"), "attempts", "successes")
+
+
 def background_recovery(errors: DataFrame, at: str = "at", id_: str = "id", most: int = 10) -> DataFrame:
     """Of the latest unresolved light errors those that may recover by themselves, and what becomes of each. The latest
     are taken first, so some of them may drop out."""

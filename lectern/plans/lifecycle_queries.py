@@ -179,6 +179,25 @@ _SCORES = ", ".join(
     for name, (patterns, roles, context, short) in R.ANNOUNCEMENT_RULES.items()
 )
 
+
+
+def _failing(df: DataFrame) -> DataFrame:
+    """Errors with the attempt that would succeed, and what a degraded service or a cache could give."""
+    return df.withColumns({"at_": F.expr("CASE WHEN id % 3 > 0 THEN CAST(id % 6 AS int) END"), "degraded": F.expr("CASE WHEN id % 4 = 0 THEN concat('d', id) END"), "cached": F.expr("CASE WHEN id % 5 < 3 THEN concat('c', id) END")})
+
+
+def _recovered(df: DataFrame) -> DataFrame:
+    return L.recovered(L.classified_errors(_failing(df)), "at_", "degraded", "cached")
+
+
+_ACTED = """a AS (SELECT *, CASE WHEN id % 3 > 0 THEN (id % 6)::INT END AS at_, CASE WHEN strategy = 'manual_intervention' THEN 'raise' WHEN retries >= max_retries THEN 'give_up'
+  WHEN strategy = 'checkpoint_restore' THEN 'restore' WHEN strategy = 'graceful_degradation' THEN 'degrade' ELSE 'retry' END AS action FROM c)"""
+_RESOLVED = """e AS (SELECT * EXCLUDE (resolved), CASE WHEN action = 'degrade' THEN CASE WHEN id % 4 = 0 THEN 'd' || id WHEN id % 5 < 3 THEN 'c' || id END END AS value,
+  CASE WHEN action = 'retry' THEN greatest(least(max_retries, coalesce(at_, max_retries)) - retries, 0) ELSE 0 END::BIGINT AS attempts,
+  CASE WHEN action = 'retry' AND at_ > retries AND at_ <= max_retries THEN 1 ELSE 0 END::BIGINT AS successes FROM a),
+d AS (SELECT *, successes > 0 OR value IS NOT NULL AS resolved FROM e)"""
+
+
 PAIRS = {
     "t39_error_class": bound(ERRORS, lambda b: L.classified_errors(b).select("id", "severity", "category", "strategy", "max_retries", "factor"), f", {CLASSED} SELECT id, severity, category, strategy, max_retries, factor FROM c"),
     "r13_recovery_plan": bound(
@@ -188,6 +207,25 @@ PAIRS = {
         WHEN strategy = 'graceful_degradation' THEN 'degrade' ELSE 'retry' END AS action FROM c)
         SELECT id, action, CASE WHEN action = 'retry' THEN round(least(300.0, CASE strategy WHEN 'immediate_retry' THEN 0.0 WHEN 'linear_backoff' THEN 5 * factor * (retries + 1) ELSE 5 * pow(factor, retries) END)::DOUBLE, 6) END AS delay FROM a""",
     ),
+    "r13_recovery_attempts": bound(
+        ERRORS,
+        lambda b: L.recovery_attempts(L.classified_errors(_failing(b)), "at_").select("id", "attempt", F.round("delay", 6).alias("delay"), "success"),
+        f""", {CLASSED}, {_ACTED}, t AS (SELECT *, unnest(range(retries + 1, least(max_retries, coalesce(at_, max_retries)) + 1)) AS attempt FROM a WHERE action = 'retry')
+        SELECT id, attempt::INT AS attempt, round(least(300.0, CASE strategy WHEN 'immediate_retry' THEN 0.0 WHEN 'linear_backoff' THEN 5 * factor * attempt ELSE 5 * pow(factor, attempt - 1) END)::DOUBLE, 6) AS delay,
+        coalesce(attempt = at_, false) AS success FROM t""",
+    ),
+    "r13_recovered": bound(
+        ERRORS,
+        lambda b: _recovered(b).select("id", "action", "value", "resolved", "attempts", "successes"),
+        f", {CLASSED}, {_ACTED}, {_RESOLVED} SELECT id, action, value, resolved, attempts, successes FROM d",
+    ),
+    "a11_error_stats": bound(
+        ERRORS,
+        lambda b: L.error_statistics(_recovered(b)).withColumn("rate", F.round("rate", 9)),
+        f""", {CLASSED}, {_ACTED}, {_RESOLVED}, u AS (SELECT * FROM d, unnest(['all', 'severity', 'category', 'strategy']) AS x(g))
+        SELECT g AS "by", CASE g WHEN 'severity' THEN severity WHEN 'category' THEN category WHEN 'strategy' THEN strategy ELSE '' END AS name, count(*) AS n, count(*) FILTER (resolved) AS resolved,
+        round(count(*) FILTER (resolved) / count(*), 9) AS rate, sum(attempts)::BIGINT AS attempts, sum(successes)::BIGINT AS successes FROM u GROUP BY ALL""",
+    ),
     "r16_background_recovery": bound(
         ERRORS,
         lambda b: L.background_recovery(L.classified_errors(b), "sec").select("id", "outcome"),

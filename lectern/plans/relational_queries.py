@@ -84,7 +84,6 @@ PAIRS = {
     "a8_global_metrics": statement(f"WITH r AS (SELECT * FROM ({REQUEST}) ORDER BY ts DESC, event_id DESC LIMIT 10000) SELECT count(*) AS total, count(CASE WHEN ok THEN 1 END) AS succeeded, count(DISTINCT service) AS services, round(avg(latency), 4) AS avg_latency FROM r"),
     "a9_health": statement(f"WITH r AS ({REQUEST}), s AS (SELECT CAST(user_id % 20 AS bigint) AS service, count(CASE WHEN ok THEN 1 END) * 100.0E0 / count(*) AS rate FROM r GROUP BY user_id % 20) SELECT service, CASE WHEN rate < 70 THEN 'unhealthy' WHEN rate < 90 THEN 'degraded' ELSE 'healthy' END AS health FROM s"),
     "a10_session_stats": statement(f"WITH s AS ({SESSION}) SELECT priority, count(*) AS n, count(CASE WHEN state = 'queued' THEN 1 END) AS queued, avg(CASE WHEN quality > 0 THEN quality END) AS avg_quality, count(CASE WHEN state = 'completed' THEN 1 END) * 1.0E0 / greatest(count(CASE WHEN state IN ('completed', 'failed') THEN 1 END), 1) AS success, sum(CAST(attempts AS bigint)) AS attempts FROM s GROUP BY priority", f"WITH s AS ({SESSION}) SELECT priority, count(*) AS n, count(CASE WHEN state = 'queued' THEN 1 END) AS queued, avg(CASE WHEN quality > 0 THEN quality END) AS avg_quality, count(CASE WHEN state = 'completed' THEN 1 END) * 1.0E0 / greatest(count(CASE WHEN state IN ('completed', 'failed') THEN 1 END), 1) AS success, CAST(sum(attempts) AS bigint) AS attempts FROM s GROUP BY priority"),
-    "a11_error_stats": statement("SELECT coalesce(event_type, 'all') AS category, coalesce(severity, 'all') AS severity, count(*) AS n FROM (SELECT event_type, CASE WHEN value > 80 THEN 'critical' WHEN value > 40 THEN 'high' ELSE 'low' END AS severity FROM {events}) GROUP BY GROUPING SETS ((severity), (event_type), ())"),
     "a12_stage_performance": statement(f"WITH r AS ({REQUEST}) SELECT service, avg(latency) AS mean_s, percentile(latency, 0.5) AS median_s, count(*) AS n, max(CASE WHEN latency > 0 THEN 1000.0E0 / latency END) AS peak FROM r GROUP BY service", f"WITH r AS ({REQUEST}) SELECT service, avg(latency) AS mean_s, quantile_cont(latency, 0.5) AS median_s, count(*) AS n, max(CASE WHEN latency > 0 THEN 1000.0 / latency END) AS peak FROM r GROUP BY service"),
     "a14_overall_progress": statement("SELECT user_id, avg(least(greatest(value, 0.0E0), 100.0E0)) AS progress FROM {events} GROUP BY user_id"),
     "a16_session_bounds": statement("SELECT c_custkey, min(o_orderdate) AS first_ts, CASE WHEN max(o_orderdate) < min(o_orderdate) THEN max(o_orderdate) + INTERVAL '1' DAY ELSE max(o_orderdate) END AS last_ts FROM {customer} JOIN {orders} ON c_custkey = o_custkey GROUP BY c_custkey"),

@@ -4,6 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from lectern.operators import lifecycle as L
 from lectern.operators import records as X
 
 
@@ -49,3 +50,22 @@ def test_schedule_and_statistics(spark):
     log = spark.createDataFrame([(1, 10.0, 1, "good"), (1, 20.0, 0, "poor"), (1, 30.0, 0, "good"), (2, 5.0, 2, "poor")], "k long, ms double, critical int, level string")
     out = {r.k: (r.assessments, r.mean, round(r.critical_rate, 6), r.levels) for r in X.validation_statistics(log, "k", "ms", "critical", "level").collect()}
     assert out == {1: (3, 20.0, 0.333333, {"good": 2, "poor": 1}), 2: (1, 5.0, 2.0, {"poor": 1})}
+
+
+def test_recovery_by_hand(spark):
+    rows = [
+        (1, "linear_backoff", 0, 3, 2, None, None), (2, "linear_backoff", 1, 3, None, None, None), (3, "exponential_backoff", 0, 4, 9, None, None), (4, "graceful_degradation", 0, 1, None, "d", "c"),
+        (5, "graceful_degradation", 0, 1, None, None, "c"), (6, "graceful_degradation", 0, 1, None, None, None), (7, "manual_intervention", 0, 3, 1, None, None), (8, "linear_backoff", 3, 3, 3, None, None),
+        (9, "immediate_retry", 0, 2, 1, None, None), (10, "checkpoint_restore", 0, 2, 1, "d", "c"),
+    ]
+    df = spark.createDataFrame(rows, "id long, strategy string, retries int, max_retries int, works_at int, degraded string, cached string").withColumns({"factor": F.lit(2.0), "severity": F.lit("low"), "category": F.lit("network")})
+    log = sorted((r.id, r.attempt, r.delay, r.success) for r in L.recovery_attempts(df, "works_at").collect())
+    assert log == [(1, 1, 10.0, False), (1, 2, 20.0, True), (2, 2, 20.0, False), (2, 3, 30.0, False), (3, 1, 5.0, False), (3, 2, 10.0, False), (3, 3, 20.0, False), (3, 4, 40.0, False), (9, 1, 0.0, True)]
+    out = L.recovered(df, "works_at", "degraded", "cached")
+    got = {r.id: (r.action, r.value, r.resolved, r.attempts, r.successes) for r in out.collect()}
+    assert got == {
+        1: ("retry", None, True, 2, 1), 2: ("retry", None, False, 2, 0), 3: ("retry", None, False, 4, 0), 4: ("degrade", "d", True, 0, 0), 5: ("degrade", "c", True, 0, 0),
+        6: ("degrade", None, False, 0, 0), 7: ("raise", None, False, 0, 0), 8: ("give_up", None, False, 0, 0), 9: ("retry", None, True, 1, 1), 10: ("restore", None, False, 0, 0),
+    }
+    stats = {(r.by, r.name): (r.n, r.resolved, r.attempts, r.successes) for r in L.error_statistics(out).collect()}
+    assert stats["all", ""] == (10, 4, 9, 2) and stats["strategy", "graceful_degradation"] == (3, 2, 0, 0) and stats["severity", "low"] == stats["category", "network"] == stats["all", ""]
