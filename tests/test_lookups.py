@@ -40,6 +40,25 @@ def test_no_pair_over_the_threshold_is_lost(spark):
     assert got["Xatherine"][0] == "Katherine"
 
 
+def test_names_of_common_letters_meet_few_members(spark):
+    """Names drawn from sixteen letters, all of them common, of any length, long ones too: no close pair is lost, few others meet."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("aeioubcdfglmnrst") for _ in range(n)).title()
+    members = sorted({f"{word(6)} {word(8)}" for _ in range(150)} | {f"{word(rng.randint(1, 9))} {word(rng.randint(1, 12))}" for _ in range(60)} | {f"{word(18)} {word(n)}" for n in range(14, 34)} | {"Ab", "Ёлка Ñandú"})
+
+    def spoilt(name):
+        for _ in range(max(1, len(name) // 7)):
+            at = rng.randrange(len(name))
+            name = [name[:at] + name[at + 1 :], name[:at] + rng.choice("xae") + name[at:], name[:at] + "o" + name[at + 1 :]][rng.randrange(3)]
+        return " ".join(name.split())
+
+    names = sorted({n for m in members for n in (spoilt(m), spoilt(" ".join(reversed(m.split())))) if n})
+    frames = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(m,) for m in members], "member string")
+    pairs = {tuple(r) for r in S.similar_candidates(*frames, 0.805).collect()}
+    assert {(n, m) for n in names for m in members if S.similarity(n.lower(), m.lower()) >= 80.5} <= pairs
+    assert len(pairs) < 2 * len(names)
+
+
 def test_awkward_names(spark):
     names = spark.createDataFrame([(None,), ("",), ("  ann   lee ",), ("Ann Lee",)], "name string")
     members = spark.createDataFrame([("Ann Lee",), (None,), ("",)], "member string")
