@@ -59,6 +59,15 @@ def test_names_of_common_letters_meet_few_members(spark):
     assert len(pairs) < 2 * len(names)
 
 
+def test_names_of_the_same_letters_are_no_candidates(spark):
+    """Anagrams share all letters, rare ones too; only those with a long common subsequence may meet."""
+    rng = random.Random(7)
+    names = sorted({"".join(rng.sample("aeioubcdfglmnrs", 15)) for _ in range(200)})
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    pairs = {tuple(r) for r in S.similar_candidates(df, df.withColumnRenamed("name", "member"), 0.805).collect()}
+    assert {(n, n) for n in names} <= pairs and len(pairs) < 2 * len(names)
+
+
 def test_awkward_names(spark):
     names = spark.createDataFrame([(None,), ("",), ("  ann   lee ",), ("Ann Lee",)], "name string")
     members = spark.createDataFrame([("Ann Lee",), (None,), ("",)], "member string")
