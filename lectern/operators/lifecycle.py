@@ -6,6 +6,7 @@ Times are seconds (long or double); "now" is a parameter or, if none is given, t
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -304,6 +305,17 @@ def property_pivot(triples: DataFrame, subject: str, property_: str, value: str,
     return triples.groupBy(subject).agg(*[F.max_by(value, F.when(local == n, F.col(order))).alias(n) for n in names])
 
 
+def three_places(value: Column) -> Column:
+    """value with three digits after the point, rounded by its exact binary value, as C and SQL's format do; Java rounds the
+    shortest decimal, so what prints as 0.0305 but lies below it would go up."""
+
+    @F.pandas_udf("string")
+    def written(s: pd.Series) -> pd.Series:
+        return s.map("{:.3f}".format)
+
+    return F.when(value.isNull(), "null").otherwise(written(value))
+
+
 def validation_report(summary: DataFrame, key: str) -> DataFrame:
     """key, report: a text for each row of counts (n, passed, warned, failed, score, severities map)."""
     rows = F.transform(F.array_sort(F.map_entries("severities")), lambda e: F.concat(F.lit("  "), F.upper(e["key"]), F.lit(": "), e["value"].cast("string")))
@@ -311,7 +323,7 @@ def validation_report(summary: DataFrame, key: str) -> DataFrame:
     parts = [
         F.lit("SUMMARY:"),
         line("Overall Status", F.when(F.col("failed") == 0, "PASS").otherwise("FAIL")),
-        line("Quality Score", F.format_string("%.3f", F.col("score"))),
+        line("Quality Score", three_places(F.col("score"))),
         line("Total Segments", F.col("n").cast("string")),
         line("Passed", F.col("passed").cast("string")),
         line("With Warnings", F.col("warned").cast("string")),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions import rules as R
@@ -132,12 +133,15 @@ RESULT = "id string, date string, title string, `end` string"
 
 
 def _report_base(df: DataFrame) -> DataFrame:
-    counts = df.groupBy("user_id", "service").agg(F.count("*").alias("k"), F.count_if(F.col("value") < 20).alias("low"), F.sum("value").alias("v"))
+    # Where a score ends in a five, the order in which doubles are summed tells its last digit: it is that of the events.
+    order = W.partitionBy("user_id").orderBy("event_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = df.withColumn("v", F.sum("value").over(order))
+    counts = summed.groupBy("user_id", "service").agg(F.count("*").alias("k"), F.count_if(F.col("value") < 20).alias("low"), F.max(F.struct("event_id", "v")).alias("last"))
     by = counts.groupBy("user_id").agg(
         F.sum("k").alias("n"),
         F.sum(F.when(F.col("service") == "error", F.col("k")).otherwise(0)).alias("failed"),
         F.sum("low").alias("warned"),
-        (F.sum("v") / F.sum("k") / 1000).alias("score"),
+        (F.max("last")["v"] / F.sum("k") / 1000).alias("score"),
         F.map_from_entries(F.collect_list(F.struct("service", "k"))).alias("severities"),
     )
     return by.withColumn("passed", F.col("n") - F.col("failed"))

@@ -69,3 +69,10 @@ def test_recovery_by_hand(spark):
     }
     stats = {(r.by, r.name): (r.n, r.resolved, r.attempts, r.successes) for r in L.error_statistics(out).collect()}
     assert stats["all", ""] == (10, 4, 9, 2) and stats["strategy", "graceful_degradation"] == (3, 2, 0, 0) and stats["severity", "low"] == stats["category", "network"] == stats["all", ""]
+
+
+def test_report_score_is_rounded_by_its_binary_value(spark):
+    scores = [0.0625, 1.0005, 0.0435, 0.1875, 2.0, None]
+    df = spark.createDataFrame([(k, s, 1, 0, 0, 1, {"error": 1}) for k, s in enumerate(scores)], "k long, score double, n long, passed long, warned long, failed long, severities map<string,long>")
+    got = {r.k: r.report.split("Quality Score: ")[1].split("\n")[0] for r in L.validation_report(df, "k").collect()}
+    assert got == {k: "null" if s is None else f"{s:.3f}" for k, s in enumerate(scores)} and got[0] == "0.062" and got[1] == "1.000"
