@@ -238,6 +238,11 @@ MENTION_PATTERNS = [
     ("contextual", 0.6, r"\b(?:around|about|approximately)\s+(\d{1,2})(?::(\d{2}))?\b"),
     ("contextual", 0.6, r"\b(?:quarter\s+past|half\s+past|\d+\s+minutes?\s+past)\s+(\d{1,2})\b"),
 ]
+#: where the patterns can begin: clocks by the mark after their first digits, word patterns by the word before the digits,
+#: the last one by how long the word before "past" is, or at its own digits
+MENTION_MARKS = {":": (0, 2, 5, 6, 7, 8), ".": (1, 3), "h": (4,)}
+MENTION_WORDS = {9: ["at"], 10: ["around", "about", "approximately"]}
+MENTION_PAST, MENTION_PARTS = 11, (len("quarter"), len("half"))
 #: any of these near a mention: PARLIAMENT_BOOST once
 PARLIAMENT_TIMES = [
     r"sitting\s+(?:opens?|begins?|starts?)\s+at\s+",

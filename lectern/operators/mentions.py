@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import operator
 import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from lectern.functions import rules as R
 from lectern.operators.lifecycle import ladder
 
 SCANNED = ["pattern", "start", "stop", "match", "before", "after", "groups"]
+SLICE = 64
 
 
 def _kinds() -> tuple[T.DataType, pa.DataType]:
@@ -31,23 +33,72 @@ def _kinds() -> tuple[T.DataType, pa.DataType]:
     return spark, pa.list_(pa.struct(list(zip(SCANNED, arrow))))
 
 
-def scan(text: Column, patterns: list[str], around: int) -> Column:
+def everywhere(text: str, compiled: list[re.Pattern]) -> Iterator[tuple[int, int, re.Match]]:
+    """start, number of the pattern, match: all matches of any patterns."""
+    return ((m.start(), k, m) for k, p in enumerate(compiled) for m in p.finditer(text))
+
+
+_DIGITS = re.compile(r"\d+")
+
+
+def _word_before(text: str, at: int) -> int:
+    """Where the white space before `at` begins."""
+    reach = 64
+    while True:
+        low = max(0, at - reach)
+        rest = len(text[low:at].rstrip())
+        if rest or not low:
+            return low + rest
+        reach *= 2
+
+
+def at_digits(text: str, compiled: list[re.Pattern]) -> Iterator[tuple[int, int, re.Match]]:
+    """The same for MENTION_PATTERNS, which hold digits in known places: patterns are tried only there, in order of start, each
+    from the end of its last match on. A clock begins at a run of one or two digits before its mark, which by \\b no
+    letter or digit precedes; a word pattern ends in white space and digits, so its words stand before a run."""
+    free = [0] * len(compiled)
+    for run in _DIGITS.finditer(text):
+        start, stop = run.span()
+        tries = []
+        if start and text[start - 1].isspace():
+            end = _word_before(text, start)
+            # Only last and first letters are looked at: `re` knows other forms of some, as ſ of s, but not of these.
+            last = text[end - 1 : end].lower()
+            tries += [(end - len(w), k) for k, words in R.MENTION_WORDS.items() for w in words if w[-1] == last and end >= len(w)]
+            if last == "t" and text[max(0, end - 4) : end][:1] in ("p", "P"):
+                head = _word_before(text, end - 4)
+                tries += [(head - n, R.MENTION_PAST) for n in R.MENTION_PARTS if head >= n]
+        if stop < len(text):
+            after = text[stop]
+            if stop - start <= 2:
+                tries += [(start, k) for k in R.MENTION_MARKS.get(after.lower(), ())]
+            if after.isspace():
+                tries.append((start, R.MENTION_PAST))
+        for at, k in tries:
+            if at >= free[k] and (m := compiled[k].match(text, at)):
+                free[k] = m.end()
+                yield at, k, m
+
+
+def scan(text: Column, patterns: list[str], around: int, found: Callable = everywhere) -> Column:
     """All matches of all patterns: pattern (its number), start and stop in code points, match, up to `around` characters
-    before and after it, groups. In order of start, then of patterns. Null for a null text."""
+    before and after it, groups. In order of start, then of patterns. Null for a null text.
+
+    A batch is read text by text and told in slices of SLICE, so what a worker holds besides the batch does not grow with it."""
     spark_kind, arrow_kind = _kinds()
 
     @F.arrow_udf(spark_kind)
     def scanned(texts: pa.Array) -> pa.Array:
         compiled = [re.compile(p, re.IGNORECASE) for p in patterns]
-        out = []
-        for t in texts.to_pylist():
+
+        def told(t: str | None) -> list[dict] | None:
             if t is None:
-                out.append(None)
-                continue
-            found = [(m.start(), k, m) for k, p in enumerate(compiled) for m in p.finditer(t)]
-            found.sort(key=lambda x: x[:2])
-            out.append([dict(zip(SCANNED, (k, a, m.end(), m[0], t[max(0, a - around) : a], t[m.end() : m.end() + around], list(m.groups())))) for a, k, m in found])
-        return pa.array(out, arrow_kind)
+                return None
+            all_ = sorted(found(t, compiled), key=lambda x: x[:2])
+            return [dict(zip(SCANNED, (k, a, m.end(), m[0], t[max(0, a - around) : a], t[m.end() : m.end() + around], list(m.groups())))) for a, k, m in all_]
+
+        slices = [pa.array((told(t.as_py()) for t in texts.slice(i, SLICE)), arrow_kind) for i in range(0, len(texts), SLICE)]
+        return pa.concat_arrays(slices) if slices else pa.array([], arrow_kind)
 
     return scanned(text)
 
@@ -69,7 +120,7 @@ def _near(words: list[str], text: Column) -> Column:
 def mentions(texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, pattern, format, start, stop, match, seconds (of the day), sure, confidence, event, context_before, context_after."""
     # A text without a digit has no mention, so Python does not see it.
-    some = texts.where(F.col(text).rlike(r"\d")).select(key, scan(F.col(text), [p for _, _, p in R.MENTION_PATTERNS], R.MENTION_CONTEXT).alias("__m"))
+    some = texts.where(F.col(text).rlike(r"\d")).select(key, scan(F.col(text), [p for _, _, p in R.MENTION_PATTERNS], R.MENTION_CONTEXT, at_digits).alias("__m"))
     wide = some.select(key, F.inline("__m"))
     kinds = F.array(*(F.lit(f) for f, _, _ in R.MENTION_PATTERNS))
     worth = F.array(*(F.lit(w) for _, w, _ in R.MENTION_PATTERNS))

@@ -1,6 +1,9 @@
 """Time mentions: values worked out by hand from the rules, and places found by a plain walk."""
 
+import inspect
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +79,31 @@ def test_equal_scores_go_to_the_earlier_mention(spark):
     speeches = spark.createDataFrame([(1, 100, "a")], "doc_id long, speech_start long, speaker string")
     out = M.associated(speeches, told.withColumn("confidence", F.lit("low"))).first()
     assert out.mention_start == 90
+
+
+def test_matches_at_digits_are_all_matches():
+    rng = random.Random(3)
+    compiled = [re.compile(p, re.IGNORECASE) for _, _, p in R.MENTION_PATTERNS]
+    parts = ["at", "AT", " ", "  ", "\n", "around", "About", "approximately", "approxımately", "quarter", "half ", "paſt", "PAST ", "mınuteſ", "minute ", "hours", "and", "5", "12", "23", "59", "07", "123", "٣", "１２", ":", ".", "h", "H", "am", "PM", "p.m.", "x", "é", "_", "😀", "\x1c", "past 5", "quarter past ", "at 9"]
+    told = lambda found, t: sorted((a, k, m.end(), m[0], m.groups()) for a, k, m in found(t, compiled))
+    for _ in range(20_000):
+        t = "".join(rng.choice(parts) + rng.choice(["", "", " "]) for _ in range(rng.randint(1, 14)))
+        assert told(M.at_digits, t) == told(M.everywhere, t), t
+    t = "at" + " " * 3_000 + "6, half" + " " * 3_000 + "past" + " " * 200 + "7"
+    assert told(M.at_digits, t) == told(M.everywhere, t) and len(told(M.at_digits, t)) == 2
+
+
+def test_a_text_is_not_walked_once_for_each_pattern():
+    """Texts with few digits cost about as much as finding these."""
+    text = "the members about the vote at a past hour and then, 12:30, " + "words without any number " * 40_000
+
+    def seconds(run):
+        begin = time.process_time()
+        run()
+        return time.process_time() - begin
+
+    compiled = [re.compile(p, re.IGNORECASE) for _, _, p in R.MENTION_PATTERNS]
+    found = []
+    slow = seconds(lambda: list(M.everywhere(text, compiled)))
+    fast = seconds(lambda: found.extend(M.at_digits(text, compiled)))
+    assert fast < slow / 5 and len(found) == 1 and "at_digits" in inspect.getsource(M.mentions)
