@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ELEMENTS = ("p", "div", "section", "span", "h1", "h2", "h3", "li", "td")
+ELEMENT = ["page_id", "pos", "tag", "class", "text"]
+#: Characters and rows of elements that leave a worker at once.
+TOLD, ROWS = 1 << 20, 5_000
 VOID = frozenset(("br", "hr", "img", "input", "link", "meta", "area", "base", "col", "embed", "source", "track", "wbr"))
 #: Classes and tags whose elements hold no speech.
 SKIP_CLASSES = ("navigation", "menu", "footer", "header", "sidebar", "nav")
@@ -73,9 +76,17 @@ def elements(pages: DataFrame) -> DataFrame:
     """page_id, pos, tag, class, text of every content element."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Nested elements repeat their texts, so a batch of pages is told a few pages at a time.
         for f in frames:
-            rows = [(p, *e) for p, h in zip(f["page_id"], f["html"]) for e in walk(h)[0]]
-            yield pd.DataFrame(rows, columns=["page_id", "pos", "tag", "class", "text"])
+            rows, size = [], 0
+            for p, h in zip(f["page_id"], f["html"]):
+                told = walk(h)[0]
+                rows += [(p, *e) for e in told]
+                size += sum(len(e[3]) for e in told)
+                if size >= TOLD or len(rows) >= ROWS:
+                    yield pd.DataFrame(rows, columns=ELEMENT)
+                    rows, size = [], 0
+            yield pd.DataFrame(rows, columns=ELEMENT)
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos int, tag string, class string, text string")
 

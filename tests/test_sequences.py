@@ -60,6 +60,19 @@ def test_elements_and_clean_text():
     assert "no()" not in text and P.clean_text("<p>a  b</p>\n<p> c </p>") == "a b c" and P.walk(None) == ([], "")
 
 
+def test_elements_leave_a_worker_in_small_parts(spark, monkeypatch):
+    """A batch of nested pages is never one frame of all its elements."""
+    pages = spark.range(1, 9, numPartitions=1).selectExpr("id AS page_id", "concat(repeat('<div>', 60), repeat('word and more ', 2000), repeat('</div>', 60)) AS html")
+    plain = P.elements(pages)
+    run = []
+    monkeypatch.setattr(type(pages), "mapInPandas", lambda self, f, schema: run.append(f) or plain)
+    P.elements(pages)
+    frames = list(run[0](iter([pages.toPandas()])))
+    assert sum(map(len, frames)) == 8 * 60 and max(int(f["text"].str.len().sum()) for f in frames if len(f)) < 2 * 60 * 28_000
+    got = plain.groupBy("page_id").count().collect()
+    assert sorted(map(tuple, got)) == [(i, 60) for i in range(1, 9)]
+
+
 def test_band_join_takes_the_best_mark(spark):
     marks = spark.createDataFrame([(1, 100, 0.8), (1, 180, 0.8), (1, 900, 0.8)], "key long, pos long, weight double")
     spots = spark.createDataFrame([(1, 150), (1, 600), (1, 1100)], "key long, spot long")
