@@ -76,11 +76,17 @@ def linguistic(d: Spark) -> Layer:
     plain = "regexp_extract_all(lower(text), r'[a-zà-ÿ]+', 0)" if d.name == "spark" else "regexp_extract_all(lower(text), '[a-zà-ÿ]+')"
     size = (lambda a: f"size({a})") if d.name == "spark" else (lambda a: f"len({a})")
     distinct = "size(array_distinct(plain))" if d.name == "spark" else "len(list_distinct(plain))"
-    votes = {f"v_{k}": d.count("lower(text)", rf"(?:^|\s)(?:{w})(?=\s|$)" if False else rf"(?:^|\s)(?:{w})[\s.,]") for k, w in STOP_WORDS.items()}
+    if d.name == "spark":
+        # A blank before the text stands for its beginning, so that a pattern begins with one class; letters go by runs.
+        votes = {f"v_{k}": d.count("concat(' ', lower(text))", rf"\s(?:{w})[\s.,]") for k, w in STOP_WORDS.items()}
+        letters = r"cast(length(text) - length(regexp_replace(text, r'[^\s.,;:!?]+', '')) as bigint)"
+    else:
+        votes = {f"v_{k}": d.count("lower(text)", rf"(?:^|\s)(?:{w})[\s.,]") for k, w in STOP_WORDS.items()}
+        letters = d.count("text", r"[^\s.,;:!?]")
     best = "greatest(" + ", ".join(votes) + ")"
     starts = r"[.!?]+\s+[A-Z]", r"[.!?]+\s+[A-Za-z]"
     return [
-        {"plain": plain, **votes, "syllables": d.count("lower(text)", "[aeiouyàâäéèêëîïíóôöúùûü]+"), "letters": d.count("text", r"[^\s.,;:!?]")},
+        {"plain": plain, **votes, "syllables": d.count("lower(text)", "[aeiouyàâäéèêëîïíóôöúùûü]+"), "letters": letters},
         {"n_plain": f"cast({size('plain')} as bigint)", "n_distinct": f"cast({distinct} as bigint)", "n_long": f"cast({_filtered(d, 'plain', 'length(x) >= 6')} as bigint)", "votes": "(" + " + ".join(votes) + ")"},
         {
             "detected": case([("votes = 0", "'und'"), *((f"v_{k} = {best}", f"'{k}'") for k in STOP_WORDS)]),

@@ -1,11 +1,14 @@
 """Rules on records, by hand."""
 
+import re
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from lectern.operators import lifecycle as L
+from lectern.operators import quality as Q
 from lectern.operators import records as X
+from lectern.plans.layers import applied
 
 
 def over(spark, values, rule, kind="string"):
@@ -76,3 +79,15 @@ def test_report_score_is_rounded_by_its_binary_value(spark):
     df = spark.createDataFrame([(k, s, 1, 0, 0, 1, {"error": 1}) for k, s in enumerate(scores)], "k long, score double, n long, passed long, warned long, failed long, severities map<string,long>")
     got = {r.k: r.report.split("Quality Score: ")[1].split("\n")[0] for r in L.validation_report(df, "k").collect()}
     assert got == {k: "null" if s is None else f"{s:.3f}" for k, s in enumerate(scores)} and got[0] == "0.062" and got[1] == "1.000"
+
+
+def test_letters_and_votes_are_counted_by_runs(spark):
+    texts = ["the cat. the, and\tof", " the the the ", "", "le la, DE und\nder x", "é😀 . , !?x", "und", "a\x0bthe b", "\nthe."]
+    df = spark.createDataFrame([(t, "en", "s") for t in texts], "text string, lang string, source string")
+    told = applied(df, Q.assessed)
+    got = [(r.text, r.letters, r.v_en, r.v_fr, r.v_de) for r in told.collect()]
+    count = lambda t, p: len(re.findall(p, t, re.A))
+    assert got == [(t, count(t, r"[^\s.,;:!?]"), *(count(t.lower(), rf"(?:^|\s)(?:{Q.STOP_WORDS[k]})[\s.,]") for k in ("en", "fr", "de"))) for t in texts]
+    # One match for each letter would be an array of them all.
+    plan = told.select("letters")._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^\\s.,;:!?]" in plan and "[^\\s.,;:!?], 0" not in plan
