@@ -16,8 +16,8 @@ Equal signatures meet in one exchange of packed arrays. Copies of a set are one
 of up to SMALL vertices gives all its pairs; a larger one gives its pairs with its smallest vertex only, and
 its members are kept. A member leaves aside as many signatures as it can spare, the largest groups first (see
 _unsettled). When the pairs are verified and contracted, groups whose members are in one component need nothing more.
-The others are compared inside tasks, block against block of at most BLOCK members, and only pairs that may link
-leave a task; where these are many, the best partner of each member outside the largest component comes first, round by
+The others, merged where they have most members in common (see _merged), are compared inside tasks, block against block of
+at most BLOCK members, and only pairs that may link leave a task; where these are many, the best partner of each member outside the largest component comes first, round by
 round, and the rest only if contraction leaves them apart. So near copies by the thousand cost pairs in proportion to their number, and no link is lost.
 
 Before sets are sent for a pair, the counts of their elements in hash buckets, as many as they have elements, bound
@@ -567,14 +567,43 @@ def _compared(whole: bool):
     return run
 
 
+def _torn(told: DataFrame) -> DataFrame:
+    """gid, most: its most frequent root, n: members, of each group of told (gid, v, root) that has several roots."""
+    share = told.groupBy("gid", "root").agg(F.count("*").alias("n"))
+    most = F.max_by("root", F.struct("n", -F.col("root"))).alias("most")
+    return share.groupBy("gid").agg(most, F.sum("n").alias("n"), F.max("n").alias("major"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
+
+
+def _merged(told: DataFrame) -> DataFrame:
+    """gid, v, root of told's groups (gid, v, root) that have several roots, merged where that saves work.
+
+    A cluster of near copies meets in a group for each of many signatures, nearly the same members each time. Groups
+    with the same most frequent root become one of all their members, named by that root, unless it has more pairs
+    than they have together. A merged group has all pairs of its groups.
+    """
+    torn = gathered(durable(_torn(told)))
+    rows = gathered(durable(told.join(torn.select("gid", "most"), "gid").select("gid", "most", "v", "root")))
+    union = gathered(durable(rows.select("most", "v", "root").distinct()))
+    alone = torn.groupBy("most").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    saved = union.groupBy("most").agg(F.count("*").alias("n")).join(alone, "most").where("n * n <= pairs").select("most")
+    saved = gathered(durable(saved))
+    merged = union.join(saved, "most", "left_semi").select(F.col("most").alias("gid"), "v", "root")
+    return merged.union(rows.join(saved, "most", "left_anti").select("gid", "v", "root"))
+
+
 def _hidden(told: DataFrame, known: DataFrame, whole: bool) -> DataFrame:
     """Pairs (a, b) that may link within the groups of told (gid, v, root), or gid of a group that may hold more of
-    them; known: v, n_shingles, sketch. Groups over BLOCK members are dealt into blocks, and each two blocks meet in a task of their own, so no task holds more than
-    two blocks."""
-    size = told.groupBy("gid").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-    dealt = told.join(size, "gid").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    them; known: v, n_shingles, sketch. Groups over BLOCK members are dealt into blocks, those of the most frequent root
+    apart from the others. Each two blocks meet in a task of their own, so no task holds more than two blocks; two blocks of
+    the most frequent root have nothing to meet for, so its members are sent as often as there are blocks of others."""
+    size = _torn(told)
+    large = F.col("n") > BLOCK
+    most = F.when(large, F.ceil(F.col("major") / BLOCK)).otherwise(0).cast("long").alias("first")
+    rest = F.when(large, F.ceil((F.col("n") - F.col("major")) / BLOCK)).otherwise(1).cast("long").alias("rest")
+    dealt = told.join(size.select("gid", "most", most, rest), "gid").withColumn("in_most", (F.col("root") == F.col("most")) & (F.col("first") > 0))
+    mine = F.when(F.col("in_most"), F.pmod(F.xxhash64("v"), F.col("first"))).otherwise(F.col("first") + F.pmod(F.xxhash64("v"), F.col("rest")))
+    begin = F.when(F.col("in_most"), F.col("first")).otherwise(0).cast("long")
+    dealt = dealt.withColumn("own", mine).withColumn("other", F.explode(F.sequence(begin, F.col("first") + F.col("rest") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
     cells = dealt.select("gid", "v", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), side.cast("long").alias("side"))
     # merged by v, so that equal sketches follow each other, which compresses well
@@ -649,9 +678,8 @@ def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
     known, whole = None, False
     while True:
         roots = gathered(durable(components(edges)))
-        told = members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))
-        torn = told.groupBy("gid").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gid")
-        told = gathered(durable(told.join(torn, "gid", "left_semi")))
+        told = gathered(durable(members.join(roots, "v", "left").select("gid", "v", F.coalesce("root", "v").alias("root"))))
+        told = gathered(durable(_merged(told)))
         if told.isEmpty():
             return edges
         if known is None:
@@ -667,7 +695,7 @@ def links(docs: DataFrame, described: DataFrame, named: DataFrame) -> DataFrame:
         if again.isEmpty():
             return edges
         # groups that told all of their pairs are done
-        members, whole = gathered(durable(members.join(again.distinct(), "gid", "left_semi"))), new.isEmpty()
+        members, whole = gathered(durable(told.select("gid", "v").join(again.distinct(), "gid", "left_semi"))), new.isEmpty()
 
 
 def _named(described: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from lectern.llm import components as contraction
@@ -99,3 +100,47 @@ def test_one_row_of_each_component_whatever_its_id(spark):
     assert len(group) == 1 and group[0][0] is None
     rest = sorted([(2, b + " end"), (5, c), (5, d), (None, ""), (None, None), (6, " ")], key=str)
     assert [x for x in kept if x not in group] == rest
+
+
+def test_overlapping_groups_are_compared_as_one(spark, monkeypatch):
+    """A cluster's members meet in many groups; each member is sent about once and not once for each group."""
+    sent, hidden = [], nj._hidden
+
+    def counted(told, known, whole):
+        sent.append((told.count(), told.select("v").distinct().count()))
+        return hidden(told, known, whole)
+
+    monkeypatch.setattr(nj, "_hidden", counted)
+    rng = random.Random(5)
+    base = prose(91, 150)
+    texts = [edited(base, rng, rng.choice([1, 2, 8])) for _ in range(150)]
+    table = rows(texts)
+    got = nj.join(spark.createDataFrame(table, DOCS).repartition(4)).collect()
+    assert sorted(tuple(r) for r in got) == brute(table)
+    assert sent and all(n <= 3 * v for n, v in sent), sent
+
+
+@pytest.mark.parametrize("others", [5, 20, 133])
+def test_blocks_of_one_root_do_not_meet(spark, monkeypatch, others):
+    def cells(whole):
+        def run(batches):
+            for b in batches:
+                names = ["gid", "a", "b", "worth"]
+                at = [x * 1000 + y for x, y in zip(b.column("lo").to_pylist(), b.column("hi").to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column("gid"), b.column("v"), pa.array(at, pa.int64()), b.column("side").cast(pa.float64())], names)
+
+        return run
+
+    monkeypatch.setattr(nj, "BLOCK", 7)
+    monkeypatch.setattr(nj, "_compared", cells)
+    n = 140
+    root = {v: 0 if v < n - others else v for v in range(n)}
+    told = spark.createDataFrame([(1, v, r) for v, r in root.items()], "gid long, v long, root long")
+    known = spark.createDataFrame([(v, 100, b"") for v in root], "v long, n_shingles long, sketch binary")
+    met = {}
+    for r in nj._hidden(told, known, False).collect():
+        met.setdefault(r.b, []).append((r.a, r.worth))
+    pairs = [(x, y) for c in met.values() for x, s in c for y, t in c if x < y and root[x] != root[y] and (s != t or s == 2)]
+    assert sorted(pairs) == [(x, y) for x in range(n) for y in range(x + 1, n) if root[x] != root[y]]
+    if others < n // 4:
+        assert sum(map(len, met.values())) < n * n // 7 // 2
