@@ -4,7 +4,7 @@ A frame's blocks are (blocks, 64) arrays in zigzag order, one for each component
 (spectral selection) or one more bit of it (successive approximation); scans accumulate in these arrays. Between restart
 markers scans are independent, so restart intervals of all images of a group are coded in the same numpy calls: where
 each code of a first scan ends depends on the bits alone, so the length at every bit position is looked up at once and
-only the walk from code to code is a loop. Memory follows the coefficients and one group of intervals.
+only the walk from code to code is a loop, over eight codes at a time. Memory follows the coefficients and one group of intervals.
 
 Read: SOF2, eight bits a sample, one or three components of any sampling, restart intervals. ValueError: anything else,
 and codes that no table holds or that end too early. Chroma is upsampled by repetition, colours are JFIF's.
@@ -27,6 +27,8 @@ RESTART, GROUP = 4096, 4096
 #: Code lengths that encode() writes: the sizes of adjacent differences alike; sizes 1 to 7 without a run in three bits.
 DC_LENGTHS = {s: 4 for s in range(12)}
 AC_LENGTHS = {s: 3 for s in range(1, 8)} | {r << 4 | s: 11 for r in range(16) for s in range(11) if r or not 1 <= s <= 7}
+#: Bit positions that are looked up at a time.
+_HERE = np.arange(1 << 12)
 SIZES = np.array([v.bit_length() for v in range(1 << 11)], np.int64)
 
 
@@ -60,6 +62,15 @@ class Frame:
         return out
 
 
+def _orders(frames: list[Frame], comps: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """Each frame's order(), told once for frames of one size; the frames have one sampling."""
+    known = {}
+    for f in frames:
+        if (f.height, f.width) not in known:
+            known[f.height, f.width] = f.order(comps)
+    return [known[f.height, f.width] for f in frames]
+
+
 class Table:
     """A Huffman table by what the next sixteen bits say: code length, symbol, length with the bits that follow."""
 
@@ -78,6 +89,15 @@ class Table:
                 code += 1
             code, at = code << 1, at + count
 
+    @functools.cached_property
+    def tokens(self) -> tuple[np.ndarray, np.ndarray]:
+        """Code and bits, and their number, of run << 11 | value + 1024, for runs under 16 and values of ten bits."""
+        value = np.arange(-1024, 1024)
+        magnitude = np.abs(value)
+        size = SIZES[magnitude]
+        symbol = np.arange(16)[:, None] << 4 | size
+        return (self.codes[symbol] << size | _signed_bits(value, magnitude, size)).reshape(-1), (self.lengths[symbol] + size).reshape(-1)
+
 
 @functools.lru_cache(64)
 def _table(counts: bytes, symbols: bytes, dc: bool) -> Table:
@@ -135,18 +155,17 @@ def _end_tokens(runs: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray]
 
 def _first_scan(band: np.ndarray, reached: int, table: Table, bounds: np.ndarray) -> list[bytes]:
     length = band.shape[1]
-    value = band.reshape(-1).astype(np.int64)
+    value = band.reshape(-1)
     magnitude = np.abs(value) >> reached
-    at = np.flatnonzero(magnitude)
+    at = np.flatnonzero(magnitude != 0)
     value, magnitude = value[at], magnitude[at]
     block = at // length
     within = at - block * length
     run = within.copy()
     same = np.flatnonzero(block[1:] == block[:-1]) + 1
     run[same] = at[same] - at[same - 1] - 1
-    size = SIZES[magnitude]
-    symbol = (run & 15) << 4 | size
-    tokens, bits = table.codes[symbol] << size | _signed_bits(value, magnitude, size), table.lengths[symbol] + size
+    which = (run & 15) << 11 | np.where(value < 0, 1024 - magnitude, 1024 + magnitude)
+    tokens, bits = (x[which] for x in table.tokens)
     ends, runs = _ends(block, within, length, bounds)
     skip = np.repeat(np.arange(len(at)), run >> 4)
     where = np.concatenate([np.searchsorted(block, ends, "right"), skip])
@@ -239,11 +258,12 @@ def encode(frames: list[Frame], images: list[list[np.ndarray]], comments: list[b
             _marker(0xC2, bytes([8]) + f.height.to_bytes(2, "big") + f.width.to_bytes(2, "big") + bytes([len(f.sampling)]) + head),
             _marker(0xC4, b"\0" + b"".join(dc)), _marker(0xC4, b"\x10" + b"".join(ac)), _marker(0xDD, RESTART.to_bytes(2, "big")),
         ])
+    known = {comps: _orders(frames, comps) for comps in {x[0] for x in SCRIPT if x[1] == 0}}
     for comps, first, last, before, reached in SCRIPT:
         head = _marker(0xDA, bytes([len(comps), *(x for c in comps for x in (c + 1, 0)), first, last, before << 4 | reached]))
         for o in out:
             o.append(head)
-        orders = [f.order(comps) for f in frames] if first == 0 else None
+        orders = known[comps] if first == 0 else None
         for part in _intervals([len(orders[i][0]) if orders else len(x[comps[0]]) for i, x in enumerate(images)], RESTART):
             bounds = _bounds(part)
             if first == 0:
@@ -383,12 +403,38 @@ class Bits:
     def read(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         return ((self.words[at >> 3].astype(np.int64) << (at & 7)) & 0xFFFFFFFF) >> (32 - n)
 
-    def lengths(self, table: Table) -> bytes:
+    def lengths(self, table: Table) -> np.ndarray:
         """The length of what would begin at each bit."""
         out = np.empty((len(self.words), 8), np.uint8)
         for j in range(8):
             out[:, j] = table.total[(self.words << np.uint32(j)) >> np.uint32(16)]
-        return out.tobytes()
+        return out.reshape(-1)
+
+
+def _walk(one: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the codes of each interval begin, and how many begin before each interval and the end. What two, four and
+    eight codes take is told at every bit (31 bits each, so a byte holds it); the loop steps over eight at a time."""
+    jumps = [one]
+    for _ in range(3):
+        last, new = jumps[-1], np.empty_like(one)
+        for a in range(0, len(one), len(_HERE)):
+            own = last[a : a + len(_HERE)]
+            new[a : a + len(_HERE)] = own + last[a : a + len(_HERE) + 256].take(own + _HERE[: len(own)], mode="clip")
+        jumps.append(new)
+    eight, walked, rows = jumps[3].tobytes(), [], [0]
+    keep = walked.append
+    for at, stop in zip(start.tolist(), end.tolist()):
+        while at < stop:
+            keep(at)
+            at += eight[at]
+        rows.append(len(walked))
+    out = np.empty((len(walked), 8), np.int64)
+    out[:, 0] = walked
+    for k, jump in zip((4, 2, 1), jumps[2::-1]):
+        known = out[:, :: 2 * k]
+        out[:, k :: 2 * k] = known + jump.take(known, mode="clip")
+    own = out < np.repeat(end, np.diff(rows))[:, None]
+    return out[own], np.concatenate([[0], np.cumsum(own.sum(axis=1))])[rows]
 
 
 def _value(bits: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -397,14 +443,9 @@ def _value(bits: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _read_first(data: list[bytes], band: np.ndarray, reached: int, table: Table, bounds: np.ndarray) -> None:
     length, bits = band.shape[1], Bits(data)
-    lengths, walked, count = bits.lengths(table), [], [0]
-    keep = walked.append
-    for at, end in zip((8 * bits.start).tolist(), (8 * bits.end).tolist()):
-        while at < end:
-            keep(at)
-            at += lengths[at]
-        count.append(len(walked))
-    at = np.array(walked, np.int64)
+    at, count = _walk(bits.lengths(table), 8 * bits.start, 8 * bits.end)
+    if (np.diff(count) == 0).any():
+        raise ValueError("scan ends too early")
     window = bits.sixteen(at)
     symbol, code = table.symbol[window], table.length[window]
     run, size = symbol >> 4, symbol & 15
@@ -415,22 +456,18 @@ def _read_first(data: list[bytes], band: np.ndarray, reached: int, table: Table,
     ends = np.flatnonzero(more + step == run)  # size 0 and no skip
     # where a code stands: the sum of steps, moved at the start of each interval and behind each end of band
     shift, moved, k = [], [], 0
-    stops, blocks = ends.tolist(), (extra[ends] + (1 << run[ends])).tolist()
-    before = (upto - step).tolist() if len(stops) > 64 else upto - step
-    for i, first in enumerate(count[:-1]):
-        at_ = int(bounds[i]) * length
-        if first < len(upto):
-            moved.append(first)
-            shift.append(at_ - int(before[first]))
-        while k < len(stops) and stops[k] < count[i + 1]:
-            here = int(before[stops[k]]) + shift[-1]
+    stops, blocks, before = ends.tolist(), (extra[ends] + (1 << run[ends])).tolist(), upto - step
+    told = before[ends].tolist()
+    for first, last, here, at_ in zip(count[:-1].tolist(), count[1:].tolist(), before[count[:-1]].tolist(), (bounds[:-1] * length).tolist()):
+        moved.append(first)
+        shift.append(at_ - here)
+        while k < len(stops) and stops[k] < last:
             moved.append(stops[k])
-            shift.append((here // length + blocks[k]) * length - int(before[stops[k]]))
+            shift.append(((told[k] + shift[-1]) // length + blocks[k]) * length - told[k])
             k += 1
     place = upto + np.repeat(np.array(shift, np.int64), np.diff([*moved, len(upto)]))
     stop = np.repeat(bounds[1:] * length, np.diff(count))
-    last = np.array(count[1:]) - 1
-    if (np.diff(count) == 0).any() or (place[last] < bounds[1:] * length).any():
+    if (place[count[1:] - 1] < bounds[1:] * length).any():
         raise ValueError("scan ends too early")
     own = place - step < stop
     if (code[own] == 0).any() or ((place - 1) // length != (place - step) // length)[own & (step > 0)].any():
@@ -493,7 +530,7 @@ def _read_dc(data: list[bytes], widths: list[int], scan: Scan, tables: list[Tabl
         if (8 * (bits.end - bits.start) < units * per).any():
             raise ValueError("scan ends too early")
         return bits.read(n, np.ones_like(n)).reshape(-1, per)
-    lengths = {id(t): bits.lengths(t) for t in {id(t): t for t in tables}.values()}
+    lengths = {id(t): bits.lengths(t).tobytes() for t in {id(t): t for t in tables}.values()}
     pattern, walked = [lengths[id(t)] for t, w in zip(tables, widths) for _ in range(w)], []
     for at, end, n in zip((8 * bits.start).tolist(), (8 * bits.end).tolist(), units.tolist()):
         for _ in range(n):
@@ -518,10 +555,15 @@ def _read_dc(data: list[bytes], widths: list[int], scan: Scan, tables: list[Tabl
 
 def coefficients(images: list[Parsed]) -> list[list[np.ndarray]]:
     """What all scans of these images add up to; the images have one key()."""
-    out = [[np.zeros((x.frame.grid(c)[0] * x.frame.grid(c)[1], 64), np.int16) for c in range(len(x.frame.sampling))] for x in images]
+    firsts, known = [], {}
+    for c in range(len(images[0].frame.sampling)):
+        firsts.append(np.cumsum([0, *(x.frame.grid(c)[0] * x.frame.grid(c)[1] for x in images)]).tolist())
+    whole = [np.zeros((own[-1], 64), np.int16) for own in firsts]
     for k, scan in enumerate(images[0].scans):
         tables = [None if t is None else _table(*t) for t in scan.tables]
-        orders = [x.frame.order(scan.comps) for x in images]
+        if scan.comps not in known:
+            known[scan.comps] = [[o + firsts[c][i] for c, o in zip(scan.comps, own)] for i, own in enumerate(_orders([x.frame for x in images], scan.comps))]
+        orders = known[scan.comps]
         first, last = scan.band
         taken = [0] * len(images)
         for part in _intervals([len(o[0]) for o in orders], scan.restart):
@@ -531,20 +573,20 @@ def coefficients(images: list[Parsed]) -> list[list[np.ndarray]]:
                     raise ValueError("scan ends too early")
                 data.append(images[i].scans[k].data[taken[i]])
                 taken[i] += 1
+            places = [np.concatenate([orders[i][n][a:b] for i, a, b in part]) for n in range(len(scan.comps))]
             if first == 0:
-                widths = [o.shape[1] for o in orders[0]]
-                told, at = _read_dc(data, widths, scan, tables, bounds) << scan.reached, 0
-                for n, c in enumerate(scan.comps):
-                    for (i, a, b), lo in zip(part, bounds.tolist()):
-                        out[i][c][orders[i][n][a:b], 0] |= told[lo : lo + b - a, at : at + widths[n]].astype(np.int16)
-                    at += widths[n]
+                told, at = (_read_dc(data, [o.shape[1] for o in places], scan, tables, bounds) << scan.reached).astype(np.int16), 0
+                for c, own in zip(scan.comps, places):
+                    whole[c][own, 0] |= told[:, at : at + own.shape[1]]
+                    at += own.shape[1]
                 continue
-            c = scan.comps[0]
-            band = np.concatenate([out[i][c][orders[i][0][a:b, 0], first : last + 1] for i, a, b in part])
+            c, own = scan.comps[0], places[0][:, 0]
+            if own[-1] - own[0] == len(own) - 1:
+                own = slice(own[0], own[-1] + 1)
+            band = whole[c][own, first : last + 1].copy()
             (_read_refining if scan.before else _read_first)(data, band, scan.reached, tables[0], bounds)
-            for (i, a, b), lo in zip(part, bounds.tolist()):
-                out[i][c][orders[i][0][a:b, 0], first : last + 1] = band[lo : lo + b - a]
-    return out
+            whole[c][own, first : last + 1] = band
+    return [[x[own[i] : own[i + 1]] for x, own in zip(whole, firsts)] for i in range(len(images))]
 
 
 def _basis() -> np.ndarray:
@@ -562,7 +604,9 @@ HALF = 128.5 + 1e-7
 def _plane(frame: Frame, c: int, blocks: np.ndarray, rows: slice) -> np.ndarray:
     wide = frame.grid(c)[1]
     own = blocks[rows.start * wide : rows.stop * wide]
-    pixels = np.clip(np.floor((own * frame.quant[c]) @ BASIS + HALF), 0, 255).astype(np.uint8)
+    pixels = (own * frame.quant[c]) @ BASIS
+    pixels += HALF
+    pixels = np.clip(pixels, 0, 255, out=pixels).astype(np.uint8)
     return pixels.reshape(-1, wide, 8, 8).transpose(0, 2, 1, 3).reshape(-1, wide * 8)
 
 
@@ -598,3 +642,18 @@ def rgb(frame: Frame, blocks: list[np.ndarray]) -> np.ndarray:
         for k, part in enumerate(parts):
             own[..., k] = np.clip(part[: own.shape[0], : own.shape[1]], 0, 255)
     return out
+
+
+def rgbs(frames: list[Frame], images: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The rgb() of each; images of one width are told as one, below each other."""
+    out, alike = [None] * len(frames), {}
+    for i, f in enumerate(frames):
+        alike.setdefault((f.width, f.sampling, b"".join(q.tobytes() for q in f.quant)), []).append(i)
+    for rows in alike.values():
+        f, unit, at = frames[rows[0]], 8 * frames[rows[0]].most[1], 0
+        tall = Frame(unit * sum(frames[i].mcus[0] for i in rows), f.width, f.sampling, f.quant)
+        pixels = rgb(tall, [np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*(images[i] for i in rows))])
+        for i in rows:
+            out[i] = pixels[at : at + frames[i].height]
+            at += unit * frames[i].mcus[0]
+    return out

@@ -82,14 +82,13 @@ def payload(image: jpeg.Parsed, blocks: list[np.ndarray]) -> bytes | None:
 
 def feature(tensor: np.ndarray) -> str:
     """Height, width, the sums of the three channels and a checksum."""
-    sums = tensor.reshape(-1, 3).sum(axis=0, dtype=np.int64)
+    sums = tensor.reshape(len(tensor), -1).sum(axis=0, dtype=np.int64).reshape(-1, 3).sum(axis=0)
     return "{}x{}:{}:{}:{}:{:08x}".format(*tensor.shape[:2], *sums.tolist(), zlib.crc32(tensor))
 
 
 def _read(images: list[jpeg.Parsed]) -> list[dict]:
-    out = []
-    for image, blocks in zip(images, jpeg.coefficients(images)):
-        tensor = jpeg.rgb(image.frame, blocks)
+    out, all_ = [], jpeg.coefficients(images)
+    for image, blocks, tensor in zip(images, all_, jpeg.rgbs([x.frame for x in images], all_)):
         out.append({"height": tensor.shape[0], "width": tensor.shape[1], "data": tensor.tobytes(), "feature": feature(tensor), "payload": payload(image, blocks)})
     return out
 

@@ -1,4 +1,5 @@
 import hashlib
+import sys
 import zlib
 
 import numpy as np
@@ -28,6 +29,67 @@ def test_payloads_come_back_alone_and_together():
     assert len(jpeg.parse(images[10]).scans[1].data) > 1  # restart intervals
 
 
+def calls(work):
+    """Calls of functions, Python's and C's, that work() makes."""
+    n = [0]
+
+    def count(frame, event, arg):
+        n[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        work()
+    finally:
+        sys.setprofile(None)
+    return n[0]
+
+
+def test_reading_does_not_go_code_by_code():
+    """Most bytes of a payload are a code of their own; one step in Python for each took most of the query's time."""
+    rng = np.random.default_rng(3)
+    image = media.stored([bytes(rng.integers(97, 123, 200_000).astype(np.uint8))])
+    media.tensors(image)
+    assert calls(lambda: media.tensors(image)) < 200_000 / 4
+
+
+def test_small_images_are_read_together():
+    """What numpy is called for follows the group, not its images."""
+    images = media.stored([prose(k, 20).encode() for k in range(300)])
+    media.tensors(images)
+    assert calls(lambda: media.tensors(images)) < 300 * 550
+
+
+def test_codes_are_walked_as_one_by_one():
+    rng = np.random.default_rng(4)
+    one = rng.integers(1, 32, 30_000).astype(np.uint8)
+    one[9_000:9_400], one[-300:] = 31, 31
+    start, end = np.array([0, 5_000, 5_008, 9_000, 20_000, 29_900]), np.array([4_936, 5_000, 5_009, 19_000, 29_800, 29_999])
+    want, count = [], [0]
+    for at, stop in zip(start.tolist(), end.tolist()):
+        while at < stop:
+            want.append(at)
+            at += int(one[at])
+        count.append(len(want))
+    at, told = jpeg._walk(one, start, end)
+    assert at.tolist() == want and told.tolist() == count
+
+
+def test_tensors_of_a_group_equal_those_of_each_image():
+    rng = np.random.default_rng(5)
+    frames = [jpeg.Frame(h, w, s, [np.full(64, q)] * 3) for h, w, q in ((16, 16, 1.0), (37, 16, 1.0), (37, 16, 2.0), (8, 51, 1.0), (9, 51, 1.0), (1, 1, 1.0)) for s in (media.SAMPLING, ((1, 1),) * 3)]
+    blocks = [[rng.integers(-60, 60, (f.grid(c)[0] * f.grid(c)[1], 64)).astype(np.int16) for c in range(3)] for f in frames]
+    assert all(np.array_equal(a, jpeg.rgb(f, b)) for a, f, b in zip(jpeg.rgbs(frames, blocks), frames, blocks))
+
+
+def test_images_and_tensors_stay_as_they_were():
+    """Images, payloads and features as the code that walked one code at a time made them."""
+    data = [b"", b"a", b"\x80" * 700, b"\xff" * 64, bytes(64), bytes(range(256)) * 40, b"\x80\x7f\x81\x80\x80\x00" * 3000, "é€😀 a word".encode() * 9000, b"hello " * 20]
+    images, told = media.stored(data), hashlib.sha256()
+    for image, own in zip(images, media.tensors(images)):
+        told.update(image + own["payload"] + own["feature"].encode() + own["data"])
+    assert told.hexdigest() == "f0e2d8afaa34969816d25f83b1c3afc9e2e68686ff0cbf823aaf825131cb02ba"
+
+
 def test_scans_accumulate():
     """Without its refining scans an image has all but the last bit of the refined bands."""
     data = prose(3, 400).encode()
