@@ -5,7 +5,8 @@ one blank), hashed to BUCKETS. The kernel of two texts is the number of features
 product of their numbers. Texts are read whole, in windows of about WINDOW bytes so that a long text does not
 hold every n-gram there is; a text's kernel values are the means over its windows. LANDMARKS training texts span
 the Nystroem space, in which one ridge regression per language is fitted; a score is the softmax of the languages'
-values. All texts of a chunk are scored by two matrix products.
+values. Features are made AT_ONCE windows at a time, for fitting and for scoring by two matrix products, so what both hold
+beside the windows themselves does not grow with the sample or with a text.
 
 The model is fitted on about SAMPLE training documents (those with the smallest hash of doc_id and text, per language an
 equal share, ten at least), from up to WINDOWS windows of each, spread over its whole text; that bound is a parameter.
@@ -34,6 +35,8 @@ from lectern.llm import textvec as tv
 from lectern.llm.common import durable, if_small, table
 
 ORDERS, BUCKETS, LANDMARKS, SAMPLE, WINDOW, WINDOWS, RIDGE, SHARP = 4, 4096, 160, 3000, 1500, 8, 1e-2, 6.0
+#: Windows whose features are held at a time.
+AT_ONCE = 256
 UNKNOWN = "und"
 U = tv.U
 
@@ -60,25 +63,33 @@ def windows(text: bytes, most: int | None = None) -> list[bytes]:
     return [text[a : a + step] for a in starts.tolist()]
 
 
-def presence(parts: list[bytes]) -> np.ndarray:
-    """Rows of normed presence features, one for each window."""
+def presence(parts: list[bytes], before: bytes = b"") -> np.ndarray:
+    """Rows of normed presence features, one for each window; before: the byte ahead of the first."""
     x = np.zeros((len(parts), BUCKETS), np.float32)
-    data = np.frombuffer(b"".join(parts), np.uint8)
+    letter = _LETTER[np.frombuffer(before + b"".join(parts), np.uint8)].astype(U)
     size = np.array([len(p) for p in parts], np.int64)
     row, at = tv.ragged(size)
-    letter = _LETTER[data].astype(U)
     # upper-case letters of two bytes, U+00C0 to U+00DE, in lower case
     upper = (letter[1:] >= 0x80) & (letter[1:] <= 0x9E) & (letter[:-1] == 0xC3)
     letter[1:][upper] += U(32)
-    gram = np.zeros(len(data), U)
+    letter = letter[len(before) :]
+    gram = np.zeros(len(letter), U)
     for n in range(1, ORDERS + 1):
-        gram = gram[: len(data) - n + 1] * U(257) + letter[n - 1 :] if n > 1 else letter.copy()
+        gram = gram[: len(letter) - n + 1] * U(257) + letter[n - 1 :] if n > 1 else letter.copy()
         if not len(gram):
             break
         ok = at[: len(gram)] + n <= size[row[: len(gram)]]
         slot = (tv.mix(gram[ok] + U(n << 56)) % U(BUCKETS)).astype(np.int64)
         x[row[: len(gram)][ok], slot] = 1
-    return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    return x
+
+
+def features(parts: list[bytes]) -> Iterator[np.ndarray]:
+    """Presence features of the windows of whole texts, AT_ONCE windows at a time: a row takes 16 KB, and what finds it
+    some 60 bytes for each byte of text."""
+    for a in range(0, len(parts), AT_ONCE):
+        yield presence(parts[a : a + AT_ONCE], parts[a - 1][-1:] if a else b"")
 
 
 class Model:
@@ -93,30 +104,45 @@ class Model:
         languages = sorted(set(labels))
         if not languages:
             return cls([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, 0)))
-        x, owner = presence([p for t in texts for p in t]), np.repeat(np.arange(len(texts)), list(map(len, texts)))
+        owner = np.repeat(np.arange(len(texts)), list(map(len, texts)))
         number = {z: k for k, z in enumerate(languages)}
         y = np.array([number[z] for z in labels])[owner]
         # landmarks in turn from each language
         turn = np.empty(len(y), np.int64)
         for k in range(len(languages)):
             turn[y == k] = np.arange((y == k).sum())
-        marks = x[np.lexsort((y, turn))[: max(LANDMARKS, len(languages))]]
-        kernel = x @ marks.T
-        target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
+        chosen = np.lexsort((y, turn))[: max(LANDMARKS, len(languages))]
+        place = np.full(len(y), -1)
+        place[chosen] = np.arange(len(chosen))
+        place = place[np.isin(owner, owner[chosen])]
+        marks, at = np.zeros((len(chosen), BUCKETS), np.float32), 0
+        for x in features([p for k in np.unique(owner[chosen]) for p in texts[k]]):
+            here = place[at : at + len(x)]
+            marks[here[here >= 0]] = x[here >= 0]
+            at += len(x)
         weight = 1 / np.bincount(y, minlength=len(languages))[y] * len(y) / len(languages)
-        # in the Nystroem space: f = (K C^-1/2) w, ridge on w
+        # in the Nystroem space: f = (K C^-1/2) w, ridge on w; its sums are made a few windows at a time
         value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
         root = vector / np.sqrt(np.maximum(value, 1e-6 * value.max()))
-        z = np.hstack([kernel @ root, np.ones((len(kernel), 1))])
-        w = np.linalg.solve(z.T @ (z * weight[:, None]) + RIDGE * len(y) * np.eye(z.shape[1]) / 100, z.T @ (target * weight[:, None]))
+        square, right, at = np.zeros((len(marks) + 1,) * 2), np.zeros((len(marks) + 1, len(languages))), 0
+        for x in features([p for t in texts for p in t]):
+            of = slice(at, at + len(x))
+            z = np.hstack([x @ marks.T @ root, np.ones((len(x), 1))])
+            target = np.where(y[of, None] == np.arange(len(languages)), 1.0, -1.0)
+            square += z.T @ (z * weight[of, None])
+            right += z.T @ (target * weight[of, None])
+            at += len(x)
+        w = np.linalg.solve(square + RIDGE * len(y) * np.eye(len(square)) / 100, right)
         return cls(languages, marks, np.vstack([root @ w[:-1], w[-1:]]))
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and its score."""
         parts = [windows(t) for t in texts]
-        x, owner = presence([p for t in parts for p in t]), np.repeat(np.arange(len(texts)), list(map(len, parts)))
-        values = np.zeros((len(texts), len(self.languages)))
-        np.add.at(values, owner, np.hstack([x @ self.landmarks.T, np.ones((len(x), 1))]) @ self.weights)
+        owner = np.repeat(np.arange(len(texts)), list(map(len, parts)))
+        values, at = np.zeros((len(texts), len(self.languages))), 0
+        for x in features([p for t in parts for p in t]):
+            np.add.at(values, owner[at : at + len(x)], np.hstack([x @ self.landmarks.T, np.ones((len(x), 1))]) @ self.weights)
+            at += len(x)
         values /= np.bincount(owner, minlength=len(texts))[:, None]
         p = np.exp(SHARP * (values - values.max(axis=1, keepdims=True)))
         p /= p.sum(axis=1, keepdims=True)

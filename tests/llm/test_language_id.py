@@ -1,4 +1,7 @@
 import random
+import tracemalloc
+
+import numpy as np
 
 from lectern.llm import language_id as li
 from tests.llm.fixtures import DOCS, awkward_docs
@@ -37,3 +40,35 @@ def test_awkward_rows(spark):
     assert {r.lang_pred for r in out if r.doc_id in (0, 1, 2, 6)} == {"und"} and {r.lang_pred for r in out if r.doc_id == 8} == {"en"}
     assert li.identify(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in li.identify(docs.withColumn("lang", docs.lang.substr(9, 1)).na.replace("", None, "lang")).collect()} == {"und"}
+
+
+def held(run):
+    """What run returns, and the MB it held at most beside what was there before."""
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_follows_neither_the_sample_nor_a_text(monkeypatch):
+    rng = random.Random(4)
+    labels = [rng.choice(list(WORDS)) for _ in range(600)]
+    bodies = [(text(lang, rng, 500) + " É Ü ").encode() for lang in labels]
+    texts = [li.windows(b * 4, li.WINDOWS) for b in bodies]
+    assert sum(map(len, texts)) == 4800
+    model, fitting = held(lambda: li.Model.fit(texts, labels))
+    long = b" ".join(bodies)
+    (best, score), scoring = held(lambda: model.score([bodies[0], long, b"x", bodies[1]]))
+    assert fitting < 100 and scoring < 100
+    # slices change nothing, also where a window ends within a letter
+    monkeypatch.setattr(li, "AT_ONCE", 1 << 30)
+    whole = li.Model.fit(texts, labels)
+    assert np.array_equal(model.landmarks, whole.landmarks)
+    again, close = whole.score([bodies[0], long, b"x", bodies[1]])
+    assert best.tolist() == again.tolist() and np.allclose(score, close, atol=1e-4)
+    cut = [b"ab\xc3", b"\x89cd"]
+    rows = list(li.features(cut))
+    monkeypatch.setattr(li, "AT_ONCE", 1)
+    assert np.array_equal(np.concatenate(rows), np.concatenate(list(li.features(cut))))
